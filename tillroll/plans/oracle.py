@@ -73,6 +73,8 @@ def with_views(body: str, *names: str) -> str:
     views = _resolve(names, {})
     ctes = ",\n".join(f"{n} AS ({sql})" for n, sql in views.items())
     body = body.strip()
+    if body[:15].lower() == "with recursive ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].lower() == "with ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

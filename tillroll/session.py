@@ -32,6 +32,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = (builder.master(master)
                    .config("spark.ui.enabled", "false")
+                   .config("spark.ui.showConsoleProgress", "false")
                    .config("spark.driver.memory", os.environ.get("TILLROLL_DRIVER_MEMORY", "16g")))
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
