@@ -46,8 +46,7 @@ DERIVED_SQL = {
              when right(segment, 1) in ('3', '4') then 'Retirees' else 'Unknown' end age_band,
         case when left(segment, 1) = 'C' then 'Couples'
              when left(segment, 1) = 'F' then 'Families' else 'Unknown' end demographic,
-        customer_type, transactions, sales,
-        cast(cast(round(sales * 100 / transactions) as bigint) as double) / 100 avg_transaction_raw
+        customer_type, transactions, sales
         from (select *, cast(strptime(week_date, '%d/%m/%y') as date) d from weekly_sales)"""),
 }
 

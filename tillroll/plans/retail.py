@@ -1 +1,230 @@
-"""(in progress)"""
+"""Retail queries over weekly sales: cleaning/enrichment, calendar checks,
+totals, pivoted shares, ratio of sums, and before/after comparisons."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ..functions import sem
+from ..operators import clean, shares, spine
+from ..sources import bindings as b
+from ..sources.tables import Tables
+from .oracle import round_ratio_sql, with_views
+from .registry import query
+
+# Business parameters.
+WEEK_RANGE = (1, 60)                  # week numbers checked for gaps
+BASELINE = dt.date(1998, 6, 15)       # first week of the "after" period (a Monday)
+DIMENSIONS = ("region", "platform", "age_band", "demographic", "customer_type")
+
+
+def _clean(spark, root):
+    return clean.clean_weekly_sales(b.weekly_sales(Tables(spark, root)))
+
+
+@query("clean_weekly_sales", with_views(f"""
+    select week_date, week_number, month_number, calendar_year, region, platform, segment,
+           age_band, demographic, customer_type, transactions, cast(sales as double) sales,
+           {round_ratio_sql('sales', 'transactions', 2, num_scale=2)} avg_transaction
+    from clean_weekly_sales""", "clean_weekly_sales"))
+def clean_weekly_sales(spark, root):
+    return _clean(spark, root).withColumn("sales", F.col("sales").cast("double"))
+
+
+@query("weekday_of_week_date", with_views("""
+    select distinct rpad(strftime(week_date, '%A'), 9, ' ') day_of_week from clean_weekly_sales""",
+    "clean_weekly_sales"))
+def weekday_of_week_date(spark, root):
+    return _clean(spark, root).select(sem.weekday_name("week_date").alias("day_of_week")).distinct()
+
+
+@query("missing_week_numbers", with_views(f"""
+    select range week_number from range({WEEK_RANGE[0]}, {WEEK_RANGE[1] + 1}) a
+    where not exists (select 1 from clean_weekly_sales d where d.week_number = a.range)""",
+    "clean_weekly_sales"))
+def missing_week_numbers(spark, root):
+    return spine.missing_in_range(spark, _clean(spark, root), "week_number", *WEEK_RANGE)
+
+
+@query("transactions_per_year", with_views("""
+    select calendar_year, cast(sum(transactions) as bigint) total_transactions
+    from clean_weekly_sales group by calendar_year order by calendar_year""", "clean_weekly_sales"))
+def transactions_per_year(spark, root):
+    return (_clean(spark, root).groupBy("calendar_year")
+            .agg(F.sum("transactions").alias("total_transactions")).orderBy("calendar_year"))
+
+
+@query("sales_per_region_month", with_views("""
+    select region, month_number, cast(sum(sales) as double) total_sales
+    from clean_weekly_sales group by region, month_number order by region, month_number""",
+    "clean_weekly_sales"))
+def sales_per_region_month(spark, root):
+    return (_clean(spark, root).groupBy("region", "month_number")
+            .agg(F.sum("sales").cast("double").alias("total_sales")).orderBy("region", "month_number"))
+
+
+@query("transaction_rows_per_platform", with_views("""
+    select platform, count(transactions) transaction_rows
+    from clean_weekly_sales group by platform order by platform""", "clean_weekly_sales"))
+def transaction_rows_per_platform(spark, root):
+    return (_clean(spark, root).groupBy("platform")
+            .agg(F.count("transactions").alias("transaction_rows")).orderBy("platform"))
+
+
+def _share_sql(group: str, dim: str, values: dict[str, str]) -> str:
+    cols = ",\n".join(
+        f"{round_ratio_sql(f'100 * sum(case when {dim} = {v!r} then s end)', 'sum(s)', 2, 2, 2)} {name}"
+        for name, v in values.items())
+    return f"""with m as (select {group}, {dim}, sum(sales) s from clean_weekly_sales group by 1, 2)
+        select {group}, {cols} from m group by {group} order by {group}"""
+
+
+PLATFORMS = {"retail_percentage": "Retail", "shopify_percentage": "Shopify"}
+DEMOGRAPHICS = {"couples_percentage": "Couples", "families_percentage": "Families",
+                "unknown_percentage": "Unknown"}
+
+
+@query("platform_share_per_month", with_views(_share_sql("month_number", "platform", PLATFORMS),
+                                              "clean_weekly_sales"))
+def platform_share_per_month(spark, root):
+    return shares.pivot_shares(_clean(spark, root), ["month_number"], "platform", "sales",
+                               PLATFORMS).orderBy("month_number")
+
+
+@query("demographic_share_per_year", with_views(_share_sql("calendar_year", "demographic", DEMOGRAPHICS),
+                                                "clean_weekly_sales"))
+def demographic_share_per_year(spark, root):
+    return shares.pivot_shares(_clean(spark, root), ["calendar_year"], "demographic", "sales",
+                               DEMOGRAPHICS).orderBy("calendar_year")
+
+
+def _retail_by(spark, root, *dims):
+    return (_clean(spark, root).filter(F.col("platform") == "Retail").groupBy(*dims)
+            .agg(F.sum("sales").cast("double").alias("sales_contribution"))
+            .orderBy(F.desc("sales_contribution")))
+
+
+def _retail_by_sql(dims: str) -> str:
+    return with_views(f"""select {dims}, cast(sum(sales) as double) sales_contribution
+        from clean_weekly_sales where platform = 'Retail' group by {dims}
+        order by sales_contribution desc""", "clean_weekly_sales")
+
+
+@query("retail_sales_by_age_band", _retail_by_sql("age_band"))
+def retail_sales_by_age_band(spark, root):
+    return _retail_by(spark, root, "age_band")
+
+
+@query("retail_sales_by_demographic", _retail_by_sql("demographic"))
+def retail_sales_by_demographic(spark, root):
+    return _retail_by(spark, root, "demographic")
+
+
+@query("retail_sales_by_both", _retail_by_sql("age_band, demographic"))
+def retail_sales_by_both(spark, root):
+    return _retail_by(spark, root, "age_band", "demographic")
+
+
+AVG_TXN = {"retail_average_transactions": "Retail", "shopify_average_transactions": "Shopify"}
+
+
+@query("ratio_of_sums_per_year", with_views(f"""
+    select calendar_year, {", ".join(
+        round_ratio_sql(f"sum(case when platform = '{v}' then sales end)",
+                        f"sum(case when platform = '{v}' then transactions end)", 0, 2) + " " + n
+        for n, v in AVG_TXN.items())}
+    from clean_weekly_sales group by calendar_year order by calendar_year""", "clean_weekly_sales"))
+def ratio_of_sums_per_year(spark, root):
+    return shares.ratio_of_sums(_clean(spark, root), ["calendar_year"], "platform", AVG_TXN,
+                                "sales", "transactions", 0).orderBy("calendar_year")
+
+
+# ----------------------------------------------------- before / after the baseline
+def _window_sql(weeks: int) -> tuple[str, str]:
+    lo = (BASELINE - dt.timedelta(days=7 * weeks)).isoformat()
+    hi = (BASELINE + dt.timedelta(days=7 * weeks)).isoformat()
+    base = BASELINE.isoformat()
+    return (f"week_date >= date '{lo}' and week_date < date '{base}'",
+            f"week_date >= date '{base}' and week_date < date '{hi}'")
+
+
+def _before_after_cols_sql() -> str:
+    return f"""cast(before_sales as double) before_sales, cast(after_sales as double) after_sales,
+        cast(after_sales - before_sales as double) sales_change,
+        {round_ratio_sql('100 * (after_sales - before_sales)', 'before_sales', 2, 2, 2)} change_pct"""
+
+
+def _before_after_sql(weeks: int) -> str:
+    before, after = _window_sql(weeks)
+    return with_views(f"""with a as (
+        select sum(case when {before} then sales end) before_sales,
+               sum(case when {after} then sales end) after_sales from clean_weekly_sales)
+        select {_before_after_cols_sql()} from a""", "clean_weekly_sales")
+
+
+def _window(weeks: int):
+    d = F.col("week_date")
+    lo, hi = BASELINE - dt.timedelta(days=7 * weeks), BASELINE + dt.timedelta(days=7 * weeks)
+    return ((d >= F.lit(lo)) & (d < F.lit(BASELINE)), (d >= F.lit(BASELINE)) & (d < F.lit(hi)))
+
+
+def _before_after(spark, root, weeks):
+    before, after = _window(weeks)
+    rows = _clean(spark, root).filter(before | after)
+    return shares.before_after(rows, [], before, after, "sales")
+
+
+@query("before_after_change", _before_after_sql(4))
+def before_after_change(spark, root):
+    """Sales in the 4 weeks before vs from the baseline week on."""
+    return _before_after(spark, root, 4)
+
+
+@query("before_after_change_12w", _before_after_sql(12))
+def before_after_change_12w(spark, root):
+    """Same comparison over 12 weeks each side."""
+    return _before_after(spark, root, 12)
+
+
+BASELINE_WEEK = BASELINE.isocalendar()[1]
+
+
+@query("before_after_by_year", with_views(f"""with a as (
+    select calendar_year,
+           sum(case when week_number between {BASELINE_WEEK - 12} and {BASELINE_WEEK - 1} then sales end) before_sales,
+           sum(case when week_number between {BASELINE_WEEK} and {BASELINE_WEEK + 11} then sales end) after_sales
+    from clean_weekly_sales group by calendar_year)
+    select calendar_year, {_before_after_cols_sql()} from a""", "clean_weekly_sales"))
+def before_after_by_year(spark, root):
+    """The 12 weeks before vs after the baseline's week number, in every year."""
+    w = F.col("week_number")
+    before = w.between(BASELINE_WEEK - 12, BASELINE_WEEK - 1)
+    after = w.between(BASELINE_WEEK, BASELINE_WEEK + 11)
+    return shares.before_after(_clean(spark, root), ["calendar_year"], before, after, "sales")
+
+
+def _dimension_sql() -> str:
+    before, after = _window_sql(12)
+    arms = " union all ".join(
+        f"select '{d}' dimension, {d} value, week_date, sales from clean_weekly_sales" for d in DIMENSIONS)
+    return with_views(f"""with u as ({arms}), a as (
+        select dimension, value, sum(case when {before} then sales end) before_sales,
+               sum(case when {after} then sales end) after_sales
+        from u where ({before}) or ({after}) group by dimension, value)
+        select dimension, value, {_before_after_cols_sql()} from a
+        order by change_pct, dimension, value""", "clean_weekly_sales")
+
+
+@query("before_after_by_dimension", _dimension_sql())
+def before_after_by_dimension(spark, root):
+    """12 weeks before vs after the baseline, per value of every business
+    dimension, worst change first.  One pass: each row is fanned out to
+    (dimension, value) pairs and aggregated once."""
+    before, after = _window(12)
+    rows = _clean(spark, root).filter(before | after)
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in DIMENSIONS])
+    fanned = rows.select("week_date", "sales", F.inline(pairs))
+    return (shares.before_after(fanned, ["dimension", "value"], before, after, "sales")
+            .orderBy("change_pct", "dimension", "value"))
