@@ -152,3 +152,8 @@ def seeded_unit_draw(key: str | Column, seed: int, buckets: int) -> Column:
     h = h.bitwiseXOR(F.shiftright(h, 13))
     h = (h * 1103515245 + 12345) % m
     return 1 + F.shiftright(h * buckets, 31)
+
+
+def sum_if(cond: Column) -> Column:
+    """``sum(case when cond then 1 else 0 end)``: a long, NULL over no rows."""
+    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
