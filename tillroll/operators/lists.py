@@ -2,10 +2,10 @@
 per-item multiset algebra (recipe minus exclusions plus extras) and global
 multiset totals.
 
-Per-item set algebra runs inside the row with array functions
-(``array_except``, ``concat``), so it needs no shuffle; an explode is only
-used where element rows must meet a dimension (names), and the regrouping
-is keyed by the item, whose rows are already together after the order join.
+Per-item set algebra, counting and naming run inside the row with array
+functions (``array_except``, ``concat``, ``transform``) and a map lookup in
+the fixed element dimension, so per-item results need no explode, join or
+shuffle.
 Global totals are aggregated per *pizza type* before meeting the recipe
 dimension, so the recipe expansion costs (types x toppings) rows, not
 (items x toppings).
@@ -21,15 +21,19 @@ from pyspark.sql import functions as F
 from ..functions import sem
 
 EMPTY = "none"
+# Element dimensions up to this many rows are expanded into per-element
+# expressions at plan time (fixed, code-defined dimensions only).
+STATIC_EXPANSION_MAX = 64
 
 
 def ids(c: str | Column) -> Column:
     """Integer ids of a cleaned list column (``'none'`` -> empty array);
     blanks around ids are ignored, non-numeric tokens dropped."""
     c = sem.col(c)
-    parsed = F.transform(F.split(c, ","), lambda t: F.trim(t).try_cast("int"))
-    return F.when(c.isNull() | (c == EMPTY), F.array().cast("array<int>")).otherwise(
-        F.filter(parsed, lambda x: x.isNotNull()))
+    # split on commas with surrounding blanks, cast element-wise (bad tokens
+    # -> NULL), drop NULLs: all codegen'd, no per-element lambda
+    parsed = F.split(F.trim(c), r"\s*,\s*").try_cast("array<int>")
+    return F.when(c.isNull() | (c == EMPTY), F.array().cast("array<int>")).otherwise(F.array_compact(parsed))
 
 
 def element_counts(df: DataFrame, list_col: str, names: DataFrame, id_col: str,
@@ -42,58 +46,75 @@ def element_counts(df: DataFrame, list_col: str, names: DataFrame, id_col: str,
                   .agg(F.sum("_n").alias(out)))
 
 
-def _names_in_order(entries: Column) -> Column:
-    """Sorted array of ``struct(k, name)`` -> ``'name1, name2'`` (NULL names skipped)."""
-    return F.array_join(F.transform(F.array_sort(entries), lambda s: s["name"]), ", ")
+def name_lookup(rows: Sequence[tuple[int, str]]) -> Column:
+    """A fixed id -> name dimension (a handful of code-defined rows) as a map
+    expression: every task looks names up locally, no join or regrouping."""
+    return F.create_map(*[F.lit(x) for r in rows for x in r])
+
+
+def _names(id_array: Column, names: Column) -> Column:
+    """``[4, 1]`` -> ``'Cheese, Bacon'`` (list order kept, unknown ids skipped)."""
+    return F.array_join(F.transform(id_array, lambda x: F.try_element_at(names, x)), ", ")
 
 
 def item_labels(items: DataFrame, item_keys: Sequence[str], kind_name: DataFrame,
-                names: DataFrame, id_col: str, name_col: str, literal: bool = False) -> DataFrame:
+                names: Sequence[tuple[int, str]], literal: bool = False) -> DataFrame:
     """``'<type> - Exclude a, b - Extra c'`` per item (``pizza_order``).
 
     ``items`` has ``item_keys``, ``pizza_id``, ``exclusions``, ``extras``
-    (cleaned); ``kind_name`` maps pizza_id -> pizza_name.  Names follow the
-    order of ids in the text.  ``literal`` joins the three parts with single
-    blanks even when a part is empty (trailing/double blanks)."""
-    keys = list(item_keys)
-    tagged = F.concat(
-        F.transform(ids("exclusions"), lambda x, i: F.struct(F.lit(0).alias("kind"), i.alias("pos"), x.alias("id"))),
-        F.transform(ids("extras"), lambda x, i: F.struct(F.lit(1).alias("kind"), i.alias("pos"), x.alias("id"))))
-    toks = items.select(*keys, "pizza_id", F.inline_outer(tagged))
-    named = toks.join(names.withColumnRenamed(id_col, "id"), "id", "left")
-    entry = lambda k: F.collect_list(F.when(F.col("kind") == k, F.struct(
-        F.col("pos").alias("k"), F.col(name_col).alias("name"))))
-    per_item = named.groupBy(*keys, "pizza_id").agg(entry(0).alias("_ex"), entry(1).alias("_ey"))
-    ex, ey = _names_in_order(F.col("_ex")), _names_in_order(F.col("_ey"))
+    (cleaned); ``kind_name`` maps pizza_id -> pizza_name; ``names`` are the
+    (id, name) rows of the element dimension.  Names follow the order of ids
+    in the text.  ``literal`` joins the three parts with single blanks even
+    when a part is empty (trailing/double blanks).  One projection per item."""
+    m = name_lookup(names)
+    ex, ey = _names(ids("exclusions"), m), _names(ids("extras"), m)
     ex_text = F.when(ex != "", F.concat(F.lit("- Exclude "), ex))
     ey_text = F.when(ey != "", F.concat(F.lit("- Extra "), ey))
     if literal:
         label = F.concat_ws(" ", F.col("pizza_name"), F.coalesce(ex_text, F.lit("")), F.coalesce(ey_text, F.lit("")))
     else:
         label = F.concat_ws(" ", F.col("pizza_name"), ex_text, ey_text)
-    return per_item.join(kind_name, "pizza_id").select(*keys, label.alias("pizza_order"))
+    return items.join(kind_name, "pizza_id").select(*item_keys, label.alias("pizza_order"))
 
 
 def item_ingredients(items: DataFrame, item_keys: Sequence[str], recipes: DataFrame,
-                     kind_name: DataFrame, names: DataFrame, id_col: str, name_col: str) -> DataFrame:
+                     kind_name: DataFrame, names: Sequence[tuple[int, str]]) -> DataFrame:
     """``'<type>: 2x a, b, c'`` per item: recipe ids minus excluded ids (as a
     set), plus extra ids (as a multiset), counted, names sorted
     alphabetically, ``Nx `` before names that occur N > 1 times.  Items left
-    with no ingredient are absent."""
+    with no ingredient are absent.  Set algebra, counting and naming all run
+    inside the row (no explode, no shuffle)."""
     keys = list(item_keys)
+    m = name_lookup(names)
     rec = recipes.select("pizza_id", F.array_distinct(ids("toppings")).alias("_base"))
-    j = items.join(rec, "pizza_id")
-    all_ids = F.concat(F.array_except(F.col("_base"), ids("exclusions")), ids("extras"))
-    counted = F.transform(F.array_distinct(all_ids), lambda x: F.struct(
-        x.alias("id"), F.size(F.filter(all_ids, lambda y: y == x)).alias("n")))
-    toks = j.select(*keys, "pizza_id", F.inline(counted))
-    named = toks.join(names.withColumnRenamed(id_col, "id"), "id")
-    label = F.when(F.col("n") > 1, F.concat(F.col("n").cast("string"), F.lit("x "), F.col(name_col))) \
-             .otherwise(F.col(name_col))
-    per_item = named.groupBy(*keys, "pizza_id").agg(
-        F.collect_list(F.struct(F.col(name_col).alias("k"), label.alias("name"))).alias("_l"))
-    return per_item.join(kind_name, "pizza_id").select(
-        *keys, F.concat(F.col("pizza_name"), F.lit(": "), _names_in_order(F.col("_l"))).alias("ingredients_list"))
+    j = items.join(rec, "pizza_id").join(kind_name, "pizza_id")
+    # the multiset of ids is its own projection: the per-element expressions
+    # below read this column instead of re-parsing the text each time
+    j = j.select(*keys, "pizza_name",
+                 F.concat(F.array_except(F.col("_base"), ids("exclusions")), ids("extras")).alias("_all"))
+    all_ids = F.col("_all")
+    known = F.array(*[F.lit(i) for i, _ in names])
+    # keep items with at least one named ingredient (reads only the id array)
+    j = j.filter(F.size(F.array_intersect(all_ids, known)) > 0)
+    if len(names) <= STATIC_EXPANSION_MAX:
+        # the dimension is fixed: one codegen'd count per element, emitted in
+        # name order, so neither sorting nor lambdas run per row
+        parts = []
+        for i, name in sorted(names, key=lambda r: (r[1], r[0])):
+            n = F.size(all_ids) - F.size(F.array_remove(all_ids, F.lit(i)))
+            parts.append(F.when(n > 1, F.concat(n.cast("string"), F.lit(f"x {name}")))
+                          .when(n == 1, F.lit(name)))
+        body = F.concat_ws(", ", *parts)
+    else:
+        def entry(x):
+            name = F.try_element_at(m, x)
+            n = F.size(all_ids) - F.size(F.array_remove(all_ids, x))   # occurrences of x
+            return F.struct(name.alias("k"),
+                            F.when(n > 1, F.concat(n.cast("string"), F.lit("x "), name)).otherwise(name)
+                            .alias("name"))
+        entries = F.filter(F.transform(F.array_distinct(all_ids), entry), lambda e: e["k"].isNotNull())
+        body = F.array_join(F.transform(F.sort_array(entries), lambda e: e["name"]), ", ")
+    return j.select(*keys, F.concat(F.col("pizza_name"), F.lit(": "), body).alias("ingredients_list"))
 
 
 def ingredient_totals(items: DataFrame, recipes: DataFrame, names: DataFrame,

@@ -21,7 +21,7 @@ DIMENSIONS = ("region", "platform", "age_band", "demographic", "customer_type")
 
 
 def _clean(spark, root):
-    return clean.clean_weekly_sales(b.weekly_sales(Tables(spark, root)))
+    return b.table(Tables(spark, root), "weekly_sales", clean.clean_weekly_sales)
 
 
 @query("clean_weekly_sales", with_views(f"""

@@ -51,12 +51,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
     """The shared folder for lineage cuts and materialised tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
     checkpoint dir).  Only a local-mode session without one (tests) gets a
-    fresh scratch folder; a cluster must name a shared folder itself.
+    fresh scratch folder; a cluster must name a shared folder itself
+    (``required=False`` returns None instead of raising).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -65,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(current)
         return current
     if not sc.master.startswith("local"):
+        if not required:
+            return None
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for this cluster")
     local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(local)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sem import money
+from .sinks import materialised
 from .tables import Tables
 
 
@@ -174,6 +175,29 @@ def runner_orders(t: Tables) -> DataFrame:
          .when(key % 2 == 0, "").alias("cancellation"))
 
 
+# ---------------------------------------------------------------------------
+# Relations that cost a join or an aggregation are written once per version
+# of their sources and read by every query (the business schemas' tables).
+BUILDERS = {
+    "sales": (sales, ("lineitem", "orders")),
+    "members": (members, ("orders",)),
+    "customer_nodes": (customer_nodes, ("orders", "customer", "nation")),
+    "weekly_sales": (weekly_sales, ("orders", "customer", "nation", "region")),
+    "runners": (runners, ("events",)),
+    "customer_orders": (customer_orders, ("lineitem", "orders")),
+    "runner_orders": (runner_orders, ("orders",)),
+}
+
+
+def table(t: Tables, name: str, transform=None) -> DataFrame:
+    """The business relation ``name`` (optionally passed through a cleaning
+    ``transform``), materialised in the shared folder."""
+    build, sources = BUILDERS[name]
+    label = name if transform is None else f"{name}.{transform.__name__}"
+    make = (lambda: build(t)) if transform is None else (lambda: transform(build(t)))
+    return materialised(t.spark, label, [t.path(s) for s in sources], make)
+
+
 # ---------------------------------------------------------------------------
 # The same relations in DuckDB SQL, for the independent oracle.
 def _list_sql(k: str, a: str, b: str) -> str:
