@@ -1,24 +1,73 @@
-"""Registry of named queries: key -> (spark, root) -> DataFrame, plus the
-independent oracle SQL for the key when the result is SQL-expressible."""
+"""Registry of named queries.
+
+Every business query is a plain function of business relations (DataFrames
+named like the parameters: ``sales``, ``menu``, ``members``, ...).  The
+registry binds those parameters to relations derived from a folder of test
+tables, giving the ``(spark, root) -> DataFrame`` callables of the driver
+contract, and keeps the independent oracle SQL of each key.
+"""
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import clean
+from ..sources import bindings as b
+from ..sources import dims
+from ..sources.tables import Tables
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
+OPERATORS: dict[str, Callable[..., DataFrame]] = {}
+
+
+def relation(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The business relation ``name`` derived from the tables under ``root``.
+    Relations that cost a join or aggregate are materialised once."""
+    t = Tables(spark, root)
+    loaders = {
+        "sales": lambda: b.table(t, "sales"),
+        "menu": lambda: b.menu(t),
+        "members": lambda: b.table(t, "members"),
+        "customer_nodes": lambda: b.table(t, "customer_nodes"),
+        "regions": lambda: b.regions(t),
+        "customer_transactions": lambda: b.customer_transactions(t),
+        "weekly_sales": lambda: b.table(t, "weekly_sales"),
+        "clean_weekly_sales": lambda: b.table(t, "weekly_sales", clean.clean_weekly_sales),
+        "subscriptions": lambda: b.subscriptions(t),
+        "plans": lambda: dims.plans(spark),
+        "runners": lambda: b.table(t, "runners"),
+        "raw_customer_orders": lambda: b.table(t, "customer_orders"),
+        "raw_runner_orders": lambda: b.table(t, "runner_orders"),
+        "customer_orders": lambda: b.table(t, "customer_orders", clean.clean_customer_orders),
+        "runner_orders": lambda: b.table(t, "runner_orders", clean.clean_runner_orders),
+        "pizza_names": lambda: dims.pizza_names(spark),
+        "pizza_recipes": lambda: dims.pizza_recipes(spark),
+        "pizza_toppings": lambda: dims.pizza_toppings(spark),
+    }
+    return loaders[name]()
 
 
 def query(key: str, oracle: str | None = None):
-    """Register ``fn(spark, root)`` under ``key`` (and its oracle SQL)."""
-    def deco(fn: QueryFn) -> QueryFn:
+    """Register ``fn(<relations>)`` under ``key``: its parameters name the
+    business relations it reads (``spark`` receives the session)."""
+    def deco(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key!r}")
-        QUERIES[key] = fn
+        params = list(inspect.signature(fn).parameters)
+
+        def bound(spark: SparkSession, root: str) -> DataFrame:
+            args = {p: spark if p == "spark" else relation(spark, root, p) for p in params}
+            return fn(**args)
+        bound.__name__ = bound.__qualname__ = f"{key}_on_tables"
+        bound.__doc__ = fn.__doc__
+        QUERIES[key] = bound
+        OPERATORS[key] = fn
         if oracle is not None:
             ORACLE[key] = oracle
         return fn

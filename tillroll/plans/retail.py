@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import sem
 from ..operators import clean, shares, spine
-from ..sources import bindings as b
-from ..sources.tables import Tables
 from .oracle import round_ratio_sql, with_views
 from .registry import query
 
@@ -20,39 +18,36 @@ BASELINE = dt.date(1998, 6, 15)       # first week of the "after" period (a Mond
 DIMENSIONS = ("region", "platform", "age_band", "demographic", "customer_type")
 
 
-def _clean(spark, root):
-    return b.table(Tables(spark, root), "weekly_sales", clean.clean_weekly_sales)
-
-
 @query("clean_weekly_sales", with_views(f"""
     select week_date, week_number, month_number, calendar_year, region, platform, segment,
            age_band, demographic, customer_type, transactions, cast(sales as double) sales,
            {round_ratio_sql('sales', 'transactions', 2, num_scale=2)} avg_transaction
     from clean_weekly_sales""", "clean_weekly_sales"))
-def clean_weekly_sales(spark, root):
-    return _clean(spark, root).withColumn("sales", F.col("sales").cast("double"))
+def clean_weekly_sales(weekly_sales):
+    """Clean and enrich the raw weekly rows (one projection, no shuffle)."""
+    return clean.clean_weekly_sales(weekly_sales).withColumn("sales", F.col("sales").cast("double"))
 
 
 @query("weekday_of_week_date", with_views("""
     select distinct rpad(strftime(week_date, '%A'), 9, ' ') day_of_week from clean_weekly_sales""",
     "clean_weekly_sales"))
-def weekday_of_week_date(spark, root):
-    return _clean(spark, root).select(sem.weekday_name("week_date").alias("day_of_week")).distinct()
+def weekday_of_week_date(clean_weekly_sales):
+    return clean_weekly_sales.select(sem.weekday_name("week_date").alias("day_of_week")).distinct()
 
 
 @query("missing_week_numbers", with_views(f"""
     select range week_number from range({WEEK_RANGE[0]}, {WEEK_RANGE[1] + 1}) a
     where not exists (select 1 from clean_weekly_sales d where d.week_number = a.range)""",
     "clean_weekly_sales"))
-def missing_week_numbers(spark, root):
-    return spine.missing_in_range(spark, _clean(spark, root), "week_number", *WEEK_RANGE)
+def missing_week_numbers(spark, clean_weekly_sales):
+    return spine.missing_in_range(spark, clean_weekly_sales, "week_number", *WEEK_RANGE)
 
 
 @query("transactions_per_year", with_views("""
     select calendar_year, cast(sum(transactions) as bigint) total_transactions
     from clean_weekly_sales group by calendar_year order by calendar_year""", "clean_weekly_sales"))
-def transactions_per_year(spark, root):
-    return (_clean(spark, root).groupBy("calendar_year")
+def transactions_per_year(clean_weekly_sales):
+    return (clean_weekly_sales.groupBy("calendar_year")
             .agg(F.sum("transactions").alias("total_transactions")).orderBy("calendar_year"))
 
 
@@ -60,16 +55,16 @@ def transactions_per_year(spark, root):
     select region, month_number, cast(sum(sales) as double) total_sales
     from clean_weekly_sales group by region, month_number order by region, month_number""",
     "clean_weekly_sales"))
-def sales_per_region_month(spark, root):
-    return (_clean(spark, root).groupBy("region", "month_number")
+def sales_per_region_month(clean_weekly_sales):
+    return (clean_weekly_sales.groupBy("region", "month_number")
             .agg(F.sum("sales").cast("double").alias("total_sales")).orderBy("region", "month_number"))
 
 
 @query("transaction_rows_per_platform", with_views("""
     select platform, count(transactions) transaction_rows
     from clean_weekly_sales group by platform order by platform""", "clean_weekly_sales"))
-def transaction_rows_per_platform(spark, root):
-    return (_clean(spark, root).groupBy("platform")
+def transaction_rows_per_platform(clean_weekly_sales):
+    return (clean_weekly_sales.groupBy("platform")
             .agg(F.count("transactions").alias("transaction_rows")).orderBy("platform"))
 
 
@@ -88,20 +83,20 @@ DEMOGRAPHICS = {"couples_percentage": "Couples", "families_percentage": "Familie
 
 @query("platform_share_per_month", with_views(_share_sql("month_number", "platform", PLATFORMS),
                                               "clean_weekly_sales"))
-def platform_share_per_month(spark, root):
-    return shares.pivot_shares(_clean(spark, root), ["month_number"], "platform", "sales",
+def platform_share_per_month(clean_weekly_sales):
+    return shares.pivot_shares(clean_weekly_sales, ["month_number"], "platform", "sales",
                                PLATFORMS).orderBy("month_number")
 
 
 @query("demographic_share_per_year", with_views(_share_sql("calendar_year", "demographic", DEMOGRAPHICS),
                                                 "clean_weekly_sales"))
-def demographic_share_per_year(spark, root):
-    return shares.pivot_shares(_clean(spark, root), ["calendar_year"], "demographic", "sales",
+def demographic_share_per_year(clean_weekly_sales):
+    return shares.pivot_shares(clean_weekly_sales, ["calendar_year"], "demographic", "sales",
                                DEMOGRAPHICS).orderBy("calendar_year")
 
 
-def _retail_by(spark, root, *dims):
-    return (_clean(spark, root).filter(F.col("platform") == "Retail").groupBy(*dims)
+def _retail_by(clean_weekly_sales, *dims):
+    return (clean_weekly_sales.filter(F.col("platform") == "Retail").groupBy(*dims)
             .agg(F.sum("sales").cast("double").alias("sales_contribution"))
             .orderBy(F.desc("sales_contribution")))
 
@@ -113,18 +108,18 @@ def _retail_by_sql(dims: str) -> str:
 
 
 @query("retail_sales_by_age_band", _retail_by_sql("age_band"))
-def retail_sales_by_age_band(spark, root):
-    return _retail_by(spark, root, "age_band")
+def retail_sales_by_age_band(clean_weekly_sales):
+    return _retail_by(clean_weekly_sales, "age_band")
 
 
 @query("retail_sales_by_demographic", _retail_by_sql("demographic"))
-def retail_sales_by_demographic(spark, root):
-    return _retail_by(spark, root, "demographic")
+def retail_sales_by_demographic(clean_weekly_sales):
+    return _retail_by(clean_weekly_sales, "demographic")
 
 
 @query("retail_sales_by_both", _retail_by_sql("age_band, demographic"))
-def retail_sales_by_both(spark, root):
-    return _retail_by(spark, root, "age_band", "demographic")
+def retail_sales_by_both(clean_weekly_sales):
+    return _retail_by(clean_weekly_sales, "age_band", "demographic")
 
 
 AVG_TXN = {"retail_average_transactions": "Retail", "shopify_average_transactions": "Shopify"}
@@ -136,8 +131,8 @@ AVG_TXN = {"retail_average_transactions": "Retail", "shopify_average_transaction
                         f"sum(case when platform = '{v}' then transactions end)", 0, 2) + " " + n
         for n, v in AVG_TXN.items())}
     from clean_weekly_sales group by calendar_year order by calendar_year""", "clean_weekly_sales"))
-def ratio_of_sums_per_year(spark, root):
-    return shares.ratio_of_sums(_clean(spark, root), ["calendar_year"], "platform", AVG_TXN,
+def ratio_of_sums_per_year(clean_weekly_sales):
+    return shares.ratio_of_sums(clean_weekly_sales, ["calendar_year"], "platform", AVG_TXN,
                                 "sales", "transactions", 0).orderBy("calendar_year")
 
 
@@ -170,22 +165,22 @@ def _window(weeks: int):
     return ((d >= F.lit(lo)) & (d < F.lit(BASELINE)), (d >= F.lit(BASELINE)) & (d < F.lit(hi)))
 
 
-def _before_after(spark, root, weeks):
+def _before_after(clean_weekly_sales, weeks):
     before, after = _window(weeks)
-    rows = _clean(spark, root).filter(before | after)
+    rows = clean_weekly_sales.filter(before | after)
     return shares.before_after(rows, [], before, after, "sales")
 
 
 @query("before_after_change", _before_after_sql(4))
-def before_after_change(spark, root):
+def before_after_change(clean_weekly_sales):
     """Sales in the 4 weeks before vs from the baseline week on."""
-    return _before_after(spark, root, 4)
+    return _before_after(clean_weekly_sales, 4)
 
 
 @query("before_after_change_12w", _before_after_sql(12))
-def before_after_change_12w(spark, root):
+def before_after_change_12w(clean_weekly_sales):
     """Same comparison over 12 weeks each side."""
-    return _before_after(spark, root, 12)
+    return _before_after(clean_weekly_sales, 12)
 
 
 BASELINE_WEEK = BASELINE.isocalendar()[1]
@@ -197,12 +192,12 @@ BASELINE_WEEK = BASELINE.isocalendar()[1]
            sum(case when week_number between {BASELINE_WEEK} and {BASELINE_WEEK + 11} then sales end) after_sales
     from clean_weekly_sales group by calendar_year)
     select calendar_year, {_before_after_cols_sql()} from a""", "clean_weekly_sales"))
-def before_after_by_year(spark, root):
+def before_after_by_year(clean_weekly_sales):
     """The 12 weeks before vs after the baseline's week number, in every year."""
     w = F.col("week_number")
     before = w.between(BASELINE_WEEK - 12, BASELINE_WEEK - 1)
     after = w.between(BASELINE_WEEK, BASELINE_WEEK + 11)
-    return shares.before_after(_clean(spark, root), ["calendar_year"], before, after, "sales")
+    return shares.before_after(clean_weekly_sales, ["calendar_year"], before, after, "sales")
 
 
 def _dimension_sql() -> str:
@@ -218,12 +213,12 @@ def _dimension_sql() -> str:
 
 
 @query("before_after_by_dimension", _dimension_sql())
-def before_after_by_dimension(spark, root):
+def before_after_by_dimension(clean_weekly_sales):
     """12 weeks before vs after the baseline, per value of every business
     dimension, worst change first.  One pass: each row is fanned out to
     (dimension, value) pairs and aggregated once."""
     before, after = _window(12)
-    rows = _clean(spark, root).filter(before | after)
+    rows = clean_weekly_sales.filter(before | after)
     pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in DIMENSIONS])
     fanned = rows.select("week_date", "sales", F.inline(pairs))
     return (shares.before_after(fanned, ["dimension", "value"], before, after, "sales")
