@@ -130,7 +130,7 @@ def test_item_labels_and_ingredients(spark):
     ing = dict(rows(lists.item_ingredients(items, ["item_id"], dims.pizza_recipes(spark),
                                            dims.pizza_names(spark), dims.PIZZA_TOPPINGS)))
     assert ing == {1: "Meatlovers: BBQ Sauce, Bacon, Beef, Cheese, Chicken, Mushrooms, Pepperoni, Salami",
-                   2: "Meatlovers: 2x Bacon, BBQ Sauce, Beef, 2x Chicken, Mushrooms, Pepperoni, Salami",
+                   2: "Meatlovers: BBQ Sauce, 2x Bacon, Beef, 2x Chicken, Mushrooms, Pepperoni, Salami",
                    3: "Vegetarian: Mushrooms, Onions, Peppers, Tomato Sauce, Tomatoes"}
 
 

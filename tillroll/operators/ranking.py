@@ -33,7 +33,7 @@ def rows_at_extreme(df: DataFrame, keys: str | Sequence[str], order_col: str,
     keys = _cols(keys)
     agg = F.max(order_col) if largest else F.min(order_col)
     best = df.groupBy(*keys).agg(agg.alias(order_col))
-    return df.join(best, keys + [order_col], "left_semi")
+    return df.join(best, keys + [order_col], "left_semi").select(*df.columns)
 
 
 def rank_within(df: DataFrame, keys: str | Sequence[str], order_col: str,

@@ -59,7 +59,9 @@ def query(key: str, oracle: str | None = None):
     def deco(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key!r}")
-        params = list(inspect.signature(fn).parameters)
+        # parameters without a default name relations; defaults are business
+        # parameters (thresholds, dates, item names) a caller may override
+        params = [n for n, p in inspect.signature(fn).parameters.items() if p.default is inspect.Parameter.empty]
 
         def bound(spark: SparkSession, root: str) -> DataFrame:
             args = {p: spark if p == "spark" else relation(spark, root, p) for p in params}
