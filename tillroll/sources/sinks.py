@@ -35,7 +35,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -46,7 +46,7 @@ def _fingerprint(spark: SparkSession, sources: Sequence[str]) -> str:
     """Identity of the source tables: path, total length and modification time."""
     h = hashlib.sha256()
     for src in sources:
-        fs, p = _hadoop_path(spark, src)
+        fs, p = hadoop_path(spark, src)
         summary = fs.getContentSummary(p)
         status = fs.getFileStatus(p)
         h.update(f"{src}|{summary.getLength()}|{summary.getFileCount()}|{status.getModificationTime()}".encode())
@@ -63,11 +63,11 @@ def materialised(spark: SparkSession, name: str, sources: Sequence[str],
     if base is None:
         return build()
     target = f"{base.rstrip('/')}/tillroll-tables/{name}-{_fingerprint(spark, sources)}"
-    fs, tp = _hadoop_path(spark, target)
+    fs, tp = hadoop_path(spark, target)
     if not fs.exists(fs.makeQualified(tp).suffix("/_SUCCESS")):
         tmp = f"{target}.tmp-{uuid.uuid4().hex}"
         build().write.mode("overwrite").parquet(tmp)
-        _, sp = _hadoop_path(spark, tmp)
+        _, sp = hadoop_path(spark, tmp)
         if not fs.rename(sp, tp):       # another builder won the race
             fs.delete(sp, True)
     return spark.read.parquet(target)
