@@ -159,28 +159,28 @@ def _before_after_sql(weeks: int) -> str:
         select {_before_after_cols_sql()} from a""", "clean_weekly_sales")
 
 
-def _window(weeks: int):
+def _window(weeks: int, baseline: dt.date = BASELINE):
     d = F.col("week_date")
-    lo, hi = BASELINE - dt.timedelta(days=7 * weeks), BASELINE + dt.timedelta(days=7 * weeks)
-    return ((d >= F.lit(lo)) & (d < F.lit(BASELINE)), (d >= F.lit(BASELINE)) & (d < F.lit(hi)))
+    lo, hi = baseline - dt.timedelta(days=7 * weeks), baseline + dt.timedelta(days=7 * weeks)
+    return ((d >= F.lit(lo)) & (d < F.lit(baseline)), (d >= F.lit(baseline)) & (d < F.lit(hi)))
 
 
-def _before_after(clean_weekly_sales, weeks):
-    before, after = _window(weeks)
+def _before_after(clean_weekly_sales, weeks, baseline):
+    before, after = _window(weeks, baseline)
     rows = clean_weekly_sales.filter(before | after)
     return shares.before_after(rows, [], before, after, "sales")
 
 
 @query("before_after_change", _before_after_sql(4))
-def before_after_change(clean_weekly_sales):
-    """Sales in the 4 weeks before vs from the baseline week on."""
-    return _before_after(clean_weekly_sales, 4)
+def before_after_change(clean_weekly_sales, baseline=BASELINE, weeks=4):
+    """Sales in the ``weeks`` weeks before vs from the baseline week on."""
+    return _before_after(clean_weekly_sales, weeks, baseline)
 
 
 @query("before_after_change_12w", _before_after_sql(12))
-def before_after_change_12w(clean_weekly_sales):
+def before_after_change_12w(clean_weekly_sales, baseline=BASELINE):
     """Same comparison over 12 weeks each side."""
-    return _before_after(clean_weekly_sales, 12)
+    return _before_after(clean_weekly_sales, 12, baseline)
 
 
 BASELINE_WEEK = BASELINE.isocalendar()[1]
@@ -192,11 +192,12 @@ BASELINE_WEEK = BASELINE.isocalendar()[1]
            sum(case when week_number between {BASELINE_WEEK} and {BASELINE_WEEK + 11} then sales end) after_sales
     from clean_weekly_sales group by calendar_year)
     select calendar_year, {_before_after_cols_sql()} from a""", "clean_weekly_sales"))
-def before_after_by_year(clean_weekly_sales):
-    """The 12 weeks before vs after the baseline's week number, in every year."""
+def before_after_by_year(clean_weekly_sales, baseline=BASELINE, weeks=12):
+    """The ``weeks`` weeks before vs after the baseline's week number, in every year."""
+    bw = baseline.isocalendar()[1]
     w = F.col("week_number")
-    before = w.between(BASELINE_WEEK - 12, BASELINE_WEEK - 1)
-    after = w.between(BASELINE_WEEK, BASELINE_WEEK + 11)
+    before = w.between(bw - weeks, bw - 1)
+    after = w.between(bw, bw + weeks - 1)
     return shares.before_after(clean_weekly_sales, ["calendar_year"], before, after, "sales")
 
 
@@ -213,13 +214,13 @@ def _dimension_sql() -> str:
 
 
 @query("before_after_by_dimension", _dimension_sql())
-def before_after_by_dimension(clean_weekly_sales):
+def before_after_by_dimension(clean_weekly_sales, baseline=BASELINE, weeks=12, dimensions=DIMENSIONS):
     """12 weeks before vs after the baseline, per value of every business
     dimension, worst change first.  One pass: each row is fanned out to
     (dimension, value) pairs and aggregated once."""
-    before, after = _window(12)
+    before, after = _window(weeks, baseline)
     rows = clean_weekly_sales.filter(before | after)
-    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in DIMENSIONS])
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in dimensions])
     fanned = rows.select("week_date", "sales", F.inline(pairs))
     return (shares.before_after(fanned, ["dimension", "value"], before, after, "sales")
             .orderBy("change_pct", "dimension", "value"))
