@@ -63,6 +63,11 @@ def seeded_ratings(runner_orders: DataFrame, seed: int = RATING_SEED, scale: int
         "order_id", sem.seeded_unit_draw("order_id", seed, scale).alias("rating"))
 
 
+def with_rating(delivered: DataFrame, seed: int = RATING_SEED, scale: int = 5) -> DataFrame:
+    """Delivered orders with their ``rating`` column (same draw as ``seeded_ratings``)."""
+    return delivered.withColumn("rating", sem.seeded_unit_draw("order_id", seed, scale))
+
+
 def rating_sql(key: str, seed: int = RATING_SEED, scale: int = 5) -> str:
     """The same draw in SQL (integer arithmetic only)."""
     m = 2147483648

@@ -68,6 +68,8 @@ def materialised(spark: SparkSession, name: str, sources: Sequence[str],
         tmp = f"{target}.tmp-{uuid.uuid4().hex}"
         build().write.mode("overwrite").parquet(tmp)
         _, sp = hadoop_path(spark, tmp)
-        if not fs.rename(sp, tp):       # another builder won the race
+        # another builder may have won the race: never rename into an existing
+        # target (a folder rename would nest the copy inside it)
+        if fs.exists(tp) or not fs.rename(sp, tp):
             fs.delete(sp, True)
     return spark.read.parquet(target)
