@@ -26,6 +26,12 @@ def test_runs_region_carry_and_age_borrow(spark):
     got = {r.region_name: (r.median, r.pct80, r.pct95) for r in bank.run_duration_percentiles(nodes, regions).collect()}
     # region 1 values [2, 9, 22]: p80 = 9 + 0.6 * 13 = 16.8 -> 17; p95 = 20.7 -> 21
     assert got == {"R1": (9.0, 17.0, 21.0), "R2": (30.0, 30.0, 30.0)}
+    # each run's own region instead of the carried one: R1 [9], R2 [2, 22, 30]
+    own = {r.region_name: (r.median, r.pct80, r.pct95)
+           for r in bank.run_duration_percentiles(nodes, regions, region_of="run").collect()}
+    assert own == {"R1": (9.0, 9.0, 9.0), "R2": (22.0, 27.0, 29.0)}
+    approx = {r.region_name: r.median for r in bank.run_duration_percentiles(nodes, regions, approx=True).collect()}
+    assert approx == {"R1": 9.0, "R2": 30.0}
 
 
 def test_running_balance_is_null_before_first_activity(spark):

@@ -52,16 +52,6 @@ def rank_within(df: DataFrame, keys: str | Sequence[str], order_col: str,
     return df.join(ranks, cond).select(df["*"], ranks[out])
 
 
-def first_rows(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    """The single first row per key under a *total* order ``order_cols``
-    (``row_number() = 1``) via one aggregate of a struct."""
-    keys = _cols(keys)
-    other = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in order_cols], *[F.col(c).alias(f"_v_{c}") for c in other])
-    first = df.groupBy(*keys).agg(F.min(packed).alias("_r"))
-    return first.select(*keys, *[F.col(f"_r._v_{c}").alias(c) for c in other])
-
-
 def nth_in_group(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str],
                  n: int) -> DataFrame:
     """The n-th row per key under a total order (``row_number() = n``); keys
