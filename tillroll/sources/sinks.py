@@ -59,11 +59,14 @@ def materialised(spark: SparkSession, name: str, sources: Sequence[str],
     first if this version of ``sources`` has not been written yet."""
     if spark.conf.get(MATERIALISE_CONF, "true").lower() == "false":
         return build()
-    base = checkpoint_dir(spark, required=False)
-    if base is None:
+    try:
+        base = checkpoint_dir(spark, required=False)
+        if base is None:
+            return build()
+        target = f"{base.rstrip('/')}/tillroll-tables/{name}-{_fingerprint(spark, sources)}"
+        fs, tp = hadoop_path(spark, target)
+    except Exception:  # no JVM context here (e.g. a remote session): compute instead
         return build()
-    target = f"{base.rstrip('/')}/tillroll-tables/{name}-{_fingerprint(spark, sources)}"
-    fs, tp = hadoop_path(spark, target)
     if not fs.exists(fs.makeQualified(tp).suffix("/_SUCCESS")):
         tmp = f"{target}.tmp-{uuid.uuid4().hex}"
         build().write.mode("overwrite").parquet(tmp)
