@@ -15,12 +15,17 @@ from pyspark.sql import SparkSession
 # Settings the operators are designed around.  AQE re-plans joins with
 # runtime sizes (broadcast only what is measured small), splits skewed
 # shuffle partitions, and coalesces the many tiny partitions of small
-# aggregates.
+# aggregates.  On a cluster, also start shuffles wide enough for the input
+# (``spark.sql.shuffle.partitions`` or
+# ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` around
+# shuffle bytes / 128 MB); AQE then coalesces what turns out small.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # target size of a post-shuffle partition after AQE coalescing/splitting
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
 }
 
