@@ -51,6 +51,21 @@ def norm(v):
     return v
 
 
+SPARK_FAMILY = {"IntegerType": "int32", "LongType": "int64", "DoubleType": "double", "StringType": "string",
+                "DateType": "date", "TimestampNTZType": "timestamp", "TimestampType": "timestamp",
+                "BooleanType": "bool"}
+DUCK_FAMILY = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+               "TIMESTAMP": "timestamp", "BOOLEAN": "bool"}
+
+
+def type_mismatches(sdf, con, sql):
+    """Columns whose type family differs between the Spark result and the SQL."""
+    st = {f.name: SPARK_FAMILY.get(type(f.dataType).__name__, str(f.dataType)) for f in sdf.schema.fields}
+    rel = con.sql(sql)
+    dt = {n: DUCK_FAMILY.get(str(t), str(t)) for n, t in zip(rel.columns, rel.types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+
+
 def canon(names, rows):
     order = sorted(range(len(names)), key=lambda i: names[i])
     out = [tuple(norm(r[i]) for i in order) for r in rows]

@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from oracle_harness import compare, duck
+from oracle_harness import compare, duck, type_mismatches
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -51,3 +51,14 @@ def test_results_do_not_depend_on_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert out["1"] == out["7"]
+
+
+@pytest.mark.skipif(not os.path.exists(SMALL), reason="test tables absent")
+def test_output_types_match_oracle(spark):
+    con = duck(SMALL)
+    bad = {}
+    for key, fn in sorted(entry.queries().items()):
+        diff = type_mismatches(fn(spark, SMALL), con, entry.oracle_sql()[key])
+        if diff:
+            bad[key] = diff
+    assert bad == {}
