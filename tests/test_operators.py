@@ -50,6 +50,14 @@ def test_islands_and_previous_value_match_row_walk(spark):
     assert {r.seq: r.p for r in got} == prev_of
 
 
+def test_islands_null_continues_the_run(spark):
+    # the walk increments only when prev <> cur is TRUE; NULL compares unknown
+    df = spark.createDataFrame([(1, 1, "A"), (1, 2, None), (1, 3, "A"), (1, 4, "B"), (1, 5, None)],
+                               "k long, seq long, v string")
+    got = rows(sequence.islands(df, "k", ["seq"], F.floor(F.col("seq") / 2), "v", out="run"), "seq", "run")
+    assert got == [(1, 1), (2, 1), (3, 1), (4, 2), (5, 2)]
+
+
 def test_islands_bucket_choice_does_not_change_result(spark):
     data = _sequence_rows(seed=11)
     df = spark.createDataFrame(data, "k long, d date, seq long, v string")

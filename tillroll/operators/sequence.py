@@ -53,15 +53,16 @@ def islands(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column,
     """Number the runs of equal ``value`` per key: consecutive rows (in
     ``order_cols`` order) with the same value share a run id 1, 2, 3, ...
 
-    Equal to the row-by-row recursive walk that increments the run id whenever
-    the value differs from the previous row's.
+    Equal to the row-by-row recursive walk that increments the run id when
+    ``previous <> current`` is true (a NULL on either side continues the run,
+    as the SQL comparison is then not true).
     """
     b = df.withColumn("_b", bucket)
     w_local = Window.partitionBy(key, "_b").orderBy(*_order(order_cols))
     prev = F.lag(value).over(w_local)
     b = (b.withColumn("_first", F.lag(F.lit(1)).over(w_local).isNull())
           .withColumn("_chg", F.when(F.col("_first"), 0)
-                               .when(~prev.eqNullSafe(F.col(value)), 1).otherwise(0))
+                               .when(prev != F.col(value), 1).otherwise(0))
           .withColumn("_local", F.sum("_chg").over(w_local.rowsBetween(Window.unboundedPreceding, 0))))
     order = F.struct(*[F.col(c) for c in order_cols])
     summary = b.groupBy(key, "_b").agg(
@@ -73,7 +74,7 @@ def islands(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column,
     has_prev = F.lag(F.lit(1)).over(w_b).isNotNull()
     # does the bucket's first row open a new run? (always for the key's first bucket)
     summary = summary.withColumn(
-        "_opens", F.when(~has_prev, 1).when(~prev_last.eqNullSafe(F.col("_first_v")), 1).otherwise(0))
+        "_opens", F.when(~has_prev, 1).when(prev_last != F.col("_first_v"), 1).otherwise(0))
     summary = summary.withColumn("_bucket_runs", F.col("_opens") + F.col("_inner"))
     summary = summary.select(
         key, "_b", "_opens",
