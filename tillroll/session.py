@@ -65,7 +65,11 @@ def checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
     (``required=False`` returns None instead of raising).
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    # the configured folder itself (stable across sessions, so tables written
+    # by one job are found by the next); the context's own checkpoint dir is
+    # a per-application subfolder of it
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = configured or sc.getCheckpointDir()
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
