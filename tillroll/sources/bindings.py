@@ -189,11 +189,27 @@ BUILDERS = {
 }
 
 
+def _code_version() -> str:
+    """Hash of the code that derives and cleans the relations, so a changed
+    derivation never reads a table written by an older one."""
+    import hashlib
+    import inspect
+    import sys
+
+    from ..functions import sem
+    from ..operators import clean
+    h = hashlib.sha256()
+    for mod in (sys.modules[__name__], clean, sem):
+        h.update(inspect.getsource(mod).encode())
+    return h.hexdigest()[:12]
+
+
 def table(t: Tables, name: str, transform=None) -> DataFrame:
     """The business relation ``name`` (optionally passed through a cleaning
     ``transform``), materialised in the shared folder."""
     build, sources = BUILDERS[name]
     label = name if transform is None else f"{name}.{transform.__name__}"
+    label = f"{label}.{_CODE_VERSION}"
     make = (lambda: build(t)) if transform is None else (lambda: transform(build(t)))
     return materialised(t.spark, label, [t.path(s) for s in sources], make)
 
@@ -262,3 +278,6 @@ SQL = {
              when o_orderkey % 2 = 0 then '' end cancellation
         from orders""",
 }
+
+
+_CODE_VERSION = _code_version()

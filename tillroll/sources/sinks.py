@@ -6,7 +6,8 @@ DataFrame is written as Parquet under the session's checkpoint folder
 (``spark.checkpoint.dir``, a shared folder on a cluster), which also cuts the
 lineage, so a lost executor never forces the upstream joins to be recomputed.
 The location is keyed by the names, sizes and modification times of the
-source tables, so a changed source gets a fresh copy.  Writes go to a unique
+source tables (and callers put a version of their deriving code in the
+name), so a changed source or derivation gets a fresh copy.  Writes go to a unique
 temporary folder first and are renamed into place, so concurrent builders
 never see a half-written table.
 """
