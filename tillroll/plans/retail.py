@@ -69,11 +69,11 @@ def transaction_rows_per_platform(clean_weekly_sales):
 
 
 def _share_sql(group: str, dim: str, values: dict[str, str]) -> str:
+    """Oracle: one pass of conditional sums per group."""
     cols = ",\n".join(
-        f"{round_ratio_sql(f'100 * sum(case when {dim} = {v!r} then s end)', 'sum(s)', 2, 2, 2)} {name}"
+        f"{round_ratio_sql(f'100 * sum(sales) filter (where {dim} = {v!r})', 'sum(sales)', 2, 2, 2)} {name}"
         for name, v in values.items())
-    return f"""with m as (select {group}, {dim}, sum(sales) s from clean_weekly_sales group by 1, 2)
-        select {group}, {cols} from m group by {group} order by {group}"""
+    return f"""select {group}, {cols} from clean_weekly_sales group by {group} order by {group}"""
 
 
 PLATFORMS = {"retail_percentage": "Retail", "shopify_percentage": "Shopify"}
