@@ -62,3 +62,22 @@ def test_output_types_match_oracle(spark):
         if diff:
             bad[key] = diff
     assert bad == {}
+
+
+@pytest.mark.skipif(not os.path.exists(SMALL), reason="test tables absent")
+def test_results_do_not_depend_on_session_time_zone(spark):
+    keys = ["trial_starts_per_month", "trial_starts_per_week", "avg_pickup_minutes", "speed_per_delivery",
+            "delivery_fact", "orders_per_hour", "orders_per_weekday", "plan_snapshot_as_of",
+            "signups_per_shifted_week", "clean_weekly_sales", "plan_events_after_date"]
+    con = duck(SMALL)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    failures = {}
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        for key in keys:
+            problems, *_ = compare(spark, con, key, entry.queries()[key], entry.oracle_sql()[key], SMALL)
+            if problems:
+                failures[key] = problems
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert failures == {}

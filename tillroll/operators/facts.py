@@ -24,7 +24,9 @@ def only_delivered(items: DataFrame, runner_orders: DataFrame) -> DataFrame:
 
 
 def pickup_ts(c: str | Column = "pickup_time") -> Column:
-    return F.try_to_timestamp(sem.col(c), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    """Pickup text (``yyyy-MM-dd HH:mm:ss``) as a zone-less timestamp, read
+    directly (independent of the session time zone); NULL for ``n/a``."""
+    return sem.col(c).try_cast("timestamp_ntz")
 
 
 def pickup_minutes(pickup: str | Column = "pickup_time", ordered: str | Column = "order_time") -> Column:
