@@ -65,6 +65,15 @@ def test_islands_bucket_choice_does_not_change_result(spark):
     b = rows(sequence.islands(df, "k", ["d", "seq"], F.trunc("d", "month"), "v", out="run"), "seq", "run")
     c = rows(sequence.islands(df, "k", ["d", "seq"], F.lit(0), "v", out="run"), "seq", "run")
     assert a == b == c
+    # hierarchies of buckets, coarse to fine, give the same runs and lags
+    run_of, prev_of = _brute_runs(data)
+    for levels in ([F.trunc("d", "month"), F.col("d")],
+                   [F.col("d"), F.floor(F.col("seq") / 3)],
+                   [F.trunc("d", "month"), F.col("d"), F.floor(F.col("seq") / 5)]):
+        got = sequence.islands(df, "k", ["d", "seq"], levels, "v", out="run").select("seq", "run").collect()
+        assert {r.seq: r.run for r in got} == run_of
+        got = sequence.previous_value(df, "k", ["d", "seq"], levels, "v", "p").select("seq", "p").collect()
+        assert {r.seq: r.p for r in got} == prev_of
 
 
 def test_percentile_cont_matches_linear_interpolation(spark):

@@ -1,18 +1,23 @@
 """Ordered sequences per key: previous value (LAG), runs (gaps and islands).
 
 The plain form is one window ``PARTITION BY key ORDER BY ...``; a hot key then
-sorts in one task.  Here each key's rows are cut into *buckets* -- a caller
-supplied coarsening of the order (e.g. the calendar day of a timestamp) that
-never reorders rows.  Work happens at two levels:
-
-1. inside ``(key, bucket)``: a window over that bucket's rows only;
-2. across buckets: one summary row per ``(key, bucket)`` (its last value, its
-   number of changes, ...), a window over the *buckets* of a key, joined back.
-
-A hot key is then spread over as many tasks as it has buckets, while the
-cross-bucket window handles one row per bucket.  The summary is built from the
-already ``(key, bucket)``-partitioned rows, and the join back is on
-``(key, bucket)``, so the big side is not shuffled again.
+sorts in one task.  Here each key's rows are cut into *buckets*: one or more
+coarsenings of the order, coarse to fine (e.g. ``[day, minute]`` of a
+timestamp), each non-decreasing along the order and each refining the
+previous one.  The work is recursive:
+
+1. rows are windowed inside their finest bucket ``(key, b1, ..., bk)``;
+2. each finest bucket becomes one summary element (first value, last value,
+   changes inside); the same problem is then solved on those elements one
+   level up, windowed inside ``(key, b1, ..., bk-1)``, and so on;
+3. at the top, the elements of a key are its coarsest buckets, windowed per
+   key.
+
+Every window therefore holds at most the number of sub-buckets of one parent
+bucket (e.g. 1,440 minutes of a day, ~30 days of a month), and a key with a
+third of all rows is spread over all of its finest buckets.  Each level's
+summary is an aggregate of rows that are already partitioned by that level's
+keys, and is joined back on them, so the big side is not shuffled again.
 """
 
 from __future__ import annotations
@@ -22,64 +27,90 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_BEFORE = Window.unboundedPreceding
+
 
 def _order(order_cols: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in order_cols]
 
 
-def previous_value(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column,
+def _with_levels(df: DataFrame, bucket: Column | Sequence[Column]) -> tuple[DataFrame, list[str]]:
+    buckets = [bucket] if isinstance(bucket, Column) else list(bucket)
+    names = [f"_b{i}" for i in range(len(buckets))]
+    return df.withColumns(dict(zip(names, buckets))), names
+
+
+def _run_offsets(el: DataFrame, key: str, order: list[str], levels: list[str],
+                 fv: str, lv: str, inn: str) -> DataFrame:
+    """For ordered elements (first value ``fv``, last value ``lv``, ``inn`` run
+    starts inside the element after its first row) add ``_opens`` (the
+    element's first row starts a run) and ``_offset`` (run starts before the
+    element in its key)."""
+    if not levels:
+        w = Window.partitionBy(key).orderBy(*_order(order))
+        opens = (F.when(F.lag(F.lit(1)).over(w).isNull(), 1)
+                 .when(F.lag(lv).over(w) != F.col(fv), 1).otherwise(0))
+        el = el.withColumn("_opens", opens)
+        return el.withColumn("_offset", F.coalesce(
+            F.sum(F.col("_opens") + F.col(inn)).over(w.rowsBetween(_BEFORE, -1)), F.lit(0)))
+    part = [key, *levels]
+    w = Window.partitionBy(*part).orderBy(*_order(order))
+    el = (el.withColumn("_lfirst", F.lag(F.lit(1)).over(w).isNull())
+            .withColumn("_lopens", F.when(F.col("_lfirst"), 0).when(F.lag(lv).over(w) != F.col(fv), 1).otherwise(0))
+            .withColumn("_lacc", F.coalesce(
+                F.sum(F.col("_lopens") + F.col(inn)).over(w.rowsBetween(_BEFORE, -1)), F.lit(0))))
+    seq = F.struct(*[F.col(c) for c in order])
+    summary = el.groupBy(*part).agg(F.min_by(fv, seq).alias("_sfv"), F.max_by(lv, seq).alias("_slv"),
+                                    F.sum(F.col("_lopens") + F.col(inn)).alias("_sinn"))
+    summary = _run_offsets(summary, key, levels, levels[:-1], "_sfv", "_slv", "_sinn").select(
+        *part, F.col("_opens").alias("_popens"), F.col("_offset").alias("_poffset"))
+    el = el.join(summary, part)
+    el = (el.withColumn("_opens", F.when(F.col("_lfirst"), F.col("_popens")).otherwise(F.col("_lopens")))
+            .withColumn("_offset", F.col("_poffset") + F.col("_lacc")
+                        + F.when(F.col("_lfirst"), 0).otherwise(F.col("_popens"))))
+    return el.drop("_lfirst", "_lopens", "_lacc", "_popens", "_poffset")
+
+
+def _previous(el: DataFrame, key: str, order: list[str], levels: list[str], lv: str) -> DataFrame:
+    """Add ``_prev``: the previous element's ``lv`` in its key (NULL first)."""
+    if not levels:
+        return el.withColumn("_prev", F.lag(lv).over(Window.partitionBy(key).orderBy(*_order(order))))
+    part = [key, *levels]
+    w = Window.partitionBy(*part).orderBy(*_order(order))
+    el = el.withColumn("_lfirst", F.lag(F.lit(1)).over(w).isNull()).withColumn("_lprev", F.lag(lv).over(w))
+    seq = F.struct(*[F.col(c) for c in order])
+    summary = el.groupBy(*part).agg(F.max_by(lv, seq).alias("_slv"))
+    summary = _previous(summary, key, levels, levels[:-1], "_slv").select(*part, F.col("_prev").alias("_pprev"))
+    el = el.join(summary, part)
+    el = el.withColumn("_prev", F.when(F.col("_lfirst"), F.col("_pprev")).otherwise(F.col("_lprev")))
+    return el.drop("_lfirst", "_lprev", "_pprev")
+
+
+def previous_value(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column | Sequence[Column],
                    value: str, out: str) -> DataFrame:
     """Add ``out`` = ``lag(value) over (partition by key order by order_cols)``.
 
-    ``order_cols`` must be a total order within ``key``; ``bucket`` must be
-    non-decreasing along it (e.g. ``to_date(ts)`` for ``order_cols=[ts, id]``).
+    ``order_cols`` must be a total order within ``key``; ``bucket`` is one
+    coarsening of it or a list of coarsenings from coarse to fine (e.g.
+    ``[to_date(ts), date_trunc('minute', ts)]`` for ``order_cols=[ts, id]``).
     """
-    b = df.withColumn("_b", bucket)
-    w_local = Window.partitionBy(key, "_b").orderBy(*_order(order_cols))
-    b = (b.withColumn("_lag", F.lag(value).over(w_local))
-          .withColumn("_first", F.lag(F.lit(1)).over(w_local).isNull()))
-    last = F.max_by(F.col(value), F.struct(*[F.col(c) for c in order_cols]))
-    summary = b.groupBy(key, "_b").agg(last.alias("_last"))
-    w_b = Window.partitionBy(key).orderBy("_b")
-    summary = summary.select(key, "_b", F.lag("_last").over(w_b).alias("_prev_bucket_last"))
-    return (b.join(summary, [key, "_b"])
-             .withColumn(out, F.when(F.col("_first"), F.col("_prev_bucket_last"))
-                              .otherwise(F.col("_lag")))
-             .drop("_b", "_lag", "_first", "_prev_bucket_last"))
-
-
-def islands(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column,
+    b, levels = _with_levels(df, bucket)
+    res = _previous(b, key, list(order_cols), levels, value)
+    return res.withColumnRenamed("_prev", out).drop(*levels)
+
+
+def islands(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column | Sequence[Column],
             value: str, out: str = "run_id") -> DataFrame:
     """Number the runs of equal ``value`` per key: consecutive rows (in
     ``order_cols`` order) with the same value share a run id 1, 2, 3, ...
 
     Equal to the row-by-row recursive walk that increments the run id when
     ``previous <> current`` is true (a NULL on either side continues the run,
-    as the SQL comparison is then not true).
+    as the SQL comparison is then not true).  ``bucket``: as in
+    ``previous_value``.
     """
-    b = df.withColumn("_b", bucket)
-    w_local = Window.partitionBy(key, "_b").orderBy(*_order(order_cols))
-    prev = F.lag(value).over(w_local)
-    b = (b.withColumn("_first", F.lag(F.lit(1)).over(w_local).isNull())
-          .withColumn("_chg", F.when(F.col("_first"), 0)
-                               .when(prev != F.col(value), 1).otherwise(0))
-          .withColumn("_local", F.sum("_chg").over(w_local.rowsBetween(Window.unboundedPreceding, 0))))
-    order = F.struct(*[F.col(c) for c in order_cols])
-    summary = b.groupBy(key, "_b").agg(
-        F.min_by(F.col(value), order).alias("_first_v"),
-        F.max_by(F.col(value), order).alias("_last_v"),
-        F.sum("_chg").alias("_inner"))
-    w_b = Window.partitionBy(key).orderBy("_b")
-    prev_last = F.lag("_last_v").over(w_b)
-    has_prev = F.lag(F.lit(1)).over(w_b).isNotNull()
-    # does the bucket's first row open a new run? (always for the key's first bucket)
-    summary = summary.withColumn(
-        "_opens", F.when(~has_prev, 1).when(prev_last != F.col("_first_v"), 1).otherwise(0))
-    summary = summary.withColumn("_bucket_runs", F.col("_opens") + F.col("_inner"))
-    summary = summary.select(
-        key, "_b", "_opens",
-        F.coalesce(F.sum("_bucket_runs").over(w_b.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_offset"))
-    return (b.join(summary, [key, "_b"])
-             .withColumn(out, (F.col("_offset") + F.col("_opens") + F.col("_local")).cast("long"))
-             .drop("_b", "_first", "_chg", "_local", "_opens", "_offset"))
+    b, levels = _with_levels(df, bucket)
+    b = b.withColumns({"_efv": F.col(value), "_elv": F.col(value), "_einn": F.lit(0)})
+    res = _run_offsets(b, key, list(order_cols), levels, "_efv", "_elv", "_einn")
+    return (res.withColumn(out, (F.col("_offset") + F.col("_opens")).cast("long"))
+               .drop("_efv", "_elv", "_einn", "_opens", "_offset", *levels))
