@@ -170,3 +170,22 @@ def test_ingredient_totals_is_multiset_algebra(spark):
     total = (base - excl) + extra          # Counter '-' floors at zero: EXCEPT ALL
     names = dict(dims.PIZZA_TOPPINGS)
     assert got == {names[k]: v for k, v in total.items() if v > 0}
+
+
+def test_bucketed_rank_and_percentile_equal_plain(spark):
+    rnd = random.Random(21)
+    data = [(0 if rnd.random() < 0.5 else rnd.randrange(1, 6), rnd.randrange(0, 500)) for _ in range(700)]
+    df = spark.createDataFrame(data, "k int, x long")
+    plain = rows(ranking.rank_within(df, "k", "x", out="r"), "k", "x", "r")
+    for bucket in (F.floor(F.col("x") / 50), [F.floor(F.col("x") / 100), F.floor(F.col("x") / 10)]):
+        assert rows(ranking.rank_within(df, "k", "x", out="r", bucket=bucket), "k", "x", "r") == plain
+    # brute-force rank: 1 + values strictly smaller in the key
+    expect = sorted((k, x, 1 + sum(1 for kk, xx in data if kk == k and xx < x)) for k, x in data)
+    assert sorted(plain) == expect
+    desc = rows(ranking.rank_within(df, "k", "x", out="r", descending=True,
+                                    bucket=F.floor(F.col("x") / 50)), "k", "x", "r")
+    assert sorted(desc) == sorted((k, x, 1 + sum(1 for kk, xx in data if kk == k and xx > x)) for k, x in data)
+    probs = {"p50": 0.5, "p90": 0.9}
+    a = rows(quantiles.percentile_cont(df, ["k"], "x", probs))
+    b = rows(quantiles.percentile_cont(df, ["k"], "x", probs, bucket=F.floor(F.col("x") / 64)))
+    assert a == b

@@ -3,35 +3,41 @@ group's values into one task.
 
 ``percentile(x, p)`` keeps every value of a group in one buffer.  Here the
 values are first counted per ``(group, value)`` (partial aggregation before
-the shuffle); a window over the *distinct* values of a group turns counts
+the shuffle); a prefix sum over the *distinct* values of a group turns counts
 into cumulative positions, and the two order statistics around
 ``p * (n - 1)`` are picked with conditional ``min`` aggregates and
 interpolated.  Work per group is proportional to its number of distinct
 values, which for integer measures (days, counts) is small however many rows
-the group has.
+the group has; for high-cardinality values the prefix sum can be split into
+value buckets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import sequence
+
 
 def percentile_cont(df: DataFrame, groups: Sequence[str], value: str,
-                    probs: Mapping[str, float]) -> DataFrame:
+                    probs: Mapping[str, float], bucket=None) -> DataFrame:
     """One row per group with a double column per ``probs`` entry
     (``name -> p``), equal to ``percentile_cont(p) within group (order by value)``.
-    NULL values are ignored."""
+    NULL values are ignored.  ``bucket`` (coarsenings of the value, e.g.
+    ``floor(value / 1000)``) splits the cumulative count over a group's
+    distinct values into levels, for groups with very many distinct values."""
     groups = list(groups)
     hist = (df.filter(F.col(value).isNotNull())
               .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")))
-    w_run = Window.partitionBy(*groups).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy(*groups)
-    hist = hist.select(*groups, F.col(value).cast("double").alias("_v"),
-                       F.sum("_n").over(w_run).alias("_end"),   # 0-based positions < _end
-                       F.sum("_n").over(w_all).alias("_total"))
+    totals = hist.groupBy(*groups).agg(F.sum("_n").alias("_total"))
+    hist = sequence.prefix_sum(hist, groups, [value], "_n", "_before", bucket=bucket)
+    hist = hist.join(totals, groups).select(
+        *groups, F.col(value).cast("double").alias("_v"),
+        (F.col("_before") + F.col("_n")).alias("_end"),       # 0-based positions < _end
+        "_total")
     aggs = []
     for name, p in probs.items():
         pos = F.lit(float(p)) * (F.col("_total") - 1)

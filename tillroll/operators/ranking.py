@@ -17,9 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import sequence
+
 
 def _cols(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -37,16 +39,19 @@ def rows_at_extreme(df: DataFrame, keys: str | Sequence[str], order_col: str,
 
 
 def rank_within(df: DataFrame, keys: str | Sequence[str], order_col: str,
-                out: str = "rank", descending: bool = False) -> DataFrame:
+                out: str = "rank", descending: bool = False, bucket=None) -> DataFrame:
     """``rank() over (partition by keys order by order_col)`` as column ``out``
-    (long), NULL ``order_col`` sorting first as in ascending SQL order."""
+    (long), NULL ``order_col`` sorting first as in ascending SQL order.
+
+    Rank = 1 + rows with a smaller value: counts per distinct value, then a
+    prefix sum over a key's distinct values.  ``bucket`` (coarsenings of the
+    value, e.g. the day of a timestamp) splits that prefix sum into levels for
+    keys with very many distinct values."""
     keys = _cols(keys)
     counts = df.groupBy(*keys, order_col).agg(F.count(F.lit(1)).alias("_n"))
-    o = F.col(order_col)
-    order = o.desc_nulls_last() if descending else o.asc_nulls_first()
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select(*keys, order_col,
-                          (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).alias(out))
+    ranks = sequence.prefix_sum(counts, keys, [order_col], "_n", "_before", bucket=bucket,
+                                descending=descending)
+    ranks = ranks.select(*keys, order_col, (F.col("_before") + 1).alias(out))
     # null-safe join on the order value (NULL dates still get a rank)
     cond = [df[k].eqNullSafe(ranks[k]) for k in keys + [order_col]]
     return df.join(ranks, cond).select(df["*"], ranks[out])
