@@ -186,12 +186,18 @@ def before_after_change_12w(clean_weekly_sales, baseline=BASELINE):
 BASELINE_WEEK = BASELINE.isocalendar()[1]
 
 
-@query("before_after_by_year", with_views(f"""with a as (
+def _by_year_sql(weeks: int) -> str:
+    return with_views(f"""with a as (
     select calendar_year,
-           sum(case when week_number between {BASELINE_WEEK - 12} and {BASELINE_WEEK - 1} then sales end) before_sales,
-           sum(case when week_number between {BASELINE_WEEK} and {BASELINE_WEEK + 11} then sales end) after_sales
+           sum(case when week_number between {BASELINE_WEEK - weeks} and {BASELINE_WEEK - 1} then sales end)
+               before_sales,
+           sum(case when week_number between {BASELINE_WEEK} and {BASELINE_WEEK + weeks - 1} then sales end)
+               after_sales
     from clean_weekly_sales group by calendar_year)
-    select calendar_year, {_before_after_cols_sql()} from a""", "clean_weekly_sales"))
+    select calendar_year, {_before_after_cols_sql()} from a""", "clean_weekly_sales")
+
+
+@query("before_after_by_year", _by_year_sql(12))
 def before_after_by_year(clean_weekly_sales, baseline=BASELINE, weeks=12):
     """The ``weeks`` weeks before vs after the baseline's week number, in every year."""
     bw = baseline.isocalendar()[1]
@@ -201,6 +207,12 @@ def before_after_by_year(clean_weekly_sales, baseline=BASELINE, weeks=12):
     return shares.before_after(clean_weekly_sales, ["calendar_year"], before, after, "sales")
 
 
+@query("before_after_by_year_4w", _by_year_sql(4))
+def before_after_by_year_4w(clean_weekly_sales, baseline=BASELINE):
+    """The 4 weeks before vs after the baseline's week number, in every year."""
+    return before_after_by_year(clean_weekly_sales, baseline, weeks=4)
+
+
 def _dimension_sql() -> str:
     before, after = _window_sql(12)
     arms = " union all ".join(
