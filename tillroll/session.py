@@ -26,8 +26,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # target size of a post-shuffle partition after AQE coalescing/splitting
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.session.timeZone": "UTC",
 }
+# Only for sessions built here: results do not depend on the session time
+# zone (all timestamps are zone-less), so an existing session keeps its own.
+OWN_SESSION_CONF = {"spark.sql.session.timeZone": "UTC"}
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -39,7 +41,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                    .config("spark.ui.enabled", "false")
                    .config("spark.ui.showConsoleProgress", "false")
                    .config("spark.driver.memory", os.environ.get("TILLROLL_DRIVER_MEMORY", "16g")))
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**RUNTIME_CONF, **OWN_SESSION_CONF}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
