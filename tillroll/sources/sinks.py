@@ -24,6 +24,8 @@ from ..session import checkpoint_dir
 
 # Session conf switch: "false" computes every binding on the fly instead.
 MATERIALISE_CONF = "tillroll.materialise"
+# Session conf: sub-folder of the shared tables (e.g. one per benchmark run).
+NAMESPACE_CONF = "tillroll.tables.namespace"
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
@@ -64,7 +66,8 @@ def materialised(spark: SparkSession, name: str, sources: Sequence[str],
         base = checkpoint_dir(spark, required=False)
         if base is None:
             return build()
-        target = f"{base.rstrip('/')}/tillroll-tables/{name}-{_fingerprint(spark, sources)}"
+        space = spark.conf.get(NAMESPACE_CONF, "shared")
+        target = f"{base.rstrip('/')}/tillroll-tables/{space}/{name}-{_fingerprint(spark, sources)}"
         fs, tp = hadoop_path(spark, target)
     except Exception:  # no JVM context here (e.g. a remote session): compute instead
         return build()
