@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sem
@@ -23,7 +24,7 @@ DIMENSIONS = ("region", "platform", "age_band", "demographic", "customer_type")
            age_band, demographic, customer_type, transactions, cast(sales as double) sales,
            {round_ratio_sql('sales', 'transactions', 2, num_scale=2)} avg_transaction
     from clean_weekly_sales""", "clean_weekly_sales"))
-def clean_weekly_sales(weekly_sales):
+def clean_weekly_sales(weekly_sales: DataFrame) -> DataFrame:
     """Clean and enrich the raw weekly rows (one projection, no shuffle)."""
     return clean.clean_weekly_sales(weekly_sales).withColumn("sales", F.col("sales").cast("double"))
 
@@ -31,7 +32,7 @@ def clean_weekly_sales(weekly_sales):
 @query("weekday_of_week_date", with_views("""
     select distinct rpad(strftime(week_date, '%A'), 9, ' ') day_of_week from clean_weekly_sales""",
     "clean_weekly_sales"))
-def weekday_of_week_date(clean_weekly_sales):
+def weekday_of_week_date(clean_weekly_sales: DataFrame) -> DataFrame:
     return clean_weekly_sales.select(sem.weekday_name("week_date").alias("day_of_week")).distinct()
 
 
@@ -39,14 +40,14 @@ def weekday_of_week_date(clean_weekly_sales):
     select range week_number from range({WEEK_RANGE[0]}, {WEEK_RANGE[1] + 1}) a
     where not exists (select 1 from clean_weekly_sales d where d.week_number = a.range)""",
     "clean_weekly_sales"))
-def missing_week_numbers(spark, clean_weekly_sales):
+def missing_week_numbers(spark: SparkSession, clean_weekly_sales: DataFrame) -> DataFrame:
     return spine.missing_in_range(spark, clean_weekly_sales, "week_number", *WEEK_RANGE)
 
 
 @query("transactions_per_year", with_views("""
     select calendar_year, cast(sum(transactions) as bigint) total_transactions
     from clean_weekly_sales group by calendar_year order by calendar_year""", "clean_weekly_sales"))
-def transactions_per_year(clean_weekly_sales):
+def transactions_per_year(clean_weekly_sales: DataFrame) -> DataFrame:
     return (clean_weekly_sales.groupBy("calendar_year")
             .agg(F.sum("transactions").alias("total_transactions")).orderBy("calendar_year"))
 
@@ -55,7 +56,7 @@ def transactions_per_year(clean_weekly_sales):
     select region, month_number, cast(sum(sales) as double) total_sales
     from clean_weekly_sales group by region, month_number order by region, month_number""",
     "clean_weekly_sales"))
-def sales_per_region_month(clean_weekly_sales):
+def sales_per_region_month(clean_weekly_sales: DataFrame) -> DataFrame:
     return (clean_weekly_sales.groupBy("region", "month_number")
             .agg(F.sum("sales").cast("double").alias("total_sales")).orderBy("region", "month_number"))
 
@@ -63,7 +64,7 @@ def sales_per_region_month(clean_weekly_sales):
 @query("transaction_rows_per_platform", with_views("""
     select platform, count(transactions) transaction_rows
     from clean_weekly_sales group by platform order by platform""", "clean_weekly_sales"))
-def transaction_rows_per_platform(clean_weekly_sales):
+def transaction_rows_per_platform(clean_weekly_sales: DataFrame) -> DataFrame:
     return (clean_weekly_sales.groupBy("platform")
             .agg(F.count("transactions").alias("transaction_rows")).orderBy("platform"))
 
@@ -83,14 +84,14 @@ DEMOGRAPHICS = {"couples_percentage": "Couples", "families_percentage": "Familie
 
 @query("platform_share_per_month", with_views(_share_sql("month_number", "platform", PLATFORMS),
                                               "clean_weekly_sales"))
-def platform_share_per_month(clean_weekly_sales):
+def platform_share_per_month(clean_weekly_sales: DataFrame) -> DataFrame:
     return shares.pivot_shares(clean_weekly_sales, ["month_number"], "platform", "sales",
                                PLATFORMS).orderBy("month_number")
 
 
 @query("demographic_share_per_year", with_views(_share_sql("calendar_year", "demographic", DEMOGRAPHICS),
                                                 "clean_weekly_sales"))
-def demographic_share_per_year(clean_weekly_sales):
+def demographic_share_per_year(clean_weekly_sales: DataFrame) -> DataFrame:
     return shares.pivot_shares(clean_weekly_sales, ["calendar_year"], "demographic", "sales",
                                DEMOGRAPHICS).orderBy("calendar_year")
 
@@ -108,17 +109,17 @@ def _retail_by_sql(dims: str) -> str:
 
 
 @query("retail_sales_by_age_band", _retail_by_sql("age_band"))
-def retail_sales_by_age_band(clean_weekly_sales):
+def retail_sales_by_age_band(clean_weekly_sales: DataFrame) -> DataFrame:
     return _retail_by(clean_weekly_sales, "age_band")
 
 
 @query("retail_sales_by_demographic", _retail_by_sql("demographic"))
-def retail_sales_by_demographic(clean_weekly_sales):
+def retail_sales_by_demographic(clean_weekly_sales: DataFrame) -> DataFrame:
     return _retail_by(clean_weekly_sales, "demographic")
 
 
 @query("retail_sales_by_both", _retail_by_sql("age_band, demographic"))
-def retail_sales_by_both(clean_weekly_sales):
+def retail_sales_by_both(clean_weekly_sales: DataFrame) -> DataFrame:
     return _retail_by(clean_weekly_sales, "age_band", "demographic")
 
 
@@ -131,7 +132,7 @@ AVG_TXN = {"retail_average_transactions": "Retail", "shopify_average_transaction
                         f"sum(case when platform = '{v}' then transactions end)", 0, 2) + " " + n
         for n, v in AVG_TXN.items())}
     from clean_weekly_sales group by calendar_year order by calendar_year""", "clean_weekly_sales"))
-def ratio_of_sums_per_year(clean_weekly_sales):
+def ratio_of_sums_per_year(clean_weekly_sales: DataFrame) -> DataFrame:
     return shares.ratio_of_sums(clean_weekly_sales, ["calendar_year"], "platform", AVG_TXN,
                                 "sales", "transactions", 0).orderBy("calendar_year")
 
@@ -172,13 +173,13 @@ def _before_after(clean_weekly_sales, weeks, baseline):
 
 
 @query("before_after_change", _before_after_sql(4))
-def before_after_change(clean_weekly_sales, baseline=BASELINE, weeks=4):
+def before_after_change(clean_weekly_sales: DataFrame, baseline=BASELINE, weeks=4) -> DataFrame:
     """Sales in the ``weeks`` weeks before vs from the baseline week on."""
     return _before_after(clean_weekly_sales, weeks, baseline)
 
 
 @query("before_after_change_12w", _before_after_sql(12))
-def before_after_change_12w(clean_weekly_sales, baseline=BASELINE):
+def before_after_change_12w(clean_weekly_sales: DataFrame, baseline=BASELINE) -> DataFrame:
     """Same comparison over 12 weeks each side."""
     return _before_after(clean_weekly_sales, 12, baseline)
 
@@ -198,7 +199,7 @@ def _by_year_sql(weeks: int) -> str:
 
 
 @query("before_after_by_year", _by_year_sql(12))
-def before_after_by_year(clean_weekly_sales, baseline=BASELINE, weeks=12):
+def before_after_by_year(clean_weekly_sales: DataFrame, baseline=BASELINE, weeks=12) -> DataFrame:
     """The ``weeks`` weeks before vs after the baseline's week number, in every year."""
     bw = baseline.isocalendar()[1]
     w = F.col("week_number")
@@ -208,7 +209,7 @@ def before_after_by_year(clean_weekly_sales, baseline=BASELINE, weeks=12):
 
 
 @query("before_after_by_year_4w", _by_year_sql(4))
-def before_after_by_year_4w(clean_weekly_sales, baseline=BASELINE):
+def before_after_by_year_4w(clean_weekly_sales: DataFrame, baseline=BASELINE) -> DataFrame:
     """The 4 weeks before vs after the baseline's week number, in every year."""
     return before_after_by_year(clean_weekly_sales, baseline, weeks=4)
 
@@ -226,7 +227,10 @@ def _dimension_sql() -> str:
 
 
 @query("before_after_by_dimension", _dimension_sql())
-def before_after_by_dimension(clean_weekly_sales, baseline=BASELINE, weeks=12, dimensions=DIMENSIONS):
+def before_after_by_dimension(clean_weekly_sales: DataFrame,
+                              baseline=BASELINE,
+                              weeks=12,
+                              dimensions=DIMENSIONS) -> DataFrame:
     """12 weeks before vs after the baseline, per value of every business
     dimension, worst change first.  One pass: each row is fanned out to
     (dimension, value) pairs and aggregated once."""
