@@ -189,3 +189,15 @@ def test_bucketed_rank_and_percentile_equal_plain(spark):
     a = rows(quantiles.percentile_cont(df, ["k"], "x", probs))
     b = rows(quantiles.percentile_cont(df, ["k"], "x", probs, bucket=F.floor(F.col("x") / 64)))
     assert a == b
+
+
+def test_item_ingredients_generic_path_matches_expanded(spark, monkeypatch):
+    rnd = random.Random(4)
+    def lst():
+        k = rnd.randrange(4)
+        return "none" if k == 0 else ", ".join(str(rnd.randrange(1, 13)) for _ in range(k))
+    items = _items(spark, [(i // 3, i, rnd.choice([1, 2]), lst(), lst()) for i in range(200)])
+    args = (items, ["item_id"], dims.pizza_recipes(spark), dims.pizza_names(spark), dims.PIZZA_TOPPINGS)
+    expanded = rows(lists.item_ingredients(*args))
+    monkeypatch.setattr(lists, "STATIC_EXPANSION_MAX", 0)
+    assert rows(lists.item_ingredients(*args)) == expanded

@@ -88,31 +88,37 @@ def item_ingredients(items: DataFrame, item_keys: Sequence[str], recipes: DataFr
     m = name_lookup(names)
     rec = recipes.select("pizza_id", F.array_distinct(ids("toppings")).alias("_base"))
     j = items.join(rec, "pizza_id").join(kind_name, "pizza_id")
-    # the multiset of ids is its own projection: the per-element expressions
-    # below read this column instead of re-parsing the text each time
-    j = j.select(*keys, "pizza_name",
-                 F.concat(F.array_except(F.col("_base"), ids("exclusions")), ids("extras")).alias("_all"))
-    all_ids = F.col("_all")
+    # remaining recipe ids (a set) and extra ids (a multiset) as their own
+    # projection: the per-element expressions below read these columns
+    # instead of re-parsing the text each time
+    j = j.select(*keys, "pizza_name", F.array_except(F.col("_base"), ids("exclusions")).alias("_rem"),
+                 ids("extras").alias("_ey"))
+    rem, ey = F.col("_rem"), F.col("_ey")
     known = F.array(*[F.lit(i) for i, _ in names])
-    # keep items with at least one named ingredient (reads only the id array)
-    j = j.filter(F.size(F.array_intersect(all_ids, known)) > 0)
+    # keep items with at least one named ingredient (reads only the id arrays)
+    j = j.filter((F.size(F.array_intersect(rem, known)) > 0) | (F.size(F.array_intersect(ey, known)) > 0))
+
+    def count(x):
+        # occurrences of x: once if it survived in the recipe, plus its extras
+        return F.array_contains(rem, x).cast("int") + F.size(ey) - F.size(F.array_remove(ey, x))
     if len(names) <= STATIC_EXPANSION_MAX:
         # the dimension is fixed: one codegen'd count per element, emitted in
         # name order, so neither sorting nor lambdas run per row
         parts = []
         for i, name in sorted(names, key=lambda r: (r[1], r[0])):
-            n = F.size(all_ids) - F.size(F.array_remove(all_ids, F.lit(i)))
+            n = count(F.lit(i))
             parts.append(F.when(n > 1, F.concat(n.cast("string"), F.lit(f"x {name}")))
                           .when(n == 1, F.lit(name)))
         body = F.concat_ws(", ", *parts)
     else:
         def entry(x):
             name = F.try_element_at(m, x)
-            n = F.size(all_ids) - F.size(F.array_remove(all_ids, x))   # occurrences of x
+            n = count(x)
             return F.struct(name.alias("k"),
                             F.when(n > 1, F.concat(n.cast("string"), F.lit("x "), name)).otherwise(name)
                             .alias("name"))
-        entries = F.filter(F.transform(F.array_distinct(all_ids), entry), lambda e: e["k"].isNotNull())
+        distinct_ids = F.array_distinct(F.concat(rem, ey))
+        entries = F.filter(F.transform(distinct_ids, entry), lambda e: e["k"].isNotNull())
         body = F.array_join(F.transform(F.sort_array(entries), lambda e: e["name"]), ", ")
     return j.select(*keys, F.concat(F.col("pizza_name"), F.lit(": "), body).alias("ingredients_list"))
 
