@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sequence
@@ -32,9 +32,16 @@ def percentile_cont(df: DataFrame, groups: Sequence[str], value: str,
     groups = list(groups)
     hist = (df.filter(F.col(value).isNotNull())
               .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")))
-    totals = hist.groupBy(*groups).agg(F.sum("_n").alias("_total"))
-    hist = sequence.prefix_sum(hist, groups, [value], "_n", "_before", bucket=bucket)
-    hist = hist.join(totals, groups).select(
+    ranked = sequence.prefix_sum(hist, groups, [value], "_n", "_before", bucket=bucket)
+    if bucket is None:
+        # same partitioning as the prefix sum's window: no second branch
+        ranked = ranked.withColumn("_total", F.sum("_n").over(Window.partitionBy(*groups)))
+    else:
+        # with buckets a group-wide window is what the buckets avoid: join the
+        # (small) per-group totals instead
+        totals = hist.groupBy(*groups).agg(F.sum("_n").alias("_total"))
+        ranked = ranked.join(totals, groups)
+    hist = ranked.select(
         *groups, F.col(value).cast("double").alias("_v"),
         (F.col("_before") + F.col("_n")).alias("_end"),       # 0-based positions < _end
         "_total")
