@@ -5,6 +5,12 @@ A spine is key x period built with ``explode(sequence(...))`` on the distinct
 keys -- a generator, not a join -- so it is produced where the keys are and
 grows linearly with them.  The running window then runs over one key's
 *periods* (a handful of rows), never over its raw events.
+
+For a short fixed calendar the spine needs no join or window at all:
+``month_columns`` sums every month of the calendar as its own column in one
+grouped pass (every key gets a row, NULL for months without events), and
+``running_rows`` turns those columns into spine rows with the running total
+computed as column arithmetic.
 """
 
 from __future__ import annotations
@@ -44,3 +50,42 @@ def missing_in_range(spark: SparkSession, present: DataFrame, column: str, lo: i
     """Integers ``lo..hi`` that do not occur in ``present[column]``."""
     seen = present.select(F.col(column).cast("long").alias("id")).distinct()
     return spark.range(lo, hi + 1).join(seen, "id", "left_anti").select(F.col("id").alias(column))
+
+
+def _add_months(d: dt.date, k: int) -> dt.date:
+    y, m = divmod(d.month - 1 + k, 12)
+    return dt.date(d.year + y, m + 1, 1)
+
+
+def calendar(first_month: dt.date, months: int) -> list[dt.date]:
+    """First days of ``months`` consecutive months from ``first_month``."""
+    start = first_month.replace(day=1)
+    return [_add_months(start, k) for k in range(months)]
+
+
+def month_columns(df: DataFrame, key: str, date_col: str, value, first_month: dt.date,
+                  months: int, prefix: str = "_m") -> DataFrame:
+    """One row per key with ``<prefix>0 .. <prefix>{months-1}``: the sum of
+    ``value`` over the key's rows in each calendar month (NULL when none).
+    Every key present in ``df`` gets a row; one grouped pass (partial
+    aggregation before the shuffle)."""
+    m = F.trunc(F.to_date(F.col(date_col)), "month")
+    v = F.col(value) if isinstance(value, str) else value
+    return df.groupBy(key).agg(*[F.sum(F.when(m == F.lit(d), v)).alias(f"{prefix}{i}")
+                                 for i, d in enumerate(calendar(first_month, months))])
+
+
+def running_rows(per_key: DataFrame, key: str, first_month: dt.date, months: int, prefix: str = "_m",
+                 month: str = "month", amount: str = "amount", running: str = "running") -> DataFrame:
+    """Spine rows (key, month, amount, running) from ``month_columns``:
+    ``amount`` is the month's sum with 0 for none, ``running`` the sum of the
+    months up to it, NULL until the key's first month with rows."""
+    cols = [F.col(f"{prefix}{i}") for i in range(months)]
+    entries = []
+    for i, d in enumerate(calendar(first_month, months)):
+        upto = cols[: i + 1]
+        total = sum((F.coalesce(c, F.lit(0)) for c in upto[1:]), F.coalesce(upto[0], F.lit(0)))
+        run = F.when(F.coalesce(*upto).isNull(), F.lit(None)).otherwise(total)
+        entries.append(F.struct(F.lit(d).alias(month), F.coalesce(cols[i], F.lit(0)).alias(amount),
+                                run.alias(running)))
+    return per_key.select(key, F.inline(F.array(*entries)))
