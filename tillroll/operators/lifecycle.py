@@ -54,6 +54,14 @@ def first_time_in_state(df: DataFrame, key: str, state: str, time_col: str,
               .agg(F.min(time_col).alias(time_col)))
 
 
+def first_times(df: DataFrame, key: str, state: str, time_col: str, states: dict) -> DataFrame:
+    """Per key, the first ``time_col`` in each of several states, side by
+    side (``out_name -> state value``; NULL when never in it): one grouped
+    pass instead of one aggregate and one join per state."""
+    return df.filter(F.col(state).isin(*states.values())).groupBy(key).agg(
+        *[F.min(F.when(F.col(state) == v, F.col(time_col))).alias(name) for name, v in states.items()])
+
+
 def period_label(period: Column, width: int, unit: str = "days") -> Column:
     """``'<p*w> - <p*w+w> <unit>'`` for an integral bucket number ``p``."""
     start = (period * width).cast("long")
