@@ -6,8 +6,9 @@ Per-item set algebra, counting and naming run inside the row with array
 functions (``array_except``, ``concat``, ``transform``) and a map lookup in
 the fixed element dimension, so per-item results need no explode, join or
 shuffle.
-Global totals are one pass: tokens per item, partially aggregated per task
-before the (tiny) shuffle.
+Global totals are aggregated per *pizza type* before meeting the recipe
+dimension, so the recipe expansion costs (types x toppings) rows, not
+(items x toppings).
 """
 
 from __future__ import annotations
@@ -127,17 +128,20 @@ def ingredient_totals(items: DataFrame, recipes: DataFrame, names: DataFrame,
     """Global multiset over all items: extras ⊎ (recipe ids ∖all excluded ids)
     -- ``EXCEPT ALL`` subtracts counts, floored at zero -- counted per name.
 
-    One pass over the items: each item (with a recipe) emits a token per
-    recipe id, excluded id and extra id; one partial aggregate counts tokens
-    per (id, kind), so every task sends at most (ids x 3) rows to the shuffle."""
-    rec = recipes.select("pizza_id", ids("toppings").alias("_base"))
-    tagged = F.concat(
-        F.transform(F.col("_base"), lambda x: F.struct(x.alias("id"), F.lit(0).alias("kind"))),
-        F.transform(ids("exclusions"), lambda x: F.struct(x.alias("id"), F.lit(1).alias("kind"))),
-        F.transform(ids("extras"), lambda x: F.struct(x.alias("id"), F.lit(2).alias("kind"))))
-    tokens = items.join(rec, "pizza_id").select(F.inline(tagged))
-    t = tokens.groupBy("id").agg(*[F.count_if(F.col("kind") == k).alias(c)
-                                  for k, c in ((0, "_base"), (1, "_exclusions"), (2, "_extras"))])
+    Items are counted per pizza type before meeting the recipe ids (types x
+    toppings rows, not items x toppings), exclusions and extras per id; each
+    of the three reads only the columns it needs, and each is a partial
+    aggregate before a tiny shuffle."""
+    with_recipe = items.join(recipes.select("pizza_id"), "pizza_id", "left_semi")
+    per_type = with_recipe.groupBy("pizza_id").agg(F.count(F.lit(1)).alias("_items"))
+    rec = recipes.select("pizza_id", F.explode(ids("toppings")).alias("id"))
+    base = per_type.join(rec, "pizza_id").groupBy("id").agg(F.sum("_items").alias("_base"))
+
+    def tally(c):
+        return (with_recipe.filter(F.col(c) != EMPTY).select(F.explode(ids(c)).alias("id"))
+                .groupBy("id").agg(F.count(F.lit(1)).alias(f"_{c}")))
+    t = (base.join(tally("exclusions"), "id", "full").join(tally("extras"), "id", "full")
+         .na.fill(0, ["_base", "_exclusions", "_extras"]))
     t = t.select("id", (F.greatest(F.col("_base") - F.col("_exclusions"), F.lit(0)) + F.col("_extras"))
                  .alias("_n"))
     return (t.join(names.withColumnRenamed(id_col, "id"), "id").groupBy(name_col)
