@@ -98,6 +98,9 @@ def test_rank_within_and_extremes(spark):
     assert first == [("A", "x"), ("A", "y"), ("B", "x")]
     last = rows(ranking.rows_at_extreme(df, "c", "d", largest=True), "c", "p")
     assert last == [("A", "w"), ("B", "x")]
+    only_nulls = spark.createDataFrame([("Z", None, "a"), ("Z", None, "b")], "c string, d date, p string")
+    assert rows(ranking.rows_at_extreme(only_nulls, "c", "d"), "c", "p") == [("Z", "a"), ("Z", "b")]
+    assert rows(ranking.rows_at_extreme(df, "c", "d"), "c", "p") == [("A", "x"), ("A", "y"), ("B", "x")]
 
 
 def test_nth_in_group_and_after_first(spark):

@@ -31,11 +31,15 @@ def rows_at_extreme(df: DataFrame, keys: str | Sequence[str], order_col: str,
                     largest: bool = False) -> DataFrame:
     """Rows whose ``order_col`` equals the min (max if ``largest``) of their key
     group -- ``rank() over (partition by keys order by order_col) = 1`` with
-    ties kept and duplicates preserved."""
+    ties kept and duplicates preserved.  NULL values rank last in both
+    directions (a key with only NULLs returns all its rows)."""
     keys = _cols(keys)
     agg = F.max(order_col) if largest else F.min(order_col)
-    best = df.groupBy(*keys).agg(agg.alias(order_col))
-    return df.join(best, keys + [order_col], "left_semi").select(*df.columns)
+    best = df.groupBy(*keys).agg(agg.alias("_best"))
+    # null-safe on the value: a key whose values are all NULL keeps those
+    # rows (they tie for the first rank), otherwise NULLs never match
+    cond = [df[k] == best[k] for k in keys] + [df[order_col].eqNullSafe(best["_best"])]
+    return df.join(best, cond, "left_semi").select(*df.columns)
 
 
 def rank_within(df: DataFrame, keys: str | Sequence[str], order_col: str,
