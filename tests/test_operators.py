@@ -93,7 +93,9 @@ def test_rank_within_and_extremes(spark):
             ("A", dt.date(2021, 1, 7), "w"), ("B", dt.date(2021, 1, 2), "x"), ("B", None, "n")]
     df = spark.createDataFrame(data, "c string, d date, p string")
     ranked = {(r.c, r.p): r.rk for r in ranking.rank_within(df, "c", "d", out="rk").collect()}
-    assert ranked == {("A", "x"): 1, ("A", "y"): 1, ("A", "z"): 3, ("A", "w"): 4, ("B", "n"): 1, ("B", "x"): 2}
+    assert ranked == {("A", "x"): 1, ("A", "y"): 1, ("A", "z"): 3, ("A", "w"): 4, ("B", "x"): 1, ("B", "n"): 2}
+    desc = {(r.c, r.p): r.rk for r in ranking.rank_within(df, "c", "d", out="rk", descending=True).collect()}
+    assert desc[("B", "n")] == 1 and desc[("B", "x")] == 2 and desc[("A", "w")] == 1
     first = rows(ranking.rows_at_extreme(df.filter("d is not null"), "c", "d"), "c", "p")
     assert first == [("A", "x"), ("A", "y"), ("B", "x")]
     last = rows(ranking.rows_at_extreme(df, "c", "d", largest=True), "c", "p")

@@ -45,7 +45,8 @@ def rows_at_extreme(df: DataFrame, keys: str | Sequence[str], order_col: str,
 def rank_within(df: DataFrame, keys: str | Sequence[str], order_col: str,
                 out: str = "rank", descending: bool = False, bucket=None) -> DataFrame:
     """``rank() over (partition by keys order by order_col)`` as column ``out``
-    (long), NULL ``order_col`` sorting first as in ascending SQL order.
+    (long); NULL ``order_col`` values sort last ascending and first
+    descending, as in SQL.
 
     Rank = 1 + rows with a smaller value: counts per distinct value, then a
     prefix sum over a key's distinct values.  ``bucket`` (coarsenings of the

@@ -86,6 +86,11 @@ def _previous(el: DataFrame, key: str, order: list[str], levels: list[str], lv:
     return el.drop("_lfirst", "_lprev", "_pprev")
 
 
+def _sql_order(c: str, descending: bool) -> Column:
+    """SQL's default NULL placement: last when ascending, first when descending."""
+    return F.col(c).desc_nulls_first() if descending else F.col(c).asc_nulls_last()
+
+
 def _prefix(el: DataFrame, keys: list[str], order: list[Column], level_cols: list[str],
             weight: str, out: str, descending: bool) -> DataFrame:
     if not level_cols:
@@ -97,7 +102,7 @@ def _prefix(el: DataFrame, keys: list[str], order: list[Column], level_cols: lis
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(_BEFORE, -1)
     el = el.withColumn(lacc, F.coalesce(F.sum(weight).over(w), F.lit(0)))
     summary = el.groupBy(*part).agg(F.sum(weight).alias(sw))
-    up = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in level_cols]
+    up = [_sql_order(c, descending) for c in level_cols]
     summary = _prefix(summary, keys, up, level_cols[:-1], sw, pacc, descending).select(*part, pacc)
     return el.join(summary, part).withColumn(out, F.col(pacc) + F.col(lacc)).drop(lacc, pacc)
 
@@ -105,12 +110,13 @@ def _prefix(el: DataFrame, keys: list[str], order: list[Column], level_cols: lis
 def prefix_sum(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str], weight: str, out: str,
                bucket: Column | Sequence[Column] | None = None, descending: bool = False) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over the rows before each row in its
-    key (by ``order_cols``; exclusive, 0 for the first).  With ``bucket`` (one
+    key (by ``order_cols``, NULLs last ascending / first descending as in
+    SQL; exclusive, 0 for the first).  With ``bucket`` (one
     coarsening of the order or a coarse-to-fine list, monotone in the same
     direction) the sum is assembled level by level, so no window holds more
     than the sub-buckets of one parent bucket."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    order = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order_cols]
+    order = [_sql_order(c, descending) for c in order_cols]
     if bucket is None:
         return _prefix(df, keys, order, [], weight, out, descending)
     b, levels = _with_levels(df, bucket)
