@@ -17,7 +17,10 @@ from . import sequence
 
 
 def _order(order_cols: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order_cols])
+    """A comparable struct for the order ``order_cols`` with SQL's ascending
+    NULL placement (NULLs last): each column is preceded by its NULL flag."""
+    return F.struct(*[x for i, c in enumerate(order_cols)
+                      for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
 
 
 def snapshot_as_of(df: DataFrame, key: str, order_cols: Sequence[str], time_col: str,

@@ -67,7 +67,9 @@ def nth_in_group(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[
     """The n-th row per key under a total order (``row_number() = n``); keys
     with fewer than ``n`` rows are absent.  ``n`` rounds of min + anti-join."""
     keys = _cols(keys)
-    order = F.struct(*[F.col(c) for c in order_cols])
+    # NULL flags first in the struct: NULLs sort last, as in SQL ascending order
+    order = F.struct(*[x for i, c in enumerate(order_cols)
+                       for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
     rest = df.withColumn("_o", order)
     for _ in range(n - 1):
         lows = rest.groupBy(*keys).agg(F.min("_o").alias("_o"))
