@@ -206,3 +206,10 @@ def test_item_ingredients_generic_path_matches_expanded(spark, monkeypatch):
     expanded = rows(lists.item_ingredients(*args))
     monkeypatch.setattr(lists, "STATIC_EXPANSION_MAX", 0)
     assert rows(lists.item_ingredients(*args)) == expanded
+
+
+def test_struct_orders_put_nulls_last(spark):
+    df = spark.createDataFrame([(1, None, 0), (1, 5, 1), (1, 7, 2)], "k int, t int, id int")
+    assert rows(ranking.nth_in_group(df, "k", ["t", "id"], 2), "id") == [(2,)]
+    assert rows(ranking.nth_in_group(df, "k", ["t", "id"], 3), "id") == [(0,)]
+    assert rows(lifecycle.after_first(df, "k", ["t", "id"]), "id") == [(0,), (2,)]
