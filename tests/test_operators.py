@@ -213,3 +213,24 @@ def test_struct_orders_put_nulls_last(spark):
     assert rows(ranking.nth_in_group(df, "k", ["t", "id"], 2), "id") == [(2,)]
     assert rows(ranking.nth_in_group(df, "k", ["t", "id"], 3), "id") == [(0,)]
     assert rows(lifecycle.after_first(df, "k", ["t", "id"]), "id") == [(0,), (2,)]
+
+
+def test_sequence_null_order_values_come_last(spark):
+    data = [(1, None, 10, "A"), (1, dt.date(2024, 1, 1), 1, "A"), (1, dt.date(2024, 1, 1), 2, "B"),
+            (1, dt.date(2024, 1, 2), 3, "B")]
+    df = spark.createDataFrame(data, "k long, d date, seq long, v string")
+    # order: (01-01,1,A) (01-01,2,B) (01-02,3,B) (NULL,10,A) -> runs 1, 2, 2, 3
+    for bucket in (F.col("d"), [F.trunc("d", "month"), F.col("d")]):
+        got = dict(rows(sequence.islands(df, "k", ["d", "seq"], bucket, "v", out="run"), "seq", "run"))
+        assert got == {1: 1, 2: 2, 3: 2, 10: 3}
+        prev = dict(rows(sequence.previous_value(df, "k", ["d", "seq"], bucket, "v", "p"), "seq", "p"))
+        assert prev == {1: None, 2: "A", 3: "B", 10: "B"}
+
+
+def test_null_keys_form_their_own_group(spark):
+    df = spark.createDataFrame([(None, 1, 0), (None, 2, 1), (None, 3, 2), (1, 1, 3)], "k int, t int, id int")
+    assert rows(ranking.rows_at_extreme(df, "k", "t"), "id") == [(0,), (3,)]
+    assert rows(ranking.nth_in_group(df, "k", ["t", "id"], 2), "id") == [(1,)]
+    assert rows(lifecycle.after_first(df, "k", ["t", "id"]), "id") == [(1,), (2,)]
+    seq = spark.createDataFrame([(None, 1, "A"), (None, 2, "B")], "k int, s long, v string")
+    assert rows(sequence.islands(seq, "k", ["s"], F.col("s"), "v", out="r"), "s", "r") == [(1, 1), (2, 2)]

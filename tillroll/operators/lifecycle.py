@@ -38,8 +38,9 @@ def snapshot_as_of(df: DataFrame, key: str, order_cols: Sequence[str], time_col:
 def after_first(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:
     """Rows that have a predecessor in their key (``lag(...) is not null``):
     every row except the first one of each key."""
-    first = df.groupBy(key).agg(F.min(_order(order_cols)).alias("_first"))
-    return (df.join(first, key).filter(_order(order_cols) > F.col("_first")).drop("_first"))
+    first = df.groupBy(F.col(key).alias("_k")).agg(F.min(_order(order_cols)).alias("_first"))
+    return (df.join(first, df[key].eqNullSafe(first["_k"]))          # a NULL key is a group too
+              .filter(_order(order_cols) > F.col("_first")).drop("_k", "_first"))
 
 
 def with_previous_state(df: DataFrame, key: str, order_cols: Sequence[str], state: str,

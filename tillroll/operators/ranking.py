@@ -38,7 +38,7 @@ def rows_at_extreme(df: DataFrame, keys: str | Sequence[str], order_col: str,
     best = df.groupBy(*keys).agg(agg.alias("_best"))
     # null-safe on the value: a key whose values are all NULL keeps those
     # rows (they tie for the first rank), otherwise NULLs never match
-    cond = [df[k] == best[k] for k in keys] + [df[order_col].eqNullSafe(best["_best"])]
+    cond = [df[k].eqNullSafe(best[k]) for k in keys] + [df[order_col].eqNullSafe(best["_best"])]
     return df.join(best, cond, "left_semi").select(*df.columns)
 
 
@@ -71,11 +71,14 @@ def nth_in_group(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[
     order = F.struct(*[x for i, c in enumerate(order_cols)
                        for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
     rest = df.withColumn("_o", order)
+
+    def lowest(rows, how):
+        lows = rows.groupBy(*keys).agg(F.min("_o").alias("_lo"))
+        cond = [rows[k].eqNullSafe(lows[k]) for k in keys] + [rows["_o"] == lows["_lo"]]
+        return rows.join(lows, cond, how)            # NULL keys are groups too
     for _ in range(n - 1):
-        lows = rest.groupBy(*keys).agg(F.min("_o").alias("_o"))
-        rest = rest.join(lows, keys + ["_o"], "left_anti")
-    lows = rest.groupBy(*keys).agg(F.min("_o").alias("_o"))
-    return rest.join(lows, keys + ["_o"], "left_semi").drop("_o")
+        rest = lowest(rest, "left_anti")
+    return lowest(rest, "left_semi").drop("_o")
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:

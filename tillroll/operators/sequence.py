@@ -31,7 +31,14 @@ _BEFORE = Window.unboundedPreceding
 
 
 def _order(order_cols: Sequence[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_first() for c in order_cols]
+    return [F.col(c).asc_nulls_last() for c in order_cols]
+
+
+def _seq(order_cols: Sequence[str]) -> Column:
+    """The same order as a comparable struct (NULL flag before each value, so
+    NULLs sort last) for min_by / max_by."""
+    return F.struct(*[x for i, c in enumerate(order_cols)
+                      for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
 
 
 def _with_levels(df: DataFrame, bucket: Column | Sequence[Column]) -> tuple[DataFrame, list[str]]:
@@ -40,6 +47,15 @@ def _with_levels(df: DataFrame, bucket: Column | Sequence[Column]) -> tuple[Data
     return df.withColumns(dict(zip(names, buckets))), names
 
 
+def _join_back(el: DataFrame, summary: DataFrame, part: list[str]) -> DataFrame:
+    """Join a per-bucket summary back to its elements on ``part``, NULL-safe:
+    a NULL key or bucket is a group of its own, as in ``PARTITION BY``."""
+    renamed = summary.select(*[F.col(c).alias(f"_j{i}") for i, c in enumerate(part)],
+                             *[c for c in summary.columns if c not in part])
+    cond = [el[c].eqNullSafe(renamed[f"_j{i}"]) for i, c in enumerate(part)]
+    return el.join(renamed, cond).drop(*[f"_j{i}" for i in range(len(part))])
+
+
 def _run_offsets(el: DataFrame, key: str, order: list[str], levels: list[str],
                  fv: str, lv: str, inn: str) -> DataFrame:
     """For ordered elements (first value ``fv``, last value ``lv``, ``inn`` run
@@ -59,12 +75,12 @@ def _run_offsets(el: DataFrame, key: str, order: list[str], levels: list[str],
             .withColumn("_lopens", F.when(F.col("_lfirst"), 0).when(F.lag(lv).over(w) != F.col(fv), 1).otherwise(0))
             .withColumn("_lacc", F.coalesce(
                 F.sum(F.col("_lopens") + F.col(inn)).over(w.rowsBetween(_BEFORE, -1)), F.lit(0))))
-    seq = F.struct(*[F.col(c) for c in order])
+    seq = _seq(order)
     summary = el.groupBy(*part).agg(F.min_by(fv, seq).alias("_sfv"), F.max_by(lv, seq).alias("_slv"),
                                     F.sum(F.col("_lopens") + F.col(inn)).alias("_sinn"))
     summary = _run_offsets(summary, key, levels, levels[:-1], "_sfv", "_slv", "_sinn").select(
         *part, F.col("_opens").alias("_popens"), F.col("_offset").alias("_poffset"))
-    el = el.join(summary, part)
+    el = _join_back(el, summary, part)
     el = (el.withColumn("_opens", F.when(F.col("_lfirst"), F.col("_popens")).otherwise(F.col("_lopens")))
             .withColumn("_offset", F.col("_poffset") + F.col("_lacc")
                         + F.when(F.col("_lfirst"), 0).otherwise(F.col("_popens"))))
@@ -78,10 +94,10 @@ def _previous(el: DataFrame, key: str, order: list[str], levels: list[str], lv:
     part = [key, *levels]
     w = Window.partitionBy(*part).orderBy(*_order(order))
     el = el.withColumn("_lfirst", F.lag(F.lit(1)).over(w).isNull()).withColumn("_lprev", F.lag(lv).over(w))
-    seq = F.struct(*[F.col(c) for c in order])
+    seq = _seq(order)
     summary = el.groupBy(*part).agg(F.max_by(lv, seq).alias("_slv"))
     summary = _previous(summary, key, levels, levels[:-1], "_slv").select(*part, F.col("_prev").alias("_pprev"))
-    el = el.join(summary, part)
+    el = _join_back(el, summary, part)
     el = el.withColumn("_prev", F.when(F.col("_lfirst"), F.col("_pprev")).otherwise(F.col("_lprev")))
     return el.drop("_lfirst", "_lprev", "_pprev")
 
@@ -104,7 +120,7 @@ def _prefix(el: DataFrame, keys: list[str], order: list[Column], level_cols: lis
     summary = el.groupBy(*part).agg(F.sum(weight).alias(sw))
     up = [_sql_order(c, descending) for c in level_cols]
     summary = _prefix(summary, keys, up, level_cols[:-1], sw, pacc, descending).select(*part, pacc)
-    return el.join(summary, part).withColumn(out, F.col(pacc) + F.col(lacc)).drop(lacc, pacc)
+    return _join_back(el, summary, part).withColumn(out, F.col(pacc) + F.col(lacc)).drop(lacc, pacc)
 
 
 def prefix_sum(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str], weight: str, out: str,
