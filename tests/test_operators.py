@@ -234,3 +234,13 @@ def test_null_keys_form_their_own_group(spark):
     assert rows(lifecycle.after_first(df, "k", ["t", "id"]), "id") == [(1,), (2,)]
     seq = spark.createDataFrame([(None, 1, "A"), (None, 2, "B")], "k int, s long, v string")
     assert rows(sequence.islands(seq, "k", ["s"], F.col("s"), "v", out="r"), "s", "r") == [(1, 1), (2, 2)]
+
+
+def test_bucketed_rank_with_nulls_matches_plain(spark):
+    data = [(k, None if i % 7 == 0 else (i * 37) % 101) for k in (None, 1, 2) for i in range(40)]
+    df = spark.createDataFrame(data, "k int, x long")
+    for desc in (False, True):
+        plain = rows(ranking.rank_within(df, "k", "x", out="r", descending=desc), "k", "x", "r")
+        for bucket in (F.floor(F.col("x") / 10), [F.floor(F.col("x") / 50), F.floor(F.col("x") / 10)]):
+            assert rows(ranking.rank_within(df, "k", "x", out="r", descending=desc, bucket=bucket),
+                        "k", "x", "r") == plain, (desc, bucket)

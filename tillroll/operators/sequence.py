@@ -26,6 +26,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BEFORE = Window.unboundedPreceding
 
@@ -41,19 +42,52 @@ def _seq(order_cols: Sequence[str]) -> Column:
                       for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
 
 
+def _zero(dtype) -> Column | None:
+    """A placeholder value of ``dtype`` for NULLs (any value works: the NULL
+    flag next to it keeps NULL apart from it)."""
+    if isinstance(dtype, T.NumericType):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dtype)
+    return None
+
+
+def _non_null(df: DataFrame, col: str, out: str) -> DataFrame:
+    """``out`` = ``struct(is_null, value)``: never NULL, equal for equal values
+    (NULL equals NULL), ordered with NULLs last.  Windows, aggregates and
+    equi-joins on it then keep a NULL key or bucket as a group of its own,
+    and the join back reuses the window's partitioning."""
+    zero = _zero(df.schema[col].dataType)
+    value = F.col(col) if zero is None else F.coalesce(F.col(col), zero)
+    return df.withColumn(out, F.struct(F.col(col).isNull().alias("n"), value.alias("v")))
+
+
 def _with_levels(df: DataFrame, bucket: Column | Sequence[Column]) -> tuple[DataFrame, list[str]]:
     buckets = [bucket] if isinstance(bucket, Column) else list(bucket)
+    raw = [f"_r{i}" for i in range(len(buckets))]
+    df = df.withColumns(dict(zip(raw, buckets)))
     names = [f"_b{i}" for i in range(len(buckets))]
-    return df.withColumns(dict(zip(names, buckets))), names
+    for r, n in zip(raw, names):
+        df = _non_null(df, r, n)
+    return df.drop(*raw), names
+
+
+def _with_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    names = [f"_k{i}" for i in range(len(keys))]
+    for k, n in zip(keys, names):
+        df = _non_null(df, k, n)
+    return df, names
 
 
 def _join_back(el: DataFrame, summary: DataFrame, part: list[str]) -> DataFrame:
-    """Join a per-bucket summary back to its elements on ``part``, NULL-safe:
-    a NULL key or bucket is a group of its own, as in ``PARTITION BY``."""
-    renamed = summary.select(*[F.col(c).alias(f"_j{i}") for i, c in enumerate(part)],
-                             *[c for c in summary.columns if c not in part])
-    cond = [el[c].eqNullSafe(renamed[f"_j{i}"]) for i, c in enumerate(part)]
-    return el.join(renamed, cond).drop(*[f"_j{i}" for i in range(len(part))])
+    """Join a per-bucket summary back to its elements on ``part`` (encoded,
+    never NULL): an equi-join on the columns the elements are already
+    partitioned by."""
+    return el.join(summary, part)
 
 
 def _run_offsets(el: DataFrame, key: str, order: list[str], levels: list[str],
@@ -135,8 +169,11 @@ def prefix_sum(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[st
     order = [_sql_order(c, descending) for c in order_cols]
     if bucket is None:
         return _prefix(df, keys, order, [], weight, out, descending)
+    # encoded buckets (is_null, value): ascending puts NULLs last and
+    # descending puts them first, matching the order of the values
     b, levels = _with_levels(df, bucket)
-    return _prefix(b, keys, order, levels, weight, out, descending).drop(*levels)
+    b, ks = _with_keys(b, keys)
+    return _prefix(b, ks, order, levels, weight, out, descending).drop(*ks, *levels)
 
 
 def previous_value(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column | Sequence[Column],
@@ -148,8 +185,9 @@ def previous_value(df: DataFrame, key: str, order_cols: Sequence[str], bucket: C
     ``[to_date(ts), date_trunc('minute', ts)]`` for ``order_cols=[ts, id]``).
     """
     b, levels = _with_levels(df, bucket)
-    res = _previous(b, key, list(order_cols), levels, value)
-    return res.withColumnRenamed("_prev", out).drop(*levels)
+    b, (k,) = _with_keys(b, [key])
+    res = _previous(b, k, list(order_cols), levels, value)
+    return res.withColumnRenamed("_prev", out).drop(k, *levels)
 
 
 def islands(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column | Sequence[Column],
@@ -163,7 +201,8 @@ def islands(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column |
     ``previous_value``.
     """
     b, levels = _with_levels(df, bucket)
+    b, (k,) = _with_keys(b, [key])
     b = b.withColumns({"_efv": F.col(value), "_elv": F.col(value), "_einn": F.lit(0)})
-    res = _run_offsets(b, key, list(order_cols), levels, "_efv", "_elv", "_einn")
+    res = _run_offsets(b, k, list(order_cols), levels, "_efv", "_elv", "_einn")
     return (res.withColumn(out, (F.col("_offset") + F.col("_opens")).cast("long"))
-               .drop("_efv", "_elv", "_einn", "_opens", "_offset", *levels))
+               .drop("_efv", "_elv", "_einn", "_opens", "_offset", k, *levels))
