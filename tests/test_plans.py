@@ -60,11 +60,11 @@ def test_first_and_last_items_use_no_window(plan):
 
 def test_windows_never_partition_raw_rows_by_customer_alone(plan):
     """Sequence windows are keyed by (customer, bucket) -- both encoded as
-    never-NULL structs (_k0, _b0); windows keyed by the customer alone run
+    never-NULL column pairs (_k0n, _k0v, _b0n, _b0v); windows keyed by the customer alone run
     over per-bucket summaries, after an aggregate."""
     for key in ("avg_run_duration", "next_plan_after_trial", "downgrades_in_year"):
         p = plan(key)
-        assert "windowspecdefinition(_k0, _b0" in p, key         # (encoded customer, bucket)
+        assert "windowspecdefinition(_k0n, _k0v, _b0n, _b0v" in p, key   # (encoded customer, bucket)
 
 
 def test_top_one_is_take_ordered(plan):

@@ -56,54 +56,55 @@ def _zero(dtype) -> Column | None:
     return None
 
 
-def _non_null(df: DataFrame, col: str, out: str) -> DataFrame:
-    """``out`` = ``struct(is_null, value)``: never NULL, equal for equal values
-    (NULL equals NULL), ordered with NULLs last.  Windows, aggregates and
-    equi-joins on it then keep a NULL key or bucket as a group of its own,
-    and the join back reuses the window's partitioning."""
+def _non_null(df: DataFrame, col: str, out: str) -> tuple[DataFrame, list[str]]:
+    """Encode ``col`` as two never-NULL columns ``<out>n`` (is NULL) and
+    ``<out>v`` (value, a placeholder for NULL).  Equal values (NULL with
+    NULL) have equal pairs and the pair orders NULLs last, so windows,
+    aggregates and equi-joins on it keep a NULL key or bucket as a group of
+    its own, and the join back reuses the window's partitioning."""
     zero = _zero(df.schema[col].dataType)
     value = F.col(col) if zero is None else F.coalesce(F.col(col), zero)
-    return df.withColumn(out, F.struct(F.col(col).isNull().alias("n"), value.alias("v")))
+    names = [f"{out}n", f"{out}v"]
+    return df.withColumns({names[0]: F.col(col).isNull(), names[1]: value}), names
 
 
-def _with_levels(df: DataFrame, bucket: Column | Sequence[Column]) -> tuple[DataFrame, list[str]]:
+def _with_levels(df: DataFrame, bucket: Column | Sequence[Column]) -> tuple[DataFrame, list[list[str]]]:
     buckets = [bucket] if isinstance(bucket, Column) else list(bucket)
     raw = [f"_r{i}" for i in range(len(buckets))]
     df = df.withColumns(dict(zip(raw, buckets)))
-    names = [f"_b{i}" for i in range(len(buckets))]
-    for r, n in zip(raw, names):
-        df = _non_null(df, r, n)
-    return df.drop(*raw), names
+    levels = []
+    for i, r in enumerate(raw):
+        df, cols = _non_null(df, r, f"_b{i}")
+        levels.append(cols)
+    return df.drop(*raw), levels
 
 
 def _with_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    names = [f"_k{i}" for i in range(len(keys))]
-    for k, n in zip(keys, names):
-        df = _non_null(df, k, n)
-    return df, names
+    out = []
+    for i, k in enumerate(keys):
+        df, cols = _non_null(df, k, f"_k{i}")
+        out += cols
+    return df, out
 
 
-def _join_back(el: DataFrame, summary: DataFrame, part: list[str]) -> DataFrame:
-    """Join a per-bucket summary back to its elements on ``part`` (encoded,
-    never NULL): an equi-join on the columns the elements are already
-    partitioned by."""
-    return el.join(summary, part)
+def _flat(levels: list[list[str]]) -> list[str]:
+    return [c for level in levels for c in level]
 
 
-def _run_offsets(el: DataFrame, key: str, order: list[str], levels: list[str],
+def _run_offsets(el: DataFrame, keys: list[str], order: list[str], levels: list[list[str]],
                  fv: str, lv: str, inn: str) -> DataFrame:
     """For ordered elements (first value ``fv``, last value ``lv``, ``inn`` run
     starts inside the element after its first row) add ``_opens`` (the
     element's first row starts a run) and ``_offset`` (run starts before the
     element in its key)."""
     if not levels:
-        w = Window.partitionBy(key).orderBy(*_order(order))
+        w = Window.partitionBy(*keys).orderBy(*_order(order))
         opens = (F.when(F.lag(F.lit(1)).over(w).isNull(), 1)
                  .when(F.lag(lv).over(w) != F.col(fv), 1).otherwise(0))
         el = el.withColumn("_opens", opens)
         return el.withColumn("_offset", F.coalesce(
             F.sum(F.col("_opens") + F.col(inn)).over(w.rowsBetween(_BEFORE, -1)), F.lit(0)))
-    part = [key, *levels]
+    part = [*keys, *_flat(levels)]
     w = Window.partitionBy(*part).orderBy(*_order(order))
     el = (el.withColumn("_lfirst", F.lag(F.lit(1)).over(w).isNull())
             .withColumn("_lopens", F.when(F.col("_lfirst"), 0).when(F.lag(lv).over(w) != F.col(fv), 1).otherwise(0))
@@ -112,26 +113,26 @@ def _run_offsets(el: DataFrame, key: str, order: list[str], levels: list[str],
     seq = _seq(order)
     summary = el.groupBy(*part).agg(F.min_by(fv, seq).alias("_sfv"), F.max_by(lv, seq).alias("_slv"),
                                     F.sum(F.col("_lopens") + F.col(inn)).alias("_sinn"))
-    summary = _run_offsets(summary, key, levels, levels[:-1], "_sfv", "_slv", "_sinn").select(
+    summary = _run_offsets(summary, keys, _flat(levels), levels[:-1], "_sfv", "_slv", "_sinn").select(
         *part, F.col("_opens").alias("_popens"), F.col("_offset").alias("_poffset"))
-    el = _join_back(el, summary, part)
+    el = el.join(summary, part)
     el = (el.withColumn("_opens", F.when(F.col("_lfirst"), F.col("_popens")).otherwise(F.col("_lopens")))
             .withColumn("_offset", F.col("_poffset") + F.col("_lacc")
                         + F.when(F.col("_lfirst"), 0).otherwise(F.col("_popens"))))
     return el.drop("_lfirst", "_lopens", "_lacc", "_popens", "_poffset")
 
 
-def _previous(el: DataFrame, key: str, order: list[str], levels: list[str], lv: str) -> DataFrame:
+def _previous(el: DataFrame, keys: list[str], order: list[str], levels: list[list[str]], lv: str) -> DataFrame:
     """Add ``_prev``: the previous element's ``lv`` in its key (NULL first)."""
     if not levels:
-        return el.withColumn("_prev", F.lag(lv).over(Window.partitionBy(key).orderBy(*_order(order))))
-    part = [key, *levels]
+        return el.withColumn("_prev", F.lag(lv).over(Window.partitionBy(*keys).orderBy(*_order(order))))
+    part = [*keys, *_flat(levels)]
     w = Window.partitionBy(*part).orderBy(*_order(order))
     el = el.withColumn("_lfirst", F.lag(F.lit(1)).over(w).isNull()).withColumn("_lprev", F.lag(lv).over(w))
-    seq = _seq(order)
-    summary = el.groupBy(*part).agg(F.max_by(lv, seq).alias("_slv"))
-    summary = _previous(summary, key, levels, levels[:-1], "_slv").select(*part, F.col("_prev").alias("_pprev"))
-    el = _join_back(el, summary, part)
+    summary = el.groupBy(*part).agg(F.max_by(lv, _seq(order)).alias("_slv"))
+    summary = _previous(summary, keys, _flat(levels), levels[:-1], "_slv").select(
+        *part, F.col("_prev").alias("_pprev"))
+    el = el.join(summary, part)
     el = el.withColumn("_prev", F.when(F.col("_lfirst"), F.col("_pprev")).otherwise(F.col("_lprev")))
     return el.drop("_lfirst", "_lprev", "_pprev")
 
@@ -141,20 +142,22 @@ def _sql_order(c: str, descending: bool) -> Column:
     return F.col(c).desc_nulls_first() if descending else F.col(c).asc_nulls_last()
 
 
-def _prefix(el: DataFrame, keys: list[str], order: list[Column], level_cols: list[str],
+def _prefix(el: DataFrame, keys: list[str], order: list[Column], levels: list[list[str]],
             weight: str, out: str, descending: bool) -> DataFrame:
-    if not level_cols:
+    if not levels:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(_BEFORE, -1)
         return el.withColumn(out, F.coalesce(F.sum(weight).over(w), F.lit(0)))
-    part = [*keys, *level_cols]
-    d = len(level_cols)                       # temporaries are named per level
+    part = [*keys, *_flat(levels)]
+    d = len(levels)                           # temporaries are named per level
     lacc, sw, pacc = f"_lacc{d}", f"_sw{d}", f"_pacc{d}"
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(_BEFORE, -1)
     el = el.withColumn(lacc, F.coalesce(F.sum(weight).over(w), F.lit(0)))
     summary = el.groupBy(*part).agg(F.sum(weight).alias(sw))
-    up = [_sql_order(c, descending) for c in level_cols]
-    summary = _prefix(summary, keys, up, level_cols[:-1], sw, pacc, descending).select(*part, pacc)
-    return _join_back(el, summary, part).withColumn(out, F.col(pacc) + F.col(lacc)).drop(lacc, pacc)
+    # encoded buckets (is_null, value): ascending puts NULLs last; descending
+    # (both columns descending) puts them first, matching the values' order
+    up = [_sql_order(c, descending) for c in _flat(levels)]
+    summary = _prefix(summary, keys, up, levels[:-1], sw, pacc, descending).select(*part, pacc)
+    return el.join(summary, part).withColumn(out, F.col(pacc) + F.col(lacc)).drop(lacc, pacc)
 
 
 def prefix_sum(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str], weight: str, out: str,
@@ -169,11 +172,9 @@ def prefix_sum(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[st
     order = [_sql_order(c, descending) for c in order_cols]
     if bucket is None:
         return _prefix(df, keys, order, [], weight, out, descending)
-    # encoded buckets (is_null, value): ascending puts NULLs last and
-    # descending puts them first, matching the order of the values
     b, levels = _with_levels(df, bucket)
     b, ks = _with_keys(b, keys)
-    return _prefix(b, ks, order, levels, weight, out, descending).drop(*ks, *levels)
+    return _prefix(b, ks, order, levels, weight, out, descending).drop(*ks, *_flat(levels))
 
 
 def previous_value(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column | Sequence[Column],
@@ -185,9 +186,9 @@ def previous_value(df: DataFrame, key: str, order_cols: Sequence[str], bucket: C
     ``[to_date(ts), date_trunc('minute', ts)]`` for ``order_cols=[ts, id]``).
     """
     b, levels = _with_levels(df, bucket)
-    b, (k,) = _with_keys(b, [key])
-    res = _previous(b, k, list(order_cols), levels, value)
-    return res.withColumnRenamed("_prev", out).drop(k, *levels)
+    b, ks = _with_keys(b, [key])
+    res = _previous(b, ks, list(order_cols), levels, value)
+    return res.withColumnRenamed("_prev", out).drop(*ks, *_flat(levels))
 
 
 def islands(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column | Sequence[Column],
@@ -201,8 +202,8 @@ def islands(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column |
     ``previous_value``.
     """
     b, levels = _with_levels(df, bucket)
-    b, (k,) = _with_keys(b, [key])
+    b, ks = _with_keys(b, [key])
     b = b.withColumns({"_efv": F.col(value), "_elv": F.col(value), "_einn": F.lit(0)})
-    res = _run_offsets(b, k, list(order_cols), levels, "_efv", "_elv", "_einn")
+    res = _run_offsets(b, ks, list(order_cols), levels, "_efv", "_elv", "_einn")
     return (res.withColumn(out, (F.col("_offset") + F.col("_opens")).cast("long"))
-               .drop("_efv", "_elv", "_einn", "_opens", "_offset", k, *levels))
+               .drop("_efv", "_elv", "_einn", "_opens", "_offset", *ks, *_flat(levels)))
