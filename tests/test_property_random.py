@@ -46,3 +46,36 @@ def test_islands_match_row_walk(spark, data):
                 run += 1
             assert got[i] == run, (i, data)
             prev = v
+
+
+@SETTINGS
+@given(ROWS)
+def test_previous_value_matches_row_walk(spark, data):
+    df = spark.createDataFrame([(k, x, i, v) for i, (k, x, v) in enumerate(data)],
+                               "k int, x int, id int, v string")
+    got = {r.id: r.p for r in sequence.previous_value(
+        df, "k", ["x", "id"], [F.floor(F.col("x") / 16), F.floor(F.col("x") / 4)], "v", "p").collect()}
+    by_key = {}
+    for i, (k, x, v) in enumerate(data):
+        by_key.setdefault(k, []).append((_sort_key(x), i, v))
+    for rows in by_key.values():
+        prev = None
+        for _, i, v in sorted(rows):
+            assert got[i] == prev, (i, data)
+            prev = v
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 200)), min_size=1, max_size=80))
+def test_bucketed_percentiles_match_numpy(spark, data):
+    import numpy as np
+
+    from tillroll.operators import quantiles
+    df = spark.createDataFrame(data, "g int, x long")
+    probs = {"p10": 0.1, "p50": 0.5, "p95": 0.95}
+    got = {r.g: r for r in quantiles.percentile_cont(df, ["g"], "x", probs,
+                                                     bucket=F.floor(F.col("x") / 32)).collect()}
+    for g in {g for g, _ in data}:
+        xs = np.array([x for gg, x in data if gg == g], dtype=float)
+        for name, p in probs.items():
+            assert abs(getattr(got[g], name) - np.percentile(xs, 100 * p)) < 1e-9
