@@ -33,6 +33,7 @@ def clean_weekly_sales(weekly_sales: DataFrame) -> DataFrame:
     select distinct rpad(strftime(week_date, '%A'), 9, ' ') day_of_week from clean_weekly_sales""",
     "clean_weekly_sales"))
 def weekday_of_week_date(clean_weekly_sales: DataFrame) -> DataFrame:
+    """Weekday name(s) of the week dates."""
     return clean_weekly_sales.select(sem.weekday_name("week_date").alias("day_of_week")).distinct()
 
 
@@ -41,6 +42,7 @@ def weekday_of_week_date(clean_weekly_sales: DataFrame) -> DataFrame:
     where not exists (select 1 from clean_weekly_sales d where d.week_number = a.range)""",
     "clean_weekly_sales"))
 def missing_week_numbers(spark: SparkSession, clean_weekly_sales: DataFrame) -> DataFrame:
+    """Week numbers of the range that never occur."""
     return spine.missing_in_range(spark, clean_weekly_sales, "week_number", *WEEK_RANGE)
 
 
@@ -48,6 +50,7 @@ def missing_week_numbers(spark: SparkSession, clean_weekly_sales: DataFrame) ->
     select calendar_year, cast(sum(transactions) as bigint) total_transactions
     from clean_weekly_sales group by calendar_year order by calendar_year""", "clean_weekly_sales"))
 def transactions_per_year(clean_weekly_sales: DataFrame) -> DataFrame:
+    """Total transactions per calendar year."""
     return (clean_weekly_sales.groupBy("calendar_year")
             .agg(F.sum("transactions").alias("total_transactions")).orderBy("calendar_year"))
 
@@ -57,6 +60,7 @@ def transactions_per_year(clean_weekly_sales: DataFrame) -> DataFrame:
     from clean_weekly_sales group by region, month_number order by region, month_number""",
     "clean_weekly_sales"))
 def sales_per_region_month(clean_weekly_sales: DataFrame) -> DataFrame:
+    """Total sales per region and month."""
     return (clean_weekly_sales.groupBy("region", "month_number")
             .agg(F.sum("sales").cast("double").alias("total_sales")).orderBy("region", "month_number"))
 
@@ -65,6 +69,7 @@ def sales_per_region_month(clean_weekly_sales: DataFrame) -> DataFrame:
     select platform, count(transactions) transaction_rows
     from clean_weekly_sales group by platform order by platform""", "clean_weekly_sales"))
 def transaction_rows_per_platform(clean_weekly_sales: DataFrame) -> DataFrame:
+    """Number of weekly rows with a transaction count, per platform."""
     return (clean_weekly_sales.groupBy("platform")
             .agg(F.count("transactions").alias("transaction_rows")).orderBy("platform"))
 
@@ -85,6 +90,7 @@ DEMOGRAPHICS = {"couples_percentage": "Couples", "families_percentage": "Familie
 @query("platform_share_per_month", with_views(_share_sql("month_number", "platform", PLATFORMS),
                                               "clean_weekly_sales"))
 def platform_share_per_month(clean_weekly_sales: DataFrame) -> DataFrame:
+    """Share of each month's sales by platform."""
     return shares.pivot_shares(clean_weekly_sales, ["month_number"], "platform", "sales",
                                PLATFORMS).orderBy("month_number")
 
@@ -92,6 +98,7 @@ def platform_share_per_month(clean_weekly_sales: DataFrame) -> DataFrame:
 @query("demographic_share_per_year", with_views(_share_sql("calendar_year", "demographic", DEMOGRAPHICS),
                                                 "clean_weekly_sales"))
 def demographic_share_per_year(clean_weekly_sales: DataFrame) -> DataFrame:
+    """Share of each year's sales by demographic."""
     return shares.pivot_shares(clean_weekly_sales, ["calendar_year"], "demographic", "sales",
                                DEMOGRAPHICS).orderBy("calendar_year")
 
@@ -110,16 +117,19 @@ def _retail_by_sql(dims: str) -> str:
 
 @query("retail_sales_by_age_band", _retail_by_sql("age_band"))
 def retail_sales_by_age_band(clean_weekly_sales: DataFrame) -> DataFrame:
+    """Retail sales per age band, largest first."""
     return _retail_by(clean_weekly_sales, "age_band")
 
 
 @query("retail_sales_by_demographic", _retail_by_sql("demographic"))
 def retail_sales_by_demographic(clean_weekly_sales: DataFrame) -> DataFrame:
+    """Retail sales per demographic, largest first."""
     return _retail_by(clean_weekly_sales, "demographic")
 
 
 @query("retail_sales_by_both", _retail_by_sql("age_band, demographic"))
 def retail_sales_by_both(clean_weekly_sales: DataFrame) -> DataFrame:
+    """Retail sales per age band and demographic, largest first."""
     return _retail_by(clean_weekly_sales, "age_band", "demographic")
 
 
@@ -133,6 +143,7 @@ AVG_TXN = {"retail_average_transactions": "Retail", "shopify_average_transaction
         for n, v in AVG_TXN.items())}
     from clean_weekly_sales group by calendar_year order by calendar_year""", "clean_weekly_sales"))
 def ratio_of_sums_per_year(clean_weekly_sales: DataFrame) -> DataFrame:
+    """Average transaction size per platform and year as a ratio of totals."""
     return shares.ratio_of_sums(clean_weekly_sales, ["calendar_year"], "platform", AVG_TXN,
                                 "sales", "transactions", 0).orderBy("calendar_year")
 
