@@ -135,11 +135,6 @@ def id_list(c: str | Column, trim: bool = True) -> Column:
     return F.transform(tokens, lambda t: F.trim(t)) if trim else tokens
 
 
-def id_list_int(c: str | Column) -> Column:
-    """``'1, 4'`` -> ``[1, 4]`` (integer cast trims blanks)."""
-    return F.transform(F.split(col(c), ","), lambda t: F.trim(t).cast("int"))
-
-
 def seeded_unit_draw(key: str | Column, seed: int, buckets: int) -> Column:
     """Deterministic pseudo-random draw in ``1..buckets`` per key.
 

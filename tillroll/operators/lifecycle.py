@@ -51,13 +51,6 @@ def with_previous_state(df: DataFrame, key: str, order_cols: Sequence[str], stat
     return sequence.previous_value(df, key, order_cols, bucket, state, out)
 
 
-def first_time_in_state(df: DataFrame, key: str, state: str, time_col: str,
-                        value) -> DataFrame:
-    """First ``time_col`` per key at which ``state == value``."""
-    return (df.filter(F.col(state) == value).groupBy(key)
-              .agg(F.min(time_col).alias(time_col)))
-
-
 def first_times(df: DataFrame, key: str, state: str, time_col: str, states: dict) -> DataFrame:
     """Per key, the first ``time_col`` in each of several states, side by
     side (``out_name -> state value``; NULL when never in it): one grouped
