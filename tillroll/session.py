@@ -71,16 +71,12 @@ def checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
     # by one job are found by the next); the context's own checkpoint dir is
     # a per-application subfolder of it
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = configured or sc.getCheckpointDir()
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        if not required:
-            return None
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for this cluster")
-    local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    if not (configured or sc.getCheckpointDir()):
+        if sc.master != "local" and not sc.master.startswith("local["):
+            if not required:
+                return None
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for this cluster")
+        configured = tempfile.mkdtemp(prefix="tillroll-ckpt-")  # one process: its own folder is shared by all
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    return configured or sc.getCheckpointDir()
