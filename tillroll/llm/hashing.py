@@ -35,9 +35,8 @@ BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """B^i and B^-i for i < n, kept per worker."""
     if len(_powers[0]) < n:
-        n = max(n, 1 << 16)
         for k, base in enumerate((_B, pow(_B, -1, 1 << 64))):
-            f = np.full(n, base, np.uint64)
+            f = np.full(max(n, 1 << 16), base, np.uint64)
             f[0] = 1
             _powers[k] = np.cumprod(f, dtype=np.uint64)
     return _powers[0][:n], _powers[1][:n]

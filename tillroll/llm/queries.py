@@ -10,6 +10,18 @@ def _documents(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/documents.parquet")
 
 
+def _rest(modulus: int):
+    """crc32 of the document's id as text, modulo ``modulus``."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def op1_language_id(spark: SparkSession, root: str) -> DataFrame:
+    from tillroll.llm.language_id import language_id
+
+    docs = _documents(spark, root).select("doc_id", "text", "lang")
+    return language_id(docs, _rest(4) != 2).select("doc_id", (_rest(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op2_suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
     from tillroll.llm.suffix_dedup import suffix_dedup
 
@@ -31,6 +43,18 @@ def op4_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return r.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_multiset_fingerprint(spark: SparkSession, root: str) -> DataFrame:
+    from tillroll.llm.multiset_hash import edited_fingerprints
+
+    return edited_fingerprints(_documents(spark, root))
+
+
+def op6_ngram_lm(spark: SparkSession, root: str) -> DataFrame:
+    from tillroll.llm.ngram_lm import lm_scores
+
+    return lm_scores(_documents(spark, root), _rest(7) != 2)
+
+
 def op7_pareto_mixing(spark: SparkSession, root: str) -> DataFrame:
     from tillroll.llm.mixing import copies
 
@@ -38,6 +62,20 @@ def op7_pareto_mixing(spark: SparkSession, root: str) -> DataFrame:
         F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op8_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    from tillroll.llm.toxicity import score_toxicity
+
+    labels = spark.read.parquet(f"{root}/labels.parquet")
+    r = score_toxicity(_documents(spark, root), labels, _rest(3) != 1)
+    return r.select("doc_id", (_rest(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op9_nearest_neighbours(spark: SparkSession, root: str) -> DataFrame:
+    from tillroll.llm.ann import nearest
+
+    return nearest(spark.read.parquet(f"{root}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     from tillroll.llm.simhash import simhash_components
 
@@ -46,6 +84,28 @@ def op10_simhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
                     "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_best_fit_packing, op4_substring_dedup, op7_pareto_mixing,
-                                   op10_simhash_near_dedup)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_suffix_dedup, op3_best_fit_packing, op4_substring_dedup, op5_multiset_fingerprint, op6_ngram_lm,
+    op7_pareto_mixing, op8_toxicity, op9_nearest_neighbours, op10_simhash_near_dedup)}
+
+# The others have no SQL form: hashes (XXH64, crc32 of token ids), learned models, random ranks, tokenisers or
+# approximate search.  They are held against brute force, exact recomputation or held-out rows in tests/llm.
+ORACLE: dict[str, str] = {
+    "op4_substring_dedup": """
+        with w as (
+            select doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), x -> x <> '') as ws
+            from documents),
+        win as (
+            select doc_id, i, array_to_string(ws[i:i + 49], ' ') as win
+            from (select doc_id, ws, unnest(range(1, len(ws) - 48)) as i from w where len(ws) >= 50)),
+        low as (select md5(win) as h, min(doc_id) as first_doc from win group by 1),
+        hit as (select win.doc_id, win.i from win join low on md5(win.win) = low.h where low.first_doc < win.doc_id),
+        gone as (select distinct doc_id, unnest(range(i, i + 50)) as p from hit),
+        word as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as p from w),
+        kept as (
+            select doc_id, string_agg(word, ' ' order by p) as kept, count(*) as n
+            from word anti join gone using (doc_id, p) group by 1)
+        select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed,
+               sha256(coalesce(kept, '')) as kept_sha256
+        from w left join kept using (doc_id)""",
+}
