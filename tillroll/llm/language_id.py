@@ -16,7 +16,6 @@ scored in parts of that length.
 from __future__ import annotations
 
 import re
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,6 @@ BACKGROUND = 200.0  # weight of the pooled piece probabilities in those of a lan
 KEPT = 400_000
 NONE = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-_known: dict = {}
 
 
 def words_of(text: str) -> list[str]:
@@ -167,7 +165,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
 
 def _learn(counts, langs: list[str], vocab: np.ndarray) -> dict:
-    model = {"langs": langs, "vocab": vocab, "name": uuid.uuid4().hex}
+    model = {"langs": langs, "vocab": vocab}
     words = sorted({r["word"] for r in counts})
     number, column = {w: i for i, w in enumerate(words)}, {x: i for i, x in enumerate(langs)}
     weight = np.zeros((len(words), len(langs)))
@@ -196,10 +194,9 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text", taken=("lang_
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary and the languages
 
     def run(batches):
-        m = shared.value
-        if _known.get("name") != m["name"]:
-            _known.clear()
-            _known.update(name=m["name"], number={}, scores=np.zeros((0, len(m["langs"]))))
+        m = shared.value  # one object per worker: it also keeps the words scored so far
+        m.setdefault("number", {})
+        m.setdefault("scores", np.zeros((0, len(m["langs"]))))
         for batch in batches:
             _, offsets = text_buffers(batch.column(at))
             for a, b in steps(offsets):
@@ -215,22 +212,22 @@ def _predict(texts: list[list[str]], m: dict):
     pred, score = [NONE] * len(texts), np.zeros(len(texts))
     if not m["langs"]:
         return pred, score
-    number = _known["number"]
+    number = m["number"]
     new = {w for ws in texts for w in ws if w not in number}
     if new:
         if len(number) + len(new) > KEPT:
             number.clear()
-            _known["scores"] = _known["scores"][:0]
+            m["scores"] = m["scores"][:0]
             new = {w for ws in texts for w in ws}
         new = list(new)
-        base = len(_known["scores"])
+        base = len(m["scores"])
         number.update(zip(new, range(base, base + len(new))))
-        _known["scores"] = np.concatenate([_known["scores"], word_scores(new, m)])
+        m["scores"] = np.concatenate([m["scores"], word_scores(new, m)])
     some = [i for i, ws in enumerate(texts) if ws]
     if some:
         at = np.fromiter((number[w] for i in some for w in texts[i]), np.int64)
         size = np.array([len(texts[i]) for i in some])
-        z = np.add.reduceat(_known["scores"][at], np.cumsum(size) - size, axis=0)
+        z = np.add.reduceat(m["scores"][at], np.cumsum(size) - size, axis=0)
         best = z.argmax(axis=1)
         post = 1 / np.exp(z - z.max(axis=1, keepdims=True)).sum(axis=1)
         for i, b, s in zip(some, best.tolist(), post.tolist()):

@@ -93,7 +93,7 @@ QUERIES = {f.__name__: f for f in (
 ORACLE: dict[str, str] = {
     "op4_substring_dedup": """
         with w as (
-            select doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), x -> x <> '') as ws
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws
             from documents),
         win as (
             select doc_id, i, array_to_string(ws[i:i + 49], ' ') as win
