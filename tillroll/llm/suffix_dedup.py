@@ -38,9 +38,9 @@ from tillroll.llm.chunks import (bucket_cuts, chunking, from_blobs, own_columns,
                                  text_buffers, unpack_sorted)
 
 WIDTH = 200
-ANCHOR = 100
+ANCHOR = 48
 TRIGGER = 16
-MODULUS = 64
+MODULUS = 32
 HOT = 4096
 BUCKET_BYTES = 8 << 20
 SORT_BYTES = 2 << 20
