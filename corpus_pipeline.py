@@ -40,8 +40,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cleaned = substring_dedup(docs, keep_untouched=True).where("n_removed = 0 or n_removed < n_words")
-    cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long"))
-                                 .otherwise(F.col("n_chars")))
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long"))
+                                     .otherwise(F.col("n_chars")))
     return cleaned.select(*docs.columns)
 
 

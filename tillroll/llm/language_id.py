@@ -4,8 +4,8 @@ Every language has a probability per vocabulary piece.  A word's probability
 is the sum over all its segmentations into pieces, by the forward algorithm;
 a text's is the product over its words.  Piece probabilities are learned by
 expectation-maximisation (expected piece counts over all segmentations) from
-word counts of a bounded sample: at most ``ROWS`` documents of each language,
-chosen by a hash, of which the ``WORDS`` most frequent words of each language
+word counts of a bounded sample: about ``ROWS`` documents of each language (all
+of a rarer one), chosen by a hash at the rate ``ROWS`` / its documents, of which the ``WORDS`` most frequent words of each language
 are used.  Scoring reads every word of every text; a worker remembers the
 probabilities of at most ``KEPT`` words.
 
@@ -138,13 +138,16 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         import public_tokenizers
 
         path = public_tokenizers.path("piece_bpe_32k.model")
-    named = docs.where(learn & F.col(lang_col).isNotNull())
-    ranked = named.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang")).withColumn(
-        "r", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit(3)), "id")))
-    chosen = ranked.where(F.col("r") <= rows).select("id", "lang").distinct()  # bounded: rows per language
-    sample = (named.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
-                           F.col(text_col).cast("string").alias("text"))
-              .join(chosen, ["id", "lang"], "left_semi").select("lang", "text"))
+    named = docs.where(learn & F.col(lang_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    per_lang = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}  # one row per language
+    langs = sorted(per_lang, key=lambda x: x.encode())
+    model = {"langs": langs, "vocab": vocabulary(path)}
+    if not langs:
+        return model | {"p": np.ones((len(model["vocab"]) + 1, 0))}
+    rate = F.create_map(*[F.lit(x) for k, n in per_lang.items() for x in (k, rows / n)])
+    u = F.shiftrightunsigned(F.xxhash64("id", "text"), 11) / float(1 << 53)
+    sample = named.where(u < F.element_at(rate, F.col("lang"))).select("lang", "text")
 
     def count(batches):
         for batch in batches:
@@ -159,13 +162,11 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     counted = sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     top = counted.withColumn("r", F.row_number().over(
         Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("r") <= words).select("lang", "word", "n")
-    langs = [r[0] for r in named.select(F.col(lang_col).cast("string")).distinct().collect()]
-    langs.sort(key=lambda x: x.encode())
-    return _learn(top.collect(), langs, vocabulary(path))
+    return _learn(top.collect(), model)
 
 
-def _learn(counts, langs: list[str], vocab: np.ndarray) -> dict:
-    model = {"langs": langs, "vocab": vocab}
+def _learn(counts, model: dict) -> dict:
+    langs, vocab = model["langs"], model["vocab"]
     words = sorted({r["word"] for r in counts})
     number, column = {w: i for i, w in enumerate(words)}, {x: i for i, x in enumerate(langs)}
     weight = np.zeros((len(words), len(langs)))

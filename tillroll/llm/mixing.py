@@ -86,8 +86,9 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     gaps = ranked.groupBy("number").agg((F.first("target") - F.sum(F.col("sure") * F.col("size"))).alias("gap"))
     open_rows, taken = ranked.where("order is not null and size > 0").select("row", "number", "size", "order"), None
     for _ in range(PASSES):
+        # a source's rows are dealt by slices of the order: a hot source spreads over all of them
         fits = (open_rows.join(gaps, "number").where("size <= gap")
-                .withColumn("slice", F.floor(F.col("order") * SLICES).cast("int")))
+                .withColumn("slice", F.floor(F.col("order") * SLICES).cast("int")).repartition("number", "slice"))
         slices = fits.groupBy("number", "slice").agg(F.sum("size").alias("words")).withColumn(
             "before", F.sum("words").over(Window.partitionBy("number").orderBy("slice")) - F.col("words")).drop("words")
         inside = Window.partitionBy("number", "slice").orderBy("order", "row").rowsBetween(

@@ -126,7 +126,7 @@ def pack(cut_pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, ro
     todo, done, closed = rows, [], 0
     for number in range(rounds):
         size = todo.agg(F.count(F.lit(1))).first()[0]
-        n = max(1, -(-size // group))
+        n = max(1, -(-size // (group << number)))  # fewer and larger groups each round, 2^(rounds - 1) times at most
         where = F.pmod(F.xxhash64("__row", F.lit(number)), F.lit(n)).cast("long")
         packed = cut(todo.withColumn("__group", where).groupBy("__group").applyInArrow(
             packer(number), schema.replace(", sequence_id", ", `__row` long, sequence_id", 1) + ", __open boolean"))

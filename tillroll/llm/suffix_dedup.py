@@ -202,7 +202,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         says = [back[e - len(p["content"]):e] for p, e in zip(parts, ends)]
         some = pa.array([i for i, x in enumerate(says) if x.any()], pa.int64())
         return pa.table({"chunk": t.column("chunk").take(some), "bucket": t.column("bucket").take(some),
-                         "kind": pa.array(["phrase"] * len(some)),
+                         "kind": pa.array(["phrase"] * len(some), pa.string()),
                          "blob": pa.array([says[i].tobytes() for i in some.to_pylist()], binary)})
 
     def told(near: np.ndarray, right: pa.Table) -> np.ndarray:

@@ -1,11 +1,11 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Texts are lower-cased (A-Z) bytes; their 3-, 4- and 5-byte strings are hashed
+Texts are lower-cased (A-Z) bytes; their 4-, 5- and 6-byte strings are hashed
 to ``FEATURES`` presence features.  Spark counts, per feature, in how many
 training texts of each class it occurs; the log ratio of the smoothed counts
 scales it, and the ``KEPT`` features with the clearest ratios stay.  A
 logistic regression over the scaled features is fitted on a bounded sample
-(at most ``ROWS`` training rows per class, chosen by a hash).  Scoring reads
+(about ``ROWS`` training rows per class, chosen by a hash at that rate).  Scoring reads
 every text whole.
 """
 
@@ -15,14 +15,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tillroll.llm import hashing
 from tillroll.llm.chunks import steps, text_buffers
 
-LENGTHS = (3, 4, 5)
+LENGTHS = (4, 5, 6)
 FEATURES = 1 << 20
-KEPT = 4096
+KEPT = 2048
 ROWS = 3000
 SMOOTH = 1.0
 PENALTY = 1.0
@@ -60,12 +59,16 @@ def _present(data, offsets, table: np.ndarray | None):
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", rows: int = ROWS) -> dict:
-    """Fit on at most ``rows`` labelled documents of each class; ``learn`` says which label rows may be used."""
+    """Fit on about ``rows`` labelled documents of each class; ``learn`` says which label rows may be used."""
     rated = labels.where(learn & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)").distinct()
-    pick = rated.withColumn("r", F.row_number().over(
-        Window.partitionBy("y").orderBy(F.xxhash64("id", F.lit(5)), "id"))).where(F.col("r") <= rows).drop("r")
-    # at most 2 * rows ids
+    of_class = {r["y"]: r["count"] for r in rated.groupBy("y").count().collect()}
+    nothing = {"table": np.full(FEATURES, -1, np.int16), "weight": np.zeros(KEPT), "bias": -4.0}
+    if len(of_class) < 2:
+        return nothing  # one class only: nothing to tell apart
+    u = F.shiftrightunsigned(F.xxhash64("id", F.lit(5)), 11) / float(1 << 53)
+    # distinct ids, at a rate that leaves about ``rows`` of each class
+    pick = rated.where(u < F.when(F.col("y") == 1, rows / of_class[1]).otherwise(rows / of_class[0]))
     sample = (docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
               .join(F.broadcast(pick), F.col("doc") == F.col("id")).select("y", "text"))
 
@@ -87,9 +90,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     counts = counts.persist()
     size = counts.where("feature = -1").first()
-    nothing = {"table": np.full(FEATURES, -1, np.int16), "weight": np.zeros(KEPT), "bias": -4.0}
     if size is None or not size["n0"] or not size["n1"]:
-        return nothing  # one class only: nothing to tell apart
+        return nothing
     p, q = F.col("n1") + SMOOTH, F.col("n0") + SMOOTH
     ratio = F.log(p / (size["n1"] + 2 * SMOOTH)) - F.log(q / (size["n0"] + 2 * SMOOTH))
     best = counts.where("feature >= 0").select("feature", ratio.alias("ratio"), (F.abs(ratio) / F.sqrt(1 / p + 1 / q)).alias(
@@ -111,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
                     got[a + i] = feature[cuts[i]:cuts[i + 1]].astype(np.int16).tobytes()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], ["y", "x"])
 
-    # at most 2 * rows rows of at most 2 * KEPT bytes
+    # about 2 * rows rows of at most 2 * KEPT bytes
     data = sorted((r["y"], bytes(r["x"])) for r in sample.mapInArrow(rows_of, "y int, x binary").collect())
     x = np.zeros((len(data), KEPT), np.float32)
     for i, (_, features) in enumerate(data):
