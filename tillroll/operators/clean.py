@@ -32,15 +32,19 @@ def map_values(c: str | Column, mapping: Mapping[str, str]) -> Column:
     return c if out is None else out.otherwise(c)
 
 
-# Leading measure in text with a unit: two digits and an optional decimal.
-MEASURE_PATTERN = r"\d{2}(\.\d)?"
+# Leading measure in text with a unit: the whole number, however many digits.
+MEASURE_PATTERN = r"\d+(\.\d+)?"
+# The original statement reads two digits and one decimal only (``5km`` is lost, ``104km`` cut).
+LITERAL_MEASURE_PATTERN = r"\d{2}(\.\d)?"
 
 
-def extract_measure(c: str | Column, keep: str = "n/a") -> Column:
-    """First match of ``MEASURE_PATTERN`` in the text, NULL when none; the
-    ``keep`` sentinel is left as is.  (``regexp_substr`` gives NULL on a miss.)"""
+def extract_measure(c: str | Column, keep: str = "n/a", literal: bool = False) -> Column:
+    """First number in the text, NULL when none; the ``keep`` sentinel is left
+    as is.  ``literal`` reads two digits and one decimal, as the original does.
+    (``regexp_substr`` gives NULL on a miss.)"""
     c = sem.col(c)
-    return F.when(c == keep, c).otherwise(F.regexp_substr(c, F.lit(MEASURE_PATTERN)))
+    pattern = LITERAL_MEASURE_PATTERN if literal else MEASURE_PATTERN
+    return F.when(c == keep, c).otherwise(F.regexp_substr(c, F.lit(pattern)))
 
 
 # ------------------------------------------------------------------ orders

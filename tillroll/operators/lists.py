@@ -21,18 +21,15 @@ from pyspark.sql import functions as F
 from ..functions import sem
 
 EMPTY = "none"
-# Element dimensions up to this many rows are expanded into per-element
-# expressions at plan time (fixed, code-defined dimensions only).
-STATIC_EXPANSION_MAX = 64
 
 
 def ids(c: str | Column) -> Column:
     """Integer ids of a cleaned list column (``'none'`` -> empty array);
-    blanks around ids are ignored, non-numeric tokens dropped."""
+    ids are separated by commas or blanks, non-numeric tokens dropped."""
     c = sem.col(c)
-    # split on commas with surrounding blanks, cast element-wise (bad tokens
+    # split on runs of commas and blanks, cast element-wise (bad tokens
     # -> NULL), drop NULLs: all codegen'd, no per-element lambda
-    parsed = F.split(F.trim(c), r"\s*,\s*").try_cast("array<int>")
+    parsed = F.split(F.trim(c), r"[,\s]+").try_cast("array<int>")
     return F.when(c.isNull() | (c == EMPTY), F.array().cast("array<int>")).otherwise(F.array_compact(parsed))
 
 
@@ -101,25 +98,14 @@ def item_ingredients(items: DataFrame, item_keys: Sequence[str], recipes: DataFr
     def count(x):
         # occurrences of x: once if it survived in the recipe, plus its extras
         return F.array_contains(rem, x).cast("int") + F.size(ey) - F.size(F.array_remove(ey, x))
-    if len(names) <= STATIC_EXPANSION_MAX:
-        # the dimension is fixed: one codegen'd count per element, emitted in
-        # name order, so neither sorting nor lambdas run per row
-        parts = []
-        for i, name in sorted(names, key=lambda r: (r[1], r[0])):
-            n = count(F.lit(i))
-            parts.append(F.when(n > 1, F.concat(n.cast("string"), F.lit(f"x {name}")))
-                          .when(n == 1, F.lit(name)))
-        body = F.concat_ws(", ", *parts)
-    else:
-        def entry(x):
-            name = F.try_element_at(m, x)
-            n = count(x)
-            return F.struct(name.alias("k"),
-                            F.when(n > 1, F.concat(n.cast("string"), F.lit("x "), name)).otherwise(name)
-                            .alias("name"))
-        distinct_ids = F.array_distinct(F.concat(rem, ey))
-        entries = F.filter(F.transform(distinct_ids, entry), lambda e: e["k"].isNotNull())
-        body = F.array_join(F.transform(F.sort_array(entries), lambda e: e["name"]), ", ")
+    # the dimension is fixed: one codegen'd count per element, emitted in
+    # (name, id) order, so neither sorting nor lambdas run per row
+    parts = []
+    for i, name in sorted(names, key=lambda r: (r[1], r[0])):
+        n = count(F.lit(i))
+        parts.append(F.when(n > 1, F.concat(n.cast("string"), F.lit(f"x {name}")))
+                      .when(n == 1, F.lit(name)))
+    body = F.concat_ws(", ", *parts)
     return j.select(*keys, F.concat(F.col("pizza_name"), F.lit(": "), body).alias("ingredients_list"))
 
 

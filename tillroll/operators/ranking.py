@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import sequence
 
@@ -33,13 +34,11 @@ def rows_at_extreme(df: DataFrame, keys: str | Sequence[str], order_col: str,
     group -- ``rank() over (partition by keys order by order_col) = 1`` with
     ties kept and duplicates preserved.  NULL values rank last in both
     directions (a key with only NULLs returns all its rows)."""
-    keys = _cols(keys)
-    agg = F.max(order_col) if largest else F.min(order_col)
-    best = df.groupBy(*keys).agg(agg.alias("_best"))
-    # null-safe on the value: a key whose values are all NULL keeps those
-    # rows (they tie for the first rank), otherwise NULLs never match
-    cond = [df[k].eqNullSafe(best[k]) for k in keys] + [df[order_col].eqNullSafe(best["_best"])]
-    return df.join(best, cond, "left_semi").select(*df.columns)
+    best = F.desc_nulls_last(order_col) if largest else F.asc_nulls_last(order_col)
+    w = Window.partitionBy(*_cols(keys)).orderBy(best)
+    # the filter right above the window becomes a WindowGroupLimit: before the
+    # single shuffle a task keeps only the rows at its own extreme per key
+    return df.withColumn("_rank", F.rank().over(w)).where("_rank = 1").drop("_rank")
 
 
 def rank_within(df: DataFrame, keys: str | Sequence[str], order_col: str,
@@ -65,20 +64,10 @@ def rank_within(df: DataFrame, keys: str | Sequence[str], order_col: str,
 def nth_in_group(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str],
                  n: int) -> DataFrame:
     """The n-th row per key under a total order (``row_number() = n``); keys
-    with fewer than ``n`` rows are absent.  ``n`` rounds of min + anti-join."""
-    keys = _cols(keys)
-    # NULL flags first in the struct: NULLs sort last, as in SQL ascending order
-    order = F.struct(*[x for i, c in enumerate(order_cols)
-                       for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
-    rest = df.withColumn("_o", order)
-
-    def lowest(rows, how):
-        lows = rows.groupBy(*keys).agg(F.min("_o").alias("_lo"))
-        cond = [rows[k].eqNullSafe(lows[k]) for k in keys] + [rows["_o"] == lows["_lo"]]
-        return rows.join(lows, cond, how)            # NULL keys are groups too
-    for _ in range(n - 1):
-        rest = lowest(rest, "left_anti")
-    return lowest(rest, "left_semi").drop("_o")
+    with fewer than ``n`` rows are absent.  A task keeps at most n rows per
+    key before the single shuffle (WindowGroupLimit)."""
+    w = Window.partitionBy(*_cols(keys)).orderBy(*[F.asc_nulls_last(c) for c in order_cols])
+    return df.withColumn("_row", F.row_number().over(w)).where(F.col("_row") == n).drop("_row")
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:

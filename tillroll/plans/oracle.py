@@ -27,9 +27,9 @@ DERIVED_SQL = {
     "clean_runner_orders": (("runner_orders",), """select order_id, runner_id,
         case when pickup_time = 'null' then 'n/a' else pickup_time end pickup_time,
         case when distance = 'n/a' then 'n/a'
-             else nullif(regexp_extract(distance, '[0-9]{2}(\\.[0-9])?', 0), '') end distance,
+             else nullif(regexp_extract(distance, '[0-9]+(\\.[0-9]+)?', 0), '') end distance,
         case when duration = 'n/a' then 'n/a'
-             else nullif(regexp_extract(duration, '[0-9]{2}(\\.[0-9])?', 0), '') end duration,
+             else nullif(regexp_extract(duration, '[0-9]+(\\.[0-9]+)?', 0), '') end duration,
         case when cancellation = 'Restaurant Cancellation' then 'restaurant'
              when cancellation = 'Customer Cancellation' then 'customer'
              when cancellation is null or cancellation in ('null', '') then 'n/a'

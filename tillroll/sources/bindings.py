@@ -61,7 +61,7 @@ def members(t: Tables) -> DataFrame:
 def _orders_with_region(t: Tables) -> DataFrame:
     o = t("orders")
     c = t("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    n = F.broadcast(t("nation").select("n_nationkey", "n_regionkey"))  # 25 rows by definition
+    n = t("nation").select("n_nationkey", "n_regionkey")
     return (o.join(c, o.o_custkey == c.c_custkey)
             .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
 
@@ -78,8 +78,7 @@ def customer_nodes(t: Tables) -> DataFrame:
 
 
 def regions(t: Tables) -> DataFrame:
-    return F.broadcast(t("region").select(F.col("r_regionkey").alias("region_id"),
-                                          F.col("r_name").alias("region_name")))
+    return t("region").select(F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name"))
 
 
 def customer_transactions(t: Tables) -> DataFrame:
@@ -94,7 +93,7 @@ def customer_transactions(t: Tables) -> DataFrame:
 
 # ----------------------------------------------------------------- retail
 def weekly_sales(t: Tables) -> DataFrame:
-    r = F.broadcast(t("region").select("r_regionkey", "r_name"))  # 5 rows by definition
+    r = t("region").select("r_regionkey", "r_name")
     key = F.col("c_custkey")
     seg = F.col("c_mktsegment")
     rows = _orders_with_region(t).join(r, F.col("n_regionkey") == F.col("r_regionkey"))

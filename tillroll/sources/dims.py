@@ -46,18 +46,14 @@ PIZZA_TOPPINGS = [
 ]
 # ---------------------------------------------------------------------------
 
-# Row bound above which a dimension is not broadcast by ``fixed_dim``.
-FIXED_DIM_MAX_ROWS = 10_000
-
-
 def fixed_dim(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A literal dimension as an inline table (a JVM-side local relation, no
-    Python worker), broadcast because its row count is known here."""
+    Python worker), broadcast because its few rows are written here."""
     fields = [f.strip().split() for f in schema.split(",")]
     names = ", ".join(n for n, _ in fields)
     casts = ", ".join(f"cast({n} as {t}) as {n}" for n, t in fields)
     df = spark.sql(f"SELECT {casts} FROM {values_sql(rows, names)}")
-    return F.broadcast(df) if len(rows) <= FIXED_DIM_MAX_ROWS else df
+    return F.broadcast(df)
 
 
 def plans(spark: SparkSession) -> DataFrame:
