@@ -173,7 +173,7 @@ def test_rounds_close_gaps(spark):
     for r in out:
         used[r.sequence_id] += r.length
     assert max(used.values()) <= 1024
-    # as good as best-fit decreasing over all pieces at once (781 here; the bound is 777)
+    # as good as best-fit decreasing over all pieces at once, but for one sequence
     assert packing.lower_bound(sizes, 1024) <= len(used) <= len(packing.best_fit_decreasing(sizes, 1024)[2]) + 1
 
 

@@ -2,10 +2,10 @@
 
 Pieces are dealt into groups, each group is packed by best-fit decreasing, and
 a lower bound from dual feasible functions is computed for it.  A group whose
-number of sequences equals its bound is certified: it cannot be packed better
-and is closed.  The others have a gap: their full sequences are closed, the
-pieces in sequences with space left are exchanged (dealt anew, over fewer
-groups) and packed again, round by round until nothing is open, the total is
+number of sequences equals its bound is certified: by itself it cannot be packed
+better, and its full sequences are closed.  The others have a gap: all their
+pieces but whole sequences are exchanged, with those of the unfilled sequences
+of certified groups, dealt anew over fewer and larger groups and packed again, round by round until nothing is open, the total is
 certified as a whole, or ``ROUNDS`` rounds are over.
 """
 
@@ -116,7 +116,7 @@ def pack(cut_pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, ro
             sizes = table.column("length").to_numpy()
             bins, offsets, left = best_fit_decreasing(sizes, capacity)
             certified = len(left) == lower_bound(sizes, capacity)
-            is_open = (left > 0)[bins] & (not certified)
+            is_open = (left > 0)[bins] if certified else sizes < capacity
             name = (number << 56) + (table.column("__group")[0].as_py() << 28)
             out = table.drop_columns(["__group"])
             return (out.append_column("sequence_id", pa.array(bins + name)).append_column("offset", pa.array(offsets))
