@@ -85,22 +85,26 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
                  .withColumn("order", F.when(F.col("p") > 0, odds / (1 + odds))))
     gaps = ranked.groupBy("number").agg((F.first("target") - F.sum(F.col("sure") * F.col("size"))).alias("gap"))
     open_rows, taken = ranked.where("order is not null and size > 0").select("row", "number", "size", "order"), None
+    inside = Window.partitionBy("number", "slice").orderBy("order", "row").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     for _ in range(PASSES):
+        # gaps only shrink: a row of twice the gap neither fits later nor brings its source nearer
+        near = (open_rows.join(gaps, "number").where("size < 2 * gap")
+                .withColumn("fit", F.when(F.col("size") <= F.col("gap"), F.col("size")))
+                .withColumn("slice", F.floor(F.col("order") * SLICES).cast("int")))
+        slices = near.groupBy("number", "slice").agg(F.sum("fit").alias("words")).withColumn(
+            "before", F.coalesce(F.sum("words").over(Window.partitionBy("number").orderBy("slice").rowsBetween(
+                Window.unboundedPreceding, -1)), F.lit(0))).drop("words")
         # a source's rows are dealt by slices of the order: a hot source spreads over all of them
-        fits = (open_rows.join(gaps, "number").where("size <= gap")
-                .withColumn("slice", F.floor(F.col("order") * SLICES).cast("int")).repartition("number", "slice"))
-        slices = fits.groupBy("number", "slice").agg(F.sum("size").alias("words")).withColumn(
-            "before", F.sum("words").over(Window.partitionBy("number").orderBy("slice")) - F.col("words")).drop("words")
-        inside = Window.partitionBy("number", "slice").orderBy("order", "row").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        got = cut(fits.join(slices, ["number", "slice"])
-                  .withColumn("upto", F.col("before") + F.sum("size").over(inside))
-                  .where("upto <= gap").select("row", "number", "size"))
+        step = cut(near.repartition("number", "slice").join(slices, ["number", "slice"])
+                   .withColumn("upto", F.col("before") + F.sum("fit").over(inside))
+                   .select("row", "number", "size", "order",
+                           (F.col("fit").isNotNull() & (F.col("upto") <= F.col("gap"))).alias("got")))
+        got = step.where("got").select("row", "number", "size")
+        open_rows = step.where("not got").drop("got")
         taken = got if taken is None else taken.unionByName(got)
-        open_rows = open_rows.join(got.select("row"), "row", "left_anti")
-        gaps = gaps.join(got.groupBy("number").agg(F.sum("size").alias("s")), "number", "left").select(
-            "number", (F.col("gap") - F.coalesce("s", F.lit(0))).alias("gap"))
-        gaps = cut(gaps)
+        gaps = cut(gaps.join(got.groupBy("number").agg(F.sum("size").alias("s")), "number", "left").select(
+            "number", (F.col("gap") - F.coalesce("s", F.lit(0))).alias("gap")))
     # the document that brings a source nearest, if any does
     off = F.abs(F.col("size") - F.col("gap"))
     nearest = (open_rows.join(gaps, "number").where("size < 2 * gap").groupBy("number")
