@@ -335,6 +335,11 @@ def test_forward_algorithm_sums_all_segmentations():
     assert np.allclose(got, [[math.log(total("_" + w, c)) for c in (0, 1)] for w in words])
 
 
+def test_words_are_letters_only():
+    assert language_id.words_of("² ½ 12 _") == []
+    assert language_id.words_of("Aé² x½y 3z") == ["aé", "x", "y", "z"]
+
+
 def test_language_id(docs, none, spark):
     t = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.language_id(t, crc(4) != 2).collect()

@@ -39,6 +39,8 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 def words_of(text: str) -> list[str]:
     found = _LETTERS.findall(text.lower())
+    if not all(map(str.isalpha, found)):  # numerals that are no decimal digits, as in superscripts and fractions
+        found = [w for part in found for w in "".join(c if c.isalpha() else " " for c in part).split()]
     if any(len(w) > LONGEST for w in found):
         found = [w[i:i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
     return found
