@@ -24,6 +24,7 @@ WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
 SLICES = 1024
 PASSES = 4
+FEW_SOURCES = 100_000  # tables of one small row per source are broadcast up to this many, shuffled beyond
 
 
 def source_targets(sources: DataFrame, weights=WEIGHTS, most: int = MAX_COPIES, share: float = 1.0) -> DataFrame:
@@ -75,11 +76,16 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
         F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col)).alias("row_key"),
         F.monotonically_increasing_id().alias("row")))
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
+    few = targets.count() <= FEW_SOURCES
+
+    def of_source(per_source: DataFrame) -> DataFrame:  # so that a hot source's rows aren't dealt by source
+        return F.broadcast(per_source) if few else per_source
+
     t = targets.select(F.col("source").alias("s"), "source_size", "number", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     u = (F.shiftrightunsigned(F.xxhash64("row_key", F.lit(seed)), 11) + 0.5) / float(1 << 53)
     odds = u / (1 - u) / (F.col("p") / (1 - F.col("p")))
-    ranked = cut(rows.join(t, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    ranked = cut(rows.join(of_source(t), F.col("source").eqNullSafe(F.col("s"))).drop("s")
                  .withColumn("sure", F.floor(rate + 1e-12).cast("long"))
                  .withColumn("p", F.greatest(rate - F.col("sure"), F.lit(0.0)))
                  .withColumn("order", F.when(F.col("p") > 0, odds / (1 + odds))))
@@ -89,7 +95,7 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
         Window.unboundedPreceding, Window.currentRow)
     for _ in range(PASSES):
         # gaps only shrink: a row of twice the gap neither fits later nor brings its source nearer
-        near = (open_rows.join(gaps, "number").where("size < 2 * gap")
+        near = (open_rows.join(of_source(gaps), "number").where("size < 2 * gap")
                 .withColumn("fit", F.when(F.col("size") <= F.col("gap"), F.col("size")))
                 .withColumn("slice", F.floor(F.col("order") * SLICES).cast("int")))
         slices = near.groupBy("number", "slice").agg(F.sum("fit").alias("words")).withColumn(
@@ -107,7 +113,7 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
             "number", (F.col("gap") - F.coalesce("s", F.lit(0))).alias("gap")))
     # the document that brings a source nearest, if any does
     off = F.abs(F.col("size") - F.col("gap"))
-    nearest = (open_rows.join(gaps, "number").where("size < 2 * gap").groupBy("number")
+    nearest = (open_rows.join(of_source(gaps), "number").where("size < 2 * gap").groupBy("number")
                .agg(F.min(F.struct(off, "order", "row")).alias("best")).select(F.col("best.row").alias("row")))
     taken = taken.select("row").unionByName(nearest)
     extra = taken.select("row", F.lit(1).alias("extra"))
