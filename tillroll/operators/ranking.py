@@ -4,13 +4,12 @@ A window ``PARTITION BY key`` puts every row of a key into one task, so one
 hot key (a third of all rows) would make one task read a third of the data.
 These operators avoid that:
 
-* ``rows_at_extreme`` (``rank() == 1``) aggregates the extreme value per key
-  (map-side partial aggregation) and joins it back on ``(key, value)``; the
-  join key includes the value, so a hot key is spread over many join tasks.
+* ``rows_at_extreme`` (``rank() == 1``) and ``nth_in_group`` (``row_number() = n``)
+  filter right above the window, so a task keeps only its own best rows per
+  key before the one shuffle (``WindowGroupLimit``).
 * ``rank_within`` counts rows per ``(key, value)`` first; the only window then
   runs over *distinct* order values of a key (a calendar of dates, not rows),
   and the rank is joined back on ``(key, value)``.
-* ``nth_in_group`` peels the minimum ``n`` times with aggregates + joins.
 """
 
 from __future__ import annotations
@@ -42,23 +41,27 @@ def rows_at_extreme(df: DataFrame, keys: str | Sequence[str], order_col: str,
 
 
 def rank_within(df: DataFrame, keys: str | Sequence[str], order_col: str,
-                out: str = "rank", descending: bool = False, bucket=None) -> DataFrame:
+                out: str = "rank", descending: bool = False, bucket=None, where: Column | None = None) -> DataFrame:
     """``rank() over (partition by keys order by order_col)`` as column ``out``
     (long); NULL ``order_col`` values sort last ascending and first
-    descending, as in SQL.
+    descending, as in SQL.  With ``where`` only the rows it holds for are
+    ranked (among themselves), the others get NULL.
 
     Rank = 1 + rows with a smaller value: counts per distinct value, then a
     prefix sum over a key's distinct values.  ``bucket`` (coarsenings of the
     value, e.g. the day of a timestamp) splits that prefix sum into levels for
     keys with very many distinct values."""
     keys = _cols(keys)
-    counts = df.groupBy(*keys, order_col).agg(F.count(F.lit(1)).alias("_n"))
+    counted = df if where is None else df.where(where)
+    counts = counted.groupBy(*keys, order_col).agg(F.count(F.lit(1)).alias("_n"))
     ranks = sequence.prefix_sum(counts, keys, [order_col], "_n", "_before", bucket=bucket,
                                 descending=descending)
-    ranks = ranks.select(*keys, order_col, (F.col("_before") + 1).alias(out))
+    ranks = ranks.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate([*keys, order_col])],
+                         (F.col("_before") + 1).alias(out))
     # null-safe join on the order value (NULL dates still get a rank)
-    cond = [df[k].eqNullSafe(ranks[k]) for k in keys + [order_col]]
-    return df.join(ranks, cond).select(df["*"], ranks[out])
+    cond = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate([*keys, order_col])]
+    joined = df.join(ranks, cond) if where is None else df.join(ranks, [*cond, where], "left")
+    return joined.select(*[F.col(c) for c in df.columns], out)
 
 
 def nth_in_group(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str],

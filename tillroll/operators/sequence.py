@@ -13,11 +13,14 @@ previous one.  The work is recursive:
 3. at the top, the elements of a key are its coarsest buckets, windowed per
    key.
 
-Every window therefore holds at most the number of sub-buckets of one parent
-bucket (e.g. 1,440 minutes of a day, ~30 days of a month), and a key with a
-third of all rows is spread over all of its finest buckets.  Each level's
-summary is an aggregate of rows that are already partitioned by that level's
-keys, and is joined back on them, so the big side is not shuffled again.
+A window above the finest level holds the sub-buckets of one parent bucket
+(e.g. 1,440 minutes of a day); the finest one holds the rows of one finest
+bucket, so that one must be fine enough to bound them (e.g. a range of ids).
+
+``previous_value`` and ``run_totals`` read their input once: what a bucket
+settles stays as it is, only its edges meet the parent's other buckets (one
+shuffle per level, no join).  ``islands`` and ``prefix_sum`` number rows along a
+whole key; they join each level's summary back, which reads the input twice.
 """
 
 from __future__ import annotations
@@ -122,19 +125,10 @@ def _run_offsets(el: DataFrame, keys: list[str], order: list[str], levels: list[
     return el.drop("_lfirst", "_lopens", "_lacc", "_popens", "_poffset")
 
 
-def _previous(el: DataFrame, keys: list[str], order: list[str], levels: list[list[str]], lv: str) -> DataFrame:
-    """Add ``_prev``: the previous element's ``lv`` in its key (NULL first)."""
-    if not levels:
-        return el.withColumn("_prev", F.lag(lv).over(Window.partitionBy(*keys).orderBy(*_order(order))))
-    part = [*keys, *_flat(levels)]
-    w = Window.partitionBy(*part).orderBy(*_order(order))
-    el = el.withColumn("_lfirst", F.lag(F.lit(1)).over(w).isNull()).withColumn("_lprev", F.lag(lv).over(w))
-    summary = el.groupBy(*part).agg(F.max_by(lv, _seq(order)).alias("_slv"))
-    summary = _previous(summary, keys, _flat(levels), levels[:-1], "_slv").select(
-        *part, F.col("_prev").alias("_pprev"))
-    el = el.join(summary, part)
-    el = el.withColumn("_prev", F.when(F.col("_lfirst"), F.col("_pprev")).otherwise(F.col("_lprev")))
-    return el.drop("_lfirst", "_lprev", "_pprev")
+def _lane(closed: Column, levels: list[list[str]]) -> list[Column]:
+    """A further window key: closed elements go by their own finest bucket
+    (they meet nothing any more), the others of a parent share one lane."""
+    return [F.when(closed, F.xxhash64(*levels[-1])).alias("_lane")] if levels else []
 
 
 def _sql_order(c: str, descending: bool) -> Column:
@@ -183,12 +177,68 @@ def previous_value(df: DataFrame, key: str, order_cols: Sequence[str], bucket: C
 
     ``order_cols`` must be a total order within ``key``; ``bucket`` is one
     coarsening of it or a list of coarsenings from coarse to fine (e.g.
-    ``[to_date(ts), date_trunc('minute', ts)]`` for ``order_cols=[ts, id]``).
+    ``[to_date(ts), date_trunc('second', ts)]`` for ``order_cols=[ts, id]``).
+    The input is read once: a bucket's inner rows know their previous value,
+    its first and last row meet those of the parent's other buckets.
+    """
+    b, levels = _with_levels(df, bucket)
+    el, ks = _with_keys(b, [key])
+    el = el.withColumns({"_prev": F.lit(None).cast(df.schema[value].dataType), "_first": F.lit(True),
+                         "_edge": F.lit(True)})
+    for depth in range(len(levels), -1, -1):
+        below = levels[depth:depth + 1]
+        if below:
+            el = el.withColumn("_lane", _lane(~F.col("_edge"), [_flat(levels[:depth + 1])])[0])
+        part = [*ks, *_flat(levels[:depth]), *(["_lane"] if below else [])]
+        w = Window.partitionBy(*part).orderBy(*_order(order_cols))
+        el = el.withColumns({
+            "_prev": F.when(F.col("_first"), F.lag(value).over(w)).otherwise(F.col("_prev")),
+            "_begins": F.lag(F.lit(1)).over(w).isNull(),
+            "_ends": F.lead(F.lit(1)).over(w).isNull()})
+        el = el.withColumns({"_first": F.col("_first") & F.col("_edge") & F.col("_begins"),
+                             "_edge": F.col("_edge") & (F.col("_begins") | F.col("_ends"))}).drop("_lane")
+    return (el.withColumnRenamed("_prev", out)
+              .drop("_first", "_edge", "_begins", "_ends", *ks, *_flat(levels)))
+
+
+def run_totals(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column | Sequence[Column], value: str,
+               measure: str, out: str, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per run of equal ``value`` (runs as in ``islands``): ``key``,
+    ``carry`` (their values in the run's first row) and ``out``, the sum of
+    ``measure`` over the run.
+
+    The input is read once and not joined back: runs are numbered and summed
+    inside a bucket; its inner runs are finished, its first and last run go up
+    and may join those of the parent's other buckets, level by level.
     """
     b, levels = _with_levels(df, bucket)
     b, ks = _with_keys(b, [key])
-    res = _previous(b, ks, list(order_cols), levels, value)
-    return res.withColumnRenamed("_prev", out).drop(*ks, *_flat(levels))
+    held = [f"_c{i}" for i in range(len(carry))]
+    el = b.select(*ks, *_flat(levels), _seq(order_cols).alias("_seq"), F.col(value).alias("_fv"),
+                  F.col(value).alias("_lv"), F.col(measure).alias("_sum"),
+                  *[F.col(c).alias(h) for c, h in zip(carry, held)],
+                  F.lit(False).alias("_closed"), F.lit(False).alias("_starts"))
+    for depth in range(len(levels), -1, -1):
+        below = levels[depth:depth + 1]
+        if below:
+            el = el.withColumn("_lane", _lane(F.col("_closed"), [_flat(levels[:depth + 1])])[0])
+        part = [*ks, *_flat(levels[:depth]), *(["_lane"] if below else [])]
+        w = Window.partitionBy(*part).orderBy("_seq")
+        opens = (F.when(F.col("_starts") | F.lag(F.lit(1)).over(w).isNull(), 1)
+                 .when(F.lag("_lv").over(w) != F.col("_fv"), 1).otherwise(0))
+        el = el.withColumn("_opens", opens).withColumn(
+            "_no", F.sum("_opens").over(w.rowsBetween(_BEFORE, Window.currentRow)))
+        el = el.groupBy(*part, "_no").agg(
+            F.min_by("_fv", "_seq").alias("_fv"), F.max_by("_lv", "_seq").alias("_lv"), F.sum("_sum").alias("_sum"),
+            *[F.min_by(h, "_seq").alias(h) for h in held], F.min("_seq").alias("_seq"),
+            F.bool_or("_closed").alias("_closed"))
+        if depth:
+            # a later run of its bucket starts there, whatever the run before it in the parent is
+            last = F.max("_no").over(Window.partitionBy(*part))
+            el = (el.withColumn("_closed", F.col("_closed") | ((F.col("_no") > 1) & (F.col("_no") < last)))
+                    .withColumn("_starts", F.col("_closed") | (F.col("_no") > 1)).drop("_lane", "_no"))
+    return el.select(F.when(~F.col(ks[0]), F.col(ks[1])).alias(key),
+                     *[F.col(h).alias(c) for c, h in zip(carry, held)], F.col("_sum").alias(out))
 
 
 def islands(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column | Sequence[Column],

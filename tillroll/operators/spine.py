@@ -6,18 +6,17 @@ keys -- a generator, not a join -- so it is produced where the keys are and
 grows linearly with them.  The running window then runs over one key's
 *periods* (a handful of rows), never over its raw events.
 
-For a short fixed calendar the spine needs no join or window at all:
-``month_columns`` sums every month of the calendar as its own column in one
-grouped pass (every key gets a row, NULL for months without events), and
-``running_rows`` turns those columns into spine rows with the running total
-computed as column arithmetic.
+For a few fixed months the spine needs no join or window at all:
+``month_columns`` sums each as its own column in one grouped pass (every key
+gets a row, NULL for months without events).  For a whole calendar
+``running_rows`` sums per (key, month) first and lays the months out per key.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -75,17 +74,16 @@ def month_columns(df: DataFrame, key: str, date_col: str, value, first_month: dt
                                  for i, d in enumerate(calendar(first_month, months))])
 
 
-def running_rows(per_key: DataFrame, key: str, first_month: dt.date, months: int, prefix: str = "_m",
-                 month: str = "month", amount: str = "amount", running: str = "running") -> DataFrame:
-    """Spine rows (key, month, amount, running) from ``month_columns``:
-    ``amount`` is the month's sum with 0 for none, ``running`` the sum of the
-    months up to it, NULL until the key's first month with rows."""
-    cols = [F.col(f"{prefix}{i}") for i in range(months)]
-    entries = []
-    for i, d in enumerate(calendar(first_month, months)):
-        upto = cols[: i + 1]
-        total = sum((F.coalesce(c, F.lit(0)) for c in upto[1:]), F.coalesce(upto[0], F.lit(0)))
-        run = F.when(F.coalesce(*upto).isNull(), F.lit(None)).otherwise(total)
-        entries.append(F.struct(F.lit(d).alias(month), F.coalesce(cols[i], F.lit(0)).alias(amount),
-                                run.alias(running)))
-    return per_key.select(key, F.inline(F.array(*entries)))
+def running_rows(monthly: DataFrame, key: str, month: str, value: str, first: Column, last: Column,
+                 amount: str = "amount", running: str = "running") -> DataFrame:
+    """Spine rows (key, month, amount, running) from one row per (key, month):
+    every key gets every month from ``first`` to ``last``; ``amount`` is the
+    month's ``value`` with 0 for none, ``running`` the sum of the months up to
+    it, NULL until the key's first month with rows.  A key holds its months
+    only, so the work grows with the rows and not with the calendar's square."""
+    known = F.when(F.col(month).isNotNull(), F.struct(F.col(month), F.col(value)))
+    per_key = monthly.groupBy(key).agg(F.map_from_entries(F.collect_list(known)).alias("_by_month"))
+    grid = per_key.select(key, "_by_month", F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias(month))
+    grid = grid.select(key, month, F.try_element_at("_by_month", F.col(month)).alias("_net"))
+    return running_total(grid, key, month, "_net", running).select(
+        key, month, F.coalesce("_net", F.lit(0)).alias(amount), running)
