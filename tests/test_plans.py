@@ -70,6 +70,11 @@ def test_windows_never_partition_raw_rows_by_customer_alone(plan):
         assert "windowspecdefinition(_k0n, _k0v, _b0n, _b0v" in p, key   # (encoded customer, bucket)
 
 
+def test_sequences_read_their_input_once(plan):
+    for key in ("avg_run_duration", "next_plan_after_trial", "downgrades_in_year"):
+        assert plan(key).count("FileScan") == 1, key
+
+
 def test_top_one_is_take_ordered(plan):
     for key in ("top_item", "largest_delivered_order"):
         assert "TakeOrderedAndProject" in plan(key), key
