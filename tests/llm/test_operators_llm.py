@@ -266,6 +266,28 @@ def test_ngram_lm(docs, given, none):
     assert ngram_lm.lm_scores(none, crc(7) != 2).count() == 0
 
 
+def test_ngram_lookup_searches_where_words_were_stored(tmp_path):
+    from tillroll.llm.chunks import bucket_cuts
+
+    buckets = 36  # no power of two
+    near = [(i << 64) // buckets + d for i in range(1, buckets) for d in (-70_000, -1, 0, 1, 70_000, 1 << 31)]
+    w = np.unique(np.array(near, np.uint64))
+    word = np.unique(w >> np.uint64(16))
+    for keys, at, names in ((w, w, ("token", "count")), (word, word << np.uint64(16), ("word", "left"))):
+        cuts = bucket_cuts(at, buckets)
+        for b, (x, y) in enumerate(zip(cuts, cuts[1:])):
+            ngram_lm._save(str(tmp_path), f"{names[0]}-{b}", keys[x:y])
+            ngram_lm._save(str(tmp_path), f"{names[1]}-{b}", np.ones(y - x, np.int64))
+    model = {"buckets": buckets, "tokens": len(w), "kinds": len(w), "hot": np.array([ngram_lm.BEGIN]),
+             "hot_stats": np.zeros((1, 4), np.int64), "d1": np.array([0, 0.5, 1, 1.5]), "d2": np.zeros(4),
+             "left": len(word), "rest": 0.5 * len(word)}
+    n, known, base, score = ngram_lm._score(model, ngram_lm._Maps(str(tmp_path)), w,
+                                            np.append(ngram_lm.BEGIN, w[:-1]), np.array([0]))
+    assert n.tolist() == known.tolist() == [len(w)]
+    assert math.isclose(base[0], len(w) * math.log10(2 / (2 * len(w) + 1)))
+    assert math.isclose(score[0], len(w) * math.log10(0.5 / len(word) + 0.5 / (len(w) + 1)))
+
+
 # -- 5 multiset hash --------------------------------------------------------------------------------
 
 def test_multiset_hash_is_homomorphic(spark):

@@ -12,6 +12,7 @@ grows with the input, nothing else does).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -134,10 +135,20 @@ def unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(d.view(np.uint64).ravel(), dtype=np.uint64)
 
 
+@lru_cache(4)
+def bucket_starts(buckets: int) -> np.ndarray:
+    """Where each of ``buckets`` equal ranges of the 64-bit space starts."""
+    return np.array([(i << 64) // buckets for i in range(buckets)], dtype=np.uint64)
+
+
 def bucket_cuts(values: np.ndarray, buckets: int) -> np.ndarray:
     """Positions where each of ``buckets`` equal ranges of the 64-bit space starts in sorted values."""
-    starts = np.array([(i << 64) // buckets for i in range(buckets)], dtype=np.uint64)
-    return np.append(np.searchsorted(values, starts), len(values))
+    return np.append(np.searchsorted(values, bucket_starts(buckets)), len(values))
+
+
+def bucket_of(values: np.ndarray, buckets: int) -> np.ndarray:
+    """The range of ``bucket_cuts`` that each value lies in."""
+    return np.searchsorted(bucket_starts(buckets), values, side="right") - 1
 
 
 def own_columns(docs: DataFrame, *taken: str) -> list[str]:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import hashing
-from tillroll.llm.chunks import bucket_cuts, pack_sorted, steps, text_buffers, unpack_sorted
+from tillroll.llm.chunks import bucket_cuts, bucket_of, pack_sorted, steps, text_buffers, unpack_sorted
 from tillroll.llm.graph import cut
 from tillroll.llm.suffix_dedup import _arrays, _blob
 from tillroll.session import checkpoint_dir
@@ -69,10 +69,6 @@ class _Maps:
         return self.open[name]
 
 
-def _bucket(x: np.ndarray, buckets: int) -> np.ndarray:
-    return ((x >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-
-
 def _pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return hashing.mix(v ^ hashing.mix(w))
 
@@ -273,7 +269,7 @@ def train(docs: DataFrame, text_col: str = "text") -> dict:
 
 def _pair_bucket(v: np.ndarray, w: np.ndarray, model: dict) -> np.ndarray:
     is_hot = np.isin(v, model["hot"])
-    return _bucket(np.where(is_hot, hashing.mix(_pair(v, w)), v), model["buckets"])
+    return bucket_of(np.where(is_hot, hashing.mix(_pair(v, w)), v), model["buckets"])
 
 
 def _lookup(maps: _Maps, keys: np.ndarray, bucket: np.ndarray, sorted_name: str, value_name: str, width: int = 0):
@@ -299,15 +295,16 @@ def _score(model: dict, maps: _Maps, tok, before, starts):
     """Per document: tokens, known tokens, base score, model score."""
     buckets = model["buckets"]
     w, of = np.unique(tok, return_inverse=True)
-    c = _lookup(maps, w, _bucket(w, buckets), "token", "count")
-    left = _lookup(maps, w >> np.uint64(16), _bucket(w, buckets), "word", "left")
+    c = _lookup(maps, w, bucket_of(w, buckets), "token", "count")
+    word = w >> np.uint64(16)
+    left = _lookup(maps, word, bucket_of(word << np.uint64(16), buckets), "word", "left")
     d1, uniform = model["d1"], 1.0 / (model["kinds"] + 1)
     if model["left"]:
         p1 = (left - d1[np.minimum(left, 3)]) / model["left"] + model["rest"] / model["left"] * uniform
     else:
         p1 = np.full(len(w), uniform)
     v, of_v = np.unique(before, return_inverse=True)
-    stats = _lookup(maps, v, _bucket(v, buckets), "context", "stats", 4)
+    stats = _lookup(maps, v, bucket_of(v, buckets), "context", "stats", 4)
     hot = np.searchsorted(model["hot"], v)
     is_hot = model["hot"][np.minimum(hot, len(model["hot"]) - 1)] == v
     stats[is_hot] = model["hot_stats"][hot[is_hot]]
