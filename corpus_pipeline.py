@@ -6,7 +6,7 @@ it kept; all but the last return the columns of ``documents``.
 1. language ID: a document without a letter, or whose language is unsure
    (posterior under ``LEAST_SURE``), is rejected; a missing lang is filled in.
 2. SimHash near-dedup: of each group of linked documents the one with the
-   smallest id stays.
+   smallest id stays (one without an id only where no other has one).
 3. substring dedup: words that repeat a 50-word passage of a document with a
    smaller id go; a document that loses all its words goes.
 4. mixing: every document as often as the mix takes it (0 to 3 times).
@@ -35,7 +35,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash_dedup(docs).select(*docs.columns)
+    return simhash_dedup(docs, null_ids=True).select(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

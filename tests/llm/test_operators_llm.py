@@ -132,6 +132,24 @@ def test_trie_join_finds_every_link(spark, block):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, groups.values()))
 
 
+def test_simhash_dedup_keeps_one_row_of_every_component(spark):
+    text = [" ".join(f"{c}{i}" for i in range(80)) for c in "abcde"]
+    near = [t + " " + t for t in text]  # same shingles but for three
+    rows = [(3, text[0]), (5, near[0]), (5, text[1]), (5, text[2]), (7, text[1]), (None, text[2]),
+            (None, text[3]), (None, near[3]), (None, text[3]), (9, text[4]), (9, text[4]), (9, near[4])]
+    t = spark.createDataFrame(rows, "doc_id long, text string")
+    label = {}
+    fp = {r.t: r.fp for r in simhash.fingerprints(t.selectExpr("text as t0", "text"), "t0").withColumnRenamed("id", "t").collect()}
+    for c, (a, b) in enumerate(zip(text, near)):
+        assert ((fp[a] ^ fp.get(b, fp[a])) & (1 << 64) - 1).bit_count() <= 4
+        label[a] = label[b] = c
+    import corpus_pipeline as P
+    want = [(3, 0), (5, 1), (5, 2), (9, 4)]
+    for kept, nulls in ((simhash.simhash_dedup(t.repartition(3)), [(None, 2)] + [(None, 3)] * 3),
+                        (P.drop_near_duplicates(spark, t.repartition(3), ""), [(None, 3)])):
+        assert sorted([(r.doc_id, label[r.text]) for r in kept.collect()], key=str) == sorted(want + nulls, key=str)
+
+
 # -- 3 packing --------------------------------------------------------------------------------------
 
 def test_packing(docs, none):

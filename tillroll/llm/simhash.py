@@ -255,28 +255,40 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     An empty table gives an empty table.
     """
     fps = cut(fingerprints(docs, id_col, text_col, words))
+    root, least = _roots(fps, max_bits)
+    named = root.join(least, "root").select("fp", F.col("first").alias("component_id"))
+    return fps.join(named, "fp").select("id", "fp", "component_id")
+
+
+def _roots(fps: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, root) of all distinct fingerprints and (root, first): the smallest id of each component."""
     values = cut(fps.groupBy("fp").agg(F.min("id").alias("first")))
     member = components(links(values.select("fp"), max_bits))
     root = values.join(member, values.fp == member.node, "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     # values are distinct, so a component has at most as many rows here as different fingerprints
-    least = root.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = root.join(least, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("id", "fp", "component_id")
+    return root.select("fp", "root"), root.groupBy("root").agg(F.min("first").alias("first"))
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                  max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, one row per id.
-
-    Rows with a NULL id have no place in a component order; they stay.  Rows
-    that share an id are copies or versions of one document: the one with the
-    smallest text hash stays.  Columns are those of ``docs``.
+                  max_bits: int = MAX_BITS, null_ids: bool = False) -> DataFrame:
+    """One row of every component of ``docs``: the one with the smallest id.
+
+    Rows of a component that share the smallest id are copies or versions: the
+    one with the smallest text hash stays.  Rows that share an id but lie in
+    different components are different documents: each component keeps its
+    own.  Rows with a NULL id stay; with ``null_ids`` they are rows like
+    others, after all ids: one stays where its component has no id.  Columns
+    are those of ``docs``.
     """
-    keep = simhash_components(docs, id_col, text_col, words, max_bits).where("id = component_id").select(
-        F.col("id").alias("__keep")).distinct()
-    own = own_columns(docs, "__keep", "__n")
-    named = docs.where(F.col(id_col).isNotNull()).join(keep, F.col(id_col) == F.col("__keep"), "left_semi")
-    w = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    one = named.withColumn("__n", F.row_number().over(w)).where("__n = 1").select(*own)
-    return one.unionByName(docs.where(F.col(id_col).isNull()).select(*own))
+    own = own_columns(docs, "__row")
+    # written once, so that the row numbers below hold for both reads
+    rows = cut(docs.select(*own).withColumn("__row", F.monotonically_increasing_id()))
+    place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                     F.xxhash64(text_col).alias("hash"), F.col("__row").alias("row"))
+    fps = fingerprints(rows.select(place.alias("place"), F.col(text_col)), "place", text_col, words)
+    keep = _roots(fps, max_bits)[1].select(F.col("first.row").alias("__row"))
+    if null_ids:
+        return rows.join(keep, "__row", "left_semi").select(*own)
+    named, rest = rows.where(F.col(id_col).isNotNull()), rows.where(F.col(id_col).isNull())
+    return named.join(keep, "__row", "left_semi").select(*own).unionByName(rest.select(*own))
