@@ -357,6 +357,19 @@ def test_toxicity(docs, none, spark):
     assert toxicity.score_toxicity(none, labels, crc(3) != 1).count() == 0
 
 
+def test_toxicity_counts_all_training_rows(spark):
+    words = [f"word{i}" for i in range(40)]
+    ids = spark.range(400).withColumn("y", (F.col("id") % 2).cast("int"))
+    u = F.shiftrightunsigned(F.xxhash64("id", F.lit(5)), 11) / float(1 << 53)  # rows=20 of 200 a class are sampled
+    # every toxic text outside the sample has the marker, no other text
+    rows = [(r.id, " ".join(words[(r.id + k) % 40] for k in range(8)) + (" zqxjvk" if r.y and not r.inside else ""), r.y)
+            for r in ids.select("id", "y", (u < 0.1).alias("inside")).collect()]
+    t = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(t.select("doc_id", "text"), t.select("doc_id", "toxic"), F.lit(True), rows=20, kept=64)
+    marker = [int(f[0]) for f, _ in toxicity._grams(np.frombuffer(b"zqxjvk", np.uint8), np.array([0, 6]))]
+    assert all(model["table"][f] >= 0 for f in marker)
+
+
 # -- 1 language ID ----------------------------------------------------------------------------------
 
 def test_forward_algorithm_sums_all_segmentations():

@@ -2,9 +2,9 @@
 
 Texts are lower-cased (A-Z) bytes; their 4-, 5- and 6-byte strings are hashed
 to ``FEATURES`` presence features.  Spark counts, per feature, in how many
-training texts of each class it occurs; the log ratio of the smoothed counts
-scales it, and the ``KEPT`` features with the clearest ratios stay.  A
-logistic regression over the scaled features is fitted on a bounded sample
+training texts of each class it occurs, over all of them; the log ratio of the
+smoothed counts scales it, and the ``KEPT`` features with the clearest ratios
+stay.  A logistic regression over the scaled features is fitted on a bounded sample
 (about ``ROWS`` training rows per class, chosen by a hash at that rate).  Scoring reads
 every text whole.
 """
@@ -45,48 +45,50 @@ def _grams(data: np.ndarray, offsets: np.ndarray):
 
 def _present(data, offsets, table: np.ndarray | None):
     """Distinct (document, feature) pairs; with a table, features are its entries >= 0."""
-    size = FEATURES if table is None else KEPT
     keys = []
     for feature, at in _grams(data, offsets):
         if table is not None:
             feature = table[feature]
             some = np.flatnonzero(feature >= 0)
             feature, at = feature[some].astype(np.int64), at[some]
-        keys.append((np.searchsorted(offsets, at, side="right") - 1) * size + feature)
+        keys.append((np.searchsorted(offsets, at, side="right") - 1) * FEATURES + feature)
     key = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
-    return key // size, key % size
+    return key // FEATURES, key % FEATURES
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", rows: int = ROWS) -> dict:
-    """Fit on about ``rows`` labelled documents of each class; ``learn`` says which label rows may be used."""
+        label_col: str = "toxic", rows: int = ROWS, kept: int = KEPT) -> dict:
+    """Count over all label rows that ``learn`` admits, keep ``kept`` features, fit on about ``rows`` documents of each class."""
     rated = labels.where(learn & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)").distinct()
     of_class = {r["y"]: r["count"] for r in rated.groupBy("y").count().collect()}
-    nothing = {"table": np.full(FEATURES, -1, np.int16), "weight": np.zeros(KEPT), "bias": -4.0}
+    nothing = {"table": np.full(FEATURES, -1, np.int16), "weight": np.zeros(kept), "bias": -4.0}
     if len(of_class) < 2:
         return nothing  # one class only: nothing to tell apart
     u = F.shiftrightunsigned(F.xxhash64("id", F.lit(5)), 11) / float(1 << 53)
     # distinct ids, at a rate that leaves about ``rows`` of each class
     pick = rated.where(u < F.when(F.col("y") == 1, rows / of_class[1]).otherwise(rows / of_class[0]))
-    sample = (docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
-              .join(F.broadcast(pick), F.col("doc") == F.col("id")).select("y", "text"))
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    sample = texts.join(F.broadcast(pick), F.col("doc") == F.col("id")).select("y", "text")
+    every = texts.join(rated, F.col("doc") == F.col("id")).select("y", "text")
 
     def count(batches):
+        n, size = np.zeros((2, FEATURES), np.int64), np.zeros(2, np.int64)
         for batch in batches:
             y = batch.column(0).to_numpy()
             data, offsets = text_buffers(batch.column(1))
-            n = np.zeros((2, FEATURES), np.int64)
+            size += np.bincount(y, minlength=2)
             for a, b in steps(offsets):
                 doc, feature = _present(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], None)
                 for c in (0, 1):
                     n[c] += np.bincount(feature[y[a + doc] == c], minlength=FEATURES)
+        if size.any():  # once a task: its rows are bounded by the features
             some = np.flatnonzero(n.any(axis=0))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(some, -1)), pa.array(np.append(n[0, some], (y == 0).sum())),
-                 pa.array(np.append(n[1, some], (y == 1).sum()))], ["feature", "n0", "n1"])
+                [pa.array(np.append(some, -1)), pa.array(np.append(n[0, some], size[0])),
+                 pa.array(np.append(n[1, some], size[1]))], ["feature", "n0", "n1"])
 
-    counts = sample.mapInArrow(count, "feature long, n0 long, n1 long").groupBy("feature").agg(
+    counts = every.mapInArrow(count, "feature long, n0 long, n1 long").groupBy("feature").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     counts = counts.persist()
     size = counts.where("feature = -1").first()
@@ -95,11 +97,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     p, q = F.col("n1") + SMOOTH, F.col("n0") + SMOOTH
     ratio = F.log(p / (size["n1"] + 2 * SMOOTH)) - F.log(q / (size["n0"] + 2 * SMOOTH))
     best = counts.where("feature >= 0").select("feature", ratio.alias("ratio"), (F.abs(ratio) / F.sqrt(1 / p + 1 / q)).alias(
-        "clear")).orderBy(F.desc("clear"), "feature").limit(KEPT).collect()
+        "clear")).orderBy(F.desc("clear"), "feature").limit(kept).collect()
     counts.unpersist()
     table = nothing["table"]
     table[[r["feature"] for r in best]] = np.arange(len(best))
-    ratio = np.zeros(KEPT)
+    ratio = np.zeros(kept)
     ratio[:len(best)] = [r["ratio"] for r in best]
 
     def rows_of(batches):
@@ -113,9 +115,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
                     got[a + i] = feature[cuts[i]:cuts[i + 1]].astype(np.int16).tobytes()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], ["y", "x"])
 
-    # about 2 * rows rows of at most 2 * KEPT bytes
+    # about 2 * rows rows of at most 2 * kept bytes
     data = sorted((r["y"], bytes(r["x"])) for r in sample.mapInArrow(rows_of, "y int, x binary").collect())
-    x = np.zeros((len(data), KEPT), np.float32)
+    x = np.zeros((len(data), kept), np.float32)
     for i, (_, features) in enumerate(data):
         at = np.frombuffer(features, np.int16)
         x[i, at] = ratio[at]
