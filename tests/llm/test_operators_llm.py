@@ -150,6 +150,41 @@ def test_simhash_dedup_keeps_one_row_of_every_component(spark):
         assert sorted([(r.doc_id, label[r.text]) for r in kept.collect()], key=str) == sorted(want + nulls, key=str)
 
 
+def test_trie_blocks_go_on_where_prefixes_are_full(spark):
+    v = [(int(x),) for x in np.arange(300, dtype=np.int64) - 150] + [(5 << 48 | i << 20,) for i in range(100)]
+    fps = spark.createDataFrame(v, "fp long")
+    blocks = simhash._trie_blocks(fps, 10)
+    assert sum(n for _, _, n in blocks) == 400 and max(n for _, _, n in blocks) <= 10
+
+
+# -- chunks -----------------------------------------------------------------------------------------
+
+def test_chunks_hold_even_bytes_and_split_hot_ids(spark):
+    from tillroll.llm import chunks
+
+    rows = [(i, f"short {i}") for i in range(600)] + [(600 + i, f"long {i} " * 150) for i in range(60)]
+    rows += [(50, f"hot {i} " * 12) for i in range(600)] + [(None, f"null {i} " * 12) for i in range(600)]
+    t = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    plan = chunks.chunking(t, "doc_id", "text")
+    size, seen = collections.Counter(), []
+    for r in chunks.packed(t, "doc_id", plan).collect():
+        got = chunks.from_blobs([r.blob], ["doc_id", "text"]).to_pylist()
+        size[r.chunk] += sum(len(x["text"]) + 64 for x in got)
+        seen += [(x["doc_id"], x["text"]) for x in got]
+    assert sorted(seen, key=str) == sorted(rows, key=str)
+    assert max(size.values()) <= 2 * sum(size.values()) / 12
+    got = multiset_hash.edited_fingerprints(t).collect()
+    assert len(got) == len(rows)
+
+
+def test_substring_dedup_of_a_split_id(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(7, f"{words} own{i}") for i in range(400)] + [(9, words), (8, "b " * 10)]
+    t = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.Counter((r.doc_id, r.n_removed) for r in substring_dedup.substring_dedup(t).collect())
+    assert got == {(7, 0): 400, (9, 60): 1, (8, 0): 1}
+
+
 # -- 3 packing --------------------------------------------------------------------------------------
 
 def test_packing(docs, none):

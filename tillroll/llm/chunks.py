@@ -4,13 +4,15 @@ Operators that visit every text more than once (count something, learn which
 counts repeat elsewhere, apply the answer) work on chunks: a chunk holds the
 documents of one id range (about ``chunk_bytes`` of text), whatever columns
 they have, as a few zstd-compressed Arrow blobs.  One exchange by chunk number
-feeds all visits of a plan, blobs make it about half the size of rows, and a
-chunk is small enough for one task at any input size (the number of chunks
-grows with the input, nothing else does).
+feeds all visits of a plan, blobs make it about half the size of rows.  Bounds are
+quantiles of the bytes, and an id with more than a chunk is split by text hash,
+so a chunk is small enough for one task at any input size, but for a single
+text, or exact copies of one under one id, that are larger.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -24,20 +26,38 @@ CHUNK_BYTES = 8 << 20
 # numpy work inside a chunk goes in steps of about this many bytes of text
 STEP_BYTES = 1 << 20
 NULL_ID = -(1 << 63)
+NO_TIE = -(1 << 63)
+ROW_BYTES = 64  # what a row weighs besides its text
+MARKS = 64
 
 
 @dataclass(frozen=True)
 class Chunking:
-    """Size of a document table and the id bounds of its chunks."""
+    """Size of a document table and the (id, text hash) where each chunk but the first starts."""
 
     rows: int
     text_bytes: int
-    bounds: tuple[int, ...]
+    bounds: tuple[tuple[int, int], ...]
 
     @property
     def chunks(self) -> int:
         return len(self.bounds) + 1
 
+    @property
+    def ranges(self) -> np.ndarray:
+        """Id range of each chunk; chunks that share a split id have the same."""
+        return np.cumsum([0, *(tie == NO_TIE for _, tie in self.bounds)])
+
+    def position(self, ids: np.ndarray, ties: np.ndarray) -> np.ndarray:
+        """Chunk of each row."""
+        starts = np.array(self.bounds, np.int64).reshape(-1, 2)
+        low, at = (np.searchsorted(starts[:, 0], ids, side=s) for s in ("left", "right"))
+        several = at - low > 1
+        for k in np.unique(low[several]).tolist():
+            rows = np.flatnonzero(several & (low == k))
+            at[rows] = k + np.searchsorted(starts[k:at[rows[0]], 1], ties[rows], side="right")
+        return at
+
     def buckets(self, items: int, per_bucket: int, least: int = 8) -> int:
         """How many hash buckets hold ``items`` at ``per_bucket`` each."""
         return max(least, -(-items // per_bucket))
@@ -45,36 +65,57 @@ class Chunking:
 
 def chunking(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int = CHUNK_BYTES,
              least: int = 12) -> Chunking:
-    """Measure the table (one aggregate) and choose id bounds at even row quantiles."""
-    size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0))).first()
-    n = max(least, -(-int(size[1]) // chunk_bytes))
-    fractions = [i / n for i in range(1, n)]
-    at = docs.agg(F.percentile_approx(F.col(id_col).cast("long"), fractions, max(10_000, 20 * n))).first()[0]
-    return Chunking(int(size[0]), int(size[1]), tuple(sorted(set(at or ()))))
+    """Measure the table and choose bounds at even quantiles of its bytes.
 
-
-def packed(docs: DataFrame, id_col: str, plan: Chunking) -> DataFrame:
+    Quantiles are taken over marks, one for about every 1 / ``MARKS`` of a
+    chunk (rows shorter than that by chance).  An id that holds several
+    quantiles has a range of its own, split by text hash.
+    """
+    size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0))).first()
+    total = int(size[1]) + ROW_BYTES * int(size[0])
+    n = max(least, -(-total // chunk_bytes))
+    weight = F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + ROW_BYTES
+    marks = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(text_col).alias("tie"),
+        F.floor(weight / max(1, total // (MARKS * n)) + F.rand(42)).cast("int").alias("n"))
+    marks = marks.select("id", "tie", F.explode(F.array_repeat(F.lit(0), F.col("n"))))
+
+    def quantiles(column, parts):
+        return F.percentile_approx(column, [i / parts for i in range(1, parts)], max(10_000, 20 * parts))
+
+    hits = Counter(marks.agg(quantiles("id", n)).first()[0] or ())
+    split = {x: k for x, k in hits.items() if k > 1}
+    bounds = {(x, NO_TIE) for x in hits}
+    if split:
+        m = max(split.values()) + 1
+        for x, ties in marks.where(F.col("id").isin(list(split))).groupBy("id").agg(quantiles("tie", m)).collect():
+            parts = split[x] + 1
+            bounds |= {(x, ties[round(j * m / parts) - 1]) for j in range(1, parts)}
+        bounds |= {(x + 1, NO_TIE) for x in split if x + 1 < 1 << 63}
+    return Chunking(int(size[0]), int(size[1]), tuple(sorted(bounds)))
+
+
+def packed(docs: DataFrame, id_col: str, plan: Chunking, text_col: str = "text") -> DataFrame:
     """(chunk int, blob binary): all columns of the documents of a chunk; a NULL id sorts first."""
-    where = docs.columns.index(id_col)
-    bounds = np.array(plan.bounds, dtype=np.int64)
+    where, width = docs.columns.index(id_col), len(docs.columns)
 
     def deal(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids = pc.fill_null(batch.column(where).cast(pa.int64()), NULL_ID).to_numpy(zero_copy_only=False)
-            chunk = np.searchsorted(bounds, ids, side="right")
+            chunk = plan.position(ids, batch.column(width).to_numpy(zero_copy_only=False))
             order = np.argsort(chunk, kind="stable")
             chunk = chunk[order]
             cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(chunk)]
-            table = pa.Table.from_batches([batch]).take(pa.array(order))
+            table = pa.Table.from_batches([batch]).select(list(range(width))).take(pa.array(order))
             names = [f"c{i}" for i in range(table.num_columns)]
             table = table.rename_columns(names)
             blobs = [to_blob(table.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(chunk[cuts[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())], ["chunk", "blob"])
 
-    return docs.mapInArrow(deal, "chunk int, blob binary")
+    return docs.select("*", F.xxhash64(text_col).alias("__tie")).mapInArrow(deal, "chunk int, blob binary")
 
 
 def to_blob(table: pa.Table) -> bytes:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillroll.llm.chunks import chunking
+from tillroll.llm.chunks import NULL_ID, chunking
 
 EXACT = 8
 SKETCH = 128
@@ -105,14 +105,15 @@ def _literal(values) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
 
 
-def _position(bounds, x: Column) -> Column:
-    """How many of the sorted bounds are <= x, by binary search."""
+def _position(bounds, x: Column, tie: Column) -> Column:
+    """How many of the sorted bounds are <= (x, tie), by binary search."""
     if not bounds:
         return F.lit(0)
-    at = _literal(bounds)
+    ids, ties = (_literal(b) for b in zip(*bounds))
     powers = [1 << k for k in reversed(range(len(bounds).bit_length()))]
     return F.aggregate(F.array(*[F.lit(p) for p in powers]), F.lit(0),
-                       lambda lo, step: F.when(F.get(at, lo + step - 1) <= x, lo + step).otherwise(lo))
+                       lambda lo, step: F.when((F.get(ids, lo + step - 1) < x) | (
+                           (F.get(ids, lo + step - 1) == x) & (F.get(ties, lo + step - 1) <= tie)), lo + step).otherwise(lo))
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -125,7 +126,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     plan = chunking(docs, id_col, text_col)
     t = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     t = t.withColumn("tie", F.xxhash64("text")).withColumn(
-        "home", F.coalesce(_position(plan.bounds, F.col("id").cast("long")), F.lit(0)))
+        "home", _position(plan.bounds, F.coalesce(F.col("id").cast("long"), F.lit(NULL_ID)), F.col("tie")))
     first = {r["home"]: r["f"] for r in t.groupBy("home").agg(  # one row per range
         F.min(F.struct(F.col("id").isNotNull().alias("some"), F.col("id").cast("long").alias("id"), "tie")).alias("f")).collect()}
     homes = sorted(first)

@@ -1,8 +1,8 @@
 """SimHash near-dedup: fingerprints of word shingles, linked by a binary trie self-join.
 
 The trie of all distinct fingerprints is cut into blocks of at most
-``BLOCK`` values (by a histogram of the top 16 bits, whatever their
-distribution).  Pairs of blocks whose prefixes already differ in more than the
+``BLOCK`` values (by a histogram of the top 16 bits and, where these are too
+full, of the next ones, whatever their distribution).  Pairs of blocks whose prefixes already differ in more than the
 allowed bits are never formed; every other pair is one task row.  A task
 traverses nodes of the two subtrees together, adds a bit whenever the sides
 part, drops a pair of nodes once the budget is exceeded, and compares values
@@ -29,6 +29,7 @@ WORDS = 4
 MAX_BITS = 4
 BLOCK = 32_768
 TOP = 16
+MORE = 8
 LEAF = 12
 SEED = 42
 
@@ -165,27 +166,50 @@ def trie_links(a: np.ndarray, b: np.ndarray | None, max_bits: int) -> np.ndarray
 
 # -- blocks of the trie ---------------------------------------------------------------------------
 
-def _blocks(counts: np.ndarray, most: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Cut the trie of 16-bit prefixes into blocks of at most ``most`` values: (block of each prefix, (depth, prefix) of each block)."""
+def _blocks(counts: np.ndarray, most: int, depth: int = 0, prefix: int = 0) -> list[tuple[int, int, int]]:
+    """Cut the trie under a prefix, from the counts of its next bits: (depth, prefix, values), at most ``most`` if they suffice."""
+    top = len(counts).bit_length() - 1
     total = np.concatenate([[0], np.cumsum(counts)])
-    of, blocks, todo = np.zeros(1 << TOP, np.int32), [], [(0, 0)]
+    blocks, todo = [], [(0, 0)]
     while todo:
-        depth, prefix = todo.pop()
-        lo, hi = prefix << (TOP - depth), (prefix + 1) << (TOP - depth)
-        n = total[hi] - total[lo]
+        d, p = todo.pop()
+        lo, hi = p << (top - d), (p + 1) << (top - d)
+        n = int(total[hi] - total[lo])
         if not n:
             continue
-        if n <= most or depth == TOP:
-            of[lo:hi] = len(blocks)
-            blocks.append((depth, prefix))
+        if n <= most or d == top:
+            blocks.append((depth + d, prefix << d | p, n))
         else:
-            todo += [(depth + 1, 2 * prefix), (depth + 1, 2 * prefix + 1)]
-    return of, blocks
+            todo += [(d + 1, 2 * p), (d + 1, 2 * p + 1)]
+    return blocks
 
 
-def _block_pairs(blocks: list[tuple[int, int]], max_bits: int) -> list[tuple[int, int]]:
+def _trie_blocks(fps: DataFrame, block: int) -> list[tuple[int, int, int]]:
+    """Blocks of the distinct values of ``fps``, in order; prefixes too full at one depth are counted ``MORE`` bits further."""
+    hist = fps.groupBy(F.shiftrightunsigned("fp", 64 - TOP).cast("int").alias("p")).count().collect()  # 65,536 rows at most
+    counts = np.zeros(1 << TOP, np.int64)
+    for r in hist:
+        counts[r["p"]] = r["count"]
+    most = max(block, int(counts.sum()) // 4096)
+    done, blocks, depth = [], _blocks(counts, most), TOP
+    while blocks:
+        done += [x for x in blocks if x[2] <= most]
+        full = {p: np.zeros(1 << MORE, np.int64) for _, p, n in blocks if n > most}  # fewer than 4096, all at this depth
+        blocks = []
+        if full:
+            for r in (fps.where(F.shiftrightunsigned("fp", 64 - depth).isin(list(full)))
+                      .groupBy(F.shiftrightunsigned("fp", 64 - depth - MORE).alias("p")).count().collect()):
+                p = r["p"] % (1 << 64)
+                full[p >> MORE][p & (1 << MORE) - 1] = r["count"]
+            for p, counts in full.items():
+                blocks += _blocks(counts, most, depth, p)
+            depth += MORE
+    return sorted(done, key=lambda x: x[1] << (64 - x[0]))
+
+
+def _block_pairs(blocks: list[tuple[int, int, int]], max_bits: int) -> list[tuple[int, int]]:
     """Pairs of blocks whose prefixes differ in at most ``max_bits`` of the bits that both have."""
-    depth, prefix = (np.array(x, np.int64) for x in zip(*blocks))
+    depth, prefix = (np.array(x, np.uint64) for x in list(zip(*blocks))[:2])
     out = []
     for i in range(len(blocks)):
         d = np.minimum(depth[i], depth[i:])
@@ -197,13 +221,10 @@ def _block_pairs(blocks: list[tuple[int, int]], max_bits: int) -> list[tuple[int
 def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """Spanning forest (u, v) of all links between the distinct values of ``fps`` (column fp)."""
     spark = fps.sparkSession
-    hist = fps.groupBy(F.shiftrightunsigned("fp", 64 - TOP).cast("int").alias("p")).count().collect()  # 65,536 rows at most
-    if not hist:
+    blocks = _trie_blocks(fps, block)
+    if not blocks:
         return spark.createDataFrame([], "u long, v long")
-    counts = np.zeros(1 << TOP, np.int64)
-    for r in hist:
-        counts[r["p"]] = r["count"]
-    of, blocks = _blocks(counts, max(block, int(counts.sum()) // 4096))
+    starts = np.array([p << (64 - d) for d, p, _ in blocks], np.uint64)
     pairs = [(k, a, b) for k, (a, b) in enumerate(_block_pairs(blocks, max_bits))]
 
     def deal(batches):
@@ -211,9 +232,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
             fp = np.sort(batch.column(0).to_numpy().view(np.uint64))
             if not len(fp):
                 continue
-            at = of[(fp >> np.uint64(64 - TOP)).astype(np.int64)]
-            order = np.argsort(at, kind="stable")
-            fp, at = fp[order], at[order]
+            at = (np.searchsorted(starts, fp, side="right") - 1).astype(np.int32)
             cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at[cuts[:-1]]), pa.array([pack_sorted(fp[x:y]) for x, y in zip(cuts, cuts[1:])], pa.binary())],

@@ -5,9 +5,9 @@ counted in Spark; repeated windows merge into maximal removal intervals.
    windows and sends every distinct hash once (sorted, as differences) to the
    bucket of its hash range: a window that a third of all documents share is
    one value per chunk.
-2. A bucket finds, per hash, the smallest chunk that has it.  Chunks are id
-   ranges, so every other chunk's occurrences have a smaller document
-   elsewhere: it is told so with one bit per hash it sent.
+2. A bucket finds, per hash, the smallest id range that has it (chunks are id
+   ranges, or share one id): chunks of later ranges have a smaller document
+   elsewhere and are told so with one bit per hash they sent.
 3. Each chunk hashes its windows again, applies the bits, compares documents
    of its own by id, and merges the flagged windows into intervals.
 
@@ -78,8 +78,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = own_columns(docs, "n_words", "n_removed", "removed")
     docs = docs.select(*own)
     plan = chunking(docs, id_col, text_col)
+    ranges = plan.ranges
     buckets = plan.buckets(plan.text_bytes // 5, PER_BUCKET)
-    chunks = packed(docs, id_col, plan)
+    chunks = packed(docs, id_col, plan, text_col)
 
     def read(table: pa.Table):
         d = from_blobs(table.column("blob"), own)
@@ -105,7 +106,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         order = np.argsort(h, kind="stable")
         later = np.zeros(len(h), bool)
         s = h[order]
-        later[order[1:]] = s[1:] == s[:-1]
+        r = np.repeat(ranges[t.column("chunk").to_numpy()], [len(p) for p in parts])[order]
+        first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+        later[order] = r > np.repeat(r[first], np.diff(np.append(first, len(s))))
         ends = np.cumsum([len(p) for p in parts])
         bits = [later[e - len(p):e] for p, e in zip(parts, ends)]
         some = [i for i, b in enumerate(bits) if b.any()]

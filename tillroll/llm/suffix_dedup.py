@@ -159,7 +159,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = docs.select(*own)
     plan = chunking(docs, id_col, text_col)
     buckets = plan.buckets(plan.text_bytes, BUCKET_BYTES)
-    chunks = packed(docs, id_col, plan)
+    chunks = packed(docs, id_col, plan, text_col)
     i32, binary = pa.int32(), pa.binary()
 
     def read(table: pa.Table):
