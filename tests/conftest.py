@@ -14,10 +14,3 @@ def spark():
     from tillroll.session import build_session
     s = build_session("local[4]", shuffle_partitions=4)
     yield s
-
-
-def rows(df, *cols):
-    """Collected rows as tuples (optionally of selected columns), sorted."""
-    if cols:
-        df = df.select(*cols)
-    return sorted((tuple(r) for r in df.collect()), key=repr)

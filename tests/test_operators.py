@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import lifecycle, lists, quantiles, ranking, sequence, spine
 from tillroll.sources import dims
 
-from conftest import rows
+from helpers import rows
 
 
 def _sequence_rows(seed=3, n=600):
