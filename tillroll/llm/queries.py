@@ -84,9 +84,37 @@ def op10_simhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
                     "component_id")
 
 
+def op11_secret_scan(spark: SparkSession, root: str) -> DataFrame:
+    from tillroll.llm.secrets import BASE, find_secrets
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    r = find_secrets(_documents(spark, root).select("doc_id", "text"))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    return r.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE],
+                    F.sha2(listed(of(*BASE)), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def op12_token_alignment(spark: SparkSession, root: str) -> DataFrame:
+    from tillroll.llm.token_alignment import align, link_counts
+
+    aligned = align(_documents(spark, root).select("doc_id", "text"))
+    digest = F.when(F.col("groups") != "", F.sha2("groups", 256)).otherwise(F.lit(""))
+    r = link_counts(aligned.withColumn("groups_sha256", digest).drop("groups"))
+    return r.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_lexical_search(spark: SparkSession, root: str) -> DataFrame:
+    from tillroll.llm.lexical_search import search
+
+    return search(_documents(spark, root), spark.read.parquet(f"{root}/benchmark.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_suffix_dedup, op3_best_fit_packing, op4_substring_dedup, op5_multiset_fingerprint, op6_ngram_lm,
-    op7_pareto_mixing, op8_toxicity, op9_nearest_neighbours, op10_simhash_near_dedup)}
+    op7_pareto_mixing, op8_toxicity, op9_nearest_neighbours, op10_simhash_near_dedup, op11_secret_scan,
+    op12_token_alignment, op13_lexical_search)}
 
 # The others have no SQL form: hashes (XXH64, crc32 of token ids), learned models, random ranks, tokenisers or
 # approximate search.  They are held against brute force, exact recomputation or held-out rows in tests/llm.
@@ -108,4 +136,32 @@ ORACLE: dict[str, str] = {
         select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed,
                sha256(coalesce(kept, '')) as kept_sha256
         from w left join kept using (doc_id)""",
+    "op13_lexical_search": """
+        with doc as (
+            select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms
+            from documents),
+        asked as (
+            select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+            from benchmark),
+        q as (select item_id, term, count(*) as times from asked group by all),
+        size as (select count(*) as docs, sum(len(terms))::bigint as total from doc where len(terms) > 0),
+        tf as (
+            select r, term, count(*) as tf
+            from (select r, unnest(terms) as term from doc) where term in (select term from q) group by all),
+        df as (select term, count(*) as df from tf group by 1),
+        w as (select term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::bigint as w from df, size),
+        part as (
+            select r, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(terms) * docs) // total))) as part
+            from tf join w using (term) join doc using (r), size),
+        score as (
+            select item_id, r, sum(times * part)::bigint as score from q join part using (term) group by all),
+        ranked as (
+            select item_id, doc_id, score,
+                   row_number() over (partition by item_id order by score desc, doc_id) as rank
+            from score join doc using (r) where score > 0)
+        select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10""",
 }
