@@ -28,10 +28,11 @@ from tillroll.llm.chunks import from_blobs, own_columns, steps, text_buffers, to
 from tillroll.llm.graph import cut
 from tillroll.llm.tokens import SPECIAL, Encoder, vocabulary
 
-STEP_BYTES = 2 << 20   # text of one batch in lockstep
+STEP_BYTES = 1 << 19   # text of one batch in lockstep
+KEPT = 150_000         # words whose A ids a worker remembers
 LANE = 256             # tokens after which a document walks in a further place
-PAIRS = 1 << 21        # links that are expanded at once
-CHUNK_PAIRS = 1 << 20  # (document, pair) entries of a chunk
+PAIRS = 1 << 18        # links that are expanded at once
+CHUNK_PAIRS = 1 << 19  # (document, pair) entries of a chunk
 TAKEN = ("n_a", "n_b", "n_groups", "n_links", "groups", "link_a", "link_b", "link_n")
 _made: dict = {}
 
@@ -67,6 +68,8 @@ class _Pair:
 
     def encode(self, texts: list) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """(A ids, B ids) of each text; None where there are no tokens."""
+        if len(self.a._parts) > KEPT:
+            self.a._parts.clear()
         from_b = self.b.encode([t or "" for t in texts], num_threads=1)
         out = []
         for t, b in zip(texts, from_b):
