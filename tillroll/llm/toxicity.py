@@ -7,10 +7,16 @@ smoothed counts scales it, and the ``KEPT`` features with the clearest ratios
 stay.  A logistic regression over the scaled features is fitted on a bounded sample
 (about ``ROWS`` training rows per class, chosen by a hash at that rate).  Scoring reads
 every text whole.
+
+Texts meet their labels compressed, by a join that stays the same at every
+size (Spark splits a hot id).  A task sends its counts as a few compressed
+blobs, one per range of features, and the ranges are added up as they arrive.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,11 +24,13 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import hashing
 from tillroll.llm.chunks import steps, text_buffers
+from tillroll.llm.graph import cut
 
 LENGTHS = (4, 5, 6)
 FEATURES = 1 << 20
 KEPT = 2048
 ROWS = 3000
+RANGES = 64  # ranges of features that counts are sent in
 SMOOTH = 1.0
 PENALTY = 1.0
 ROUNDS = 300
@@ -56,6 +64,61 @@ def _present(data, offsets, table: np.ndarray | None):
     return key // FEATURES, key % FEATURES
 
 
+def _compressed(texts: DataFrame) -> DataFrame:
+    """(doc, z): every text compressed by itself; z of a NULL text is that of an empty one."""
+    kind = texts.schema["doc"].dataType.simpleString()
+
+    def run(batches):
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1, write_checksum=False).compress
+        for batch in batches:
+            z = pa.array([pack((t or "").encode()) for t in batch.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), z], ["doc", "z"])
+
+    return texts.mapInArrow(run, f"doc {kind}, z binary")
+
+
+def _class_counts(batches):
+    """A task's (range, counts): in how many texts of either class each feature of the range occurs; range -1: texts."""
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    n, size = np.zeros((2, FEATURES), np.int64), np.zeros(2, np.int64)
+    for batch in batches:
+        y = batch.column(0).to_numpy()
+        size += np.bincount(y, minlength=2)
+        raw = [unpack(z) for z in batch.column(1).to_pylist()]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        offsets = np.cumsum([0, *map(len, raw)])
+        for a, b in steps(offsets):
+            doc, feature = _present(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], None)
+            for c in (0, 1):
+                n[c] += np.bincount(feature[y[a + doc] == c], minlength=FEATURES)
+    if size.any():  # once a task: bounded by the features
+        parts = [size, *np.moveaxis(n.reshape(2, RANGES, -1), 1, 0)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(-1, RANGES), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in parts], pa.binary())],
+            ["range", "counts"])
+
+
+def _added(parts: DataFrame) -> DataFrame:
+    """(feature, n0, n1) of all features that occur, and -1 with the number of texts, from the tasks' blobs."""
+    def run(batches):
+        total: dict = {}
+        for batch in batches:
+            for r, z in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                got = np.frombuffer(zlib.decompress(z), np.int64).reshape(2, -1)
+                total[r] = total[r] + got if r in total else got
+        for r, n in total.items():
+            some = np.flatnonzero(n.any(axis=0))
+            feature = some + r * (FEATURES // RANGES) if r >= 0 else np.full(len(some), -1)
+            yield pa.RecordBatch.from_arrays([pa.array(feature), pa.array(n[0, some]), pa.array(n[1, some])],
+                                             ["feature", "n0", "n1"])
+
+    return parts.repartition(RANGES, "range").mapInArrow(run, "feature long, n0 long, n1 long")
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", rows: int = ROWS, kept: int = KEPT) -> dict:
     """Count over all label rows that ``learn`` admits, keep ``kept`` features, fit on about ``rows`` documents of each class."""
@@ -70,27 +133,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     pick = rated.where(u < F.when(F.col("y") == 1, rows / of_class[1]).otherwise(rows / of_class[0]))
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     sample = texts.join(F.broadcast(pick), F.col("doc") == F.col("id")).select("y", "text")
-    every = texts.join(rated, F.col("doc") == F.col("id")).select("y", "text")
-
-    def count(batches):
-        n, size = np.zeros((2, FEATURES), np.int64), np.zeros(2, np.int64)
-        for batch in batches:
-            y = batch.column(0).to_numpy()
-            data, offsets = text_buffers(batch.column(1))
-            size += np.bincount(y, minlength=2)
-            for a, b in steps(offsets):
-                doc, feature = _present(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], None)
-                for c in (0, 1):
-                    n[c] += np.bincount(feature[y[a + doc] == c], minlength=FEATURES)
-        if size.any():  # once a task: its rows are bounded by the features
-            some = np.flatnonzero(n.any(axis=0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(some, -1)), pa.array(np.append(n[0, some], size[0])),
-                 pa.array(np.append(n[1, some], size[1]))], ["feature", "n0", "n1"])
-
-    counts = every.mapInArrow(count, "feature long, n0 long, n1 long").groupBy("feature").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    counts = counts.persist()
+    every = _compressed(texts).hint("merge").join(rated, F.col("doc") == F.col("id")).select("y", "z")
+    counts = cut(_added(every.mapInArrow(_class_counts, "range int, counts binary")))
     size = counts.where("feature = -1").first()
     if size is None or not size["n0"] or not size["n1"]:
         return nothing
@@ -98,7 +142,6 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     ratio = F.log(p / (size["n1"] + 2 * SMOOTH)) - F.log(q / (size["n0"] + 2 * SMOOTH))
     best = counts.where("feature >= 0").select("feature", ratio.alias("ratio"), (F.abs(ratio) / F.sqrt(1 / p + 1 / q)).alias(
         "clear")).orderBy(F.desc("clear"), "feature").limit(kept).collect()
-    counts.unpersist()
     table = nothing["table"]
     table[[r["feature"] for r in best]] = np.arange(len(best))
     ratio = np.zeros(kept)
