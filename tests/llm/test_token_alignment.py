@@ -93,6 +93,17 @@ def test_groups_follow_the_lanes():
             assert (a0 == np.append(0, a1[:-1])).all() and (b0 == np.append(0, b1[:-1])).all()
 
 
+def test_words_by_themselves():
+    """Ids of B put together from words are those of the whole text."""
+    rnd = np.random.default_rng(4)
+    pair = ta._Pair.of(None, None, None)
+    parts = ["the", "▁", "▁▁", " ", "a", "\n", "\t", "日本", "🎉", "ing", "Thé", "0", "</s>", "<unk>", "'", "\u00a0", "é", "tion", "x" * 30]
+    texts = ["".join(parts[i] + (" " if rnd.random() < 0.5 else "") for i in rnd.integers(0, len(parts), int(rnd.integers(1, 12))))
+             for _ in range(3000)]
+    for t, ids in zip(texts, pair._b(texts)):
+        assert ids.tolist() == pair.b.encode(t), t
+
+
 def test_query(spark, given):
     got = {r.doc_id: tuple(r)[1:] for r in op12_token_alignment(spark, "/root/testdata/sf0.001").collect()}
     rows = given.select("doc_id", "text").collect()

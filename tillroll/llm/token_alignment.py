@@ -17,6 +17,8 @@ back to the chunks that hold the pair.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -29,7 +31,7 @@ from tillroll.llm.graph import cut
 from tillroll.llm.tokens import SPECIAL, Encoder, vocabulary
 
 STEP_BYTES = 1 << 19   # text of one batch in lockstep
-KEPT = 150_000         # words whose A ids a worker remembers
+KEPT = 150_000         # words whose ids a worker remembers
 LANE = 256             # tokens after which a document walks in a further place
 PAIRS = 1 << 18        # links that are expanded at once
 CHUNK_PAIRS = 1 << 19  # (document, pair) entries of a chunk
@@ -56,6 +58,7 @@ class _Pair:
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
         # decimal ids followed by what separates them: , in a group, | after its A ids, ; after the group
+        self._parts: dict[str, bytes] = {}
         self.text = [f"{i}{c}" for n, c in ((len(self.a_bytes), ","), (len(self.a_bytes), "|"),
                                             (len(self.b_bytes), ","), (len(self.b_bytes), ";")) for i in range(n)]
 
@@ -66,23 +69,36 @@ class _Pair:
             _made[key] = cls(key[0], reference or vocabulary("byte_bpe_50k.json"), key[1])
         return _made[key]
 
+    def _b(self, texts: list[str]) -> list[np.ndarray]:
+        """B ids of texts.  No piece but those of blanks alone holds a blank behind its first character, so words
+        between single blanks are encoded by themselves; short ones are remembered, new ones are encoded together."""
+        split = [t.split(" ") for t in texts]
+        whole = [i for i, words in enumerate(split) if "" in words or "▁" in texts[i]]  # a blank at an end or next to another
+        for i, ids in zip(whole, self.b.encode([texts[i] for i in whole], num_threads=1)):
+            split[i] = np.array(ids, np.int64)
+        known = self._parts
+        new = list({w for words in split if isinstance(words, list) for w in words if w not in known})
+        long = {}
+        for w, ids in zip(new, self.b.encode(new, num_threads=1)):
+            (known if len(w) <= 24 else long)[w] = array("i", ids).tobytes()
+        return [words if isinstance(words, np.ndarray) else np.frombuffer(b"".join([
+            known[w] if w in known else long[w] for w in words]), np.int32).astype(np.int64) for words in split]
+
     def encode(self, texts: list) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """(A ids, B ids) of each text; None where there are no tokens."""
-        if len(self.a._parts) > KEPT:
-            self.a._parts.clear()
-        from_b = self.b.encode([t or "" for t in texts], num_threads=1)
-        out = []
-        for t, b in zip(texts, from_b):
-            got = None
-            if t:
-                spaced = " " + t
-                raw = spaced.encode()
-                # a special token's string is ordinary text
-                a = np.frombuffer(self.a._ids(spaced) if SPECIAL in t else self.a(spaced), "<u4").astype(np.int64)
-                if (b"".join(map(self.b_bytes.__getitem__, b)) == raw
-                        and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw):
-                    got = a, np.array(b, np.int64)
-            out.append(got)
+        for known in (self.a._parts, self._parts):
+            if len(known) > KEPT:
+                known.clear()
+        some = [i for i, t in enumerate(texts) if t]
+        out: list = [None] * len(texts)
+        for i, b in zip(some, self._b([texts[i] for i in some])):
+            spaced = " " + texts[i]
+            raw = spaced.encode()
+            # a special token's string is ordinary text
+            a = np.frombuffer(self.a._ids(spaced) if SPECIAL in spaced else self.a(spaced), "<u4").astype(np.int64)
+            if (b"".join(map(self.b_bytes.__getitem__, b.tolist())) == raw
+                    and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw):
+                out[i] = a, b
         return out
 
 
