@@ -2,6 +2,7 @@
 holds a large share of the rows."""
 
 import datetime as dt
+import math
 import random
 from collections import Counter
 
@@ -44,36 +45,66 @@ def test_islands_and_previous_value_match_row_walk(spark):
     data = _sequence_rows()
     df = spark.createDataFrame(data, "k long, d date, seq long, v string")
     run_of, prev_of = _brute_runs(data)
-    got = sequence.islands(df, "k", ["d", "seq"], F.col("d"), "v", out="run").select("seq", "run").collect()
-    assert {r.seq: r.run for r in got} == run_of
-    got = sequence.previous_value(df, "k", ["d", "seq"], F.col("d"), "v", "p").select("seq", "p").collect()
-    assert {r.seq: r.p for r in got} == prev_of
+    for size in (None, 16, 64):                   # whole keys; key 0 cut into many and into few buckets
+        got = sequence.islands(df, "k", ["d", "seq"], "v", out="run", rows=size).select("seq", "run").collect()
+        assert {r.seq: r.run for r in got} == run_of
+        got = sequence.previous_value(df, "k", ["d", "seq"], "v", "p", rows=size).select("seq", "p").collect()
+        assert {r.seq: r.p for r in got} == prev_of
 
 
 def test_islands_null_continues_the_run(spark):
     # the walk increments only when prev <> cur is TRUE; NULL compares unknown
     df = spark.createDataFrame([(1, 1, "A"), (1, 2, None), (1, 3, "A"), (1, 4, "B"), (1, 5, None)],
                                "k long, seq long, v string")
-    got = rows(sequence.islands(df, "k", ["seq"], F.floor(F.col("seq") / 2), "v", out="run"), "seq", "run")
+    got = rows(sequence.islands(df, "k", ["seq"], "v", out="run"), "seq", "run")
     assert got == [(1, 1), (2, 1), (3, 1), (4, 2), (5, 2)]
+    many = spark.createDataFrame([(1, i, None if i % 3 == 0 else "A") for i in range(200)], "k long, seq long, v string")
+    assert {r.run for r in sequence.islands(many, "k", ["seq"], "v", out="run", rows=8).collect()} == {1}
 
 
-def test_islands_bucket_choice_does_not_change_result(spark):
-    data = _sequence_rows(seed=11)
+def test_a_hot_key_is_cut_and_spread(spark):
+    """Without any hint a key with a third of the rows lies in many buckets of a bounded size, the others in none."""
+    data = _sequence_rows(seed=11, n=3000)
     df = spark.createDataFrame(data, "k long, d date, seq long, v string")
-    a = rows(sequence.islands(df, "k", ["d", "seq"], F.col("d"), "v", out="run"), "seq", "run")
-    b = rows(sequence.islands(df, "k", ["d", "seq"], F.trunc("d", "month"), "v", out="run"), "seq", "run")
-    c = rows(sequence.islands(df, "k", ["d", "seq"], F.lit(0), "v", out="run"), "seq", "run")
-    assert a == b == c
-    # hierarchies of buckets, coarse to fine, give the same runs and lags
-    run_of, prev_of = _brute_runs(data)
-    for levels in ([F.trunc("d", "month"), F.col("d")],
-                   [F.col("d"), F.floor(F.col("seq") / 3)],
-                   [F.trunc("d", "month"), F.col("d"), F.floor(F.col("seq") / 5)]):
-        got = sequence.islands(df, "k", ["d", "seq"], levels, "v", out="run").select("seq", "run").collect()
-        assert {r.seq: r.run for r in got} == run_of
-        got = sequence.previous_value(df, "k", ["d", "seq"], levels, "v", "p").select("seq", "p").collect()
-        assert {r.seq: r.p for r in got} == prev_of
+    b, bounds = sequence.with_buckets(df, ["k"], ["d", "seq"], 64)
+    sizes = {(r.k, r[sequence.BUCKET]): r["count"] for r in b.groupBy("k", sequence.BUCKET).count().collect()}
+    hot = {bucket: n for (k, bucket), n in sizes.items() if k == 0}
+    assert None not in hot and 10 <= len(hot) <= bounds and max(hot.values()) <= 5 * 64
+    assert sum(hot.values()) == sum(r[0] == 0 for r in data)
+    # buckets follow the order: no row of a later bucket comes before one of an earlier bucket
+    edges = (b.where("k = 0").groupBy(sequence.BUCKET).agg(F.min(F.struct("d", "seq")).alias("lo"), F.max(F.struct("d", "seq")).alias("hi"))
+             .orderBy(sequence.BUCKET).collect())
+    assert all(x.hi < y.lo for x, y in zip(edges, edges[1:]))
+    # a small table is not even sampled
+    assert sequence.with_buckets(df, ["k"], ["d", "seq"])[1] == 0
+
+
+def test_islands_carry_values_of_the_first_row(spark):
+    data = _sequence_rows(seed=4)
+    df = spark.createDataFrame(data, "k long, d date, seq long, v string")
+    first = {}
+    for k, d, seq, _ in sorted(data, key=lambda r: (r[0], r[1], r[2])):
+        first.setdefault(k, seq)
+    for size in (None, 16):
+        got = sequence.islands(df, "k", ["d", "seq"], "v", out="run", rows=size, first={"first_seq": "seq"}).collect()
+        assert len(got) == len(data) and all(r.first_seq == first[r.k] for r in got)
+
+
+def test_row_number_and_prefix_sum_on_a_hot_key(spark):
+    data = _sequence_rows(seed=8)
+    df = spark.createDataFrame(data, "k long, d date, seq long, v string")
+    for descending in (False, True):
+        want, sums = {}, {}
+        for key in {r[0] for r in data}:
+            total = 0
+            for n, r in enumerate(sorted((r for r in data if r[0] == key), key=lambda r: r[1:3], reverse=descending), 1):
+                want[r[2]], sums[r[2]] = n, total
+                total += r[2]
+        for size in (None, 16):
+            got = sequence.row_number(df, "k", ["d", "seq"], "n", descending, size)
+            assert {r.seq: r.n for r in got.collect()} == want
+            got = sequence.prefix_sum(df, "k", ["d", "seq"], "seq", "s", descending, size)
+            assert {r.seq: r.s for r in got.collect()} == sums
 
 
 def test_percentile_cont_matches_linear_interpolation(spark):
@@ -177,23 +208,54 @@ def test_ingredient_totals_is_multiset_algebra(spark):
     assert got == {names[k]: v for k, v in total.items() if v > 0}
 
 
-def test_bucketed_rank_and_percentile_equal_plain(spark):
+def test_rank_on_hot_keys_and_ties(spark):
     rnd = random.Random(21)
-    data = [(0 if rnd.random() < 0.5 else rnd.randrange(1, 6), rnd.randrange(0, 500)) for _ in range(700)]
-    df = spark.createDataFrame(data, "k int, x long")
-    plain = rows(ranking.rank_within(df, "k", "x", out="r"), "k", "x", "r")
-    for bucket in (F.floor(F.col("x") / 50), [F.floor(F.col("x") / 100), F.floor(F.col("x") / 10)]):
-        assert rows(ranking.rank_within(df, "k", "x", out="r", bucket=bucket), "k", "x", "r") == plain
-    # brute-force rank: 1 + values strictly smaller in the key
-    expect = sorted((k, x, 1 + sum(1 for kk, xx in data if kk == k and xx < x)) for k, x in data)
-    assert sorted(plain) == expect
-    desc = rows(ranking.rank_within(df, "k", "x", out="r", descending=True,
-                                    bucket=F.floor(F.col("x") / 50)), "k", "x", "r")
-    assert sorted(desc) == sorted((k, x, 1 + sum(1 for kk, xx in data if kk == k and xx > x)) for k, x in data)
-    probs = {"p50": 0.5, "p90": 0.9}
-    a = rows(quantiles.percentile_cont(df, ["k"], "x", probs))
-    b = rows(quantiles.percentile_cont(df, ["k"], "x", probs, bucket=F.floor(F.col("x") / 64)))
-    assert a == b
+    # key 0 is hot; half of its rows tie on one value
+    data = [(0 if rnd.random() < 0.5 else rnd.randrange(1, 6), rnd.choice([250, rnd.randrange(0, 500)]), i) for i in range(700)]
+    df = spark.createDataFrame(data, "k int, x long, id int")
+    for desc in (False, True):
+        want = {i: 1 + sum(1 for kk, xx, _ in data if kk == k and (xx > x if desc else xx < x)) for k, x, i in data}
+        for size in (None, 16, 40):
+            got = ranking.rank_within(df, "k", "x", out="r", descending=desc, rows=size).collect()
+            assert {r.id: r.r for r in got} == want, (desc, size)
+    b, _ = sequence.with_buckets(df.withColumn("t", F.xxhash64("id")), ["k"], ["x", "t"], 16)
+    tied = b.where("k = 0 and x = 250").groupBy(sequence.BUCKET).count().collect()
+    assert len(tied) > 5 and max(r["count"] for r in tied) < 80      # the tied rows are spread too
+    some = ranking.rank_within(df, "k", "x", out="r", where=F.col("id") % 2 == 0, rows=16).collect()
+    assert {r.id: r.r for r in some} == {
+        i: 1 + sum(1 for kk, xx, j in data if kk == k and xx < x and j % 2 == 0) if i % 2 == 0 else None for k, x, i in data}
+
+
+def test_all_rows_tie_at_the_extreme(spark):
+    """A key whose rows all tie keeps them all, found by a semi join and not by a window over the key."""
+    df = spark.createDataFrame([(1, 5, i) for i in range(500)] + [(2, i, 500 + i) for i in range(5)], "k int, x int, id int")
+    got = ranking.rows_at_extreme(df, "k", "x")
+    assert {r.id for r in got.collect()} == {*range(501)}
+    assert {r.id for r in ranking.rows_at_extreme(df, "k", "x", largest=True).collect()} == {*range(500), 504}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "LeftSemi" in plan
+
+
+def test_percentiles_of_random_doubles(spark):
+    rnd = np.random.default_rng(2)
+    # one group holds most rows, one a narrow range, one both huge and tiny values, one is NULL
+    data = [("a", float(x)) for x in rnd.lognormal(0, 3, 4000)] + [("b", 1 + float(x) * 1e-12) for x in rnd.random(500)]
+    data += [("c", float(s * 10.0 ** e)) for s, e in zip(rnd.normal(size=300), rnd.integers(-300, 300, 300))]
+    data += [(None, float(x)) for x in rnd.integers(0, 3, 100)] + [("d", 7.5), ("e", None), ("a", None)]
+    df = spark.createDataFrame(data, "g string, x double").repartition(4)
+    probs = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p95": 0.95, "p999": 0.999, "p100": 1.0}
+    for bins in (4, quantiles.BINS):
+        got = {r.g: r for r in quantiles.percentile_cont(df, ["g"], "x", probs, bins).collect()}
+        assert set(got) == {"a", "b", "c", "d", None}
+        for g, r in got.items():
+            xs = np.array([x for gg, x in data if gg == g and x is not None])
+            for name, p in probs.items():
+                pos = p * (len(xs) - 1)
+                lo, hi = np.sort(xs)[[math.floor(pos), math.ceil(pos)]]
+                assert getattr(r, name) == lo + (hi - lo) * (pos - math.floor(pos)), (g, name)
+    whole = quantiles.percentile_cont(df, [], "x", {"m": 0.5}).first().m
+    assert abs(whole - np.median([x for _, x in data if x is not None])) <= 1e-12 * abs(whole)
+    assert quantiles.percentile_cont(df.limit(0), ["g"], "x", probs).count() == 0
 
 
 def test_item_ingredients_orders_equal_names_by_id(spark):
@@ -216,10 +278,10 @@ def test_sequence_null_order_values_come_last(spark):
             (1, dt.date(2024, 1, 2), 3, "B")]
     df = spark.createDataFrame(data, "k long, d date, seq long, v string")
     # order: (01-01,1,A) (01-01,2,B) (01-02,3,B) (NULL,10,A) -> runs 1, 2, 2, 3
-    for bucket in (F.col("d"), [F.trunc("d", "month"), F.col("d")]):
-        got = dict(rows(sequence.islands(df, "k", ["d", "seq"], bucket, "v", out="run"), "seq", "run"))
+    for size in (None, 1):
+        got = dict(rows(sequence.islands(df, "k", ["d", "seq"], "v", out="run", rows=size), "seq", "run"))
         assert got == {1: 1, 2: 2, 3: 2, 10: 3}
-        prev = dict(rows(sequence.previous_value(df, "k", ["d", "seq"], bucket, "v", "p"), "seq", "p"))
+        prev = dict(rows(sequence.previous_value(df, "k", ["d", "seq"], "v", "p", rows=size), "seq", "p"))
         assert prev == {1: None, 2: "A", 3: "B", 10: "B"}
 
 
@@ -229,17 +291,17 @@ def test_null_keys_form_their_own_group(spark):
     assert rows(ranking.nth_in_group(df, "k", ["t", "id"], 2), "id") == [(1,)]
     assert rows(lifecycle.after_first(df, "k", ["t", "id"]), "id") == [(1,), (2,)]
     seq = spark.createDataFrame([(None, 1, "A"), (None, 2, "B")], "k int, s long, v string")
-    assert rows(sequence.islands(seq, "k", ["s"], F.col("s"), "v", out="r"), "s", "r") == [(1, 1), (2, 2)]
+    assert rows(sequence.islands(seq, "k", ["s"], "v", out="r"), "s", "r") == [(1, 1), (2, 2)]
 
 
-def test_bucketed_rank_with_nulls_matches_plain(spark):
+def test_cut_ranks_with_nulls_match_plain(spark):
     data = [(k, None if i % 7 == 0 else (i * 37) % 101) for k in (None, 1, 2) for i in range(40)]
     df = spark.createDataFrame(data, "k int, x long")
     for desc in (False, True):
         plain = rows(ranking.rank_within(df, "k", "x", out="r", descending=desc), "k", "x", "r")
-        for bucket in (F.floor(F.col("x") / 10), [F.floor(F.col("x") / 50), F.floor(F.col("x") / 10)]):
-            assert rows(ranking.rank_within(df, "k", "x", out="r", descending=desc, bucket=bucket),
-                        "k", "x", "r") == plain, (desc, bucket)
+        for size in (1, 8, 16):
+            assert rows(ranking.rank_within(df, "k", "x", out="r", descending=desc, rows=size),
+                        "k", "x", "r") == plain, (desc, size)
 
 
 def test_measures_keep_all_digits_and_ids_split_on_blanks(spark):

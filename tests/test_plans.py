@@ -16,7 +16,9 @@ pytestmark = pytest.mark.skipif(not os.path.exists(ROOT), reason="test tables ab
 def plan(spark):
     """Static physical plan text of a registered query, shaped as for a large
     input: no runtime re-planning, no size-based broadcast."""
+    from tillroll.plans.registry import prepare
     qs = entry.queries()
+    prepare(spark, ROOT)
 
     def get(key):
         old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
@@ -50,10 +52,11 @@ def test_per_item_lists_do_not_shuffle(plan):
         assert "BroadcastHashJoin" in p, key          # only the fixed dimensions meet the items
 
 
-def test_first_and_last_items_limit_groups_before_the_shuffle(plan):
-    for key in ("first_item_per_customer", "first_item_after_joining", "last_item_before_joining",
-                "churn_as_second_event"):
-        assert "WindowGroupLimit" in plan(key), key
+def test_first_and_last_items_need_no_window(plan):
+    for key in ("first_item_per_customer", "first_item_after_joining", "last_item_before_joining"):
+        p = plan(key)
+        assert "Window" not in p and "LeftSemi" in p, key
+    assert "WindowGroupLimit" in plan("churn_as_second_event")
 
 
 def test_snapshot_has_no_window_per_customer(plan):
@@ -61,13 +64,16 @@ def test_snapshot_has_no_window_per_customer(plan):
     assert "windowspecdefinition(customer_id" not in plan("plan_snapshot_as_of")
 
 
-def test_windows_never_partition_raw_rows_by_customer_alone(plan):
-    """Sequence windows are keyed by (customer, bucket) -- both encoded as
-    never-NULL column pairs (_k0n, _k0v, _b0n, _b0v); windows keyed by the customer alone run
-    over per-bucket summaries, after an aggregate."""
-    for key in ("avg_run_duration", "next_plan_after_trial", "downgrades_in_year"):
+def test_hot_customers_are_cut_into_buckets(plan, monkeypatch):
+    """When a sample finds keys with many rows, windows over raw rows are keyed by
+    (customer, bucket); those keyed by the customer alone run over carry rows, which are broadcast."""
+    from tillroll.operators import sequence
+    monkeypatch.setattr(sequence, "BUCKET_ROWS", 16)
+    for key in ("avg_run_duration", "next_plan_after_trial", "downgrades_in_year", "member_order_ranking"):
         p = plan(key)
-        assert "windowspecdefinition(_k0n, _k0v, _b0n, _b0v" in p, key   # (encoded customer, bucket)
+        whole = re.findall(r"windowspecdefinition\(customer_id, ([^)]*)\)", p)
+        assert any(w.startswith("_") for w in whole) and "BroadcastHashJoin" in p, key
+        assert f"hashpartitioning(customer_id, {'_ranked, _lane, ' if key == 'member_order_ranking' else ''}_bucket" in p, key
 
 
 def test_sequences_read_their_input_once(plan):

@@ -1,9 +1,8 @@
-"""Randomised properties (hypothesis): bucketed operators equal brute force on
+"""Randomised properties (hypothesis): operators equal brute force on keys cut into small buckets, on
 data with NULL keys, NULL values, ties and a hot key."""
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tillroll.operators import ranking, sequence
 
@@ -22,8 +21,7 @@ def _sort_key(v):
 @given(ROWS)
 def test_rank_matches_brute_force(spark, data):
     df = spark.createDataFrame([(k, x, i) for i, (k, x, _) in enumerate(data)], "k int, x int, id int")
-    got = {r.id: r.r for r in ranking.rank_within(df, "k", "x", out="r",
-                                                   bucket=F.floor(F.col("x") / 8)).collect()}
+    got = {r.id: r.r for r in ranking.rank_within(df, "k", "x", out="r", rows=4).collect()}
     for i, (k, x, _) in enumerate(data):
         peers = [xx for kk, xx, _ in data if kk == k]
         assert got[i] == 1 + sum(1 for xx in peers if _sort_key(xx) < _sort_key(x)), (i, data)
@@ -34,8 +32,7 @@ def test_rank_matches_brute_force(spark, data):
 def test_islands_match_row_walk(spark, data):
     df = spark.createDataFrame([(k, x, i, v) for i, (k, x, v) in enumerate(data)],
                                "k int, x int, id int, v string")
-    levels = [F.floor(F.col("x") / 16), F.floor(F.col("x") / 4)]
-    got = {r.id: r.run for r in sequence.islands(df, "k", ["x", "id"], levels, "v", out="run").collect()}
+    got = {r.id: r.run for r in sequence.islands(df, "k", ["x", "id"], "v", out="run", rows=2).collect()}
     by_key = {}
     for i, (k, x, v) in enumerate(data):
         by_key.setdefault(k, []).append((_sort_key(x), i, v))
@@ -54,7 +51,7 @@ def test_previous_value_matches_row_walk(spark, data):
     df = spark.createDataFrame([(k, x, i, v) for i, (k, x, v) in enumerate(data)],
                                "k int, x int, id int, v string")
     got = {r.id: r.p for r in sequence.previous_value(
-        df, "k", ["x", "id"], [F.floor(F.col("x") / 16), F.floor(F.col("x") / 4)], "v", "p").collect()}
+        df, "k", ["x", "id"], "v", "p", rows=2).collect()}
     by_key = {}
     for i, (k, x, v) in enumerate(data):
         by_key.setdefault(k, []).append((_sort_key(x), i, v))
@@ -67,14 +64,13 @@ def test_previous_value_matches_row_walk(spark, data):
 
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 200)), min_size=1, max_size=80))
-def test_bucketed_percentiles_match_numpy(spark, data):
+def test_percentiles_match_numpy(spark, data):
     import numpy as np
 
     from tillroll.operators import quantiles
     df = spark.createDataFrame(data, "g int, x long")
     probs = {"p10": 0.1, "p50": 0.5, "p95": 0.95}
-    got = {r.g: r for r in quantiles.percentile_cont(df, ["g"], "x", probs,
-                                                     bucket=F.floor(F.col("x") / 32)).collect()}
+    got = {r.g: r for r in quantiles.percentile_cont(df, ["g"], "x", probs, bins=8).collect()}
     for g in {g for g, _ in data}:
         xs = np.array([x for gg, x in data if gg == g], dtype=float)
         for name, p in probs.items():

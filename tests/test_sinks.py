@@ -22,7 +22,7 @@ def test_ctas_then_insert_select(spark):
     assert got.filter((F.col("rating") < 1) | (F.col("rating") > 5)).count() == 0
 
 
-def test_materialised_builds_once_per_source_version(spark, tmp_path):
+def test_queries_read_a_prepared_copy_of_the_same_sources(spark, tmp_path):
     src = tmp_path / "src.parquet"
     spark.range(10).write.parquet(str(src))
     calls = []
@@ -31,9 +31,13 @@ def test_materialised_builds_once_per_source_version(spark, tmp_path):
         calls.append(1)
         return spark.read.parquet(str(src)).withColumn("twice", F.col("id") * 2)
     name = f"t{uuid.uuid4().hex[:6]}"
-    a = sinks.materialised(spark, name, [str(src)], build)
-    b = sinks.materialised(spark, name, [str(src)], build)
-    assert a.count() == b.count() == 10 and len(calls) == 1
+    folder = os.path.join(checkpoint_dir(spark), "tillroll-tables", "shared")
+    assert sinks.materialised(spark, name, [str(src)], build).count() == 10 and len(calls) == 1
+    assert not [x for x in (os.listdir(folder) if os.path.exists(folder) else []) if x.startswith(name)]   # only read
+    assert sinks.prepare(spark, name, [str(src)], build) and not sinks.prepare(spark, name, [str(src)], build)
+    n = len(calls)
+    assert sinks.materialised(spark, name, [str(src)], build).count() == 10 and len(calls) == n
     spark.range(20).write.mode("overwrite").parquet(str(src))        # new version of the source
-    c = sinks.materialised(spark, name, [str(src)], build)
-    assert c.count() == 20 and len(calls) == 2
+    assert sinks.materialised(spark, name, [str(src)], build).count() == 20 and len(calls) == n + 1
+    assert sinks.prepare(spark, name, [str(src)], build)
+    assert sinks.materialised(spark, name, [str(src)], build).count() == 20

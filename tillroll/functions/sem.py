@@ -76,18 +76,54 @@ def round_half_even(c: str | Column, digits: int = 0) -> Column:
     return F.bround(col(c).cast("double"), digits)
 
 
+_MICROS_OF_DAY = 86_400_000_000
+
+
+def age(end: str | Column, start: str | Column) -> Column:
+    """The calendar difference ``age(end, start)`` of dates or zone-less timestamps: a struct of years, months, days
+    and micros, all of one sign.
+
+    Fields are subtracted from the later to the earlier one; a time of day below
+    zero borrows a day, days below zero borrow the length of the earlier one's
+    month, months below zero borrow a year.  With ``end`` before ``start`` every field is
+    negated.  NULL if either is.
+    """
+    e, s = (col(c).cast("timestamp_ntz") for c in (end, start))
+    sign = F.when(e < s, -1).otherwise(1)
+    lo, hi = F.least(e, s), F.greatest(e, s)
+
+    def micros(t):   # of the day
+        day = F.to_date(t).cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", day, t)
+    time = micros(hi) - micros(lo)
+    days = F.dayofmonth(hi) - F.dayofmonth(lo) - F.when(time < 0, 1).otherwise(0)
+    months = F.month(hi) - F.month(lo) - F.when(days < 0, 1).otherwise(0)
+    years = F.year(hi) - F.year(lo) - F.when(months < 0, 1).otherwise(0)
+    fields = {"years": years, "months": F.when(months < 0, months + 12).otherwise(months),
+              "days": F.when(days < 0, days + F.dayofmonth(F.last_day(lo))).otherwise(days)}
+    micro = F.when(time < 0, time + _MICROS_OF_DAY).otherwise(time)
+    known = e.isNotNull() & s.isNotNull()
+    return F.when(known, F.struct(*[(sign * x).cast("long").alias(n) for n, x in {**fields, "micros": micro}.items()]))
+
+
+def interval_part(field: str, interval: Column) -> Column:
+    """A field of an ``age`` as ``date_part`` gives it: year, month, day, hour, minute, second (whole ones, truncated to zero)."""
+    if field in ("year", "month", "day"):
+        return interval[f"{field}s"]
+    unit, of = {"hour": (3_600_000_000, 24), "minute": (60_000_000, 60), "second": (1_000_000, 60)}[field]
+    t = interval["micros"]
+    whole = F.floor(F.abs(t) / unit) % of      # exact: a day has under 2^53 microseconds
+    return (F.signum(t) * whole).cast("long")
+
+
 def age_day_part(end: str | Column, start: str | Column) -> Column:
-    """Day field of the calendar difference ``age(end, start)`` for dates with
-    ``end >= start``: 0..30, borrowing the length of ``start``'s month, not
-    the total number of days."""
-    e, s = F.to_date(col(end)), F.to_date(col(start))
-    raw = F.dayofmonth(e) - F.dayofmonth(s)
-    return F.when(raw < 0, raw + F.dayofmonth(F.last_day(s))).otherwise(raw)
+    """Day field of ``age(end, start)``, not the total number of days."""
+    return interval_part("day", age(F.to_date(col(end)), F.to_date(col(start))))
 
 
 def age_minute_part(end: str | Column, start: str | Column) -> Column:
-    """Minute field (0..59) of ``age(end, start)`` for timestamps, end >= start."""
-    return F.timestamp_diff("MINUTE", col(start), col(end)) % 60
+    """Minute field (0..59, negative if ``end`` comes first) of ``age(end, start)``."""
+    return interval_part("minute", age(end, start))
 
 
 def whole_days_between(start: str | Column, end: str | Column) -> Column:

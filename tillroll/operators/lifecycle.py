@@ -16,13 +16,6 @@ from pyspark.sql import functions as F
 from . import sequence
 
 
-def _order(order_cols: Sequence[str]) -> Column:
-    """A comparable struct for the order ``order_cols`` with SQL's ascending
-    NULL placement (NULLs last): each column is preceded by its NULL flag."""
-    return F.struct(*[x for i, c in enumerate(order_cols)
-                      for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
-
-
 def snapshot_as_of(df: DataFrame, key: str, order_cols: Sequence[str], time_col: str,
                    at: Column, state_cols: Sequence[str]) -> DataFrame:
     """The row in force at ``at`` for every key: the last row (by
@@ -31,24 +24,22 @@ def snapshot_as_of(df: DataFrame, key: str, order_cols: Sequence[str], time_col:
     per key.  Returns ``key`` + ``state_cols``."""
     packed = F.struct(*[F.col(c).alias(c) for c in state_cols])
     last = (df.filter(F.col(time_col) <= at).groupBy(key)
-              .agg(F.max_by(packed, _order(order_cols)).alias("_s")))
+              .agg(F.max_by(packed, sequence.place(order_cols)).alias("_s")))
     return last.select(key, *[F.col(f"_s.{c}").alias(c) for c in state_cols])
 
 
 def after_first(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:
     """Rows that have a predecessor in their key (``lag(...) is not null``):
     every row except the first one of each key."""
-    first = df.groupBy(F.col(key).alias("_k")).agg(F.min(_order(order_cols)).alias("_first"))
+    first = df.groupBy(F.col(key).alias("_k")).agg(F.min(sequence.place(order_cols)).alias("_first"))
     return (df.join(first, df[key].eqNullSafe(first["_k"]))          # a NULL key is a group too
-              .filter(_order(order_cols) > F.col("_first")).drop("_k", "_first"))
+              .filter(sequence.place(order_cols) > F.col("_first")).drop("_k", "_first"))
 
 
 def with_previous_state(df: DataFrame, key: str, order_cols: Sequence[str], state: str,
-                        out: str, bucket: Column) -> DataFrame:
-    """Add the previous row's ``state`` per key (NULL on the first row);
-    ``bucket`` is a coarsening of the order (e.g. the event's day) that
-    spreads a hot key over tasks."""
-    return sequence.previous_value(df, key, order_cols, bucket, state, out)
+                        out: str) -> DataFrame:
+    """Add the previous row's ``state`` per key (NULL on the first row)."""
+    return sequence.previous_value(df, key, order_cols, state, out)
 
 
 def first_times(df: DataFrame, key: str, state: str, time_col: str, states: dict) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sem
+from . import multiset
 
 EMPTY = "none"
 
@@ -111,8 +112,8 @@ def item_ingredients(items: DataFrame, item_keys: Sequence[str], recipes: DataFr
 
 def ingredient_totals(items: DataFrame, recipes: DataFrame, names: DataFrame,
                       id_col: str, name_col: str, out: str) -> DataFrame:
-    """Global multiset over all items: extras ⊎ (recipe ids ∖all excluded ids)
-    -- ``EXCEPT ALL`` subtracts counts, floored at zero -- counted per name.
+    """Global multiset over all items: extras plus (recipe ids minus all excluded
+    ids) -- ``EXCEPT ALL``, which subtracts counts and stops at zero -- counted per name.
 
     Items are counted per pizza type before meeting the recipe ids (types x
     toppings rows, not items x toppings), exclusions and extras per id; each
@@ -121,14 +122,11 @@ def ingredient_totals(items: DataFrame, recipes: DataFrame, names: DataFrame,
     with_recipe = items.join(recipes.select("pizza_id"), "pizza_id", "left_semi")
     per_type = with_recipe.groupBy("pizza_id").agg(F.count(F.lit(1)).alias("_items"))
     rec = recipes.select("pizza_id", F.explode(ids("toppings")).alias("id"))
-    base = per_type.join(rec, "pizza_id").groupBy("id").agg(F.sum("_items").alias("_base"))
-
-    def tally(c):
-        return (with_recipe.filter(F.col(c) != EMPTY).select(F.explode(ids(c)).alias("id"))
-                .groupBy("id").agg(F.count(F.lit(1)).alias(f"_{c}")))
-    t = (base.join(tally("exclusions"), "id", "full").join(tally("extras"), "id", "full")
-         .na.fill(0, ["_base", "_exclusions", "_extras"]))
-    t = t.select("id", (F.greatest(F.col("_base") - F.col("_exclusions"), F.lit(0)) + F.col("_extras"))
-                 .alias("_n"))
+    used = per_type.join(rec, "pizza_id").select("id", F.col("_items").alias(multiset.COUNT))
+    base = multiset.counted(used, F.col(multiset.COUNT))
+
+    def listed(c):
+        return multiset.counted(with_recipe.filter(F.col(c) != EMPTY).select(F.explode(ids(c)).alias("id")))
+    t = multiset.union_all(multiset.except_all(base, listed("exclusions")), listed("extras"))
     return (t.join(names.withColumnRenamed(id_col, "id"), "id").groupBy(name_col)
-             .agg(F.sum("_n").cast("long").alias(out)).filter(F.col(out) > 0))
+             .agg(F.sum(multiset.COUNT).cast("long").alias(out)))

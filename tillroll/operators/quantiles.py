@@ -1,58 +1,75 @@
-"""Exact continuous percentiles (``percentile_cont``) without gathering a
-group's values into one task.
-
-``percentile(x, p)`` keeps every value of a group in one buffer.  Here the
-values are first counted per ``(group, value)`` (partial aggregation before
-the shuffle); a prefix sum over the *distinct* values of a group turns counts
-into cumulative positions, and the two order statistics around
-``p * (n - 1)`` are picked with conditional ``min`` aggregates and
-interpolated.  Work per group is proportional to its number of distinct
-values, which for integer measures (days, counts) is small however many rows
-the group has; for high-cardinality values the prefix sum can be split into
-value buckets.
+"""Exact continuous percentiles (``percentile_cont``) by distributed selection.
+
+``percentile(x, p)`` keeps every value of a group in one buffer, and a window
+sorts them in one task.  Here the two order statistics around ``p * (n - 1)``
+are found by narrowing the range they lie in:
+
+1. values are counted per ``(group, value)`` (partial aggregation before the
+   shuffle); all that follows reads this one exchange;
+2. a mergeable sketch over these entries gives ``BINS`` cuts of the value axis
+   with about equally many entries between two of them, whatever the
+   distribution and however the groups share it;
+3. rows are counted per group and bin; a window over a group's bins (``BINS`` at
+   most) tells which bins hold the wanted positions, two per percentile;
+4. only the entries of these bins are ordered: about 1 / ``BINS`` of all
+   entries each, also for doubles that never repeat.
+
+The cuts only say where to look: counts are exact, so results don't depend on
+the sketch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import sequence
+from ..functions.search import count_at_most
+
+BINS = 2048
 
 
 def percentile_cont(df: DataFrame, groups: Sequence[str], value: str,
-                    probs: Mapping[str, float], bucket=None) -> DataFrame:
+                    probs: Mapping[str, float], bins: int = BINS) -> DataFrame:
     """One row per group with a double column per ``probs`` entry
     (``name -> p``), equal to ``percentile_cont(p) within group (order by value)``.
-    NULL values are ignored.  ``bucket`` (coarsenings of the value, e.g.
-    ``floor(value / 1000)``) splits the cumulative count over a group's
-    distinct values into levels, for groups with very many distinct values."""
+    NULL values are ignored; NULL is a group of its own."""
     groups = list(groups)
-    hist = (df.filter(F.col(value).isNotNull())
+    hist = (df.where(F.col(value).isNotNull())
               .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")))
-    ranked = sequence.prefix_sum(hist, groups, [value], "_n", "_before", bucket=bucket)
-    if bucket is None:
-        # same partitioning as the prefix sum's window: no second branch
-        ranked = ranked.withColumn("_total", F.sum("_n").over(Window.partitionBy(*groups)))
-    else:
-        # with buckets a group-wide window is what the buckets avoid: join the
-        # (small) per-group totals instead
-        totals = hist.groupBy(*groups).agg(F.sum("_n").alias("_total"))
-        ranked = ranked.join(totals, groups)
-    hist = ranked.select(
+    sketch = F.percentile_approx(value, [i / bins for i in range(1, bins)], 4 * bins).alias("cuts")
+    cuts = hist.agg(F.struct(sketch, F.sum("_n").alias("n"))).scalar()["cuts"]   # the count: the same exchange is read
+    binned = count_at_most(hist, cuts, F.col(value), "_bin", bins)
+
+    sizes = binned.groupBy(*groups, "_bin").agg(F.sum("_n").alias("_rows"))
+    of_group = Window.partitionBy(*groups)
+    earlier = of_group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumns({"_before": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
+                               "_total": F.sum("_rows").over(of_group)})
+
+    def positions(p):
+        pos = F.lit(float(p)) * (F.col("_total") - 1)
+        return pos, F.floor(pos), F.ceil(pos)
+    holds = [(t >= F.col("_before")) & (t < F.col("_before") + F.col("_rows")) for p in probs.values() for t in positions(p)[1:]]
+    wanted = sizes.where(reduce(or_, holds)).select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col("_bin").alias("_wanted"), "_before", "_total")
+    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)]
+    found = binned.join(wanted, [*same, F.col("_bin") == F.col("_wanted")])
+    inside = Window.partitionBy(*groups, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = found.select(
         *groups, F.col(value).cast("double").alias("_v"),
-        (F.col("_before") + F.col("_n")).alias("_end"),       # 0-based positions < _end
+        (F.col("_before") + F.sum("_n").over(inside)).alias("_end"),       # 0-based positions < _end
         "_total")
     aggs = []
     for name, p in probs.items():
-        pos = F.lit(float(p)) * (F.col("_total") - 1)
-        lo, hi = F.floor(pos), F.ceil(pos)
+        pos, lo, hi = positions(p)
         aggs += [F.min(F.when(F.col("_end") > lo, F.col("_v"))).alias(f"_{name}_lo"),
                  F.min(F.when(F.col("_end") > hi, F.col("_v"))).alias(f"_{name}_hi"),
                  F.max(pos - lo).alias(f"_{name}_f")]
-    picked = hist.groupBy(*groups).agg(*aggs)
+    picked = found.groupBy(*groups).agg(*aggs)
     return picked.select(*groups, *[
         (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_f")).alias(n)
         for n in probs])

@@ -4,12 +4,12 @@ A window ``PARTITION BY key`` puts every row of a key into one task, so one
 hot key (a third of all rows) would make one task read a third of the data.
 These operators avoid that:
 
-* ``rows_at_extreme`` (``rank() == 1``) and ``nth_in_group`` (``row_number() = n``)
-  filter right above the window, so a task keeps only its own best rows per
-  key before the one shuffle (``WindowGroupLimit``).
-* ``rank_within`` counts rows per ``(key, value)`` first; the only window then
-  runs over *distinct* order values of a key (a calendar of dates, not rows),
-  and the rank is joined back on ``(key, value)``.
+* ``rows_at_extreme`` (``rank() == 1``) finds each key's extreme by a partial
+  aggregate (one row per key and task is shuffled) and keeps the rows that equal
+  it by a semi join: no window, no sort per key, and rows that tie stay spread;
+* ``nth_in_group`` (``row_number() = n``) filters right above the window, so a
+  task keeps only its own best rows per key before the one shuffle (``WindowGroupLimit``);
+* ``rank_within`` cuts keys with many rows into ranges of their order (``sequence.rank``).
 """
 
 from __future__ import annotations
@@ -22,9 +22,7 @@ from pyspark.sql.window import Window
 
 from . import sequence
 
-
-def _cols(x: str | Sequence[str]) -> list[str]:
-    return [x] if isinstance(x, str) else list(x)
+LANES = 4096
 
 
 def rows_at_extreme(df: DataFrame, keys: str | Sequence[str], order_col: str,
@@ -33,35 +31,29 @@ def rows_at_extreme(df: DataFrame, keys: str | Sequence[str], order_col: str,
     group -- ``rank() over (partition by keys order by order_col) = 1`` with
     ties kept and duplicates preserved.  NULL values rank last in both
     directions (a key with only NULLs returns all its rows)."""
-    best = F.desc_nulls_last(order_col) if largest else F.asc_nulls_last(order_col)
-    w = Window.partitionBy(*_cols(keys)).orderBy(best)
-    # the filter right above the window becomes a WindowGroupLimit: before the
-    # single shuffle a task keeps only the rows at its own extreme per key
-    return df.withColumn("_rank", F.rank().over(w)).where("_rank = 1").drop("_rank")
+    keys = sequence.keys_of(keys)
+    extreme = (F.max if largest else F.min)(order_col).alias("_extreme")
+    best = df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]).agg(extreme)
+    same = [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)]
+    return df.join(best, [*same, F.col(order_col).eqNullSafe(F.col("_extreme"))], "left_semi")
 
 
-def rank_within(df: DataFrame, keys: str | Sequence[str], order_col: str,
-                out: str = "rank", descending: bool = False, bucket=None, where: Column | None = None) -> DataFrame:
+def rank_within(df: DataFrame, keys: str | Sequence[str], order_col: str, out: str = "rank", descending: bool = False,
+                where: Column | None = None, rows: int | None = None, sample: DataFrame | None = None) -> DataFrame:
     """``rank() over (partition by keys order by order_col)`` as column ``out``
     (long); NULL ``order_col`` values sort last ascending and first
     descending, as in SQL.  With ``where`` only the rows it holds for are
-    ranked (among themselves), the others get NULL.
-
-    Rank = 1 + rows with a smaller value: counts per distinct value, then a
-    prefix sum over a key's distinct values.  ``bucket`` (coarsenings of the
-    value, e.g. the day of a timestamp) splits that prefix sum into levels for
-    keys with very many distinct values."""
-    keys = _cols(keys)
-    counted = df if where is None else df.where(where)
-    counts = counted.groupBy(*keys, order_col).agg(F.count(F.lit(1)).alias("_n"))
-    ranks = sequence.prefix_sum(counts, keys, [order_col], "_n", "_before", bucket=bucket,
-                                descending=descending)
-    ranks = ranks.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate([*keys, order_col])],
-                         (F.col("_before") + 1).alias(out))
-    # null-safe join on the order value (NULL dates still get a rank)
-    cond = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate([*keys, order_col])]
-    joined = df.join(ranks, cond) if where is None else df.join(ranks, [*cond, where], "left")
-    return joined.select(*[F.col(c) for c in df.columns], out)
+    ranked (among themselves), the others get NULL.  ``rows`` and ``sample``: see ``sequence``."""
+    keys = sequence.keys_of(keys)
+    if where is None:
+        return sequence.rank(df, keys, order_col, out, descending, rows, sample)
+    # rows that aren't ranked need no order: they go by lanes, so a key with many of them is spread too
+    flagged = df.withColumn("_ranked", F.coalesce(where, F.lit(False)))
+    flagged = flagged.withColumn("_lane", F.when(~F.col("_ranked"), F.pmod(F.xxhash64(order_col, *keys), F.lit(LANES))))
+    if sample is not None:  # as if all its rows were ranked, so enough keys are cut
+        sample = sample.withColumns({"_ranked": F.lit(True), "_lane": F.lit(None).cast("long")})
+    ranked = sequence.rank(flagged, [*keys, "_ranked", "_lane"], order_col, out, descending, rows, sample)
+    return ranked.withColumn(out, F.when(F.col("_ranked"), F.col(out))).drop("_ranked", "_lane")
 
 
 def nth_in_group(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str],
@@ -69,7 +61,7 @@ def nth_in_group(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[
     """The n-th row per key under a total order (``row_number() = n``); keys
     with fewer than ``n`` rows are absent.  A task keeps at most n rows per
     key before the single shuffle (WindowGroupLimit)."""
-    w = Window.partitionBy(*_cols(keys)).orderBy(*[F.asc_nulls_last(c) for c in order_cols])
+    w = Window.partitionBy(*sequence.keys_of(keys)).orderBy(*[F.asc_nulls_last(c) for c in order_cols])
     return df.withColumn("_row", F.row_number().over(w)).where(F.col("_row") == n).drop("_row")
 
 

@@ -1,259 +1,279 @@
-"""Ordered sequences per key: previous value (LAG), runs (gaps and islands).
+"""Ordered sequences per key: previous value (LAG), row numbers, ranks, running
+sums, runs of equal values (gaps and islands).
 
 The plain form is one window ``PARTITION BY key ORDER BY ...``; a hot key then
-sorts in one task.  Here each key's rows are cut into *buckets*: one or more
-coarsenings of the order, coarse to fine (e.g. ``[day, minute]`` of a
-timestamp), each non-decreasing along the order and each refining the
-previous one.  The work is recursive:
-
-1. rows are windowed inside their finest bucket ``(key, b1, ..., bk)``;
-2. each finest bucket becomes one summary element (first value, last value,
-   changes inside); the same problem is then solved on those elements one
-   level up, windowed inside ``(key, b1, ..., bk-1)``, and so on;
-3. at the top, the elements of a key are its coarsest buckets, windowed per
-   key.
-
-A window above the finest level holds the sub-buckets of one parent bucket
-(e.g. 1,440 minutes of a day); the finest one holds the rows of one finest
-bucket, so that one must be fine enough to bound them (e.g. a range of ids).
-
-``previous_value`` and ``run_totals`` read their input once: what a bucket
-settles stays as it is, only its edges meet the parent's other buckets (one
-shuffle per level, no join).  ``islands`` and ``prefix_sum`` number rows along a
-whole key; they join each level's summary back, which reads the input twice.
+sorts in one task.  Here keys with many rows are cut into *buckets*, ranges of
+their order, found without any hint from the caller:
+
+1. a sample of (key, order), one row in ``BUCKET_ROWS / PER_BUCKET`` by hash,
+   shows which keys hold two buckets or more and where to cut them.  A table that
+   takes fewer bytes than a bucket has rows isn't sampled; without such a key the
+   plan is the plain window: one scan, one exchange;
+2. otherwise a row finds its bucket by binary search in the bounds, and the
+   windows run per (key, bucket);
+3. each bucket of a cut key leaves one carry row (its first and last value, its
+   sums).  They are scanned once per key, and what a bucket takes over from the
+   ones before it is joined back by the bucket's number.  There are as many carry
+   rows as bounds, so they are broadcast.
+
+Results don't depend on where the cuts are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.search import count_at_most
+
+BUCKET_ROWS = 4_000_000
+PER_BUCKET = 8           # sampled rows of a bucket
+BUCKET = "_bucket"
 _BEFORE = Window.unboundedPreceding
+_SO_FAR = (_BEFORE, Window.currentRow)
+_EARLIER = (_BEFORE, -1)
+
+# name -> column of a window; later steps may use the names of earlier ones
+Steps = Sequence[Mapping[str, Callable]]
+
 
+def keys_of(x: str | Sequence[str]) -> list[str]:
+    return [x] if isinstance(x, str) else list(x)
 
-def _order(order_cols: Sequence[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in order_cols]
+
+def in_order(order_cols: Sequence[str], descending: bool = False) -> list[Column]:
+    """SQL's default NULL placement: last when ascending, first when descending."""
+    return [F.col(c).desc_nulls_first() if descending else F.col(c).asc_nulls_last() for c in order_cols]
 
 
-def _seq(order_cols: Sequence[str]) -> Column:
-    """The same order as a comparable struct (NULL flag before each value, so
-    NULLs sort last) for min_by / max_by."""
+def place(order_cols: Sequence[str]) -> Column:
+    """The ascending order as a comparable struct (NULL flag before each value, so NULLs sort last)."""
     return F.struct(*[x for i, c in enumerate(order_cols)
                       for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
 
 
-def _zero(dtype) -> Column | None:
-    """A placeholder value of ``dtype`` for NULLs (any value works: the NULL
-    flag next to it keeps NULL apart from it)."""
-    if isinstance(dtype, T.NumericType):
-        return F.lit(0).cast(dtype)
-    if isinstance(dtype, T.StringType):
-        return F.lit("")
-    if isinstance(dtype, T.BooleanType):
-        return F.lit(False)
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.lit("1970-01-01").cast(dtype)
-    return None
-
-
-def _non_null(df: DataFrame, col: str, out: str) -> tuple[DataFrame, list[str]]:
-    """Encode ``col`` as two never-NULL columns ``<out>n`` (is NULL) and
-    ``<out>v`` (value, a placeholder for NULL).  Equal values (NULL with
-    NULL) have equal pairs and the pair orders NULLs last, so windows,
-    aggregates and equi-joins on it keep a NULL key or bucket as a group of
-    its own, and the join back reuses the window's partitioning."""
-    zero = _zero(df.schema[col].dataType)
-    value = F.col(col) if zero is None else F.coalesce(F.col(col), zero)
-    names = [f"{out}n", f"{out}v"]
-    return df.withColumns({names[0]: F.col(col).isNull(), names[1]: value}), names
-
-
-def _with_levels(df: DataFrame, bucket: Column | Sequence[Column]) -> tuple[DataFrame, list[list[str]]]:
-    buckets = [bucket] if isinstance(bucket, Column) else list(bucket)
-    raw = [f"_r{i}" for i in range(len(buckets))]
-    df = df.withColumns(dict(zip(raw, buckets)))
-    levels = []
-    for i, r in enumerate(raw):
-        df, cols = _non_null(df, r, f"_b{i}")
-        levels.append(cols)
-    return df.drop(*raw), levels
-
-
-def _with_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    out = []
-    for i, k in enumerate(keys):
-        df, cols = _non_null(df, k, f"_k{i}")
-        out += cols
-    return df, out
-
-
-def _flat(levels: list[list[str]]) -> list[str]:
-    return [c for level in levels for c in level]
-
-
-def _run_offsets(el: DataFrame, keys: list[str], order: list[str], levels: list[list[str]],
-                 fv: str, lv: str, inn: str) -> DataFrame:
-    """For ordered elements (first value ``fv``, last value ``lv``, ``inn`` run
-    starts inside the element after its first row) add ``_opens`` (the
-    element's first row starts a run) and ``_offset`` (run starts before the
-    element in its key)."""
-    if not levels:
-        w = Window.partitionBy(*keys).orderBy(*_order(order))
-        opens = (F.when(F.lag(F.lit(1)).over(w).isNull(), 1)
-                 .when(F.lag(lv).over(w) != F.col(fv), 1).otherwise(0))
-        el = el.withColumn("_opens", opens)
-        return el.withColumn("_offset", F.coalesce(
-            F.sum(F.col("_opens") + F.col(inn)).over(w.rowsBetween(_BEFORE, -1)), F.lit(0)))
-    part = [*keys, *_flat(levels)]
-    w = Window.partitionBy(*part).orderBy(*_order(order))
-    el = (el.withColumn("_lfirst", F.lag(F.lit(1)).over(w).isNull())
-            .withColumn("_lopens", F.when(F.col("_lfirst"), 0).when(F.lag(lv).over(w) != F.col(fv), 1).otherwise(0))
-            .withColumn("_lacc", F.coalesce(
-                F.sum(F.col("_lopens") + F.col(inn)).over(w.rowsBetween(_BEFORE, -1)), F.lit(0))))
-    seq = _seq(order)
-    summary = el.groupBy(*part).agg(F.min_by(fv, seq).alias("_sfv"), F.max_by(lv, seq).alias("_slv"),
-                                    F.sum(F.col("_lopens") + F.col(inn)).alias("_sinn"))
-    summary = _run_offsets(summary, keys, _flat(levels), levels[:-1], "_sfv", "_slv", "_sinn").select(
-        *part, F.col("_opens").alias("_popens"), F.col("_offset").alias("_poffset"))
-    el = el.join(summary, part)
-    el = (el.withColumn("_opens", F.when(F.col("_lfirst"), F.col("_popens")).otherwise(F.col("_lopens")))
-            .withColumn("_offset", F.col("_poffset") + F.col("_lacc")
-                        + F.when(F.col("_lfirst"), 0).otherwise(F.col("_popens"))))
-    return el.drop("_lfirst", "_lopens", "_lacc", "_popens", "_poffset")
-
-
-def _lane(closed: Column, levels: list[list[str]]) -> list[Column]:
-    """A further window key: closed elements go by their own finest bucket
-    (they meet nothing any more), the others of a parent share one lane."""
-    return [F.when(closed, F.xxhash64(*levels[-1])).alias("_lane")] if levels else []
-
-
-def _sql_order(c: str, descending: bool) -> Column:
-    """SQL's default NULL placement: last when ascending, first when descending."""
-    return F.col(c).desc_nulls_first() if descending else F.col(c).asc_nulls_last()
-
-
-def _prefix(el: DataFrame, keys: list[str], order: list[Column], levels: list[list[str]],
-            weight: str, out: str, descending: bool) -> DataFrame:
-    if not levels:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(_BEFORE, -1)
-        return el.withColumn(out, F.coalesce(F.sum(weight).over(w), F.lit(0)))
-    part = [*keys, *_flat(levels)]
-    d = len(levels)                           # temporaries are named per level
-    lacc, sw, pacc = f"_lacc{d}", f"_sw{d}", f"_pacc{d}"
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(_BEFORE, -1)
-    el = el.withColumn(lacc, F.coalesce(F.sum(weight).over(w), F.lit(0)))
-    summary = el.groupBy(*part).agg(F.sum(weight).alias(sw))
-    # encoded buckets (is_null, value): ascending puts NULLs last; descending
-    # (both columns descending) puts them first, matching the values' order
-    up = [_sql_order(c, descending) for c in _flat(levels)]
-    summary = _prefix(summary, keys, up, levels[:-1], sw, pacc, descending).select(*part, pacc)
-    return el.join(summary, part).withColumn(out, F.col(pacc) + F.col(lacc)).drop(lacc, pacc)
-
-
-def prefix_sum(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str], weight: str, out: str,
-               bucket: Column | Sequence[Column] | None = None, descending: bool = False) -> DataFrame:
-    """Add ``out`` = sum of ``weight`` over the rows before each row in its
-    key (by ``order_cols``, NULLs last ascending / first descending as in
-    SQL; exclusive, 0 for the first).  With ``bucket`` (one
-    coarsening of the order or a coarse-to-fine list, monotone in the same
-    direction) the sum is assembled level by level, so no window holds more
-    than the sub-buckets of one parent bucket."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    order = [_sql_order(c, descending) for c in order_cols]
-    if bucket is None:
-        return _prefix(df, keys, order, [], weight, out, descending)
-    b, levels = _with_levels(df, bucket)
-    b, ks = _with_keys(b, keys)
-    return _prefix(b, ks, order, levels, weight, out, descending).drop(*ks, *_flat(levels))
-
-
-def previous_value(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column | Sequence[Column],
-                   value: str, out: str) -> DataFrame:
-    """Add ``out`` = ``lag(value) over (partition by key order by order_cols)``.
-
-    ``order_cols`` must be a total order within ``key``; ``bucket`` is one
-    coarsening of it or a list of coarsenings from coarse to fine (e.g.
-    ``[to_date(ts), date_trunc('second', ts)]`` for ``order_cols=[ts, id]``).
-    The input is read once: a bucket's inner rows know their previous value,
-    its first and last row meet those of the parent's other buckets.
+def _bytes_at_most(df: DataFrame) -> float:
+    """Catalyst's estimate of the table's size; unknown is endless."""
+    try:
+        return float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no plan on this side (a remote session)
+        return float("inf")
+
+
+def with_buckets(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], rows: int | None = None,
+                 sample: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """(``df`` with ``_bucket``, number of bounds): the bucket of rows whose key is cut, ascending along
+    (key, order); NULL for rows of all other keys.  Without bounds ``df`` comes back as it is.
+
+    ``sample`` is where bounds are sampled from (default ``df``): a table with
+    the same keys and order values that costs less to read.
     """
-    b, levels = _with_levels(df, bucket)
-    el, ks = _with_keys(b, [key])
-    el = el.withColumns({"_prev": F.lit(None).cast(df.schema[value].dataType), "_first": F.lit(True),
-                         "_edge": F.lit(True)})
-    for depth in range(len(levels), -1, -1):
-        below = levels[depth:depth + 1]
-        if below:
-            el = el.withColumn("_lane", _lane(~F.col("_edge"), [_flat(levels[:depth + 1])])[0])
-        part = [*ks, *_flat(levels[:depth]), *(["_lane"] if below else [])]
-        w = Window.partitionBy(*part).orderBy(*_order(order_cols))
-        el = el.withColumns({
-            "_prev": F.when(F.col("_first"), F.lag(value).over(w)).otherwise(F.col("_prev")),
-            "_begins": F.lag(F.lit(1)).over(w).isNull(),
-            "_ends": F.lead(F.lit(1)).over(w).isNull()})
-        el = el.withColumns({"_first": F.col("_first") & F.col("_edge") & F.col("_begins"),
-                             "_edge": F.col("_edge") & (F.col("_begins") | F.col("_ends"))}).drop("_lane")
-    return (el.withColumnRenamed("_prev", out)
-              .drop("_first", "_edge", "_begins", "_ends", *ks, *_flat(levels)))
-
-
-def run_totals(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column | Sequence[Column], value: str,
-               measure: str, out: str, carry: Sequence[str] = ()) -> DataFrame:
-    """One row per run of equal ``value`` (runs as in ``islands``): ``key``,
-    ``carry`` (their values in the run's first row) and ``out``, the sum of
-    ``measure`` over the run.
+    rows = rows or BUCKET_ROWS
+    source = df if sample is None else sample
+    if _bytes_at_most(source) < rows:
+        return df, 0
+    fields = [x for i, k in enumerate(keys) for x in (F.col(k).isNull().alias(f"kn{i}"), F.col(k).alias(f"kv{i}"))]
+    at = F.struct(*fields, F.lit(1).alias("real"), place(order_cols).alias("at"))
+    # one row in rows / PER_BUCKET: the driver holds PER_BUCKET small rows for each bucket of data
+    seen = (source.select(at.alias("p")).where(F.pmod(F.xxhash64("p"), F.lit(max(1, rows // PER_BUCKET))) == 0)
+            .distinct().orderBy("p").collect())
+    width, bounds = 2 * len(keys), []
+    for _, group in groupby(seen, key=lambda r: tuple(r["p"][:width])):
+        points = [tuple(r["p"]) for r in group]
+        if len(points) >= 2 * PER_BUCKET:
+            first = points[0]
+            bounds += [(*first[:width], 0, first[width + 1]), *points[PER_BUCKET::PER_BUCKET]]   # 0: before all
+    if not bounds:
+        return df, 0
+    fields = df.select(at.alias("p")).schema["p"].dataType
+    listed = F.array(*[_literal(b, fields) for b in bounds])   # folded to one constant
+    found = count_at_most(df.withColumn("_at", at), listed, F.col("_at"), "_no", len(bounds))
+    own = F.get(listed, F.col("_no") - 1)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & own[f"kv{i}"].eqNullSafe(F.col(k))
+    return found.withColumn(BUCKET, F.when((F.col("_no") > 0) & same, F.col("_no"))).drop("_no", "_at"), len(bounds)
+
+
+def _literal(value, kind: T.DataType) -> Column:
+    """A constant of type ``kind`` (a struct: field by field)."""
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind.fields)])
+    if isinstance(value, dt.date):   # as text: no time zone comes in
+        value = str(value)
+    return F.lit(value).cast(kind)
+
+
+def _apply(df: DataFrame, steps: Steps, window) -> DataFrame:
+    for step in steps:
+        df = df.withColumns({name: column(window) for name, column in step.items()})
+    return df
 
-    The input is read once and not joined back: runs are numbered and summed
-    inside a bucket; its inner runs are finished, its first and last run go up
-    and may join those of the parent's other buckets, level by level.
+
+def scan(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], local: Steps,
+         summary: Callable[[DataFrame, list[str]], DataFrame], carried: Steps, rows: int | None = None,
+         descending: bool = False, sample: DataFrame | None = None, cut_by: Sequence[str] = ()) -> tuple[DataFrame, bool]:
+    """(``df`` with the columns of ``local``, whether any key is cut).  The columns of ``local`` are computed by a window
+    over (key, bucket).  If a key is cut, the columns of the carry rows are added (NULL for keys of one bucket).
+
+    ``summary(rows, group)`` makes one carry row per bucket, grouped by
+    ``group``; ``carried`` are columns over a key's carry rows in order.
+    ``cut_by`` are further order columns that only say where to cut.
     """
-    b, levels = _with_levels(df, bucket)
-    b, ks = _with_keys(b, [key])
-    held = [f"_c{i}" for i in range(len(carry))]
-    el = b.select(*ks, *_flat(levels), _seq(order_cols).alias("_seq"), F.col(value).alias("_fv"),
-                  F.col(value).alias("_lv"), F.col(measure).alias("_sum"),
-                  *[F.col(c).alias(h) for c, h in zip(carry, held)],
-                  F.lit(False).alias("_closed"), F.lit(False).alias("_starts"))
-    for depth in range(len(levels), -1, -1):
-        below = levels[depth:depth + 1]
-        if below:
-            el = el.withColumn("_lane", _lane(F.col("_closed"), [_flat(levels[:depth + 1])])[0])
-        part = [*ks, *_flat(levels[:depth]), *(["_lane"] if below else [])]
-        w = Window.partitionBy(*part).orderBy("_seq")
-        opens = (F.when(F.col("_starts") | F.lag(F.lit(1)).over(w).isNull(), 1)
-                 .when(F.lag("_lv").over(w) != F.col("_fv"), 1).otherwise(0))
-        el = el.withColumn("_opens", opens).withColumn(
-            "_no", F.sum("_opens").over(w.rowsBetween(_BEFORE, Window.currentRow)))
-        el = el.groupBy(*part, "_no").agg(
-            F.min_by("_fv", "_seq").alias("_fv"), F.max_by("_lv", "_seq").alias("_lv"), F.sum("_sum").alias("_sum"),
-            *[F.min_by(h, "_seq").alias(h) for h in held], F.min("_seq").alias("_seq"),
-            F.bool_or("_closed").alias("_closed"))
-        if depth:
-            # a later run of its bucket starts there, whatever the run before it in the parent is
-            last = F.max("_no").over(Window.partitionBy(*part))
-            el = (el.withColumn("_closed", F.col("_closed") | ((F.col("_no") > 1) & (F.col("_no") < last)))
-                    .withColumn("_starts", F.col("_closed") | (F.col("_no") > 1)).drop("_lane", "_no"))
-    return el.select(F.when(~F.col(ks[0]), F.col(ks[1])).alias(key),
-                     *[F.col(h).alias(c) for c, h in zip(carry, held)], F.col("_sum").alias(out))
-
-
-def islands(df: DataFrame, key: str, order_cols: Sequence[str], bucket: Column | Sequence[Column],
-            value: str, out: str = "run_id") -> DataFrame:
+    keys = list(keys)
+    b, bounds = with_buckets(df, keys, [*order_cols, *cut_by], rows, sample)
+    order = in_order(order_cols, descending)
+    if not bounds:
+        return _apply(b, local, Window.partitionBy(*keys).orderBy(*order)), False
+    # an exchange of its own: rows that already lie together by key would stay so
+    b = b.repartition(*keys, BUCKET)
+    window = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    carry = _carry(_apply(b.where(F.col(BUCKET).isNotNull()), local, window), keys, summary, carried, descending)
+    carry = carry.withColumnRenamed(BUCKET, "_of").drop(*keys)
+    out = _apply(b, local, window)
+    return out.join(F.broadcast(carry), F.col(BUCKET) == F.col("_of"), "left").drop(BUCKET, "_of"), True   # rows <= bounds
+
+
+def _carry(cut_rows: DataFrame, keys: list[str], summary, carried: Steps, descending: bool) -> DataFrame:
+    along = Window.partitionBy(*keys).orderBy(F.col(BUCKET).desc() if descending else F.col(BUCKET).asc())
+    return _apply(summary(cut_rows, [*keys, BUCKET]), carried, along)
+
+
+def previous_value(df: DataFrame, key: str | Sequence[str], order_cols: Sequence[str], value: str, out: str,
+                   rows: int | None = None, descending: bool = False) -> DataFrame:
+    """Add ``out`` = ``lag(value) over (partition by key order by order_cols)``
+    (``descending``: of the reversed order, which is LEAD);
+    ``order_cols`` must be a total order within ``key``."""
+    seq = place(order_cols)
+    res, cut = scan(df, keys_of(key), order_cols,
+                    [{out: lambda w: F.lag(value).over(w), "_first": lambda w: F.row_number().over(w) == 1}],
+                    lambda d, g: d.groupBy(*g).agg((F.min_by if descending else F.max_by)(value, seq).alias("_last")),
+                    [{"_earlier": lambda w: F.lag("_last").over(w)}], rows, descending)
+    if cut:
+        res = res.withColumn(out, F.when(F.col("_first"), F.col("_earlier")).otherwise(F.col(out)))
+    return res.drop("_first", "_earlier", "_last")
+
+
+def prefix_sum(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str], weight: str | Column, out: str,
+               descending: bool = False, rows: int | None = None) -> DataFrame:
+    """Add ``out`` = sum of ``weight`` over the rows before each row in its
+    key (by ``order_cols``, a total order, NULLs as SQL places them; 0 for the first)."""
+    total = F.col(weight) if isinstance(weight, str) else weight
+    zero = F.lit(0)
+    res, cut = scan(df, keys_of(keys), order_cols,
+                    [{"_inside": lambda w: F.coalesce(F.sum(total).over(w.rowsBetween(*_EARLIER)), zero)}],
+                    lambda d, g: d.groupBy(*g).agg(F.sum(total).alias("_sum")),
+                    [{"_before": lambda w: F.sum("_sum").over(w.rowsBetween(*_EARLIER))}], rows, descending)
+    before = F.coalesce("_before", zero) if cut else zero
+    return res.withColumn(out, F.col("_inside") + before).drop("_inside", "_before", "_sum")
+
+
+def row_number(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str], out: str, descending: bool = False,
+               rows: int | None = None) -> DataFrame:
+    """Add ``out`` = ``row_number() over (partition by keys order by order_cols)`` (long) under a total order."""
+    res = prefix_sum(df, keys, order_cols, F.lit(1), out, descending, rows)
+    return res.withColumn(out, (F.col(out) + 1).cast("long"))
+
+
+def rank(df: DataFrame, keys: str | Sequence[str], order_col: str, out: str, descending: bool = False,
+         rows: int | None = None, sample: DataFrame | None = None) -> DataFrame:
+    """Add ``out`` = ``rank() over (partition by keys order by order_col)`` (long), NULLs as SQL places them.
+
+    Rows that tie may lie in several buckets (cuts also go by a hash of the
+    row): a bucket that begins with the value the one before ended with takes over
+    the rank where that value began.
+    """
+    keys = keys_of(keys)
+    tie = "_tie"
+    hashed = df.withColumn(tie, F.xxhash64(*[c for c in df.columns if not _has_map(df.schema[c].dataType)]))
+
+    def summary(d, group):
+        counts = d.groupBy(*group, order_col).agg(F.count(F.lit(1)).alias("_n"))
+        at = place([order_col])
+        ends = [F.min(at), F.max(at)][::-1 if descending else 1]
+        last_n = (F.min_by if descending else F.max_by)("_n", at)
+        return counts.groupBy(*group).agg(F.sum("_n").alias("_rows"), ends[0].alias("_f"), ends[1].alias("_l"),
+                                          last_n.alias("_last_n"))
+    carried = [
+        {"_offset": lambda w: F.coalesce(F.sum("_rows").over(w.rowsBetween(*_EARLIER)), F.lit(0)),
+         "_prev": lambda w: F.lag("_l").over(w)},
+        # where the bucket's last value began: NULL if in an earlier bucket
+        {"_began": lambda w: F.when(~((F.col("_f") == F.col("_l")) & F.col("_f").eqNullSafe(F.col("_prev"))),
+                                    F.col("_offset") + F.col("_rows") - F.col("_last_n") + 1)},
+        {"_tied": lambda w: F.last("_began", ignorenulls=True).over(w.rowsBetween(*_EARLIER))},
+    ]
+    res, cut = scan(hashed, keys, [order_col], [{"_rank": lambda w: F.rank().over(w).cast("long")}], summary, carried, rows,
+                    descending, _with_tie(sample, tie), [tie])
+    ranked = F.col("_rank")
+    if cut:
+        goes_on = F.coalesce(place([order_col]) == F.col("_prev"), F.lit(False))
+        ranked = F.when(goes_on, F.col("_tied")).otherwise(ranked + F.coalesce("_offset", F.lit(0)))
+    return res.select(*df.columns, ranked.alias(out))
+
+
+def _with_tie(sample: DataFrame | None, tie: str) -> DataFrame | None:
+    """Any even spread of the ties serves for choosing cuts."""
+    return None if sample is None else sample.withColumn(tie, F.xxhash64(*sample.columns))
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.MapType):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.StructType) and any(_has_map(f.dataType) for f in kind.fields)
+
+
+def islands(df: DataFrame, key: str | Sequence[str], order_cols: Sequence[str], value: str, out: str = "run_id",
+            rows: int | None = None, first: Mapping[str, str] | None = None) -> DataFrame:
     """Number the runs of equal ``value`` per key: consecutive rows (in
-    ``order_cols`` order) with the same value share a run id 1, 2, 3, ...
+    ``order_cols`` order, a total order) with the same value share a run id 1, 2, 3, ...
 
     Equal to the row-by-row recursive walk that increments the run id when
     ``previous <> current`` is true (a NULL on either side continues the run,
-    as the SQL comparison is then not true).  ``bucket``: as in
-    ``previous_value``.
+    as the SQL comparison is then not true).  ``first`` (new column -> column)
+    adds values of the key's first row to all its rows.
     """
-    b, levels = _with_levels(df, bucket)
-    b, ks = _with_keys(b, [key])
-    b = b.withColumns({"_efv": F.col(value), "_elv": F.col(value), "_einn": F.lit(0)})
-    res = _run_offsets(b, ks, list(order_cols), levels, "_efv", "_elv", "_einn")
-    return (res.withColumn(out, (F.col("_offset") + F.col("_opens")).cast("long"))
-               .drop("_efv", "_elv", "_einn", "_opens", "_offset", *ks, *_flat(levels)))
+    first, seq = dict(first or {}), place(order_cols)
+    changed = {"_changed": lambda w: F.when(F.lag(value).over(w) != F.col(value), 1).otherwise(0)}
+    local = [changed, {"_inside": lambda w: F.sum("_changed").over(w.rowsBetween(*_SO_FAR)),
+                       **{c: lambda w, v=v: F.first(v).over(w.rowsBetween(*_SO_FAR)) for c, v in first.items()}}]
+
+    def summary(d, group):
+        return d.groupBy(*group).agg(
+            F.min_by(value, seq).alias("_f"), F.max_by(value, seq).alias("_l"), F.sum("_changed").alias("_runs"),
+            *[F.min_by(v, seq).alias(f"_first_{c}") for c, v in first.items()])
+    carried = [
+        {"_opens": lambda w: F.when(F.lag("_l").over(w) != F.col("_f"), 1).otherwise(0)},
+        {"_before": lambda w: (F.sum("_opens").over(w.rowsBetween(*_SO_FAR))
+                               + F.coalesce(F.sum("_runs").over(w.rowsBetween(*_EARLIER)), F.lit(0))),
+         **{f"_key_{c}": lambda w, c=c: F.first(f"_first_{c}").over(w.rowsBetween(*_SO_FAR)) for c in first}},
+    ]
+    res, cut = scan(df, keys_of(key), order_cols, local, summary, carried, rows)
+    run, of_key = 1 + F.col("_inside"), {c: F.col(c) for c in first}
+    if cut:
+        whole = F.col("_before").isNull()   # the key has one bucket
+        run = run + F.coalesce("_before", F.lit(0))
+        of_key = {c: F.when(whole, F.col(c)).otherwise(F.col(f"_key_{c}")) for c in first}
+    own = [c for c in df.columns if c != out and c not in first]
+    return res.select(*own, *[x.alias(c) for c, x in of_key.items()], run.cast("long").alias(out))
+
+
+def run_totals(df: DataFrame, key: str, order_cols: Sequence[str], value: str, measure: str, out: str,
+               carry: Sequence[str] = (), first: Mapping[str, str] | None = None, rows: int | None = None) -> DataFrame:
+    """One row per run of equal ``value`` (runs as in ``islands``): ``key``,
+    ``carry`` (their values in the run's first row), ``first`` (new column -> column: its value in
+    the key's first row) and ``out``, the sum of ``measure`` over the run.
+
+    The grouping by run follows the key, so it needs no exchange of its own
+    unless a key was cut."""
+    numbered = islands(df, key, order_cols, value, "_run", rows, first)
+    seq = place(order_cols)
+    of_key = [F.first(c).alias(c) for c in first or {}]
+    return (numbered.groupBy(key, "_run").agg(*[F.min_by(c, seq).alias(c) for c in carry], *of_key, F.sum(measure).alias(out))
+            .select(key, *carry, *(first or {}), out))

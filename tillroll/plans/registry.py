@@ -9,14 +9,16 @@ contract, and keeps the independent oracle SQL of each key.
 
 from __future__ import annotations
 
+import hashlib
 import inspect
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean
+from ..session import checkpoint_dir
 from ..sources import bindings as b
-from ..sources import dims
+from ..sources import dims, schemas
 from ..sources.tables import Tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -26,31 +28,48 @@ ORACLE: dict[str, str] = {}
 OPERATORS: dict[str, Callable[..., DataFrame]] = {}
 
 
+# Relations with a prepared copy -> (binding, cleaner).
+PREPARED = {
+    "sales": ("sales", None),
+    "members": ("members", None),
+    "customer_nodes": ("customer_nodes", None),
+    "weekly_sales": ("weekly_sales", None),
+    "clean_weekly_sales": ("weekly_sales", clean.clean_weekly_sales),
+    "runners": ("runners", None),
+    "raw_customer_orders": ("customer_orders", None),
+    "customer_orders": ("customer_orders", clean.clean_customer_orders),
+    "raw_runner_orders": ("runner_orders", None),
+    "runner_orders": ("runner_orders", clean.clean_runner_orders),
+}
+
+
+def prepare(spark: SparkSession, root: str) -> list[str]:
+    """Write the shared copies of the relations that queries over ``root`` read; the names that were not up to date.
+
+    Optional: queries give the same results without it, each deriving what it reads.
+    """
+    t = Tables(spark, root)
+    return [name for name, (binding, cleaner) in PREPARED.items() if b.prepare_table(t, binding, cleaner)]
+
+
 def relation(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The business relation ``name`` derived from the tables under ``root``.
-    Relations that cost a join or aggregate are materialised once."""
+    """The business relation ``name`` derived from the tables under ``root``, with its declared columns."""
     t = Tables(spark, root)
     loaders = {
-        "sales": lambda: b.table(t, "sales"),
         "menu": lambda: b.menu(t),
-        "members": lambda: b.table(t, "members"),
-        "customer_nodes": lambda: b.table(t, "customer_nodes"),
         "regions": lambda: b.regions(t),
         "customer_transactions": lambda: b.customer_transactions(t),
-        "weekly_sales": lambda: b.table(t, "weekly_sales"),
-        "clean_weekly_sales": lambda: b.table(t, "weekly_sales", clean.clean_weekly_sales),
         "subscriptions": lambda: b.subscriptions(t),
         "plans": lambda: dims.plans(spark),
-        "runners": lambda: b.table(t, "runners"),
-        "raw_customer_orders": lambda: b.table(t, "customer_orders"),
-        "raw_runner_orders": lambda: b.table(t, "runner_orders"),
-        "customer_orders": lambda: b.table(t, "customer_orders", clean.clean_customer_orders),
-        "runner_orders": lambda: b.table(t, "runner_orders", clean.clean_runner_orders),
         "pizza_names": lambda: dims.pizza_names(spark),
         "pizza_recipes": lambda: dims.pizza_recipes(spark),
         "pizza_toppings": lambda: dims.pizza_toppings(spark),
     }
-    return loaders[name]()
+    df = b.table(t, *PREPARED[name]) if name in PREPARED else loaders[name]()
+    schema = name.removeprefix("raw_")
+    if schema in schemas.RELATIONS:
+        schemas.check(name, schemas.RELATIONS[schema], df.schema)
+    return df
 
 
 def query(key: str, oracle: str | None = None):
@@ -76,6 +95,23 @@ def query(key: str, oracle: str | None = None):
     return deco
 
 
+def statement(key: str, oracle: str):
+    """Register ``fn(<relations>, place)`` whose subject is a statement that writes (INSERT, UPDATE): ``place`` is
+    a folder of its own under the shared folder, the same on every call."""
+    def deco(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        params = [n for n in inspect.signature(fn).parameters if n not in ("spark", "place")]
+
+        def bound(spark: SparkSession, root: str) -> DataFrame:
+            of = hashlib.sha256(root.encode()).hexdigest()[:12]
+            place = f"{checkpoint_dir(spark).rstrip('/')}/tillroll-stored/{spark.sparkContext.applicationId}/{key}-{of}"
+            return fn(spark=spark, place=place, **{p: relation(spark, root, p) for p in params})
+        bound.__name__ = bound.__qualname__ = f"{key}_on_tables"
+        bound.__doc__ = fn.__doc__
+        QUERIES[key], OPERATORS[key], ORACLE[key] = bound, fn, oracle
+        return fn
+    return deco
+
+
 def load_all() -> None:
     """Import every plan module so its queries register themselves."""
-    from . import bank, delivery, loyalty, retail, subscriptions  # noqa: F401
+    from . import bank, delivery, loyalty, retail, statements, subscriptions  # noqa: F401

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sem import money
-from .sinks import materialised
+from .sinks import materialised, prepare
 from .tables import Tables
 
 
@@ -175,8 +175,8 @@ def runner_orders(t: Tables) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Relations that cost a join or an aggregation are written once per version
-# of their sources and read by every query (the business schemas' tables).
+# Relations that cost a join or an aggregation: ``prepare`` writes them once per
+# version of their sources, queries then read them.
 BUILDERS = {
     "sales": (sales, ("lineitem", "orders")),
     "members": (members, ("orders",)),
@@ -203,14 +203,22 @@ def _code_version() -> str:
     return h.hexdigest()[:12]
 
 
-def table(t: Tables, name: str, transform=None) -> DataFrame:
-    """The business relation ``name`` (optionally passed through a cleaning
-    ``transform``), materialised in the shared folder."""
+def _plan(t: Tables, name: str, transform):
     build, sources = BUILDERS[name]
     label = name if transform is None else f"{name}.{transform.__name__}"
-    label = f"{label}.{_CODE_VERSION}"
     make = (lambda: build(t)) if transform is None else (lambda: transform(build(t)))
-    return materialised(t.spark, label, [t.path(s) for s in sources], make)
+    return t.spark, f"{label}.{_CODE_VERSION}", [t.path(s) for s in sources], make
+
+
+def table(t: Tables, name: str, transform=None) -> DataFrame:
+    """The business relation ``name`` (optionally passed through a cleaning
+    ``transform``): its prepared copy, or derived as part of the plan."""
+    return materialised(*_plan(t, name, transform))
+
+
+def prepare_table(t: Tables, name: str, transform=None) -> bool:
+    """Write the copy that ``table`` reads; False if it is up to date."""
+    return prepare(*_plan(t, name, transform))
 
 
 # ---------------------------------------------------------------------------

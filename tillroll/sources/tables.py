@@ -1,19 +1,19 @@
 """Reading the given Parquet tables.
 
-Reads are lazy and untyped-schema-free: the Parquet footer carries the
-schema, Catalyst prunes columns to what a plan uses (``ReadSchema``) and
-pushes filters into the scan (``PushedFilters``).
+Reads are lazy and typed: every table has a declared schema (``schemas``) that
+is checked against the Parquet footer and passed to the reader.  Catalyst
+prunes columns to what a plan uses (``ReadSchema``) and pushes filters into
+the scan (``PushedFilters``).
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "events", "documents", "embeddings", "pages", "benchmark", "labels",
-          "conversations")
+from . import schemas
+from .paths import hadoop_path
+
+TABLES = tuple(schemas.TABLES)
 
 
 class Tables:
@@ -33,8 +33,8 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise KeyError(f"unknown table {name!r}")
-        return self.spark.read.parquet(self.path(name))
+        return schemas.read(self.spark, name, self.path(name))
 
     def exists(self, name: str) -> bool:
-        p = self.path(name)
-        return "://" in p or os.path.exists(p)
+        fs, p = hadoop_path(self.spark, self.path(name))
+        return bool(fs.exists(p))

@@ -23,7 +23,8 @@ from ..operators import clean
 from ..plans import bank, delivery, subscriptions
 from ..session import checkpoint_dir
 from ..sources import bindings as b
-from ..sources.sinks import hadoop_path
+from ..sources import schemas
+from ..sources.paths import hadoop_path
 from ..sources.tables import Tables
 
 
@@ -40,8 +41,7 @@ class StreamingTables(Tables):
     def __call__(self, name: str) -> DataFrame:
         if name not in self.streamed:
             return super().__call__(name)
-        schema = self.spark.read.parquet(self.path(name)).schema
-        reader = self.spark.readStream.schema(schema)
+        reader = self.spark.readStream.schema(schemas.TABLES[name])
         if self.max_files:
             reader = reader.option("maxFilesPerTrigger", self.max_files)
         path = self.path(name)
