@@ -244,7 +244,7 @@ def test_percentiles_of_random_doubles(spark):
     data += [(None, float(x)) for x in rnd.integers(0, 3, 100)] + [("d", 7.5), ("e", None), ("a", None)]
     df = spark.createDataFrame(data, "g string, x double").repartition(4)
     probs = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p95": 0.95, "p999": 0.999, "p100": 1.0}
-    for bins in (4, quantiles.BINS):
+    for bins in (None, 4, quantiles.BINS):
         got = {r.g: r for r in quantiles.percentile_cont(df, ["g"], "x", probs, bins).collect()}
         assert set(got) == {"a", "b", "c", "d", None}
         for g, r in got.items():

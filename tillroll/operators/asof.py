@@ -87,4 +87,4 @@ def counts_at(events: DataFrame, dates: DataFrame, key: str, time_col: str, orde
 
 def every_day(first: Column, last: Column) -> Column:
     """The midnights from ``first`` to ``last`` (zone-less timestamps)."""
-    return F.explode(F.sequence(F.to_date(first), F.to_date(last))).cast("timestamp_ntz")
+    return F.explode(F.sequence(F.to_date(first), F.to_date(last)).cast("array<timestamp_ntz>"))

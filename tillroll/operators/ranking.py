@@ -47,13 +47,13 @@ def rank_within(df: DataFrame, keys: str | Sequence[str], order_col: str, out: s
     keys = sequence.keys_of(keys)
     if where is None:
         return sequence.rank(df, keys, order_col, out, descending, rows, sample)
-    # rows that aren't ranked need no order: they go by lanes, so a key with many of them is spread too
     flagged = df.withColumn("_ranked", F.coalesce(where, F.lit(False)))
-    flagged = flagged.withColumn("_lane", F.when(~F.col("_ranked"), F.pmod(F.xxhash64(order_col, *keys), F.lit(LANES))))
+    # rows that aren't ranked need no order: where keys are cut, they are spread by a hash
+    lanes = F.when(~F.col("_ranked"), F.pmod(F.xxhash64(*df.columns), F.lit(LANES)).cast("int"))
     if sample is not None:  # as if all its rows were ranked, so enough keys are cut
-        sample = sample.withColumns({"_ranked": F.lit(True), "_lane": F.lit(None).cast("long")})
-    ranked = sequence.rank(flagged, [*keys, "_ranked", "_lane"], order_col, out, descending, rows, sample)
-    return ranked.withColumn(out, F.when(F.col("_ranked"), F.col(out))).drop("_ranked", "_lane")
+        sample = sample.withColumn("_ranked", F.lit(True))
+    ranked = sequence.rank(flagged, [*keys, "_ranked"], order_col, out, descending, rows, sample, lanes)
+    return ranked.withColumn(out, F.when(F.col("_ranked"), F.col(out))).drop("_ranked")
 
 
 def nth_in_group(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[str],

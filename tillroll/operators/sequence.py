@@ -65,6 +65,11 @@ def _bytes_at_most(df: DataFrame) -> float:
         return float("inf")
 
 
+def is_small(df: DataFrame, rows: int | None = None) -> bool:
+    """Whether the table takes fewer bytes than a bucket has rows, by Catalyst's estimate: no job is run to find out."""
+    return _bytes_at_most(df) < (rows or BUCKET_ROWS)
+
+
 def with_buckets(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], rows: int | None = None,
                  sample: DataFrame | None = None) -> tuple[DataFrame, int]:
     """(``df`` with ``_bucket``, number of bounds): the bucket of rows whose key is cut, ascending along
@@ -75,7 +80,7 @@ def with_buckets(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     """
     rows = rows or BUCKET_ROWS
     source = df if sample is None else sample
-    if _bytes_at_most(source) < rows:
+    if is_small(source, rows):
         return df, 0
     fields = [x for i, k in enumerate(keys) for x in (F.col(k).isNull().alias(f"kn{i}"), F.col(k).alias(f"kv{i}"))]
     at = F.struct(*fields, F.lit(1).alias("real"), place(order_cols).alias("at"))
@@ -117,23 +122,27 @@ def _apply(df: DataFrame, steps: Steps, window) -> DataFrame:
 
 def scan(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], local: Steps,
          summary: Callable[[DataFrame, list[str]], DataFrame], carried: Steps, rows: int | None = None,
-         descending: bool = False, sample: DataFrame | None = None, cut_by: Sequence[str] = ()) -> tuple[DataFrame, bool]:
+         descending: bool = False, sample: DataFrame | None = None, cut_by: Sequence[str] = (),
+         lanes: Column | None = None) -> tuple[DataFrame, bool]:
     """(``df`` with the columns of ``local``, whether any key is cut).  The columns of ``local`` are computed by a window
     over (key, bucket).  If a key is cut, the columns of the carry rows are added (NULL for keys of one bucket).
 
     ``summary(rows, group)`` makes one carry row per bucket, grouped by
     ``group``; ``carried`` are columns over a key's carry rows in order.
-    ``cut_by`` are further order columns that only say where to cut.
+    ``cut_by`` are further order columns that only say where to cut.  If a
+    key is cut, rows with a value of ``lanes`` go by it instead of a bucket: rows whose result nobody reads.
     """
     keys = list(keys)
     b, bounds = with_buckets(df, keys, [*order_cols, *cut_by], rows, sample)
     order = in_order(order_cols, descending)
     if not bounds:
         return _apply(b, local, Window.partitionBy(*keys).orderBy(*order)), False
+    if lanes is not None:   # numbers below all buckets, so no carry row meets them
+        b = b.withColumn(BUCKET, F.coalesce(-1 - lanes, F.col(BUCKET)))
     # an exchange of its own: rows that already lie together by key would stay so
     b = b.repartition(*keys, BUCKET)
     window = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    carry = _carry(_apply(b.where(F.col(BUCKET).isNotNull()), local, window), keys, summary, carried, descending)
+    carry = _carry(_apply(b.where(F.col(BUCKET) > 0), local, window), keys, summary, carried, descending)
     carry = carry.withColumnRenamed(BUCKET, "_of").drop(*keys)
     out = _apply(b, local, window)
     return out.join(F.broadcast(carry), F.col(BUCKET) == F.col("_of"), "left").drop(BUCKET, "_of"), True   # rows <= bounds
@@ -181,7 +190,7 @@ def row_number(df: DataFrame, keys: str | Sequence[str], order_cols: Sequence[st
 
 
 def rank(df: DataFrame, keys: str | Sequence[str], order_col: str, out: str, descending: bool = False,
-         rows: int | None = None, sample: DataFrame | None = None) -> DataFrame:
+         rows: int | None = None, sample: DataFrame | None = None, lanes: Column | None = None) -> DataFrame:
     """Add ``out`` = ``rank() over (partition by keys order by order_col)`` (long), NULLs as SQL places them.
 
     Rows that tie may lie in several buckets (cuts also go by a hash of the
@@ -208,7 +217,7 @@ def rank(df: DataFrame, keys: str | Sequence[str], order_col: str, out: str, des
         {"_tied": lambda w: F.last("_began", ignorenulls=True).over(w.rowsBetween(*_EARLIER))},
     ]
     res, cut = scan(hashed, keys, [order_col], [{"_rank": lambda w: F.rank().over(w).cast("long")}], summary, carried, rows,
-                    descending, _with_tie(sample, tie), [tie])
+                    descending, _with_tie(sample, tie), [tie], lanes)
     ranked = F.col("_rank")
     if cut:
         goes_on = F.coalesce(place([order_col]) == F.col("_prev"), F.lit(False))
