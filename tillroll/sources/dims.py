@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# --- fixed values (must stay exactly as written) ---------------------------
+# --- fixed values: plan, pizza and topping names of the business schemas (recipes and topping names are our own choice) ---
 # Subscription plans: id, name.
 PLANS = [
     (0, "trial"),
