@@ -136,3 +136,22 @@ def test_age_against_duckdb(spark):
     assert [tuple(r) for r in got] == want
     none = spark.createDataFrame([(None, T0)], "a timestamp_ntz, b timestamp_ntz").select(sem.age("a", "b").alias("x")).first()
     assert none.x is None
+
+
+def test_before_after_windows_reach_into_the_next_year(spark):
+    from tillroll.plans import retail
+
+    monday = dt.date(2018, 11, 5)
+    data = []
+    while monday < dt.date(2021, 3, 1):
+        data.append((monday, monday.isocalendar()[1], monday.year, monday.toordinal() % 97))
+        monday += dt.timedelta(days=7)
+    df = spark.createDataFrame(data, "week_date date, week_number long, calendar_year long, sales long")
+    base = dt.date(2020, 1, 13)      # ISO week 3: four weeks before it begin in December
+    got = {r.calendar_year: (r.before_sales, r.after_sales) for r in retail.before_after_by_year(df, base, weeks=4).collect()}
+    for year in (2019, 2020, 2021):
+        start = dt.date.fromisocalendar(year, 3, 1)
+        before = [s for d, _, _, s in data if 1 <= (start - d).days // 7 <= 4 and d < start]
+        after = [s for d, _, _, s in data if 0 <= (d - start).days < 28]
+        assert len(before) == 4 and got[year] == (sum(before), sum(after))
+    assert set(got) >= {2018, 2019, 2020, 2021}

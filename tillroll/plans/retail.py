@@ -211,12 +211,21 @@ def _by_year_sql(weeks: int) -> str:
 
 @query("before_after_by_year", _by_year_sql(12))
 def before_after_by_year(clean_weekly_sales: DataFrame, baseline=BASELINE, weeks=12) -> DataFrame:
-    """The ``weeks`` weeks before vs after the baseline's week number, in every year."""
-    bw = baseline.isocalendar()[1]
-    w = F.col("week_number")
-    before = w.between(bw - weeks, bw - 1)
-    after = w.between(bw, bw + weeks - 1)
-    return shares.before_after(clean_weekly_sales, ["calendar_year"], before, after, "sales")
+    """The ``weeks`` weeks before vs after the baseline's ISO week, in every year.  Weeks are counted from the
+    date of that week in the year, so a window that reaches into a neighbouring year loses none (up to 26 weeks,
+    when no date is in two windows)."""
+    week = baseline.isocalendar()[1]
+
+    def place(shift):   # the row as seen from the baseline of its year + shift
+        year = F.col("calendar_year") + shift
+        start = F.to_date(F.date_trunc("week", F.make_date(year.cast("int"), F.lit(1), F.lit(4)))) + F.lit(7 * (week - 1)).cast("int")
+        off = F.floor(F.datediff("week_date", start) / 7)
+        return F.struct(year.alias("year"), off.alias("off"), F.lit(shift).alias("shift"))
+    near = F.filter(F.array(*[place(k) for k in (-1, 0, 1)]),
+                    lambda x: (x["shift"] == 0) | ((x["off"] >= -weeks) & (x["off"] < weeks)))
+    rows = clean_weekly_sales.select("sales", F.inline(near)).withColumnRenamed("year", "calendar_year")
+    off = F.col("off")
+    return shares.before_after(rows, ["calendar_year"], off.between(-weeks, -1), off.between(0, weeks - 1), "sales")
 
 
 @query("before_after_by_year_4w", _by_year_sql(4))
