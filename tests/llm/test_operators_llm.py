@@ -419,10 +419,33 @@ def test_forward_algorithm_sums_all_segmentations():
                    for k in range(1, len(s) + 1))
 
     words = ["aba", "b", "abx", "bababa"]
-    got = language_id.word_scores(words, {"langs": ["x", "y"], "vocab": vocab, "p": p})
+    got = language_id.word_scores(words, {"langs": ["x", "y"], "vocab": vocab, "longest": 4, "p": p})
     assert np.allclose(got, [[math.log(total("_" + w, c)) for c in (0, 1)] for w in words])
 
 
+def test_long_words_and_long_pieces():
+    """No cut: pieces of any length count everywhere, also over a word of hundreds of letters."""
+    pieces = ["_", "a", "b", "abababababab", "_abababababab", "bb"]
+    codes = [int(language_id._codes([x])[2][0]) for x in pieces]
+    vocab = np.unique(np.array(codes, np.uint64))
+    at = {x: int(np.searchsorted(vocab, np.uint64(c))) for x, c in zip(pieces, codes)}
+    p = np.random.default_rng(3).random((len(vocab) + 1, 2)) / 50
+
+    def log_total(word, c):
+        s, a = "_" + word, [0.0] + [-math.inf] * (len(word) + 1)   # log forward sums
+        for end in range(1, len(s) + 1):
+            some = [a[end - len(x)] + math.log(p[at[x], c]) for x in pieces if s[:end].endswith(x)]
+            if s[end - 1] not in at:
+                some.append(a[end - 1] + math.log(p[-1, c]))
+            a[end] = float(np.logaddexp.reduce(some)) if some else -math.inf
+        return a[-1]
+
+    words = ["ab" * 6, "ab" * 250 + "x" + "ab" * 6, "b" * 500, "a"]
+    got = language_id.word_scores(words, {"langs": ["x", "y"], "vocab": vocab, "longest": 13, "p": p})
+    assert np.allclose(got, [[log_total(w, c) for c in (0, 1)] for w in words])
+    assert language_id.words_of("A" + "b" * 499) == ["a" + "b" * 499]
+
+
 def test_words_are_letters_only():
     assert language_id.words_of("² ½ 12 _") == []
     assert language_id.words_of("Aé² x½y 3z") == ["aé", "x", "y", "z"]

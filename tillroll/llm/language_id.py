@@ -4,35 +4,35 @@ Every language has a probability per vocabulary piece.  A word's probability
 is the sum over all its segmentations into pieces, by the forward algorithm;
 a text's is the product over its words.  Piece probabilities are learned by
 expectation-maximisation (expected piece counts over all segmentations) from
-word counts of a bounded sample: about ``ROWS`` documents of each language (all
-of a rarer one), chosen by a hash at the rate ``ROWS`` / its documents, of which the ``WORDS`` most frequent words of each language
-are used.  Scoring reads every word of every text; a worker remembers the
-probabilities of at most ``KEPT`` words.
-
-A word is a run of letters, lower-cased; a run of over ``LONGEST`` letters is
-scored in parts of that length.
+the word counts of a bounded sample: about ``ROWS`` documents of each language (all
+of a rarer one), chosen by a hash at the rate ``ROWS`` / its documents.  Scoring reads
+every word of every text; a worker remembers the probabilities of at most ``KEPT`` words.
+
+A word is a run of letters, lower-cased, of any length: the forward algorithm
+keeps the sums of as many last positions as the longest piece has letters and
+scales them as it goes.  (Only the sample's counts take runs of over ``TRAINED``
+letters in parts of that length.)
 """
 
 from __future__ import annotations
 
 import re
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tillroll.llm import hashing
 from tillroll.llm.chunks import steps, text_buffers
 
 ROWS = 1500
-WORDS = 20_000
-LONGEST = 32
-PIECE = 8  # letters of the longest piece used
+TRAINED = 64
 STEPS = 4
 BACKGROUND = 200.0  # weight of the pooled piece probabilities in those of a language
 KEPT = 400_000
+SCALED = 8  # positions between two scalings
 NONE = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -41,21 +41,24 @@ def words_of(text: str) -> list[str]:
     found = _LETTERS.findall(text.lower())
     if not all(map(str.isalpha, found)):  # numerals that are no decimal digits, as in superscripts and fractions
         found = [w for part in found for w in "".join(c if c.isalpha() else " " for c in part).split()]
-    if any(len(w) > LONGEST for w in found):
-        found = [w[i:i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
     return found
 
 
-def vocabulary(path: str) -> np.ndarray:
-    """Sorted hashes of the vocabulary's letter pieces of at most ``PIECE`` letters ("_" marks a word's start)."""
+def _parts(word: str) -> list[str]:
+    return [word[i:i + TRAINED] for i in range(0, len(word), TRAINED)]
+
+
+def vocabulary(path: str) -> tuple[np.ndarray, int]:
+    """Sorted hashes of the vocabulary's letter pieces ("_" marks a word's start) and the length of the longest."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
     pieces = {p.replace("▁", "_") for p in pieces}
-    pieces = sorted(p for p in pieces if 0 < len(p) <= PIECE + 1 and p.replace("_", "", 1).isalpha()
-                    and "_" not in p[1:])
-    return np.unique(np.concatenate([_codes([p])[2] for p in pieces])) if pieces else np.zeros(0, np.uint64)
+    pieces = sorted(p for p in pieces if p.replace("_", "", 1).isalpha() and "_" not in p[1:])
+    if not pieces:
+        return np.zeros(0, np.uint64), 1
+    return np.unique(np.concatenate([_codes([p])[2] for p in pieces])), max(map(len, pieces))
 
 
 def _codes(words: list[str], marked: bool = False):
@@ -71,30 +74,57 @@ def _codes(words: list[str], marked: bool = False):
 class _Lattice:
     """All vocabulary pieces inside some words: for each end position and piece length, a piece number per word."""
 
-    def __init__(self, words: list[str], vocab: np.ndarray):
-        self.size, start, _, s = _codes(words, marked=True)
-        self.unknown = len(vocab)
+    def __init__(self, words: list[str], vocab: np.ndarray, longest: int):
+        self.size, start, _, self._prefix = _codes(words, marked=True)
+        self.vocab, self.longest, self.unknown = vocab, longest, len(vocab)
         order = np.argsort(-self.size, kind="stable")  # longest first: the words that reach a position are a prefix
         self.order, self.sizes = order, self.size[order]
-        start = start[order]
-        self.steps = []
-        for end in range(1, int(self.sizes[0]) + 1 if len(words) else 1):
-            n = int(np.searchsorted(-self.sizes, -end, side="right"))
-            found = []
-            for length in range(1, min(end, PIECE + 1) + 1):
-                at = start[:n] + end
-                h = hashing.mix(hashing.spans(s, at - length, at))
-                piece = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
-                hit = np.flatnonzero(vocab[piece] == h)
-                if length == 1:  # a letter without a piece is the unknown piece
-                    piece = np.where(vocab[piece] == h, piece, self.unknown)
-                    hit = np.arange(n)
-                if len(hit):
-                    found.append((length, hit, piece[hit]))
-            self.steps.append((n, found))
+        self._start = start[order]
+        self.letters = int(self.sizes[0]) if len(words) else 0
+
+    def at(self, end: int):
+        """(words that reach ``end``, (length, words, piece) of the pieces that end there)."""
+        n = int(np.searchsorted(-self.sizes, -end, side="right"))
+        found = []
+        for length in range(1, min(end, self.longest) + 1):
+            at = self._start[:n] + end
+            h = hashing.mix(hashing.spans(self._prefix, at - length, at))
+            piece = np.minimum(np.searchsorted(self.vocab, h), len(self.vocab) - 1)
+            hit = np.flatnonzero(self.vocab[piece] == h)
+            if length == 1:  # a letter without a piece is the unknown piece
+                piece = np.where(self.vocab[piece] == h, piece, self.unknown)
+                hit = np.arange(n)
+            if len(hit):
+                found.append((length, hit, piece[hit]))
+        return n, found
+
+    def log_totals(self, p: np.ndarray) -> np.ndarray:
+        """log of the forward sum of every word in every language; keeps ``longest`` positions and their scale."""
+        langs = p.shape[1]
+        ring = np.zeros((self.longest + 1, len(self.order), langs))
+        ring[0] = 1
+        scale = np.zeros((len(self.order), langs))
+        out = np.empty((len(self.order), langs))
+        for end in range(1, self.letters + 1):
+            n, found = self.at(end)
+            row = ring[end % (self.longest + 1)]
+            row[:n] = 0
+            for length, hit, piece in found:
+                row[hit] += ring[(end - length) % (self.longest + 1), hit] * p[piece]
+            if end % SCALED == 0:
+                top = np.maximum(ring[:, :n].max(axis=0), 1e-300)
+                ring[:, :n] /= top
+                scale[:n] += np.log(top)
+            done = slice(int(np.searchsorted(-self.sizes, -end, side="left")), n)  # the words that end here
+            out[self.order[done]] = np.log(np.maximum(row[done], 1e-300)) + scale[done]
+        return out
+
+    @cached_property
+    def steps(self):
+        return [self.at(end) for end in range(1, self.letters + 1)]
 
     def forward(self, p: np.ndarray) -> np.ndarray:
-        """Forward sums: (position, word, language)."""
+        """Forward sums: (position, word, language), for words whose sums don't underflow."""
         a = np.zeros((len(self.steps) + 1, len(self.order), p.shape[1]))
         a[0] = 1
         for end, (_, found) in enumerate(self.steps, 1):
@@ -102,11 +132,6 @@ class _Lattice:
                 a[end, hit] += a[end - length, hit] * p[piece]
         return a
 
-    def totals(self, a: np.ndarray) -> np.ndarray:
-        out = np.empty(a.shape[1:])
-        out[self.order] = a[self.sizes, np.arange(len(self.order))]
-        return out
-
     def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected piece counts over all segmentations, words weighted by language."""
         a = self.forward(p)
@@ -128,13 +153,12 @@ def word_scores(words: list[str], model: dict) -> np.ndarray:
     """log probability of each word in each language."""
     out = np.zeros((len(words), len(model["langs"])))
     for k in range(0, len(words), 8192):
-        lattice = _Lattice(words[k:k + 8192], model["vocab"])
-        out[k:k + 8192] = np.log(np.maximum(lattice.totals(lattice.forward(model["p"])), 1e-300))
+        out[k:k + 8192] = _Lattice(words[k:k + 8192], model["vocab"], model["longest"]).log_totals(model["p"])
     return out
 
 
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          path: str | None = None, rows: int = ROWS, words: int = WORDS) -> dict:
+          path: str | None = None, rows: int = ROWS) -> dict:
     """Learn the piece probabilities of every language of the rows where ``learn`` holds."""
     if path is None:
         import public_tokenizers
@@ -144,7 +168,8 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     per_lang = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}  # one row per language
     langs = sorted(per_lang, key=lambda x: x.encode())
-    model = {"langs": langs, "vocab": vocabulary(path)}
+    vocab, longest = vocabulary(path)
+    model = {"langs": langs, "vocab": vocab, "longest": longest}
     if not langs:
         return model | {"p": np.ones((len(model["vocab"]) + 1, 0))}
     rate = F.create_map(*[F.lit(x) for k, n in per_lang.items() for x in (k, rows / n)])
@@ -155,27 +180,25 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         for batch in batches:
             seen: dict = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for w in words_of(text or ""):
+                for w in (part for word in words_of(text or "") for part in _parts(word)):
                     seen[lang, w] = seen.get((lang, w), 0) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()),
                  pa.array(list(seen.values()), pa.int64())], ["lang", "word", "n"])
 
     counted = sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    top = counted.withColumn("r", F.row_number().over(
-        Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("r") <= words).select("lang", "word", "n")
-    return _learn(top.collect(), model)
+    return _learn(counted.collect(), model)  # the distinct words of the bounded sample
 
 
 def _learn(counts, model: dict) -> dict:
     langs, vocab = model["langs"], model["vocab"]
-    words = sorted({r["word"] for r in counts})
+    words = sorted({r["word"] for r in counts}, key=lambda w: (len(w), w))  # a block has as many positions as its longest word
     number, column = {w: i for i, w in enumerate(words)}, {x: i for i, x in enumerate(langs)}
     weight = np.zeros((len(words), len(langs)))
     for r in counts:
         weight[number[r["word"]], column[r["lang"]]] += r["n"]
     p = np.full((len(vocab) + 1, len(langs)), 1.0 / (len(vocab) + 1))
-    blocks = [(k, _Lattice(words[k:k + 8192], vocab)) for k in range(0, len(words), 8192)]
+    blocks = [(k, _Lattice(words[k:k + 8192], vocab, model["longest"])) for k in range(0, len(words), 8192)]
     for _ in range(STEPS if words else 0):
         n = sum(lattice.expected(p, weight[k:k + 8192]) for k, lattice in blocks)
         pooled = n.sum(axis=1, keepdims=True) + 0.05

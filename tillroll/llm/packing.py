@@ -28,8 +28,12 @@ ROUNDS = 4
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
-    """Bins that any packing of ``sizes`` needs at least: the best of two families of dual feasible functions."""
-    count = np.bincount(sizes, minlength=capacity + 1)
+    """Bins that any packing of ``sizes`` needs at least."""
+    return histogram_bound(np.bincount(sizes, minlength=capacity + 1), capacity)
+
+
+def histogram_bound(count: np.ndarray, capacity: int) -> int:
+    """The same from the number of pieces of each size: the best of two families of dual feasible functions."""
     size = np.arange(capacity + 1)
     best = -(-int((count * size).sum()) // capacity)
     n, total = np.append(0, np.cumsum(count)), np.append(0, np.cumsum(count * size))
@@ -108,7 +112,9 @@ def pack(cut_pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, ro
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns) + ", sequence_id long, offset long"
     rows = cut(cut_pieces.select(*[f.name for f in columns]).withColumn("__row", F.monotonically_increasing_id()))
     hist = {r[0]: r[1] for r in rows.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    least = lower_bound(np.repeat(np.array(list(hist), np.int64), list(hist.values())), capacity) if hist else 0
+    count = np.zeros(capacity + 1, np.int64)
+    count[list(hist)] = list(hist.values())
+    least = histogram_bound(count, capacity)
 
     def packer(number: int):
         def run(table: pa.Table) -> pa.Table:
