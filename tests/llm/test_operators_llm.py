@@ -331,10 +331,12 @@ def test_ngram_lookup_searches_where_words_were_stored(tmp_path):
         for b, (x, y) in enumerate(zip(cuts, cuts[1:])):
             ngram_lm._save(str(tmp_path), f"{names[0]}-{b}", keys[x:y])
             ngram_lm._save(str(tmp_path), f"{names[1]}-{b}", np.ones(y - x, np.int64))
-    model = {"buckets": buckets, "tokens": len(w), "kinds": len(w), "hot": np.array([ngram_lm.BEGIN]),
+    all_of, none_of = np.ones(buckets, bool), np.zeros(buckets, bool)   # no bigram is stored
+    model = {"folder": str(tmp_path), "filled": {"token": all_of, "word": all_of, "key": none_of},
+             "buckets": buckets, "tokens": len(w), "kinds": len(w), "hot": np.array([ngram_lm.BEGIN]),
              "hot_stats": np.zeros((1, 4), np.int64), "d1": np.array([0, 0.5, 1, 1.5]), "d2": np.zeros(4),
              "left": len(word), "rest": 0.5 * len(word)}
-    n, known, base, score = ngram_lm._score(model, ngram_lm._Maps(str(tmp_path)), w,
+    n, known, base, score = ngram_lm._score(model, ngram_lm._Maps(model), w,
                                             np.append(ngram_lm.BEGIN, w[:-1]), np.array([0]))
     assert n.tolist() == known.tolist() == [len(w)]
     assert math.isclose(base[0], len(w) * math.log10(2 / (2 * len(w) + 1)))
@@ -375,6 +377,24 @@ def test_edited_fingerprints(docs, given, none):
     assert multiset_hash.edited_fingerprints(none).count() == 0
 
 
+def test_a_missing_store_file_is_an_error(docs):
+    import os
+
+    model = ngram_lm.train(docs)
+    want = ngram_lm.score(docs, model).count()
+    assert want == docs.count()
+    for kind in ("token", "count", "key", "stats", "word"):
+        b = int(np.flatnonzero(model["filled"][ngram_lm.STORED_WITH.get(kind, kind)])[0])
+        path = f"{model['folder']}/{kind}-{b}.npy"
+        held = open(path, "rb").read()
+        os.remove(path)
+        with pytest.raises(Exception, match="is missing"):
+            ngram_lm.score(docs, model).collect()
+        with open(path, "wb") as f:
+            f.write(held)
+    assert ngram_lm.score(docs, model).count() == want
+
+
 # -- 8 toxicity -------------------------------------------------------------------------------------
 
 def test_toxicity(docs, none, spark):

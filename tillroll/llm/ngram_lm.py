@@ -40,6 +40,9 @@ HOT = 1024
 PER_BUCKET = 2_000_000
 FLUSH = 3_000_000  # tokens that a task counts before it sends
 STEP = 4 << 20
+MAPS = 2048  # memory-mapped files that a task keeps open
+# arrays that are written together with another one
+STORED_WITH = {"count": "token", "seen": "key", "big": "key", "value": "key", "context": "key", "stats": "key", "left": "word"}
 
 
 def _folder(uri: str) -> str:
@@ -57,18 +60,34 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
 
 
 class _Maps:
-    """Memory-mapped arrays of a store, opened when first asked for."""
+    """Memory-mapped arrays of a store, opened when first asked for; at most ``MAPS`` stay open.
 
-    def __init__(self, folder: str):
-        self.folder, self.open = folder, {}
+    Which buckets hold anything is part of the model: a file that should be there and isn't raises an error.
+    """
+
+    def __init__(self, model: dict):
+        self.folder, self.filled, self.open = model["folder"], model["filled"], {}
 
-    def __call__(self, name: str) -> np.ndarray | None:
+    def __call__(self, kind: str, bucket: int) -> np.ndarray | None:
+        if not self.filled[STORED_WITH.get(kind, kind)][bucket]:
+            return None
+        name = f"{kind}-{bucket}"
         if name not in self.open:
+            if len(self.open) >= MAPS:
+                self.open.pop(next(iter(self.open)))
             path = f"{self.folder}/{name}.npy"
-            self.open[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
+            if not os.path.exists(path):
+                raise FileNotFoundError(f"n-gram store: {path} is missing; is {self.folder} mounted on this machine?")
+            self.open[name] = np.load(path, mmap_mode="r")
         return self.open[name]
 
 
+def _filled(buckets: int, some) -> np.ndarray:
+    out = np.zeros(buckets, bool)
+    out[list(some)] = True
+    return out
+
+
 def _pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return hashing.mix(v ^ hashing.mix(w))
 
@@ -168,16 +187,18 @@ def train(docs: DataFrame, text_col: str = "text") -> dict:
         top = np.argsort(-c, kind="stable")[:HOT]
         return pa.table({"w": pa.array([None, *w[top].view(np.int64).tolist()], pa.int64()),
                          "n": pa.array([int(c.sum()), *c[top].tolist()], pa.int64()),
-                         "kinds": pa.array([len(w), *[0] * len(top)], pa.int64())})
+                         "kinds": pa.array([len(w), *[0] * len(top)], pa.int64()),
+                         "b": pa.array([b] * (len(top) + 1), pa.int32())})
 
     stored = cut(texts.mapInArrow(count_tokens, row).groupBy("bucket").applyInArrow(
-        store_tokens, "w long, n long, kinds long"))
-    total = stored.where("w is null").agg(F.sum("n"), F.sum("kinds")).first()
+        store_tokens, "w long, n long, kinds long, b int"))
+    total = stored.where("w is null").agg(F.sum("n"), F.sum("kinds"), F.collect_list("b")).first()
     tokens, kinds = int(total[0] or 0), int(total[1] or 0)
     # fewer than HOT words can hold over 1 / HOT of all tokens each
     hot = [r[0] for r in stored.where(F.col("w").isNotNull() & (F.col("n") > tokens / HOT)).select("w").collect()]
     hot = np.sort(np.append(np.array(hot, np.int64).view(np.uint64), BEGIN))
-    model = {"folder": folder, "buckets": buckets, "tokens": tokens, "kinds": kinds, "hot": hot}
+    model = {"folder": folder, "buckets": buckets, "tokens": tokens, "kinds": kinds, "hot": hot,
+             "filled": {"token": _filled(buckets, total[2])}}
 
     # bigrams ----------------------------------------------------------------
     def count_pairs(batches):
@@ -233,7 +254,7 @@ def train(docs: DataFrame, text_col: str = "text") -> dict:
         cuts = bucket_cuts(word << np.uint64(16), buckets)
         cont = [(k, _blob(w=np.frombuffer(pack_sorted(word[x:y]), np.uint8), c=left[x:y].astype(np.uint32)))
                 for k, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-        seen = [int((c == k).sum()) for k in (1, 2, 3, 4)]
+        seen = [*[int((c == k).sum()) for k in (1, 2, 3, 4)], b]
         small_rows = [(None, seen), *[(int(x), y) for x, y in zip(first[is_hot].view(np.int64), stats[is_hot].tolist())]]
         return pa.table({"bucket": pa.array([x[0] for x in cont] + [-1] * len(small_rows), pa.int32()),
                          "blob": pa.array([x[1] for x in cont] + [None] * len(small_rows), pa.binary()),
@@ -244,6 +265,7 @@ def train(docs: DataFrame, text_col: str = "text") -> dict:
         store_pairs, row + ", v long, s array<long>"))
     sums = [F.sum(F.col("s")[i]) for i in range(4)]
     at_most = {r[0]: [int(x) for x in r[1:]] for r in pairs.where("bucket < 0").groupBy("v").agg(*sums).collect()}
+    model["filled"]["key"] = _filled(buckets, [r[0] for r in pairs.where("bucket < 0 and v is null").select(F.col("s")[4]).collect()])
     model["d2"] = _discounts(at_most.pop(None, [0] * 4))
     model["hot_stats"] = np.array([at_most.get(int(x), [0] * 4) for x in hot.view(np.int64)], np.int64)
 
@@ -256,11 +278,13 @@ def train(docs: DataFrame, text_col: str = "text") -> dict:
         _save(folder, f"word-{b}", w)
         _save(folder, f"left-{b}", c)
         s = [int(c.sum()), int((c > 2).sum()), *[int((c == k).sum()) for k in (1, 2, 3, 4)]]
-        return pa.table({f"s{i}": pa.array([x], pa.int64()) for i, x in enumerate(s)})
+        return pa.table({f"s{i}": pa.array([x], pa.int64()) for i, x in enumerate([*s, b])})
 
     left = pairs.where("bucket >= 0").select("bucket", "blob").groupBy("bucket").applyInArrow(
-        store_left, ", ".join(f"s{i} long" for i in range(6)))
-    s = [int(x or 0) for x in left.agg(*[F.sum(f"s{i}") for i in range(6)]).first()]
+        store_left, ", ".join(f"s{i} long" for i in range(7)))
+    *s, held = left.agg(*[F.sum(f"s{i}") for i in range(6)], F.collect_list("s6")).first()
+    s = [int(x or 0) for x in s]
+    model["filled"]["word"] = _filled(buckets, held)
     model["d1"] = _discounts(s[2:])
     model["left"] = s[0]
     model["rest"] = float(model["d1"][1] * s[2] + model["d1"][2] * s[3] + model["d1"][3] * s[1])
@@ -277,17 +301,17 @@ def _lookup(maps: _Maps, keys: np.ndarray, bucket: np.ndarray, sorted_name: str,
     out = np.zeros((len(keys), width) if width else len(keys), np.int64)
     cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
     for x, y in zip(cuts, [*cuts[1:], len(keys)]):
-        have = maps(f"{sorted_name}-{bucket[x]}")
+        have = maps(sorted_name, bucket[x])
         if have is None or not len(have):
             continue
         at = np.minimum(np.searchsorted(have, keys[x:y]), len(have) - 1)
         hit = np.flatnonzero(have[at] == keys[x:y])
-        out[x + hit] = maps(f"{value_name}-{bucket[x]}")[at[hit]]
+        out[x + hit] = maps(value_name, bucket[x])[at[hit]]
         if value_name == "seen":
             full = hit[out[x + hit] == 255]
             if len(full):
-                big = np.searchsorted(maps(f"big-{bucket[x]}"), at[full])
-                out[x + full] = maps(f"value-{bucket[x]}")[big]
+                big = np.searchsorted(maps("big", bucket[x]), at[full])
+                out[x + full] = maps("value", bucket[x])[big]
     return out
 
 
@@ -337,7 +361,7 @@ def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
                         "train_tokens long", "base_score double", "score double"])
 
     def run(batches):
-        maps = _Maps(model["folder"])
+        maps = _Maps(model)
         for batch in batches:
             data, offsets = text_buffers(batch.column(where))
             got = [_score(model, maps, *_tokens(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]))
