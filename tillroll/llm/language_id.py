@@ -21,6 +21,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ STEPS = 4
 BACKGROUND = 200.0  # weight of the pooled piece probabilities in those of a language
 KEPT = 400_000
 SCALED = 8  # positions between two scalings
+BLOCK = 8192  # words of one lattice
 NONE = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -152,8 +154,8 @@ class _Lattice:
 def word_scores(words: list[str], model: dict) -> np.ndarray:
     """log probability of each word in each language."""
     out = np.zeros((len(words), len(model["langs"])))
-    for k in range(0, len(words), 8192):
-        out[k:k + 8192] = _Lattice(words[k:k + 8192], model["vocab"], model["longest"]).log_totals(model["p"])
+    for k in range(0, len(words), BLOCK):
+        out[k:k + BLOCK] = _Lattice(words[k:k + BLOCK], model["vocab"], model["longest"]).log_totals(model["p"])
     return out
 
 
@@ -187,20 +189,20 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
                  pa.array(list(seen.values()), pa.int64())], ["lang", "word", "n"])
 
     counted = sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    return _learn(counted.collect(), model)  # the distinct words of the bounded sample
+    return _learn(counted.toArrow(), model)  # the distinct words of the bounded sample
 
 
 def _learn(counts, model: dict) -> dict:
     langs, vocab = model["langs"], model["vocab"]
-    words = sorted({r["word"] for r in counts}, key=lambda w: (len(w), w))  # a block has as many positions as its longest word
-    number, column = {w: i for i, w in enumerate(words)}, {x: i for i, x in enumerate(langs)}
+    # sorted by length: a block has as many positions as its longest word
+    words = sorted(pc.unique(counts.column("word")).to_pylist(), key=lambda w: (len(w), w))
     weight = np.zeros((len(words), len(langs)))
-    for r in counts:
-        weight[number[r["word"]], column[r["lang"]]] += r["n"]
+    place = [pc.index_in(counts.column(c), pa.array(x, pa.string())).to_numpy() for c, x in (("word", words), ("lang", langs))]
+    np.add.at(weight, tuple(place), counts.column("n").to_numpy())
     p = np.full((len(vocab) + 1, len(langs)), 1.0 / (len(vocab) + 1))
-    blocks = [(k, _Lattice(words[k:k + 8192], vocab, model["longest"])) for k in range(0, len(words), 8192)]
     for _ in range(STEPS if words else 0):
-        n = sum(lattice.expected(p, weight[k:k + 8192]) for k, lattice in blocks)
+        n = sum(_Lattice(words[k:k + BLOCK], vocab, model["longest"]).expected(p, weight[k:k + BLOCK])
+                for k in range(0, len(words), BLOCK))  # one block's lattice at a time
         pooled = n.sum(axis=1, keepdims=True) + 0.05
         pooled /= pooled.sum()
         p = (n + BACKGROUND * pooled) / (n.sum(axis=0) + BACKGROUND)
