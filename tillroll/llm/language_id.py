@@ -32,7 +32,7 @@ ROWS = 1500
 TRAINED = 64
 STEPS = 4
 BACKGROUND = 200.0  # weight of the pooled piece probabilities in those of a language
-KEPT = 400_000
+KEPT = 150_000
 SCALED = 8  # positions between two scalings
 BLOCK = 8192  # words of one lattice
 NONE = "und"
