@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from helpers import rows
 from tillroll.functions import search, sem
 from tillroll.operators import asof, distinct, lifecycle, multiset
-from tillroll.plans import subscriptions
+from tillroll.plans import bank, subscriptions
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -155,3 +155,18 @@ def test_before_after_windows_reach_into_the_next_year(spark):
         after = [s for d, _, _, s in data if 0 <= (d - start).days < 28]
         assert len(before) == 4 and got[year] == (sum(before), sum(after))
     assert set(got) >= {2018, 2019, 2020, 2021}
+
+
+def test_balance_shares_count_earlier_months_and_name_their_modes(spark):
+    month = dt.date(2020, 3, 1)
+    rows = [(1, dt.date(2020, 1, 5), "deposit", 100), (1, dt.date(2020, 4, 2), "deposit", 4),       # 100 -> 104: up by under 5 %
+            (2, dt.date(2020, 3, 9), "deposit", 100), (2, dt.date(2020, 4, 9), "deposit", 6),       # 100 -> 106: grown
+            (3, dt.date(2020, 3, 9), "deposit", 100), (3, dt.date(2020, 4, 9), "withdrawal", 120),  # 100 -> -20: fallen, flipped
+            (4, dt.date(2020, 2, 9), "withdrawal", 10), (4, dt.date(2020, 5, 1), "deposit", 999)]   # -10 -> -10
+    t = spark.createDataFrame(rows, "customer_id int, txn_date date, txn_type string, txn_amount int")
+    got = bank.month_over_month_balance_shares(t, first_month=month).first()
+    assert tuple(got) == (75, 25, 33, 33, 33)
+    by_amounts = bank.month_over_month_shares(t, first_month=month).first()
+    assert (by_amounts.positive_pc, by_amounts.increase_pc) == (50, 0)
+    with pytest.raises(ValueError):
+        bank.month_over_month_shares(t, mode="closing")

@@ -63,14 +63,15 @@ def calendar(first_month: dt.date, months: int) -> list[dt.date]:
 
 
 def month_columns(df: DataFrame, key: str, date_col: str, value, first_month: dt.date,
-                  months: int, prefix: str = "_m") -> DataFrame:
+                  months: int, prefix: str = "_m", closing: bool = False) -> DataFrame:
     """One row per key with ``<prefix>0 .. <prefix>{months-1}``: the sum of
-    ``value`` over the key's rows in each calendar month (NULL when none).
+    ``value`` over the key's rows in each calendar month (NULL when none), or
+    with ``closing`` over all rows up to the month's end.
     Every key present in ``df`` gets a row; one grouped pass (partial
     aggregation before the shuffle)."""
     m = F.trunc(F.to_date(F.col(date_col)), "month")
     v = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(key).agg(*[F.sum(F.when(m == F.lit(d), v)).alias(f"{prefix}{i}")
+    return df.groupBy(key).agg(*[F.sum(F.when(m <= F.lit(d) if closing else m == F.lit(d), v)).alias(f"{prefix}{i}")
                                  for i, d in enumerate(calendar(first_month, months))])
 
 
