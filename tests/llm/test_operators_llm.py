@@ -282,6 +282,43 @@ def test_mixing(docs, given, none):
     assert mixing.copies(none).count() == 0 and mixing.mix_documents(none).count() == 0
 
 
+def test_mixing_takes_documents_by_their_inclusion_odds(spark, monkeypatch):
+    sizes, each = (8, 64, 256, 768), 1500
+    t = spark.range(len(sizes) * each * 2).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"),
+        F.repeat(F.lit("w "), F.element_at(F.array(*[F.lit(n) for n in sizes]),
+                                           ((F.col("id") / 2).cast("int") % len(sizes) + 1))).alias("text")).cache()
+    got = mixing.copies(t)
+    per = got.groupBy("source", "size").agg(F.min("rate").alias("rate"), F.max("rate").alias("top"), F.avg("copies").alias("mean"),
+                                            F.count("*").alias("n")).collect()
+    assert len(per) == 8 and all(r.rate == r.top for r in per)
+    for r in per:  # four standard errors of a draw of n
+        p = r.rate % 1
+        assert abs(r.mean - r.rate) <= 4 * math.sqrt(p * (1 - p) / r.n), r
+    for source in "ab":
+        rates = [r.rate for r in sorted(per, key=lambda r: r["size"]) if r.source == source]
+        assert rates == sorted(rates) and rates[-1] - rates[0] > 0.3
+        expected = sum(r.rate * r["size"] * r.n for r in per if r.source == source)
+        target = got.where(F.col("source") == source).first().target
+        assert abs(expected - target) < 1e-6 * target
+    # equal preferences are equal rates; one as a column of the documents
+    flat = mixing.copies(t, preference=F.lit(0.5)).agg(F.count_distinct("source", "rate")).first()[0]
+    assert flat == 2
+    # the end of the order found by many small slices is the same as by one sort
+    whole = sorted((r.id, r.copies) for r in got.collect())
+    monkeypatch.setattr(mixing, "SLICES", 4)
+    monkeypatch.setattr(mixing, "SORTED", 3)
+    assert sorted((r.id, r.copies) for r in mixing.copies(t).collect()) == whole
+
+
+def test_mixing_keeps_one_row_of_equal_documents_whatever_the_order(spark):
+    rows = [(1, "a b c", "s", 10, 5), (1, "a b c", "s", 11, 5), (1, "a b c", "s", 9, 5), (2, None, "s", 1, 1), (3, "", None, 1, 1)]
+    t = spark.createDataFrame(rows, "doc_id long, text string, source string, size int, copies int")
+    first = sorted(mixing.mix_documents(t).collect(), key=str)
+    assert first and {r["size"] for r in first if r.doc_id == 1} < {9, 10, 11} and len({r["size"] for r in first if r.doc_id == 1}) == 1
+    assert sorted(mixing.mix_documents(t.orderBy(F.desc("size")).repartition(4)).collect(), key=str) == first
+
+
 # -- 6 language model -------------------------------------------------------------------------------
 
 def test_ngram_lm(docs, given, none):
