@@ -42,8 +42,10 @@ ANCHOR = 48
 TRIGGER = 16
 MODULUS = 32
 HOT = 4096
+FIRST = 6
 BUCKET_BYTES = 8 << 20
-SORT_BYTES = 2 << 20
+SORT_BYTES = 256 << 10
+STEP_BYTES = 256 << 10
 # what a bucket tells about a phrase
 NONE, ALL, SORT, SORT_ALL, COUNT, COUNT_ALL = range(6)
 
@@ -52,7 +54,7 @@ def _phrases(data: np.ndarray, offsets: np.ndarray, width: int):
     """All phrases of a chunk: first window, number of windows, anchor offset, anchor key, content key."""
     reach = width - ANCHOR
     out = []
-    for a, b in steps(offsets):
+    for a, b in steps(offsets, STEP_BYTES):
         lo, d = offsets[a], offsets[a:b + 1] - offsets[a]
         s = hashing.prefix(hashing.BYTE[data[offsets[a]:offsets[b]]])
         t = np.flatnonzero(hashing.mix(hashing.windows(s, TRIGGER)) % np.uint64(MODULUS) == 0)
@@ -96,33 +98,57 @@ def _distinct(near: np.ndarray, content: np.ndarray):
 
 
 def repeated_suffixes(text: np.ndarray, begin: np.ndarray, windows: np.ndarray, weight: np.ndarray,
-                      width: int) -> np.ndarray:
+                      width: int, group: np.ndarray | None = None) -> np.ndarray:
     """For every window (all of phrase 0, then phrase 1, ...): does its text occur with total weight > 1?
 
-    Phrase i starts at ``begin[i]`` and has ``windows[i]`` window starts.  The
-    suffix order is built by doubling: ranks of 8 bytes, then of pairs of ranks.
+    Phrase i starts at ``begin[i]`` (ascending, the first at 0) and has ``windows[i]`` window starts; phrases
+    of different ``group`` (below 2^16) share no window.  The suffix order is built by doubling.  A suffix
+    whose first ``FIRST`` bytes occur once in its group has its place by them, and no window that
+    holds such a place is repeated: only the text of the other windows is ranked on, by 8 bytes, then by pairs of ranks.
     """
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
-    rank = np.zeros(n, np.uint64)
-    for k in range(8):
-        rank |= padded[k:n + k] << np.uint64(56 - 8 * k)
-    size = 8
-    rank = np.unique(rank, return_inverse=True)[1].astype(np.uint64)
-
-    def pair(step):
-        right = np.zeros(n, np.uint64)
-        right[:max(0, n - step)] = rank[step:]
-        return np.unique(rank << np.uint64(32) | right, return_inverse=True)[1].astype(np.uint64)
-
-    while 2 * size <= width:
-        rank = pair(size)
-        size *= 2
-    if size < width:
-        rank = pair(width - size)
     at = np.repeat(begin - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
-    total = np.bincount(rank[at].astype(np.int64), weights=np.repeat(weight, windows))
-    return total[rank[at].astype(np.int64)] > 1
+    weight = np.repeat(weight, windows)
+    key = _first_bytes(text, FIRST)
+    if group is not None:
+        key |= np.repeat(group.astype(np.uint64) << np.uint64(8 * FIRST), np.diff(np.append(begin, len(text))))
+    order = np.argsort(key)
+    new = np.append(True, key[order[1:]] != key[order[:-1]])
+    once = np.zeros(len(text), bool)
+    once[order] = new & np.append(new[1:], True)
+    before = np.append(0, np.cumsum(once, dtype=np.int32))
+    hit = weight > 1
+    open_ = np.flatnonzero(before[at + width - FIRST + 1] == before[at])
+    if len(open_):
+        at, mark = at[open_], np.zeros(len(text) + 1, np.int32)
+        np.add.at(mark, at, 1)
+        np.add.at(mark, at + width, -1)
+        read = np.cumsum(mark[:-1]) > 0
+        rank = _ranks(text[read], width)[(np.cumsum(read) - 1)[at]]
+        hit[open_] = np.bincount(rank, weights=weight[open_])[rank] > 1
+    return hit
+
+
+def _first_bytes(text: np.ndarray, size: int) -> np.ndarray:
+    """The ``size`` (8 at most) bytes from every position on as a number; zeros follow the end."""
+    n, out = len(text), np.zeros(len(text), np.uint64)
+    padded = np.concatenate([text, np.zeros(size, np.uint8)])
+    for k in range(size):
+        out <<= np.uint64(8)
+        out |= padded[k:n + k]
+    return out
+
+
+def _ranks(text: np.ndarray, width: int) -> np.ndarray:
+    """Rank of the ``width`` bytes (8 at least) from every position on, by doubling."""
+    n, size = len(text), 8
+    rank = np.unique(_first_bytes(text, size), return_inverse=True)[1]
+    while size < width:
+        step = min(size, width - size)
+        pair = rank.astype(np.uint64) << np.uint64(32)
+        pair[:max(0, n - step)] |= rank[step:].astype(np.uint64)
+        rank = np.unique(pair, return_inverse=True)[1]
+        size += step
+    return rank
 
 
 def _blob(**arrays: np.ndarray) -> bytes:
@@ -277,7 +303,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 b = int(ends[max(b - 1, int(np.searchsorted(ends, a, side="right")))])
                 p = order[a:b]
                 inside = np.repeat(begin[p] - np.cumsum(size[p]) + size[p], size[p]) + np.arange(size[p].sum())
-                hit = repeated_suffixes(text[inside], np.cumsum(size[p]) - size[p], n[p], weight[p], width)
+                group = np.cumsum(np.append(False, near[p[1:]] != near[p[:-1]]))
+                hit = repeated_suffixes(text[inside], np.cumsum(size[p]) - size[p], n[p], weight[p], width, group)
                 row = np.repeat(np.arange(len(p)), n[p])
                 flags = np.zeros((len(p), width - ANCHOR + 1), bool)
                 flags[row, np.arange(len(row)) - np.repeat(np.cumsum(n[p]) - n[p], n[p])] = hit
