@@ -12,6 +12,7 @@ text, or exact copies of one under one id, that are larger.
 
 from __future__ import annotations
 
+import ctypes
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
@@ -115,7 +116,7 @@ def packed(docs: DataFrame, id_col: str, plan: Chunking, text_col: str = "text")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(chunk[cuts[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())], ["chunk", "blob"])
 
-    return docs.select("*", F.xxhash64(text_col).alias("__tie")).mapInArrow(deal, "chunk int, blob binary")
+    return docs.select("*", F.xxhash64(text_col).alias("__tie")).mapInArrow(lean_batches(deal), "chunk int, blob binary")
 
 
 def to_blob(table: pa.Table) -> bytes:
@@ -192,6 +193,34 @@ def bucket_of(values: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(bucket_starts(buckets), values, side="right") - 1
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, and their allocators would keep the most that any task took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def lean(run):
+    """``run``, a function of one or two tables of a group, then ``give_back``."""
+    def call(*tables):
+        try:
+            return run(*tables)
+        finally:
+            give_back()
+
+    return (lambda table: call(table)) if run.__code__.co_argcount == 1 else (lambda left, right: call(left, right))
+
+
+def lean_batches(run):
+    """``run``, a function of a task's batches, then ``give_back``."""
+    def call(batches):
+        yield from run(batches)
+        give_back()
+
+    return call
+
+
 def own_columns(docs: DataFrame, *taken: str) -> list[str]:
     """Columns of ``docs`` that keep their names beside the result columns ``taken``."""
     low = {t.lower() for t in taken}

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import hashing
-from tillroll.llm.chunks import steps, text_buffers
+from tillroll.llm.chunks import lean_batches, steps, text_buffers
 
 ROWS = 1500
 TRAINED = 64
@@ -188,7 +188,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
                 [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()),
                  pa.array(list(seen.values()), pa.int64())], ["lang", "word", "n"])
 
-    counted = sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted = sample.mapInArrow(lean_batches(count), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     return _learn(counted.toArrow(), model)  # the distinct words of the bounded sample
 
 
@@ -233,7 +233,7 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text", taken=("lang_
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(score)],
                                                  [*own, "lang_pred", "score"])
 
-    return docs.select(*own).mapInArrow(run, schema)
+    return docs.select(*own).mapInArrow(lean_batches(run), schema)
 
 
 def _predict(texts: list[list[str]], m: dict):

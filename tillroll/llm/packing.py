@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.chunks import lean_batches, steps, text_buffers
 from tillroll.llm.graph import cut
 from tillroll.llm.tokens import Encoder
 
@@ -82,7 +83,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
 
     def run(batches):
         encode = Encoder.of(ranks, reference)
-        for batch in batches:
+        for batch in (b.slice(x, y - x) for b in batches for x, y in steps(text_buffers(b.column(1))[1])):
             rows = []
             for n, text in enumerate(batch.column(1).to_pylist()):
                 ids = encode(text or "") + tail
@@ -103,7 +104,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
             yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = f"id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(lean_batches(run), schema)
 
 
 def pack(cut_pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int = ROUNDS) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillroll.llm import hashing
-from tillroll.llm.chunks import own_columns, pack_sorted, steps, text_buffers, unpack_sorted
+from tillroll.llm.chunks import lean_batches, own_columns, pack_sorted, steps, text_buffers, unpack_sorted
 from tillroll.llm.graph import components, cut
 
 WORDS = 4
@@ -88,7 +88,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(
-        run, f"id {kind}, fp long")
+        lean_batches(run), f"id {kind}, fp long")
 
 
 # -- trie join of two sorted arrays ---------------------------------------------------------------

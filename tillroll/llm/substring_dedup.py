@@ -25,37 +25,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm import hashing
-from tillroll.llm.chunks import (NULL_ID, bucket_cuts, chunking, from_blobs, own_columns, pack_sorted, packed,
-                                 steps, text_buffers, unpack_sorted)
+from tillroll.llm.chunks import (NULL_ID, bucket_cuts, chunking, from_blobs, lean, own_columns, pack_sorted,
+                                 packed, steps, text_buffers, unpack_sorted)
 
 WINDOW = 50
 PER_BUCKET = 2_000_000
+PER_SLICE = 500_000  # hashes that a bucket compares at once
+STEP_BYTES = 256 << 10
 
 
-def _windows(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, width: int):
-    """All windows of a chunk: hash, id of the document, document number, start word in the document."""
-    out, counts = [], np.zeros(len(offsets) - 1, np.int64)
-    for a, b in steps(offsets):
+def _windows(who: np.ndarray, data: np.ndarray, offsets: np.ndarray, width: int):
+    """All windows of a chunk: hash, ``who`` of the document, first word (counted over the chunk); words of each document."""
+    out, counts, base = [], np.zeros(len(offsets) - 1, np.int64), 0
+    for a, b in steps(offsets, STEP_BYTES):
         h, _, _, first = hashing.word_hashes(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-        counts[a:b] = np.diff(first)
+        counts[a:b] = n = np.diff(first)
         w = hashing.windows(hashing.prefix(h), width)
-        doc = np.repeat(np.arange(a, b), counts[a:b])
-        at = np.arange(len(h)) - np.repeat(first[:-1], counts[a:b])
-        inside = (at + width <= counts[doc])[:len(w)]
-        keep = np.flatnonzero(inside)
-        out.append((hashing.mix(w[keep]), doc[keep], at[keep]))
+        at = np.flatnonzero(np.arange(len(w)) + width <= np.repeat(first[1:], n)[:len(w)])
+        out.append((hashing.mix(w[at]), np.repeat(who[a:b], n)[at], (at + base).astype(np.int32)))
+        base += len(h)
     if not out:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), counts
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), counts
     h, doc, at = (np.concatenate(x) for x in zip(*out))
     return h, doc, at, counts
 
 
-def _runs(h: np.ndarray, ids: np.ndarray):
-    """Order of (hash, id), the start of each run of equal hashes in it."""
-    order = np.argsort(ids, kind="stable")
-    order = order[np.argsort(h[order], kind="stable")]
+def _sorted_runs(h: np.ndarray):
+    """Order of the hashes, the hashes in it, the start of each run of equal ones and the length of each run."""
+    order = np.argsort(h, kind="stable")
     s = h[order]
-    return order, np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, np.int64)
+    first = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, np.int64)
+    return order, s, first, np.diff(np.append(first, len(s)))
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW,
@@ -83,16 +83,18 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chunks = packed(docs, id_col, plan, text_col)
 
     def read(table: pa.Table):
+        """Documents of a chunk by ascending id, their text, and a number that ascends with the id."""
         d = from_blobs(table.column("blob"), own)
-        data, offsets = text_buffers(d.column(text_col))
         ids = pc.fill_null(d.column(id_col).cast(pa.int64()), NULL_ID).to_numpy()
-        h, doc, at, counts = _windows(ids, data, offsets, width)
-        order, first = _runs(h, ids[doc])
-        return d, data, offsets, ids, h, doc, at, counts, order, first
+        if (ids[1:] < ids[:-1]).any():
+            order = np.argsort(ids, kind="stable")
+            d, ids = d.take(pa.array(order)).combine_chunks(), ids[order]
+        who = np.cumsum(np.append(0, ids[1:] != ids[:-1])[:len(ids)]).astype(np.int32)
+        return d, *text_buffers(d.column(text_col)), who
 
     def count(table: pa.Table) -> pa.Table:
-        _, _, _, _, h, _, _, _, order, first = read(table)
-        u = h[order[first]]
+        _, data, offsets, who = read(table)
+        u = np.unique(_windows(who, data, offsets, width)[0])
         cuts = bucket_cuts(u, buckets)
         some = [i for i in range(buckets) if cuts[i + 1] > cuts[i]]
         return pa.table({"bucket": pa.array(some, pa.int32()),
@@ -102,20 +104,41 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def answer(table: pa.Table) -> pa.Table:
         t = table.sort_by("chunk")
         parts = [unpack_sorted(b.as_py()) for b in t.column("hashes")]
-        h = np.concatenate(parts)
-        order = np.argsort(h, kind="stable")
-        later = np.zeros(len(h), bool)
-        s = h[order]
-        r = np.repeat(ranges[t.column("chunk").to_numpy()], [len(p) for p in parts])[order]
-        first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
-        later[order] = r > np.repeat(r[first], np.diff(np.append(first, len(s))))
-        ends = np.cumsum([len(p) for p in parts])
-        bits = [later[e - len(p):e] for p, e in zip(parts, ends)]
+        of = ranges[t.column("chunk").to_numpy()]
+        bits = [np.zeros(len(p), bool) for p in parts]
+        slices = -(-sum(map(len, parts)) // PER_SLICE)
+        low = t.column("bucket")[0].as_py() * slices
+        starts = np.array([(i << 64) // (buckets * slices) for i in range(low, low + slices)], np.uint64)
+        cuts = np.array([np.append(np.searchsorted(p, starts), len(p)) for p in parts])
+        for a, b in zip(cuts.T, cuts.T[1:]):
+            order, _, first, size = _sorted_runs(np.concatenate([p[x:y] for p, x, y in zip(parts, a, b)]))
+            r = np.repeat(of, b - a)[order]
+            later = np.zeros(len(order), bool)
+            later[order] = r > np.repeat(r[first], size)  # parts ascend by range
+            ends = np.cumsum(b - a)
+            for x, p, q, e in zip(bits, a, b, ends):
+                x[p:q] = later[e - (q - p):e]
         some = [i for i, b in enumerate(bits) if b.any()]
         return pa.table({"chunk": t.column("chunk").take(pa.array(some, pa.int64())),
                          "bucket": t.column("bucket").take(pa.array(some, pa.int64())),
                          "bits": pa.array([np.packbits(bits[i]).tobytes() for i in some], pa.binary())})
 
+    def covered(data, offsets, who, right: pa.Table):
+        """(words of each document, whether each word goes)."""
+        h, doc, at, counts = _windows(who, data, offsets, width)
+        order, s, first, size = _sorted_runs(h)
+        cuts = bucket_cuts(s[first], buckets)
+        doc = doc[order]
+        least = doc[first]  # documents ascend by id, and equal hashes stay in their order
+        for b, bits in zip(right.column("bucket").to_pylist(), right.column("bits").to_pylist()):
+            elsewhere = np.unpackbits(np.frombuffer(bits, np.uint8), count=cuts[b + 1] - cuts[b]).astype(bool)
+            least[cuts[b]:cuts[b + 1]][elsewhere] = -1
+        pos = at[order[doc > np.repeat(least, size)]]
+        mark = np.zeros(counts.sum() + width + 1, np.int32)
+        np.add.at(mark, pos, 1)
+        np.add.at(mark, pos + width, -1)
+        return counts, np.cumsum(mark[:counts.sum()], dtype=np.int32) > 0
+
     schema = docs.schema
     out_schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema] + [
         T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -123,22 +146,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType())])))])
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
-        d, data, offsets, ids, h, doc, at, counts, order, first = read(left)
-        u = h[order[first]]
-        elsewhere = np.zeros(len(u), bool)
-        cuts = bucket_cuts(u, buckets)
-        for b, bits in zip(right.column("bucket").to_pylist(), right.column("bits").to_pylist()):
-            n = cuts[b + 1] - cuts[b]
-            elsewhere[cuts[b]:cuts[b + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
-        run = np.repeat(np.arange(len(u)), np.diff(np.append(first, len(h))))
-        flagged = elsewhere[run] | (ids[doc[order]] > ids[doc[order[first]]][run])
-        hit = order[flagged]
+        d, data, offsets, who = read(left)
+        counts, gone = covered(data, offsets, who, right)
         base = np.concatenate([[0], np.cumsum(counts)])
-        mark = np.zeros(base[-1] + width + 1, np.int32)
-        pos = base[doc[hit]] + at[hit]
-        np.add.at(mark, pos, 1)
-        np.add.at(mark, pos + width, -1)
-        gone = np.cumsum(mark[:base[-1]]) > 0
         texts, removed, n_removed = [], [], np.zeros(len(counts), np.int64)
         raw = data.tobytes()
         null = d.column(text_col).is_null().to_pylist()
@@ -160,6 +170,6 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  "removed": pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())])))}
         return pa.table(cols)
 
-    replies = (chunks.groupBy("chunk").applyInArrow(count, "bucket int, chunk int, hashes binary")
-               .groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, bits binary"))
-    return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(apply, out_schema)
+    replies = (chunks.groupBy("chunk").applyInArrow(lean(count), "bucket int, chunk int, hashes binary")
+               .groupBy("bucket").applyInArrow(lean(answer), "chunk int, bucket int, bits binary"))
+    return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(lean(apply), out_schema)
