@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
@@ -104,6 +105,22 @@ def test_words_by_themselves():
         assert ids.tolist() == pair.b.encode(t), t
 
 
+def test_a_worker_remembers_no_words():
+    """The ids of a span's words go with it, whatever the texts held before."""
+    pair = ta._Pair.of(None, None, None)
+    texts = [" ".join(f"w{i:x}q{j}" for i in range(j * 40_000, j * 40_000 + 40_000)) for j in range(5)]
+    kept = lambda: sum(len(x) for y in (pair, pair.a) for x in vars(y).values() if isinstance(x, dict))
+    before = kept()
+    for t in texts:
+        span = pair.read(pa.array([t, None, "", " ▁", t]))
+        (a, n_a), (b, n_b) = span.ids(0, 5)
+        assert a.tolist() == pair.a._encode(" " + t) * 2 and b.tolist() == pair.b.encode(t) * 2
+        assert n_a.tolist() == [len(a) // 2, 0, 0, 0, len(a) // 2] and n_b.tolist() == [len(b) // 2, 0, 0, 0, len(b) // 2]
+        (a, _), (b, _) = span.ids(4, 5)
+        assert a.tolist() == pair.a._encode(" " + t) and b.tolist() == pair.b.encode(t)
+    assert kept() == before
+
+
 def test_query(spark, given):
     got = {r.doc_id: tuple(r)[1:] for r in op12_token_alignment(spark, "/root/testdata/sf0.001").collect()}
     rows = given.select("doc_id", "text").collect()

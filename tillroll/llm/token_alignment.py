@@ -10,6 +10,9 @@ are finished.  A document of over ``LANE`` tokens walks in several places at
 once, each beginning at an end that both tokenizers share, so the number of
 steps does not grow with the longest text.
 
+Texts are encoded by the distinct words of ``SPAN_BYTES`` of them, and their
+ids are gathered from those: nothing is remembered beyond a span.
+
 Every document keeps its distinct linked id pairs.  How many documents of the
 whole corpus hold a pair is counted in Spark from per-chunk counts and sent
 back to the chunks that hold the pair.
@@ -17,21 +20,23 @@ back to the chunks that hold the pair.
 
 from __future__ import annotations
 
-from array import array
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillroll.llm.chunks import from_blobs, own_columns, steps, text_buffers, to_blob
+from tillroll.llm.chunks import from_blobs, give_back, lean_batches, own_columns, steps, text_buffers, to_blob
 from tillroll.llm.graph import cut
-from tillroll.llm.tokens import SPECIAL, Encoder, vocabulary
+from tillroll.llm.tokens import SPLIT, Encoder, vocabulary
 
-STEP_BYTES = 1 << 19   # text of one batch in lockstep
-KEPT = 150_000         # words whose ids a worker remembers
+SPAN_BYTES = 8 << 20   # text whose distinct words are encoded together
+STEP_BYTES = 1 << 18   # text of one batch in lockstep
+WORDS = 16_384         # words encoded at once
+LINE = 32              # words in a text read at once
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())  # there are none above
 LANE = 256             # tokens after which a document walks in a further place
 PAIRS = 1 << 18        # links that are expanded at once
 CHUNK_PAIRS = 1 << 19  # (document, pair) entries of a chunk
@@ -58,7 +63,6 @@ class _Pair:
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
         # decimal ids followed by what separates them: , in a group, | after its A ids, ; after the group
-        self._parts: dict[str, bytes] = {}
         self.text = [f"{i}{c}" for n, c in ((len(self.a_bytes), ","), (len(self.a_bytes), "|"),
                                             (len(self.b_bytes), ","), (len(self.b_bytes), ";")) for i in range(n)]
 
@@ -69,36 +73,115 @@ class _Pair:
             _made[key] = cls(key[0], reference or vocabulary("byte_bpe_50k.json"), key[1])
         return _made[key]
 
+    def _encode(self, words: pa.Array, plain: int):
+        """(A ids, B ids, whether both give back a blank and the word) of words; ids as (flat, where each word's begin and the end).
+
+        The first ``plain`` words are read many in a text.
+        """
+        ids, counts, good = ([], []), ([], []), []
+        cuts = [*range(0, plain, WORDS), *range(plain, len(words), WORDS), len(words)]
+        for s, e in zip(cuts, cuts[1:]):
+            some = words.slice(s, e - s).to_pylist()
+            raw = "".join([" " + w for w in some]).encode()
+            ends = np.cumsum(pc.binary_length(words.slice(s, e - s)).to_numpy().astype(np.int64) + 1)
+            fine = np.ones(e - s, bool)
+            lines = [" ".join(some[i:i + LINE]) for i in range(0, len(some), LINE)] if s < plain else []
+            for k, (read, size, text) in enumerate(((self._a, self.a_size, self.a_bytes), (self._bs, self.b_size, self.b_bytes))):
+                got = np.concatenate(read(lines)) if lines else np.zeros(0, np.int32)
+                at = np.cumsum(size[got])
+                n = np.searchsorted(at, ends) + 1
+                if lines and n[-1] == len(got) and (at[n - 1] == ends).all() and b"".join(map(text.__getitem__, got.tolist())) == raw:
+                    n = np.diff(n, prepend=0)
+                else:
+                    each = read(some)
+                    got, n = np.concatenate(each), np.array([len(x) for x in each])
+                    fine &= [b"".join(map(text.__getitem__, x.tolist())) == f" {w}".encode() for x, w in zip(each, some)]
+                ids[k].append(got)
+                counts[k].append(n)
+            good.append(fine)
+        a, b = ((np.concatenate([np.zeros(0, np.int32), *x]), np.append(0, np.cumsum(np.concatenate([np.zeros(0, int), *n]))))
+                for x, n in zip(ids, counts))
+        return a, b, np.concatenate([np.zeros(0, bool), *good])
+
+    def _a(self, texts: list[str]) -> list[np.ndarray]:
+        """A ids of a blank and each text."""
+        return [np.frombuffer(self.a._ids(" " + t), "<u4").astype(np.int32) for t in texts]
+
+    def _bs(self, texts: list[str]) -> list[np.ndarray]:
+        """B ids of each text."""
+        return [np.array(x, np.int32) for x in self.b.encode(texts, num_threads=1)]
+
+    def read(self, texts, check: bool = True) -> "_Span":
+        """The texts of an Arrow column, by the ids of their distinct words; with ``check`` those not given back have none.
+
+        A text is cut at single blanks between two visible characters: A's pre-tokenisation begins a piece there,
+        and no piece of B but those of blanks alone holds a blank behind its first character.  One with a U+2581 is not cut.
+        """
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        lists = pc.split_pattern(texts, " ")
+        code = lists.flatten().dictionary_encode()
+        start = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+        start, stop = start[:-1].copy(), start[1:].copy()
+        words, code = code.dictionary, code.indices.to_numpy().astype(np.int64)
+        odd_rows = np.unique(np.searchsorted(stop, np.flatnonzero(~_plain(words)[code]), side="right"))
+        more: list[str] = []
+        for i in odd_rows.tolist():
+            t = texts[i].as_py()
+            start[i] = len(code) + len(more)
+            more += [t] if "▁" in t else SPLIT.split(t) if t else []
+            stop[i] = len(code) + len(more)
+        if more:
+            own = pa.array(more, pa.string()).dictionary_encode()
+            code = np.concatenate([code, own.indices.to_numpy().astype(np.int64) + len(words)])
+            words = pa.concat_arrays([words, own.dictionary])
+        used = np.zeros(len(words), bool)
+        used[code[_ranges(start, stop - start)]] = True
+        plain = _plain(words)
+        order = np.concatenate([np.flatnonzero(used & plain), np.flatnonzero(used & ~plain)])
+        place = np.zeros(len(words), np.int64)
+        place[order] = np.arange(len(order))
+        a, b, good = self._encode(words.take(pa.array(order)), int((used & plain).sum()))
+        span = _Span(place[code], start, stop, a, b)
+        if check and not good.all():
+            for i in np.flatnonzero(np.array([not good[span.code[s:e]].all() for s, e in zip(start, stop)], bool)).tolist():
+                (x, _), (y, _), raw = *span.ids(i, i + 1), b" " + texts[i].as_py().encode()
+                if any(b"".join(map(t.__getitem__, z.tolist())) != raw for t, z in ((self.a_bytes, x), (self.b_bytes, y))):
+                    stop[i] = start[i]
+        return span
+
     def _b(self, texts: list[str]) -> list[np.ndarray]:
-        """B ids of texts.  No piece but those of blanks alone holds a blank behind its first character, so words
-        between single blanks are encoded by themselves; short ones are remembered, new ones are encoded together."""
-        split = [t.split(" ") for t in texts]
-        whole = [i for i, words in enumerate(split) if "" in words or "▁" in texts[i]]  # a blank at an end or next to another
-        for i, ids in zip(whole, self.b.encode([texts[i] for i in whole], num_threads=1)):
-            split[i] = np.array(ids, np.int64)
-        known = self._parts
-        new = list({w for words in split if isinstance(words, list) for w in words if w not in known})
-        long = {}
-        for w, ids in zip(new, self.b.encode(new, num_threads=1)):
-            (known if len(w) <= 24 else long)[w] = array("i", ids).tobytes()
-        return [words if isinstance(words, np.ndarray) else np.frombuffer(b"".join([
-            known[w] if w in known else long[w] for w in words]), np.int32).astype(np.int64) for words in split]
-
-    def encode(self, texts: list) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """(A ids, B ids) of each text; None where there are no tokens."""
-        for known in (self.a._parts, self._parts):
-            if len(known) > KEPT:
-                known.clear()
-        some = [i for i, t in enumerate(texts) if t]
-        out: list = [None] * len(texts)
-        for i, b in zip(some, self._b([texts[i] for i in some])):
-            spaced = " " + texts[i]
-            raw = spaced.encode()
-            # a special token's string is ordinary text
-            a = np.frombuffer(self.a._ids(spaced) if SPECIAL in spaced else self.a(spaced), "<u4").astype(np.int64)
-            if (b"".join(map(self.b_bytes.__getitem__, b.tolist())) == raw
-                    and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw):
-                out[i] = a, b
+        """B ids of texts, put together from words."""
+        ids, sizes = self.read(pa.array(texts, pa.string()), check=False).ids(0, len(texts))[1]
+        return np.split(ids, np.cumsum(sizes)[:-1])
+
+
+def _plain(words: pa.Array) -> np.ndarray:
+    """Which words have a character, no white space at their ends and no U+2581."""
+    ends = pc.equal(pc.utf8_trim(words, BLANKS), words)
+    holds = pc.and_(pc.not_equal(words, ""), pc.invert(pc.match_substring(words, "▁")))
+    return pc.and_(ends, holds).to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions of ranges, one range after the other."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
+class _Span:
+    """Texts as words (``code`` from ``start`` to ``stop``) and the ids of each word; a text without words has no tokens."""
+
+    def __init__(self, code, start, stop, a, b):
+        self.code, self.start, self.stop, self.both = code, start, stop, (a, b)
+
+    def ids(self, s: int, e: int):
+        """For A and for B: (ids, how many each text has) of texts s to e."""
+        n = self.stop[s:e] - self.start[s:e]
+        words, ends = self.code[_ranges(self.start[s:e], n)], np.cumsum(n)
+        out = []
+        for flat, at in self.both:
+            size = at[words + 1] - at[words]
+            total = np.append(0, np.cumsum(size))
+            out.append((flat[_ranges(at[words], size)].astype(np.int64), total[ends] - total[ends - n]))
         return out
 
 
@@ -211,18 +294,18 @@ def align(docs: DataFrame, text_col: str = "text", a_path: str | None = None, re
     def lists(bounds, values):
         return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
 
-    def run(batches):
-        pair = _Pair.of(a_path, reference, b_path)
+    def spans(pair, batches):
         for batch in batches:
             _, offsets = text_buffers(batch.column(len(own)))
-            for s, e in steps(offsets, STEP_BYTES):
+            for s, e in steps(offsets, SPAN_BYTES):
                 part = batch.slice(s, e - s)
-                got = pair.encode(part.column(len(own)).to_pylist())
-                empty = np.zeros(0, np.int64)
-                size_a = np.array([0 if x is None else len(x[0]) for x in got], np.int64)
-                size_b = np.array([0 if x is None else len(x[1]) for x in got], np.int64)
-                a_ids = np.concatenate([empty, *(x[0] for x in got if x is not None)])
-                b_ids = np.concatenate([empty, *(x[1] for x in got if x is not None)])
+                yield part, pair.read(part.column(len(own))), offsets[s:e + 1] - offsets[s]
+
+    def run(batches):
+        pair = _Pair.of(a_path, reference, b_path)
+        for part, span, offsets in spans(pair, batches):
+            for s, e in steps(offsets, STEP_BYTES):
+                (a_ids, size_a), (b_ids, size_b) = span.ids(s, e)
                 some = size_a > 0
                 first_a, first_b = (np.append(0, np.cumsum(z[some])) for z in (size_a, size_b))
                 a0, a1, b0, b1 = groups_of(np.cumsum(pair.a_size[a_ids]), np.cumsum(pair.b_size[b_ids]), first_a, first_b,
@@ -234,13 +317,14 @@ def align(docs: DataFrame, text_col: str = "text", a_path: str | None = None, re
                 linked, a, b, n = _linked(doc, a_ids, b_ids, a0, a1, b0, b1, pairs)
                 bounds = np.searchsorted(linked, np.arange(e - s + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:len(own)], pa.array(size_a), pa.array(size_b),
+                    [*part.slice(s, e - s).columns[:len(own)], pa.array(size_a), pa.array(size_b),
                      pa.array(np.bincount(doc, minlength=e - s).astype(np.int64)), pa.array(n_links),
                      pa.array(_written(pair, doc_a, doc_b, a_ids, b_ids, a0, a1, b0, b1, e - s), pa.string()),
                      lists(bounds, a.astype(np.int32)), lists(bounds, b.astype(np.int32)), lists(bounds, n)],
                     [*own, *TAKEN])
+                give_back()
 
-    return docs.select(*own, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*own, F.col(text_col).cast("string").alias("__text")).mapInArrow(lean_batches(run), schema)
 
 
 def link_counts(aligned: DataFrame, chunk_pairs: int = CHUNK_PAIRS) -> DataFrame:
@@ -292,7 +376,7 @@ def link_counts(aligned: DataFrame, chunk_pairs: int = CHUNK_PAIRS) -> DataFrame
             yield emit()
 
     packed = cut(aligned.select(*own, "link_a", "link_b", "link_n").mapInArrow(
-        pack, "chunk long, a array<int>, b array<int>, n array<long>, rows binary, links binary"))
+        lean_batches(pack), "chunk long, a array<int>, b array<int>, n array<long>, rows binary, links binary"))
     sent = packed.select("chunk", F.explode(F.arrays_zip("a", "b", "n")).alias("x")).select("chunk", "x.*")
     total = sent.groupBy("a", "b").agg(F.sum("n").alias("count"))
     total = total.withColumn("best", (F.col("count") == F.max("count").over(Window.partitionBy("a"))).cast("long"))
@@ -314,4 +398,4 @@ def link_counts(aligned: DataFrame, chunk_pairs: int = CHUNK_PAIRS) -> DataFrame
                 yield from out.to_batches()
 
     return packed.select("chunk", "rows", "links").join(back, "chunk", "left").select(
-        "rows", "links", "count", "best").mapInArrow(apply, ", ".join([*fields, "n_best long", "count_sum long"]))
+        "rows", "links", "count", "best").mapInArrow(lean_batches(apply), ", ".join([*fields, "n_best long", "count_sum long"]))

@@ -16,7 +16,7 @@ import numpy as np
 
 KEPT = 500_000
 SPECIAL = "<|endoftext|>"
-_SPLIT = re.compile(r"(?<=\S) (?=\S)")
+SPLIT = re.compile(r"(?<=\S) (?=\S)")
 _made: dict[str, "Encoder"] = {}
 
 
@@ -81,7 +81,7 @@ class Encoder:
             ids = known.get(p)
             if ids is None:
                 if not p or p[0].isspace() or p[-1].isspace():
-                    parts = _SPLIT.split(text)
+                    parts = SPLIT.split(text)
                     return self._ids(parts[0]) + b"".join([known.get(p) or self._ids(" " + p) for p in parts[1:]])
                 ids = self._word(p)
             out.append(ids)
