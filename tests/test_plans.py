@@ -76,6 +76,12 @@ def test_hot_customers_are_cut_into_buckets(plan, monkeypatch):
         assert f"hashpartitioning(customer_id, {'_ranked, ' if key == 'member_order_ranking' else ''}_bucket" in p, key
 
 
+def test_member_orders_are_sorted_once_by_customer(plan):
+    """The join with the members sorts nothing: the window's sort is the only one that a task holds its orders in."""
+    p = plan("member_order_ranking")
+    assert "ShuffledHashJoin" in p and len(re.findall(r"Sort \[customer_id", p)) == 1
+
+
 def test_sequences_read_their_input_once(plan):
     for key in ("avg_run_duration", "next_plan_after_trial", "downgrades_in_year"):
         assert plan(key).count("FileScan") == 1, key
